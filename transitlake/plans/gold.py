@@ -178,7 +178,7 @@ def fuel_daily(prices: DataFrame, as_of=None) -> DataFrame:
         "fuel_type",
         today.alias("price_today"),
         F.col("price_yesterday"),
-        F.round(diff, 4).alias("change_eur"),
+        F.round(diff, 4).cast("decimal(18,4)").alias("change_eur"),
         F.round(pct, 2).alias("change_pct"),
         F.col("t.source_date").alias("date_today"),
         F.col("t.source").alias("source"),

@@ -11,10 +11,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import seeds
+from .literals import first_contains, sql_literal
 
+ColOrSql = Column | str
 
-def _first_keyword(text: Column, pairs, default) -> Column:
-    """Value of the first keyword contained in `text` (ordered `when` chain)."""
+
+def _first_keyword(text: ColOrSql, pairs, default, lower: bool = True) -> Column:
+    """Value of the first keyword contained in `text` (ordered CASE). A SQL string input
+    compiles to one expression; a Column input builds the equivalent `when` chain."""
+    if isinstance(text, str):
+        return first_contains(f"lower({text})" if lower else text, pairs, default)
+    text = F.lower(text) if lower else text
     pairs = list(pairs)
     chain = F.when(text.contains(pairs[0][0]), F.lit(pairs[0][1]))
     for key, value in pairs[1:]:
@@ -22,6 +29,17 @@ def _first_keyword(text: Column, pairs, default) -> Column:
     return chain.otherwise(F.lit(default))
 
 
+def _lookup(value: ColOrSql, pairs, default) -> Column:
+    """CASE value WHEN k THEN v ... ELSE default END."""
+    if isinstance(value, str):
+        arms = " ".join(f"WHEN {sql_literal(k)} THEN {sql_literal(v)}" for k, v in pairs)
+        return F.expr(f"CASE {value} {arms} ELSE {sql_literal(default)} END")
+    chain = None
+    for k, v in pairs:
+        chain = F.when(value == k, F.lit(v)) if chain is None else chain.when(value == k, F.lit(v))
+    return chain.otherwise(F.lit(default))
+
+
 def transport_type(route_type: Column, line_type: Column) -> Column:
     """GTFS route type first, GPS line type as fallback."""
     return (F.when(route_type == 0, "tram")
@@ -59,35 +77,28 @@ def price_fuel_key(fuel: Column) -> Column:
     return F.when(fuel == "hybrid_diesel", "diesel").otherwise(fuel)
 
 
-def km_per_day(transport: Column) -> Column:
+def km_per_day(transport: ColOrSql) -> Column:
     """Estimated daily km per vehicle."""
-    chain = None
-    for name, km in seeds.KM_PER_DAY:
-        chain = F.when(transport == name, F.lit(km)) if chain is None else chain.when(
-            transport == name, F.lit(km))
-    return chain.otherwise(F.lit(seeds.DEFAULT_KM_PER_DAY))
+    return _lookup(transport, seeds.KM_PER_DAY, seeds.DEFAULT_KM_PER_DAY)
 
 
-def detect_fuel_type(model: Column) -> Column:
+def detect_fuel_type(model: ColOrSql) -> Column:
     """Fuel from the model name (first contained keyword, lower-cased)."""
-    return _first_keyword(F.lower(model), seeds.FUEL_KEYWORDS, seeds.DEFAULT_FUEL)
+    return _first_keyword(model, seeds.FUEL_KEYWORDS, seeds.DEFAULT_FUEL)
 
 
-def detect_consumption(model: Column) -> Column:
+def detect_consumption(model: ColOrSql) -> Column:
     """Consumption per 100 km from the model name, NULL when unknown."""
-    return _first_keyword(F.lower(model), seeds.CONSUMPTION_KEYWORDS, None).cast("double")
+    return _first_keyword(model, seeds.CONSUMPTION_KEYWORDS, None).cast("double")
 
 
-def consumption_unit(fuel: Column) -> Column:
-    chain = None
-    for code, unit in seeds.CONSUMPTION_UNITS:
-        chain = F.when(fuel == code, unit) if chain is None else chain.when(fuel == code, unit)
-    return chain.otherwise(seeds.DEFAULT_CONSUMPTION_UNIT)
+def consumption_unit(fuel: ColOrSql) -> Column:
+    return _lookup(fuel, seeds.CONSUMPTION_UNITS, seeds.DEFAULT_CONSUMPTION_UNIT)
 
 
-def price_fuel_type(name: Column) -> Column:
+def price_fuel_type(name: ColOrSql) -> Column:
     """Price-table row name -> fuel code, first contained key, NULL if none."""
-    return _first_keyword(F.lower(name), seeds.FUEL_NAME_MAP, None)
+    return _first_keyword(name, seeds.FUEL_NAME_MAP, None)
 
 
 def in_bbox(lat: Column, lon: Column) -> Column:

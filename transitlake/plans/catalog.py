@@ -16,14 +16,14 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _model(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Pipeline.from_driver(spark, sf_dir).models()[name]
+        return Pipeline.from_driver(spark, sf_dir).models()[name]()
     run.__name__ = name
     return run
 
 
 def _dash(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Pipeline.from_driver(spark, sf_dir).dashboards()[name]
+        return Pipeline.from_driver(spark, sf_dir).dashboards()[name]()
     run.__name__ = name
     return run
 

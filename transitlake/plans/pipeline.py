@@ -13,6 +13,7 @@ filter and the column pruning through silver into the scans.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -39,6 +40,50 @@ class Inputs:
     fuel_types: DataFrame
 
 
+class DriverInputs:
+    """The same inputs derived lazily from driver tables: a query only builds what it reads."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.d = drivermap.DriverTables(spark, sf_dir)
+
+    @cached_property
+    def bronze_positions(self) -> DataFrame:
+        return self.d.bronze_positions()
+
+    @cached_property
+    def bronze_trains(self) -> DataFrame:
+        return self.d.bronze_trains()
+
+    @cached_property
+    def fuel_prices(self) -> DataFrame:
+        return self.d.fuel_prices()
+
+    @cached_property
+    def routes(self) -> DataFrame:
+        return self.d.routes()
+
+    @cached_property
+    def models(self) -> DataFrame:
+        return fleet.vehicle_models(self.d.fleet_pages(), EVENTS_AS_OF)
+
+    @cached_property
+    def line_map(self) -> DataFrame:
+        return reference.elron_line_types(self.spark)
+
+    @cached_property
+    def operators(self) -> DataFrame:
+        return reference.operators(self.spark)
+
+    @cached_property
+    def line_types(self) -> DataFrame:
+        return reference.line_types(self.spark)
+
+    @cached_property
+    def fuel_types(self) -> DataFrame:
+        return reference.fuel_types(self.spark)
+
+
 class Pipeline:
     def __init__(self, inputs: Inputs, as_of=None, prices_as_of=None, fuel_mode: str = "reference"):
         self.i = inputs
@@ -48,18 +93,7 @@ class Pipeline:
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "Pipeline":
-        d = drivermap.DriverTables(spark, sf_dir)
-        inputs = Inputs(
-            bronze_positions=d.bronze_positions(),
-            bronze_trains=d.bronze_trains(),
-            fuel_prices=d.fuel_prices(),
-            routes=d.routes(),
-            models=fleet.vehicle_models(d.fleet_pages(), EVENTS_AS_OF),
-            line_map=reference.elron_line_types(spark),
-            operators=reference.operators(spark),
-            line_types=reference.line_types(spark),
-            fuel_types=reference.fuel_types(spark),
-        )
+        inputs = DriverInputs(spark, sf_dir)
         kw.setdefault("as_of", EVENTS_AS_OF)
         kw.setdefault("prices_as_of", PRICES_AS_OF)
         return cls(inputs, **kw)
@@ -98,28 +132,28 @@ class Pipeline:
     def m7_route_activity(self) -> DataFrame:
         return gold.route_activity(self.m1_vehicle_positions)
 
-    def models(self) -> dict[str, DataFrame]:
+    def models(self) -> dict[str, Callable[[], DataFrame]]:
+        """Model name -> builder (lazy: only the requested model is planned)."""
         return {
-            "m1_vehicle_positions": self.m1_vehicle_positions,
-            "m2_elron_positions": self.m2_elron_positions,
-            "m3_latest_positions": self.m3_latest_positions,
-            "m4_fleet_summary": self.m4_fleet_summary.drop("line_type_code"),
-            "m5_fuel_cost_daily": self.m5_fuel_cost_daily,
-            "m6_fuel_daily": self.m6_fuel_daily,
-            "m7_route_activity": self.m7_route_activity,
+            "m1_vehicle_positions": lambda: self.m1_vehicle_positions,
+            "m2_elron_positions": lambda: self.m2_elron_positions,
+            "m3_latest_positions": lambda: self.m3_latest_positions,
+            "m4_fleet_summary": lambda: self.m4_fleet_summary.drop("line_type_code"),
+            "m5_fuel_cost_daily": lambda: self.m5_fuel_cost_daily,
+            "m6_fuel_daily": lambda: self.m6_fuel_daily,
+            "m7_route_activity": lambda: self.m7_route_activity,
         }
 
     # dashboards
-    def dashboards(self) -> dict[str, DataFrame]:
-        latest = self.m3_latest_positions
+    def dashboards(self) -> dict[str, Callable[[], DataFrame]]:
         return {
-            "q1_active_vehicles_now": dashboards.active_vehicles_now(latest),
-            "q2_vehicle_types_now": dashboards.vehicle_types_now(latest),
-            "q3_fuel_prices_today": dashboards.fuel_prices_today(self.i.fuel_prices),
-            "q4_daily_fuel_cost": dashboards.daily_fuel_cost(self.m5_fuel_cost_daily),
-            "q5_fleet_summary": dashboards.fleet_summary_view(self.m4_fleet_summary),
-            "q6_trains_now": dashboards.trains_now(self.m2_elron_positions),
-            "q7_price_changes": dashboards.price_changes(self.m6_fuel_daily),
-            "q8_transport_now": dashboards.transport_now(latest),
-            "q9_transport_map": dashboards.transport_map(latest),
+            "q1_active_vehicles_now": lambda: dashboards.active_vehicles_now(self.m3_latest_positions),
+            "q2_vehicle_types_now": lambda: dashboards.vehicle_types_now(self.m3_latest_positions),
+            "q3_fuel_prices_today": lambda: dashboards.fuel_prices_today(self.i.fuel_prices),
+            "q4_daily_fuel_cost": lambda: dashboards.daily_fuel_cost(self.m5_fuel_cost_daily),
+            "q5_fleet_summary": lambda: dashboards.fleet_summary_view(self.m4_fleet_summary),
+            "q6_trains_now": lambda: dashboards.trains_now(self.m2_elron_positions),
+            "q7_price_changes": lambda: dashboards.price_changes(self.m6_fuel_daily),
+            "q8_transport_now": lambda: dashboards.transport_now(self.m3_latest_positions),
+            "q9_transport_map": lambda: dashboards.transport_map(self.m3_latest_positions),
         }

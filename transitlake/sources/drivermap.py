@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import seeds
 from ..functions import classify
+from ..functions.literals import pick
 from ..operators.latest import first_per_key
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -41,11 +42,6 @@ TRAIN_LINES = [
 ]
 
 
-def _pick(values: list, idx: Column) -> Column:
-    """values[idx] with a 0-based index column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
-
-
 def gps_positions_unfiltered(events: DataFrame) -> DataFrame:
     """All events as GPS observations (before the bounding-box rule)."""
     e = F.col("event_id")
@@ -77,7 +73,7 @@ def gtfs_routes(nation: DataFrame) -> DataFrame:
         F.lit(seeds.GPS_OPERATOR).alias("agency_id"),
         (k % 20).cast("string").alias("route_short_name"),
         F.col("n_name").alias("route_long_name"),
-        _pick([0, 3, 11], F.col("n_regionkey") % 3).alias("route_type"),
+        pick([0, 3, 11], "n_regionkey % 3").alias("route_type"),
         F.lit("").alias("route_color"),
         F.lit("").alias("route_text_color"),
         F.lit(seeds.GPS_OPERATOR).alias("operator"),
@@ -92,11 +88,11 @@ def fleet_pages(part: DataFrame) -> DataFrame:
     types = [r[1] for r in seeds.KNOWN_AMOUNTS]
     rank = {lt: i + 1 for i, (_, lt) in enumerate(seeds.FLEET_PAGES)}
     k = F.col("p_partkey")
-    idx = k % len(names)
-    line_type = _pick(types, idx)
+    idx = f"p_partkey % {len(names)}"
+    line_type = pick(types, idx)
     heading = (F.when(k % 37 == 0, F.lit("Kontakt"))
                .when(k % 41 == 0, F.lit("Buss"))
-               .otherwise(_pick(names, idx)))
+               .otherwise(pick(names, idx)))
     para = (F.when(F.col("p_size") % 5 == 0, F.lit("Andmed puuduvad"))
             .otherwise(F.concat(F.lit("Liinil on "), F.col("p_size").cast("string"),
                                 F.lit(" tükki"))))
@@ -122,7 +118,7 @@ def bronze_elron_positions(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("int")
     return events.select(
         F.col("user_id").cast("string").alias("reis"),
-        _pick(TRAIN_LINES, e % len(TRAIN_LINES)).alias("liin"),
+        pick(TRAIN_LINES, f"event_id % {len(TRAIN_LINES)}").alias("liin"),
         F.concat((e % 24).cast("string"), F.lit(":00")).alias("reisi_algus"),
         F.concat((e % 24 + 1).cast("string"), F.lit(":30")).alias("reisi_lopp"),
         (e % 130).cast("int").alias("kiirus"),
@@ -215,9 +211,13 @@ class DriverTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        """One scan relation per table and query (file listing + footer read once)."""
+        if name not in self._raw:
+            self._raw[name] = table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     def bronze_positions(self) -> DataFrame:
         return bronze_vehicle_positions(self.raw("events"))

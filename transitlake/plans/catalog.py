@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .pipeline import Pipeline
+from .source_queries import SOURCE_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -41,4 +42,5 @@ def registry() -> dict[str, QueryFn]:
         out[n] = _model(n)
     for n in DASHBOARD_NAMES:
         out[n] = _dash(n)
+    out.update(SOURCE_QUERIES)
     return out

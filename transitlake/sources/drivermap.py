@@ -233,3 +233,168 @@ class DriverTables:
 
     def fuel_prices(self) -> DataFrame:
         return bronze_fuel_prices(self.raw("orders"))
+
+
+# ---------------------------------------------------------------------------
+# Raw source documents for the parser queries (S1-S7). Broken rows are placed by
+# id so every rejection rule is exercised; nothing is filtered here.
+
+DESTINATIONS = ["Mustamäe", "Väike-Õismäe", "Kopli", "Pirita", "Balti jaam", "Kadriorg",
+                "Lasnamäe", "Ülemiste"]
+# the same names after a UTF-8 -> Latin-1 mis-decode (trap D3)
+DESTINATIONS_BROKEN = [s.encode("utf-8").decode("latin-1") for s in DESTINATIONS]
+
+
+def gps_raw_lines(events: DataFrame) -> DataFrame:
+    """S1 input: the headerless 10-field feed, one line per event.
+    event_id % 97 == 0 -> truncated line; % 89 -> bad vehicle id; % 13 -> empty bearing;
+    % 101 -> blank line; low floor 'Z' / ' z ' / ''."""
+    e = F.col("event_id")
+    s = lambda c: c.cast("string")
+    fields = [
+        s(F.lit(3) - e % 3),
+        s(e % 20),
+        s(F.lit(21000000) + (e % 800) * 10000),
+        s(F.lit(57000000) + (e % 400) * 10000),
+        F.lit(""),
+        F.when(e % 13 == 0, F.lit("")).otherwise(s(e % 360)),
+        F.when(e % 89 == 0, F.concat(F.lit("x"), s(F.col("user_id")))).otherwise(s(F.col("user_id"))),
+        F.when(e % 2 == 0, F.lit("Z")).when(e % 5 == 0, F.lit(" z ")).otherwise(F.lit("")),
+        s(e % 100),
+        F.concat(F.lit(" "), F.col("event_type")),
+    ]
+    full = F.concat_ws(",", *fields)
+    short = F.concat_ws(",", *fields[:6])
+    line = F.when(e % 101 == 0, F.lit("  ")).when(e % 97 == 0, short).otherwise(full)
+    return events.select(e.alias("event_id"), line.alias("value"))
+
+
+OLD_LAYOUT_DRIVER_WINDOW = ("2024-01-02 09:00:00", "2024-01-02 12:00:00")
+
+
+def gps_archive_lines(events: DataFrame) -> DataFrame:
+    """S2 input: archived lines with `None` literals, bearing 999, mis-decoded names and
+    the old field layout inside OLD_LAYOUT_DRIVER_WINDOW."""
+    e = F.col("event_id")
+    s = lambda c: c.cast("string")
+    lo, hi = OLD_LAYOUT_DRIVER_WINDOW
+    old = (F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
+    dest = pick(DESTINATIONS + DESTINATIONS_BROKEN, "event_id % 16")
+    lat = F.lit(57.0) + (e % 400).cast("double") / 100.0
+    lon = F.lit(21.0) + (e % 800).cast("double") / 100.0
+    line = F.concat_ws(
+        ",",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.when(e % 13 == 0, F.lit("None")).otherwise(s(F.col("user_id"))),
+        F.when(old, s(e % 20)).otherwise(s(F.lit(3) - e % 3)),
+        F.when(old, s(e % 100)).otherwise(s(e % 20)),
+        dest, s(lat), s(lon),
+        F.when(e % 11 == 0, F.lit("999")).when(e % 13 == 0, F.lit("None")).otherwise(s(e % 360)),
+        F.when(e % 2 == 0, F.lit("True")).otherwise(F.lit("False")),
+        F.lit(seeds.GPS_OPERATOR),
+    )
+    return events.select(e.alias("event_id"), line.alias("value"))
+
+
+def train_snapshot_docs(events: DataFrame) -> DataFrame:
+    """S3 input: one snapshot document per event; every 7th has the object form
+    `{"text": ...}` instead of a train list; other ids break single fields."""
+    e = F.col("event_id")
+    s = lambda c: c.cast("string")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    lat = F.lit(57.5) + (e % 250).cast("double") / 100.0
+    lon = F.lit(21.5) + (e % 700).cast("double") / 100.0
+    train = F.struct(
+        s(F.col("user_id")).alias("reis"),
+        pick(TRAIN_LINES, f"event_id % {len(TRAIN_LINES)}").alias("liin"),
+        F.concat(s(e % 24), F.lit(":00")).alias("reisi_algus_aeg"),
+        F.concat(s(e % 24 + 1), F.lit(":30")).alias("reisi_lopp_aeg"),
+        F.when(e % 17 == 0, F.lit("")).when(e % 19 == 0, F.lit("x")).otherwise(s(e % 130)).alias("kiirus"),
+        F.when(e % 23 == 0, F.lit("abc")).when(e % 29 == 0, F.lit(None)).otherwise(s(lat)).alias("latitude"),
+        s(lon).alias("longitude"),
+        F.when(e % 31 == 0, F.lit("")).when(e % 37 == 0, F.lit("x")).otherwise(s(e % 360)).alias("rongi_suund"),
+        F.when(e % 41 == 0, F.lit("x")).when(k % 4 == 0, F.lit("")).otherwise(s(k % 10)).alias("erinevus_plaanist"),
+        F.when(e % 43 == 0, F.lit("bad")).otherwise(
+            F.date_format(F.col("ts") + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd HH:mm:ss")).alias("asukoha_uuendus"),
+        train_status(F.col("event_type")).alias("reisi_staatus"),
+        F.when(e % 47 == 0, F.lit(None)).otherwise(F.concat(F.lit("Peatus "), s(e % 50))).alias("viimane_peatus"),
+    )
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    doc = F.when(e % 7 == 0, F.concat(F.lit('{"fetched_at":"'), iso,
+                                      F.lit('","count":0,"trains":{"text":"Pole andmeid"}}'))) \
+           .otherwise(F.concat(F.lit('{"fetched_at":"'), iso, F.lit('","count":1,"trains":['),
+                               F.to_json(train), F.lit("]}")))
+    return events.select(e.alias("event_id"), F.col("ts").alias("ingested_at"), doc.alias("doc"))
+
+
+OLD_ARCHIVE_KEYS = [("95", "Bensiin 95"), ("98", "Bensiin 98"), ("Diesel", "Diislikütus")]
+
+
+def fuel_archive_docs(orders: DataFrame) -> DataFrame:
+    """S4 input: one archive document per order; before 1996 the old long key names
+    are used (trap D7); from 1998 the document carries a `source`."""
+    b = fuel_price_batch(orders)
+    old = F.col("source_date") < F.lit("1996-01-01").cast("date")
+    key = F.col("fuel_type")
+    for new, long_name in OLD_ARCHIVE_KEYS:
+        key = F.when(old & (F.col("fuel_type") == new), long_name).otherwise(key)
+    doc = F.to_json(F.struct(
+        F.col("source_date").cast("string").alias("date"),
+        F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
+        F.when(F.col("source_date") >= F.lit("1998-01-01").cast("date"), F.lit("teadmiseks.ee")).alias("source"),
+        F.create_map(key, F.col("price_eur")).alias("prices")))
+    return b.select(F.col("seq").alias("o_orderkey"), doc.alias("doc"))
+
+
+PAGE_FUEL_NAMES = [
+    ("1-URGENT", "Bensiin 95"),
+    ("2-HIGH", "Bensiin 98 Premium"),
+    ("3-MEDIUM", "Diislikütus"),
+    ("4-NOT SPECIFIED", "Elekter"),
+]
+
+
+def price_pages(orders: DataFrame) -> DataFrame:
+    """S5 input: one HTML page per order with a header row and one price row."""
+    pr = F.col("o_orderpriority")
+    name = None
+    for p, n in PAGE_FUEL_NAMES:
+        name = F.when(pr == p, n) if name is None else name.when(pr == p, n)
+    name = name.otherwise("Diisel")
+    price = (F.col("o_totalprice").cast("decimal(18,2)") / F.lit(100000)).cast("decimal(18,7)")
+    html = F.concat(
+        F.lit("<html><body><table class=\"prices\">\n<tr><th>Kütus</th><th>Hind</th></tr>\n<tr><td> "),
+        name, F.lit(" </td><td><b>"), F.regexp_replace(price.cast("string"), r"\.", ","),
+        F.lit(" €</b></td></tr>\n</table></body></html>"))
+    return orders.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+
+
+def electric_docs(events: DataFrame) -> DataFrame:
+    """S6 input: an hourly price series per event (EUR/MWh); every 10th series empty."""
+    e = F.col("event_id")
+    v = F.col("value").cast("decimal(10,2)")
+    ee = F.when(e % 10 == 0, F.array().cast("array<struct<timestamp:bigint,price:decimal(12,2)>>")) \
+          .otherwise(F.array(
+              F.struct(F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
+                       (v * 10).cast("decimal(12,2)").alias("price")),
+              F.struct((F.unix_seconds(F.col("ts").cast("timestamp")) + 900).alias("timestamp"),
+                       (v * 20).cast("decimal(12,2)").alias("price"))))
+    doc = F.to_json(F.struct(F.lit(True).alias("success"), F.struct(ee.alias("ee")).alias("data")))
+    return events.select(e.alias("event_id"), doc.alias("doc"))
+
+
+def cng_texts(documents: DataFrame, orders: DataFrame) -> DataFrame:
+    """S7 input: every document text plus a CNG news sentence per order (two phrasings;
+    prices outside 1-5 EUR occur)."""
+    docs = documents.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("text_id"),
+                            F.col("text"))
+    price = (F.col("o_totalprice").cast("decimal(18,2)") / F.lit(100000)).cast("decimal(18,7)")
+    comma = F.regexp_replace(price.cast("string"), r"\.", ",")
+    sentence = F.when(F.col("o_orderkey") % 2 == 0,
+                      F.concat(F.lit("Alates "), F.col("o_orderdate").cast("date").cast("string"),
+                               F.lit(" maksab CNG "), comma, F.lit(" euroni kilogrammist.")))\
+                .otherwise(F.concat(F.lit("CNG hind: "), price.cast("string"), F.lit(" € / kg")))
+    news = orders.select(
+        F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("text_id"),
+        sentence.alias("text"))
+    return docs.unionByName(news)

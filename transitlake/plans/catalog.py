@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .checks import t1_t4_data_quality
 from .pipeline import Pipeline
+from .sink_queries import SINK_QUERIES
 from .source_queries import SOURCE_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -43,4 +45,6 @@ def registry() -> dict[str, QueryFn]:
     for n in DASHBOARD_NAMES:
         out[n] = _dash(n)
     out.update(SOURCE_QUERIES)
+    out["t1_t4_data_quality"] = t1_t4_data_quality
+    out.update(SINK_QUERIES)
     return out

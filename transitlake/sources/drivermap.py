@@ -169,11 +169,11 @@ def gtfs_trips(orders: DataFrame, nation: DataFrame | None = None) -> DataFrame:
     k = F.col("o_orderkey")
     return orders.select(
         k.cast("string").alias("trip_id"),
-        (k % 25).cast("string").alias("route_id"),
+        (k % 30).cast("string").alias("route_id"),
         F.concat(F.lit("S"), (k % 7).cast("string")).alias("service_id"),
         F.col("o_orderpriority").alias("trip_headsign"),
         (k % 2).cast("int").alias("direction_id"),
-        F.lit(seeds.GPS_OPERATOR).alias("operator"),
+        (F.col("__op") if "__op" in orders.columns else F.lit(seeds.GPS_OPERATOR)).alias("operator"),
     )
 
 

@@ -211,10 +211,24 @@ def materialise(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
 
 
 def read_materialised(spark: SparkSession, path: str) -> DataFrame:
-    marker = spark.read.text(f"{path.rstrip('/')}/_CURRENT").first()[0].strip()
+    marker = _read_marker(spark, f"{path.rstrip('/')}/_CURRENT")
     return spark.read.parquet(f"{path.rstrip('/')}/{marker}")
 
 
+def _read_marker(spark: SparkSession, marker_path: str) -> str:
+    """The marker is a few bytes; read it through the Hadoop FileSystem API (a Spark
+    file scan would skip it: names starting with '_' are hidden)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(marker_path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine().strip()
+    finally:
+        stream.close()
+
+
 def _write_marker(spark: SparkSession, marker_path: str, text: str) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -13,6 +13,7 @@ from .checks import t1_t4_data_quality
 from .pipeline import Pipeline
 from .sink_queries import SINK_QUERIES
 from .source_queries import SOURCE_QUERIES
+from .stream_queries import STREAM_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -47,4 +48,5 @@ def registry() -> dict[str, QueryFn]:
     out.update(SOURCE_QUERIES)
     out["t1_t4_data_quality"] = t1_t4_data_quality
     out.update(SINK_QUERIES)
+    out.update(STREAM_QUERIES)
     return out

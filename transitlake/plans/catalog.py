@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .checks import t1_t4_data_quality
+from .extensions import EXTENSION_QUERIES
 from .pipeline import Pipeline
 from .sink_queries import SINK_QUERIES
 from .source_queries import SOURCE_QUERIES
@@ -49,4 +50,5 @@ def registry() -> dict[str, QueryFn]:
     out["t1_t4_data_quality"] = t1_t4_data_quality
     out.update(SINK_QUERIES)
     out.update(STREAM_QUERIES)
+    out.update(EXTENSION_QUERIES)
     return out

@@ -94,10 +94,22 @@ def test_m1_is_map_only_with_broadcast_lookups(spark, sf_dir):
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
 
 
-def test_m5_filter_reaches_scan(spark, sf_dir):
+def test_m5_prunes_to_one_partition(spark, sf_dir):
     p = Pipeline.from_driver(spark, sf_dir)
     plan = p.m5_fuel_cost_daily._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(event_id), IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-15" in plan
+    assert plan.count("PartitionFilters: [isnotnull(snapshot_date") == 2
+    assert "= 2024-01-15)]" in plan
+
+
+def test_as_of_filter_reaches_unstored_scan(spark, sf_dir):
+    from transitlake.plans import gold, silver
+    i = Pipeline.from_driver(spark, sf_dir).i
+    bronze = i.d.bronze_positions()
+    day = gold.active_vehicles(silver.vehicle_positions(bronze, i.routes, i.models),
+                               silver.elron_positions(i.d.bronze_trains(), i.line_map),
+                               "2024-01-15")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in plan
 
 
 def test_latest_uses_group_limit(spark, sf_dir):

@@ -14,18 +14,29 @@ from pyspark.sql import functions as F
 INT_TEXT = r"^\s*[+-]?\d+(?:_\d+)*\s*$"
 
 
+# ASCII whitespace, the same set as the regex class \s
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip(c: Column) -> Column:
-    """Remove surrounding whitespace (spaces, tabs, CR/LF)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove surrounding whitespace (spaces, tabs, CR/LF, VT, FF); no regex."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def int_or_null(c: Column, dtype: str = "bigint") -> Column:
-    """Text -> integer, NULL when the text is not an integer literal."""
-    return F.when(c.rlike(INT_TEXT), F.regexp_replace(c, r"[\s_]", "").try_cast(dtype))
+    """Text -> integer, NULL when the text is not an integer literal.
+
+    `try_cast` of the stripped text already accepts exactly sign + digits (a decimal
+    point or exponent gives NULL); only texts with '_' digit separators, which the
+    source programs accept, go through the regex path."""
+    t = strip(c)
+    return (F.when(t.contains("_"),
+                   F.when(t.rlike(INT_TEXT), F.regexp_replace(t, "_", "").try_cast(dtype)))
+             .otherwise(t.try_cast(dtype)))
 
 
 def is_int_text(c: Column) -> Column:
-    return F.coalesce(c.rlike(INT_TEXT), F.lit(False))
+    return int_or_null(c).isNotNull()
 
 
 def double_or_null(c: Column) -> Column:
@@ -58,6 +69,5 @@ def timestamp_or_null(c: Column, fmt: str = "yyyy-M-d H:m:s") -> Column:
 def gtfs_seconds(c: Column) -> Column:
     """GTFS `H:MM:SS` time of day (may exceed 24:00:00) -> seconds since midnight."""
     parts = F.split(strip(c), ":")
-    ok = (F.size(parts) == 3) & is_int_text(parts[0]) & is_int_text(parts[1]) & is_int_text(parts[2])
-    return F.when(ok, int_or_null(parts[0], "int") * 3600 + int_or_null(parts[1], "int") * 60
-                  + int_or_null(parts[2], "int"))
+    h, m, sec = (F.get(parts, i).try_cast("int") for i in range(3))
+    return F.when(F.size(parts) == 3, h * 3600 + m * 60 + sec)

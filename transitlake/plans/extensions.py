@@ -216,7 +216,7 @@ def x5_silver_fuel_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x6_city_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag_cities(DriverInputs(spark, sf_dir).bronze_positions)
+    return tag_cities(DriverInputs(spark, sf_dir).bronze_positions.drop("snapshot_date"))
 
 
 def shape_points(lineitem: DataFrame) -> DataFrame:

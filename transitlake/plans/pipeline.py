@@ -18,9 +18,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import drivermap, fleet, reference
-from . import dashboards, gold, silver
+from . import dashboards, gold, layers, silver
 
 # fixed replay dates for the driver data (events span 2024-01-01..30, orders end 2001-08-01)
 EVENTS_AS_OF = dt.date(2024, 1, 15)
@@ -41,31 +42,44 @@ class Inputs:
 
 
 class DriverInputs:
-    """The same inputs derived lazily from driver tables: a query only builds what it reads."""
+    """The inputs derived from driver tables, stored once per input snapshot as the
+    bronze / reference layers (see `layers`); a query only touches what it reads."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
         self.d = drivermap.DriverTables(spark, sf_dir)
 
+    def _src(self, *tables: str) -> list[str]:
+        return [f"{self.sf_dir}/{t}.parquet" for t in tables]
+
     @cached_property
     def bronze_positions(self) -> DataFrame:
-        return self.d.bronze_positions()
+        return layers.stored(
+            self.spark, "bronze_vehicle_positions", self._src("events"),
+            lambda: self.d.bronze_positions().withColumn("snapshot_date", F.to_date("ingested_at")),
+            partition_by=("snapshot_date",))
 
     @cached_property
     def bronze_trains(self) -> DataFrame:
-        return self.d.bronze_trains()
+        return layers.stored(
+            self.spark, "bronze_elron_positions", self._src("events"),
+            lambda: self.d.bronze_trains().withColumn("snapshot_date", F.to_date("ingested_at")),
+            partition_by=("snapshot_date",))
 
     @cached_property
     def fuel_prices(self) -> DataFrame:
-        return self.d.fuel_prices()
+        return layers.stored(self.spark, "bronze_fuel_prices", self._src("orders"),
+                             self.d.fuel_prices)
 
     @cached_property
     def routes(self) -> DataFrame:
-        return self.d.routes()
+        return layers.stored(self.spark, "gtfs_routes", self._src("nation"), self.d.routes)
 
     @cached_property
     def models(self) -> DataFrame:
-        return fleet.vehicle_models(self.d.fleet_pages(), EVENTS_AS_OF)
+        return layers.stored(self.spark, "vehicle_models", self._src("part"),
+                             lambda: fleet.vehicle_models(self.d.fleet_pages(), EVENTS_AS_OF))
 
     @cached_property
     def line_map(self) -> DataFrame:
@@ -84,6 +98,14 @@ class DriverInputs:
         return reference.fuel_types(self.spark)
 
 
+def _day_slice(bronze: DataFrame, as_of) -> DataFrame:
+    """Rows of one day via the `snapshot_date` partition column when the bronze table
+    has one (partition pruning); the models filter the day again themselves."""
+    if as_of is None or "snapshot_date" not in bronze.columns:
+        return bronze
+    return bronze.filter(F.col("snapshot_date") == gold._date(as_of))
+
+
 class Pipeline:
     def __init__(self, inputs: Inputs, as_of=None, prices_as_of=None, fuel_mode: str = "reference"):
         self.i = inputs
@@ -120,7 +142,11 @@ class Pipeline:
 
     @cached_property
     def m5_fuel_cost_daily(self) -> DataFrame:
-        return gold.fuel_cost_daily(self.m1_vehicle_positions, self.m2_elron_positions,
+        day_positions = silver.vehicle_positions(_day_slice(self.i.bronze_positions, self.as_of),
+                                                 self.i.routes, self.i.models, fuel_mode=self.fuel_mode)
+        day_trains = silver.elron_positions(_day_slice(self.i.bronze_trains, self.as_of),
+                                            self.i.line_map)
+        return gold.fuel_cost_daily(day_positions, day_trains,
                                     self.i.fuel_prices, self.i.models, self.i.operators,
                                     self.i.line_types, self.i.fuel_types, self.as_of)
 

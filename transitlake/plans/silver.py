@@ -70,7 +70,8 @@ def vehicle_positions(bronze: DataFrame, routes: DataFrame, models: DataFrame,
         fuel.alias("fuel_type"),
         F.col("v.destination"), F.col("v.operator"), F.col("v.lat"), F.col("v.lon"),
         F.col("v.bearing"), F.col("v.low_floor"),
-        F.to_date(F.col("v.ingested_at")).alias("snapshot_date"),
+        (F.col("v.snapshot_date") if "snapshot_date" in bronze.columns
+         else F.to_date(F.col("v.ingested_at"))).alias("snapshot_date"),
         F.col("v.ingested_at"), *extra)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import seeds
 from ..operators.broadcast import seed_broadcast
 from ..operators.latest import first_per_key
+from ..operators.once import evaluate_once
 from . import reference
 
 # an h2 block plus an optional immediately following p/div/ul sibling
@@ -34,9 +35,9 @@ def strip_tags(c):
 
 def extract_headings(pages: DataFrame) -> DataFrame:
     """-> (page_rank, page_id, line_type_code, pos, model, sibling_text)."""
-    blocks = pages.select(
-        "page_rank", "page_id", "line_type_code",
-        F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(_BLOCK), 0)).alias("pos", "block"))
+    keep = ["page_rank", "page_id", "line_type_code"]
+    arr = evaluate_once(pages, keep, {"b": F.regexp_extract_all(F.col("html"), F.lit(_BLOCK), 0)})
+    blocks = arr.select(*keep, F.posexplode("b").alias("pos", "block"))
     return blocks.select(
         "page_rank", "page_id", "line_type_code", "pos",
         strip_tags(F.regexp_extract("block", _HEADING, 1)).alias("model"),

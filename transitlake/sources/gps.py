@@ -15,6 +15,7 @@ from .. import seeds
 from ..functions import classify
 from ..functions.parse import (int_or_null, is_int_text, none_literal_to_null,
                                repair_double_utf8, strip)
+from ..operators.once import evaluate_once
 
 BRONZE_GPS_COLUMNS = ["vehicle_id", "line_type", "line_number", "destination", "lat", "lon",
                       "bearing", "low_floor", "operator"]
@@ -35,26 +36,25 @@ def parse_gps_lines(lines: DataFrame, operator: str = seeds.GPS_OPERATOR,
     drop the line; coordinates are fixed point (x 1e6) and must fall in the inclusive
     bounding box; line number and destination are trimmed; low floor is 'Z'."""
     keep = keep or []
-    f = F.split(strip(F.col("value")), ",", -1)
-    staged = lines.select(*keep, F.col("value"), f.alias("f"))
-    vid_ok, vid = _optional_int(F.col("f")[6])
-    brg_ok, brg = _optional_int(F.col("f")[5])
-    lon = int_or_null(F.col("f")[2]) / float(seeds.GPS_COORD_SCALE)
-    lat = int_or_null(F.col("f")[3]) / float(seeds.GPS_COORD_SCALE)
-    parsed = staged.select(
-        *keep,
-        (strip(F.col("value")) == "").alias("_blank"),
-        (F.size("f") >= seeds.GPS_MIN_FIELDS).alias("_wide"),
-        vid_ok.alias("_vid_ok"), brg_ok.alias("_brg_ok"),
-        vid.alias("vehicle_id"),
-        int_or_null(F.col("f")[0], "int").alias("line_type"),
-        strip(F.col("f")[1]).alias("line_number"),
-        strip(F.col("f")[9]).alias("destination"),
-        lat.alias("lat"), lon.alias("lon"),
-        brg.cast("int").alias("bearing"),
-        (F.upper(strip(F.col("f")[7])) == "Z").alias("low_floor"),
-        F.lit(operator).alias("operator"),
-    )
+    staged = evaluate_once(lines, keep, {"value": F.col("value"),
+                                         "f": F.split(strip(F.col("value")), ",", -1)})
+    vid_ok, vid = _optional_int(F.get(F.col("f"), 6))
+    brg_ok, brg = _optional_int(F.get(F.col("f"), 5))
+    lon = int_or_null(F.get(F.col("f"), 2)) / float(seeds.GPS_COORD_SCALE)
+    lat = int_or_null(F.get(F.col("f"), 3)) / float(seeds.GPS_COORD_SCALE)
+    parsed = evaluate_once(staged, keep, {
+        "_blank": strip(F.col("value")) == "",
+        "_wide": F.size("f") >= seeds.GPS_MIN_FIELDS,
+        "_vid_ok": vid_ok, "_brg_ok": brg_ok,
+        "vehicle_id": vid,
+        "line_type": int_or_null(F.get(F.col("f"), 0), "int"),
+        "line_number": strip(F.get(F.col("f"), 1)),
+        "destination": strip(F.get(F.col("f"), 9)),
+        "lat": lat, "lon": lon,
+        "bearing": brg.cast("int"),
+        "low_floor": F.upper(strip(F.get(F.col("f"), 7))) == "Z",
+        "operator": F.lit(operator),
+    })
     valid = (~F.col("_blank") & F.col("_wide") & F.col("_vid_ok") & F.col("_brg_ok")
              & F.col("line_type").isNotNull()
              & classify.in_bbox(F.col("lat"), F.col("lon")))
@@ -87,7 +87,7 @@ def parse_gps_archive(lines: DataFrame, old_layout_window=OLD_LAYOUT_WINDOW,
     keep = keep or []
     f = F.split(F.col("value"), ",", -1)
     s = lines.select(*keep, f.alias("f"))
-    ts = strip(F.col("f")[0]).try_cast("timestamp_ntz")
+    ts = strip(F.get(F.col("f"), 0)).try_cast("timestamp_ntz")
     lo, hi = (F.lit(str(x)).cast("timestamp_ntz") for x in old_layout_window)
     old = F.coalesce((ts >= lo) & (ts < hi), F.lit(False))
     field = lambda i: none_literal_to_null(F.col("f")[i])

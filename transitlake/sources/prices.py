@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas, seeds
 from ..functions import classify
 from ..functions.parse import strip
+from ..operators.once import evaluate_once
 
 PRICE_TYPE = "decimal(18,7)"
 
@@ -32,7 +33,7 @@ def parse_fuel_archive(docs: DataFrame, text_col: str = "doc",
                        keep: list[str] | None = None) -> DataFrame:
     """Archive documents -> (fuel_type, price_eur, source_date, source, scraped_at)."""
     keep = keep or []
-    j = docs.select(*keep, F.from_json(F.col(text_col), schemas.FUEL_ARCHIVE).alias("j"))
+    j = evaluate_once(docs, keep, {"j": F.from_json(F.col(text_col), schemas.FUEL_ARCHIVE)})
     e = j.select(*keep, "j.date", "j.scraped_at", "j.source",
                  F.explode("j.prices").alias("key", "price"))
     return e.select(
@@ -49,18 +50,28 @@ def parse_price_tables(pages: DataFrame, html_col: str = "html", keep: list[str]
                        lo: float = seeds.FUEL_PRICE_MIN, hi: float = seeds.FUEL_PRICE_MAX
                        ) -> DataFrame:
     """Every table row with >= 2 cells; fuel from the first cell by the ordered name
-    map; price = second cell stripped to digits/./, with ',' -> '.'; kept if in range."""
+    map; price = second cell stripped to digits/./, with ',' -> '.'; kept if in range.
+
+    Rows and cells are parsed once per page inside array lambdas and then exploded:
+    filters on the exploded fields cannot be pushed below the generator, so no regex
+    is evaluated twice."""
     keep = keep or []
-    rows = pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(_ROW), 0))
-                        .alias("row_pos", "row"))
-    cells = rows.select(*keep, "row_pos", F.regexp_extract_all("row", F.lit(_CELL), 1).alias("cells"))
-    cells = cells.filter(F.size("cells") >= 2)
     text = lambda c: strip(F.regexp_replace(c, r"<[^>]*>", ""))
-    name = F.lower(text(F.col("cells")[0]))
-    price_text = F.regexp_replace(F.regexp_replace(text(F.col("cells")[1]), r"[^\d.,]", ""), ",", ".")
-    parsed = cells.select(*keep, "row_pos",
-                          classify.price_fuel_type(name).alias("fuel_type"),
-                          F.when(price_text != "", price_text.try_cast("double")).alias("price"))
+    rows = F.regexp_extract_all(F.col(html_col), F.lit(_ROW), 0)
+    with_cells = F.transform(rows, lambda r, i: F.struct(
+        i.alias("row_pos"), F.regexp_extract_all(r, F.lit(_CELL), 1).alias("cells")))
+    cleaned = F.transform(with_cells, lambda x: F.struct(
+        x["row_pos"].alias("row_pos"),
+        F.size(x["cells"]).alias("n_cells"),
+        F.lower(text(F.get(x["cells"], 0))).alias("name"),
+        F.regexp_replace(F.regexp_replace(text(F.get(x["cells"], 1)), r"[^\d.,]", ""), ",", ".")
+         .alias("price_text")))
+    arr = evaluate_once(pages, keep, {"a": F.filter(cleaned, lambda y: y["n_cells"] >= 2)})
+    cand = arr.select(*keep, F.inline("a"))
+    parsed = cand.select(*keep, "row_pos",
+                         classify.price_fuel_type("name").alias("fuel_type"),
+                         F.when(F.col("price_text") != "", F.col("price_text").try_cast("double"))
+                          .alias("price"))
     return (parsed.filter(F.col("fuel_type").isNotNull() & F.col("price").between(lo, hi))
                   .select(*keep, "row_pos", "fuel_type", "price"))
 
@@ -69,7 +80,7 @@ def parse_electric(docs: DataFrame, text_col: str = "doc", keep: list[str] | Non
     """Last element of `data.ee` in EUR/MWh -> EUR/kWh rounded to 6 dp; no row when
     the series is empty or missing."""
     keep = keep or []
-    j = docs.select(*keep, F.from_json(F.col(text_col), schemas.ELECTRIC_RESPONSE).alias("j"))
+    j = evaluate_once(docs, keep, {"j": F.from_json(F.col(text_col), schemas.ELECTRIC_RESPONSE)})
     last = F.element_at(F.col("j.data.ee"), -1)
     return (j.filter(F.size(F.col("j.data.ee")) > 0)
              .select(*keep, F.lit("electric").alias("fuel_type"),
@@ -83,7 +94,7 @@ def mine_cng_price(texts: DataFrame, text_col: str = "text", keep: list[str] | N
     number is in range. Texts without a match yield no row."""
     keep = keep or []
     raw = F.regexp_extract(F.col(text_col), seeds.CNG_PRICE_PATTERN, 1)
-    m = texts.select(*keep, raw.alias("raw"))
+    m = evaluate_once(texts, keep, {"raw": raw})          # one regex pass per text
     val = F.regexp_replace("raw", ",", ".").try_cast("double")
     return (m.filter(F.col("raw") != "")
              .select(*keep, F.lit("CNG").alias("fuel_type"), val.alias("price"))

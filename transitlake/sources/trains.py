@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import classify
 from ..functions.parse import double_or_null, int_or_null, strip, timestamp_or_null
+from ..operators.once import evaluate_once
 
 BRONZE_TRAIN_COLUMNS = ["reis", "liin", "reisi_algus", "reisi_lopp", "kiirus", "lat", "lon",
                         "suund", "erinevus", "reisi_staatus", "viimane_peatus",
@@ -33,8 +34,8 @@ def read_snapshots(spark, path: str) -> DataFrame:
 def snapshots_from_text(docs: DataFrame, text_col: str = "doc") -> DataFrame:
     """JSON documents held in a string column -> snapshot struct columns."""
     others = [c for c in docs.columns if c != text_col]
-    return docs.select(*others, F.from_json(F.col(text_col), schemas.TRAIN_SNAPSHOT).alias("s")) \
-               .select(*others, "s.*")
+    parsed = evaluate_once(docs, others, {"s": F.from_json(F.col(text_col), schemas.TRAIN_SNAPSHOT)})
+    return parsed.select(*others, "s.*")
 
 
 def parse_trains(snapshots: DataFrame, keep: list[str] | None = None) -> DataFrame:

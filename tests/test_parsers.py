@@ -115,3 +115,27 @@ def test_electric_last_element(spark):
                                   (2, '{"data":{"ee":[]}}'), (3, '{"data":{}}')], "id long, doc string")
     got = [(r.id, float(r.price_eur)) for r in prices.parse_electric(docs, keep=["id"]).collect()]
     assert got == [(1, 0.02336)]
+
+
+def test_gtfs_members(spark, tmp_path):
+    from transitlake.sources import gtfs
+    feed = str(tmp_path)
+    stops = spark.createDataFrame([("1", "A", "59.4", "24.7", "", ""), ("2", "B", "x", "24.7", "0", ""),
+                                   ("3", "C", "", "", "1", "1")],
+                                  "stop_id string, stop_name string, stop_lat string, stop_lon string, "
+                                  "location_type string, parent_station string")
+    gtfs.write_member(stops, feed, "stops")
+    raw = gtfs.read_member(spark, feed, "stops")
+    assert raw.columns[0] == "stop_id"
+    good, bad = gtfs.typed_stops(raw, "TLT")
+    assert sorted(r.stop_id for r in good.collect()) == ["1", "3"] and bad.count() == 1
+    assert gtfs.read_member(spark, feed, "trips").count() == 0          # missing member
+    routes = spark.createDataFrame([("r1", "3"), ("r2", "bus")], "route_id string, route_type string")
+    gtfs.write_member(routes, feed, "routes")
+    import pytest
+    with pytest.raises(ValueError):
+        gtfs.typed_routes(gtfs.read_member(spark, feed, "routes"), "TLT")
+    info = spark.createDataFrame([(" 2026-05 ", "20260501", "20260601")],
+                                 "feed_version string, feed_start_date string, feed_end_date string")
+    gtfs.write_member(info, feed, "feed_info", bom=False)
+    assert gtfs.feed_version(spark, feed) == "2026-05"

@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import drivermap as dm
-from ..sources import fleet, gps, prices, trains
+from ..session import scratch_path
+from ..sources import fleet, gps, gtfs, prices, trains
 
 
 def s1_gps_raw_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,15 @@ def s10_fleet_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.scrape_fleet(d.fleet_pages(), valid_from=None).drop("valid_from")
 
 
-SOURCE_QUERIES = {f.__name__: f for f in (
+def s8_gtfs_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stop_times landed as a header CSV member (with BOM) in the shared folder, read back
+    as strings and typed (S8, S17, S20)."""
+    d = dm.DriverTables(spark, sf_dir)
+    feed = scratch_path(spark, "gtfs_feed")
+    gtfs.write_member(dm.gtfs_stop_times_raw(d.raw("lineitem")), feed, "stop_times")
+    return gtfs.typed_stop_times(gtfs.read_member(spark, feed, "stop_times"))
+
+
+SOURCE_QUERIES = {f.__name__: f for f in (s8_gtfs_csv_roundtrip, 
     s1_gps_raw_parse, s2_gps_archive_parse, s3_train_json_parse, s4_fuel_archive,
     s5_fuel_html_table, s6_electric_price, s7_cng_price, s10_fleet_models)}

@@ -1,0 +1,20 @@
+"""Adaptive input parallelism.
+
+A scan yields one task per file split; a large file written as one row group (or a
+single unsplittable file) is one task however big the cluster is, and every per-row
+parser downstream then runs single-threaded. `spread` round-robin repartitions
+such an input to the session's default parallelism. Inputs that already have at
+least that many splits (the normal case for big tables) are returned unchanged,
+so at scale it is a no-op and never adds a shuffle.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if target <= 1:
+        return df
+    n = df.rdd.getNumPartitions()
+    return df.repartition(target) if n < target else df

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import seeds
 from ..operators.quality import QualitySpec, run_checks
 from ..sources import drivermap as dm
-from ..sources import fleet, gps, prices, reference, trains
+from ..sources import gps, prices, reference, trains
+from . import layers
+from .pipeline import DriverInputs
 
 SOURCE_SPEC = QualitySpec(
     not_null={
@@ -37,21 +39,31 @@ SOURCE_SPEC = QualitySpec(
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The checked tables: parsed sources stored as bronze / reference layers (data tests
+    run on stored tables), lookups from the seeds."""
     d = dm.DriverTables(spark, sf_dir)
+    src = lambda *t: [f"{sf_dir.rstrip('/')}/{x}.parquet" for x in t]
     ev, orders = d.raw("events"), d.raw("orders")
     return {
-        "vehicle_positions": gps.parse_gps_archive(dm.gps_archive_lines(ev),
-                                                   old_layout_window=dm.OLD_LAYOUT_DRIVER_WINDOW),
-        "fuel_prices": prices.parse_fuel_archive(dm.fuel_archive_docs(orders)),
-        "elron_positions": trains.parse_trains(trains.snapshots_from_text(dm.train_snapshot_docs(ev))),
-        "vehicle_models": fleet.vehicle_models(d.fleet_pages()),
+        "vehicle_positions": layers.stored(
+            spark, "archive_vehicle_positions", src("events"),
+            lambda: gps.parse_gps_archive(dm.gps_archive_lines(ev),
+                                          old_layout_window=dm.OLD_LAYOUT_DRIVER_WINDOW)),
+        "fuel_prices": layers.stored(spark, "archive_fuel_prices", src("orders"),
+                                     lambda: prices.parse_fuel_archive(dm.fuel_archive_docs(orders))),
+        "elron_positions": layers.stored(
+            spark, "archive_elron_positions", src("events"),
+            lambda: trains.parse_trains(trains.snapshots_from_text(dm.train_snapshot_docs(ev)))),
+        "vehicle_models": DriverInputs(spark, sf_dir).models,
         "operators": reference.operators(spark),
         "line_types": reference.line_types(spark),
         "fuel_types": reference.fuel_types(spark),
-        "gtfs_routes": d.routes(),
-        "gtfs_trips": dm.gtfs_trips(orders),
-        "gtfs_stop_times": dm.gtfs_stop_times_raw(d.raw("lineitem")),
-        "gtfs_stops": dm.gtfs_stops(d.raw("supplier")),
+        "gtfs_routes": DriverInputs(spark, sf_dir).routes,
+        "gtfs_trips": layers.stored(spark, "gtfs_trips", src("orders"), lambda: dm.gtfs_trips(orders)),
+        "gtfs_stop_times": layers.stored(spark, "gtfs_stop_times", src("lineitem"),
+                                         lambda: dm.gtfs_stop_times_raw(d.raw("lineitem"))),
+        "gtfs_stops": layers.stored(spark, "gtfs_stops", src("supplier"),
+                                    lambda: dm.gtfs_stops(d.raw("supplier"))),
     }
 
 

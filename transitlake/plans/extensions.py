@@ -166,10 +166,9 @@ def price_history(prices: DataFrame) -> DataFrame:
 def timetable_metrics(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
     """Per (route, departure hour): scheduled trips, mean trip duration and mean headway
     (gap to the next departure of the same route and direction)."""
-    st = (stop_times.select("trip_id", "stop_sequence",
-                            gtfs_seconds(F.col("arrival_time")).alias("arr_s"),
-                            gtfs_seconds(F.col("departure_time")).alias("dep_s"))
-                    .dropDuplicates(["trip_id", "stop_sequence", "arr_s", "dep_s"]))
+    # duplicated (trip, sequence) rows cannot change a min/max: no dedupe shuffle needed
+    st = stop_times.select("trip_id", gtfs_seconds(F.col("arrival_time")).alias("arr_s"),
+                           gtfs_seconds(F.col("departure_time")).alias("dep_s"))
     per_trip = st.groupBy("trip_id").agg(F.min("dep_s").alias("first_dep_s"),
                                          F.max("arr_s").alias("last_arr_s"))
     t = trips.select("trip_id", "route_id", "direction_id").join(per_trip, "trip_id")
@@ -228,7 +227,7 @@ def shape_points(lineitem: DataFrame) -> DataFrame:
 
 
 def x7_shape_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape_lengths(shape_points(dm.table(spark, sf_dir, "lineitem")))
+    return shape_lengths(shape_points(dm.DriverTables(spark, sf_dir).raw("lineitem")))
 
 
 def congestion_positions(events: DataFrame) -> DataFrame:
@@ -241,7 +240,7 @@ def congestion_positions(events: DataFrame) -> DataFrame:
 
 
 def x8_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return congestion_episodes(congestion_positions(dm.table(spark, sf_dir, "events")),
+    return congestion_episodes(congestion_positions(dm.DriverTables(spark, sf_dir).raw("events")),
                                max_gap_minutes=60.0)
 
 

@@ -22,6 +22,7 @@ from .. import seeds
 from ..functions import classify
 from ..functions.literals import pick
 from ..operators.latest import first_per_key
+from ..operators.parallel import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -216,7 +217,7 @@ class DriverTables:
     def raw(self, name: str) -> DataFrame:
         """One scan relation per table and query (file listing + footer read once)."""
         if name not in self._raw:
-            self._raw[name] = table(self.spark, self.sf_dir, name)
+            self._raw[name] = spread(table(self.spark, self.sf_dir, name))
         return self._raw[name]
 
     def bronze_positions(self) -> DataFrame:

@@ -58,6 +58,20 @@ def st8_replay_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data")
 
 
-STREAM_QUERIES = {f.__name__: f for f in (
+def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw GPS feed lines landed as daily snapshot files, ingested by a file stream into
+    bronze Parquet partitioned by snapshot_date (ST1, S1, S12, S13)."""
+    out = scratch_path(spark, "st1_bronze")
+    d = dm.DriverTables(spark, sf_dir)
+    raw = dm.gps_raw_lines(d.raw("events")).join(d.raw("events").select("event_id", "ts"), "event_id")
+    jobs.land_text_snapshots(raw, "ts", f"{out}/landing")
+    lines = jobs.read_landed_text(spark, f"{out}/landing", "*.txt")
+    q = jobs.start_append(jobs.bronze_from_feed_lines(lines), f"{out}/bronze", f"{out}/checkpoint",
+                          partition_by=["snapshot_date"])
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/bronze")
+
+
+STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, 
     st4_latest_positions_stream, st5_route_activity_stream, st7_price_intake_stream,
     st8_replay_dedupe_stream)}

@@ -58,8 +58,9 @@ def read_landed_text(spark: SparkSession, folder: str, file_glob: str = "*.txt",
 
 
 def snapshot_time_from_path(path: Column) -> Column:
-    """S13 naming `DDMMYYYY_HHMM.ext` -> snapshot time (minute precision)."""
-    stamp = F.regexp_extract(path, r"(\d{8}_\d{4})\.[A-Za-z]+$", 1)
+    """S13 naming `.../DDMMYYYY_HHMM.ext` (or a `snapshot=DDMMYYYY_HHMM` folder) -> snapshot
+    time (minute precision); the first `8 digits _ 4 digits` group in the path."""
+    stamp = F.regexp_extract(path, r"(\d{8}_\d{4})", 1)
     return F.try_to_timestamp(stamp, F.lit("ddMMyyyy_HHmm")).cast("timestamp_ntz")
 
 
@@ -87,6 +88,14 @@ def bronze_from_feed_lines(lines: DataFrame) -> DataFrame:
                   .drop("file_path"))
 
 
+def land_text_snapshots(lines: DataFrame, ts_col: str, folder: str, per: str = "day") -> None:
+    """Write feed lines as landed snapshot files, one folder per snapshot
+    (`snapshot=DDMMYYYY_HHMM`), the way a collector drops files for ST1."""
+    fmt = "ddMMyyyy'_0000'" if per == "day" else "ddMMyyyy_HHmm"
+    (lines.select("value", F.date_format(ts_col, fmt).alias("snapshot"))
+          .write.mode("append").partitionBy("snapshot").text(folder))
+
+
 def drop_night(df: DataFrame, ts_col: str = "ingested_at") -> DataFrame:
     """ST2 / P13: the feeds pause at night (start <= hour < end); a stateless filter."""
     return df.filter(~classify.is_night(F.col(ts_col)))
@@ -185,9 +194,9 @@ def dedupe_replays(positions: DataFrame, keys: Sequence[str] = ("vehicle_id", "i
 
 
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """ST9: rows dropped as late by the stateful operators in the last progress."""
-    p = query.lastProgress or {}
-    return int(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", [])))
+    """ST9: rows dropped as late by the stateful operators over the recent progress."""
+    return int(sum(op.get("numRowsDroppedByWatermark", 0)
+                   for p in (query.recentProgress or []) for op in p.get("stateOperators", [])))
 
 
 # --- ST7 -------------------------------------------------------------------------------------

@@ -34,10 +34,12 @@ def _dash(name: str) -> QueryFn:
 
 
 MODEL_NAMES = ["m1_vehicle_positions", "m2_elron_positions", "m3_latest_positions",
-               "m4_fleet_summary", "m5_fuel_cost_daily", "m6_fuel_daily", "m7_route_activity"]
+               "m4_fleet_summary", "m5_fuel_cost_daily", "m6_fuel_daily", "m7_route_activity",
+               "m5w_fuel_cost_weighted"]
 DASHBOARD_NAMES = ["q1_active_vehicles_now", "q2_vehicle_types_now", "q3_fuel_prices_today",
                    "q4_daily_fuel_cost", "q5_fleet_summary", "q6_trains_now",
-                   "q7_price_changes", "q8_transport_now", "q9_transport_map"]
+                   "q7_price_changes", "q8_transport_now", "q9_transport_map",
+                   "q3_fuel_prices_latest", "q6_trains_latest"]
 
 
 def registry() -> dict[str, QueryFn]:

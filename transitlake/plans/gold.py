@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify
-from ..operators.broadcast import seed_broadcast
+from ..operators.broadcast import bounded_broadcast, seed_broadcast
 from ..operators.latest import latest_per_key
 from . import silver
 
@@ -123,6 +123,21 @@ def active_vehicles(positions: DataFrame, trains: DataFrame, as_of=None) -> Data
                      "snapshot_date").unionByName(ea)
 
 
+def active_vehicles_weighted(positions: DataFrame, trains: DataFrame, as_of=None) -> DataFrame:
+    """N1 corrected: a bus counts once in total, split over fuels by the fleet share
+    (`fuel_share` from M1 in weighted mode); trains as in A2."""
+    day = _date(as_of)
+    per_vehicle = (positions.filter((F.col("snapshot_date") == day) & F.col("vehicle_id").isNotNull())
+                            .groupBy("transport_type", "fuel_type", "operator", "snapshot_date",
+                                     "vehicle_id")
+                            .agg(F.max("fuel_share").alias("share")))
+    av = (per_vehicle.groupBy("transport_type", "fuel_type", "operator", "snapshot_date")
+                     .agg(F.round(F.sum("share"), 6).alias("vehicle_count")))
+    ea = active_vehicles(positions.limit(0), trains, as_of).filter(F.col("transport_type") == "train")
+    return av.select("transport_type", "fuel_type", "operator", "vehicle_count", "snapshot_date") \
+             .unionByName(ea.withColumn("vehicle_count", F.col("vehicle_count").cast("double")))
+
+
 def fuel_cost_daily(positions: DataFrame, trains: DataFrame, prices: DataFrame,
                     models: DataFrame, operators: DataFrame, line_types: DataFrame,
                     fuel_types: DataFrame, as_of=None) -> DataFrame:
@@ -130,8 +145,11 @@ def fuel_cost_daily(positions: DataFrame, trains: DataFrame, prices: DataFrame,
 
     Every input is reduced to a handful of rows (per type, fuel, operator) before the
     joins, so the joins are tiny; the scans are pruned to `as_of`."""
-    act = active_vehicles(positions, trains, as_of).alias("av")
-    fleet = _fleet_aggregates(models, operators, line_types, fuel_types).alias("f")
+    act = (active_vehicles_weighted(positions, trains, as_of) if "fuel_share" in positions.columns
+           else active_vehicles(positions, trains, as_of)).alias("av")
+    # one row per (transport, fuel, operator) of the fleet table; the static estimate of
+    # an inner-join chain is the product of its inputs, so prove the size instead
+    fleet = bounded_broadcast(_fleet_aggregates(models, operators, line_types, fuel_types)).alias("f")
     lp = latest_prices(prices).alias("p")
     j = (act.join(fleet, (F.col("f.transport_type") == F.col("av.transport_type"))
                   & (F.col("f.fuel_type") == F.col("av.fuel_type"))

@@ -150,6 +150,17 @@ class Pipeline:
                                     self.i.fuel_prices, self.i.models, self.i.operators,
                                     self.i.line_types, self.i.fuel_types, self.as_of)
 
+    @cached_property
+    def m5_fuel_cost_weighted(self) -> DataFrame:
+        """M5 with the fan-out corrected (fuel_mode="weighted")."""
+        day_positions = silver.vehicle_positions(_day_slice(self.i.bronze_positions, self.as_of),
+                                                 self.i.routes, self.i.models, fuel_mode="weighted")
+        day_trains = silver.elron_positions(_day_slice(self.i.bronze_trains, self.as_of),
+                                            self.i.line_map)
+        return gold.fuel_cost_daily(day_positions, day_trains, self.i.fuel_prices, self.i.models,
+                                    self.i.operators, self.i.line_types, self.i.fuel_types,
+                                    self.as_of)
+
     @cached_property
     def m6_fuel_daily(self) -> DataFrame:
         return gold.fuel_daily(self.i.fuel_prices, self.prices_as_of)
@@ -166,6 +177,7 @@ class Pipeline:
             "m3_latest_positions": lambda: self.m3_latest_positions,
             "m4_fleet_summary": lambda: self.m4_fleet_summary.drop("line_type_code"),
             "m5_fuel_cost_daily": lambda: self.m5_fuel_cost_daily,
+            "m5w_fuel_cost_weighted": lambda: self.m5_fuel_cost_weighted,
             "m6_fuel_daily": lambda: self.m6_fuel_daily,
             "m7_route_activity": lambda: self.m7_route_activity,
         }
@@ -182,4 +194,7 @@ class Pipeline:
             "q7_price_changes": lambda: dashboards.price_changes(self.m6_fuel_daily),
             "q8_transport_now": lambda: dashboards.transport_now(self.m3_latest_positions),
             "q9_transport_map": lambda: dashboards.transport_map(self.m3_latest_positions),
+            "q3_fuel_prices_latest": lambda: dashboards.fuel_prices_today(self.i.fuel_prices,
+                                                                          latest=True),
+            "q6_trains_latest": lambda: dashboards.trains_now(self.m2_elron_positions, latest=True),
         }

@@ -56,8 +56,10 @@ def vehicle_positions(bronze: DataFrame, routes: DataFrame, models: DataFrame,
         fuel = classify.position_fuel_type(F.col("r_route_type"), F.col("m_fuel"))
         extra = []
     elif fuel_mode == "weighted":
+        # only bus routes take the fleet's fuel mix; everything else stays one row
         m = bounded_broadcast(fuel_shares(models))
-        vrm = vr.join(m, F.col("m_line_type") == F.col("v.line_type"), "left")
+        vrm = vr.join(m, (F.col("m_line_type") == F.col("v.line_type")) & (F.col("r_route_type") == 3),
+                      "left")
         fuel = classify.position_fuel_type(F.col("r_route_type"), F.col("m_fuel"))
         extra = [F.when(F.col("r_route_type") == 3, F.coalesce(F.col("m_share"), F.lit(1.0)))
                  .otherwise(F.lit(1.0)).alias("fuel_share")]

@@ -62,3 +62,34 @@ def test_next_row_across_buckets_and_hot_key(spark):
     rs = {r.t: r.running for r in running_sum(df.filter("k = 'hot'").withColumn("v", F.lit(1)),
                                               ["k"], "t", "v", bucket_size=50).collect()}
     assert rs[0.0] == 1 and rs[994.0] == len(range(0, 1000, 7))
+
+
+def test_asof_nearest_across_buckets_and_ties(spark):
+    from transitlake.operators.asof import asof_nearest
+    left = spark.createDataFrame([("k", 100.0, "a"), ("k", 7250.0, "b"), ("k", 3700.0, "c"),
+                                  ("k", 5000.0, "d"), ("z", 1.0, "e")], "key string, t double, id string")
+    right = spark.createDataFrame([("k", 0.0, "s0"), ("k", 3600.0, "s1"), ("k", 7300.0, "s2"),
+                                   ("k", 5000.0, "s3"), ("k", 4400.0, "s4")], "key string, rt double, name string")
+    got = {r.id: r.match_name for r in
+           asof_nearest(left, right, ["key"], "t", "rt", ["name"], bucket_size=1000).collect()}
+    # a: 0 is 100 away; b: 7300 (next bucket, 50 away); c: 3600; d: equal time; e: no key
+    assert got == {"a": "s0", "b": "s2", "c": "s1", "d": "s3", "e": None}
+    tie = spark.createDataFrame([("k", 4700.0, "t")], "key string, t double, id string")
+    assert asof_nearest(tie, right, ["key"], "t", "rt", ["name"]).first().match_name == "s4"
+
+
+def test_near_join_equals_brute_force(spark):
+    import random
+
+    from transitlake.operators.asof import near_join
+    from transitlake.operators.sequences import haversine_km
+    rnd = random.Random(7)
+    pts = [(i, 59.40 + rnd.random() * 0.02, 24.70 + rnd.random() * 0.04) for i in range(300)]
+    stops = [(j, 59.40 + rnd.random() * 0.02, 24.70 + rnd.random() * 0.04) for j in range(40)]
+    left = spark.createDataFrame(pts, "pid int, lat double, lon double")
+    right = spark.createDataFrame(stops, "sid int, slat double, slon double")
+    fast = {(r.pid, r.sid) for r in near_join(left, right, 300.0, ("lat", "lon"), ("slat", "slon")).collect()}
+    brute = left.crossJoin(right).withColumn(
+        "d", haversine_km(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon")) * 1000)
+    slow = {(r.pid, r.sid) for r in brute.filter("d <= 300").collect()}
+    assert fast == slow and len(slow) > 0

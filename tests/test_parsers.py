@@ -139,3 +139,11 @@ def test_gtfs_members(spark, tmp_path):
                                  "feed_version string, feed_start_date string, feed_end_date string")
     gtfs.write_member(info, feed, "feed_info", bom=False)
     assert gtfs.feed_version(spark, feed) == "2026-05"
+
+
+def test_gps_parse_counters(spark):
+    lines_df = lines(spark, "3,2,24770460,59430930,,129,96,Z,95,A", "bad", "  ",
+                     "2,36,24770460,59430930,,129,x,Z,95,B")
+    out, counters = gps.parse_gps_lines_observed(lines_df)
+    assert out.count() == 1
+    assert counters.get == {"lines": 3, "parsed": 1, "skipped": 2}

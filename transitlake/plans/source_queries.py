@@ -59,6 +59,14 @@ def s8_gtfs_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gtfs.typed_stop_times(gtfs.read_member(spark, feed, "stop_times"))
 
 
-SOURCE_QUERIES = {f.__name__: f for f in (s8_gtfs_csv_roundtrip, 
+def a10_daily_price_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's price observation collapsed into one archive document per day (last
+    price per fuel wins), then read back through the archive parser (A10 + S4)."""
+    d = dm.DriverTables(spark, sf_dir)
+    docs = prices.daily_archive_docs(dm.fuel_price_batch(d.raw("orders")))
+    return prices.parse_fuel_archive(docs).select("fuel_type", "price_eur", "source_date")
+
+
+SOURCE_QUERIES = {f.__name__: f for f in (s8_gtfs_csv_roundtrip, a10_daily_price_map, 
     s1_gps_raw_parse, s2_gps_archive_parse, s3_train_json_parse, s4_fuel_archive,
     s5_fuel_html_table, s6_electric_price, s7_cng_price, s10_fleet_models)}

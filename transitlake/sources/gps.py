@@ -61,13 +61,25 @@ def parse_gps_lines(lines: DataFrame, operator: str = seeds.GPS_OPERATOR,
     return parsed.filter(valid).select(*keep, *BRONZE_GPS_COLUMNS)
 
 
-def parse_gps_lines_observed(lines: DataFrame, name: str = "gps_parse") -> DataFrame:
-    """S1 with run counters (A9): `parsed` and `skipped` are published through
-    `DataFrame.observe` when the result is consumed (no extra job)."""
-    nonblank = lines.filter(strip(F.col("value")) != "")
-    counted = nonblank.observe(f"{name}_input", F.count(F.lit(1)).alias("lines"))
-    out = parse_gps_lines(counted)
-    return out.observe(f"{name}_output", F.count(F.lit(1)).alias("parsed"))
+def parse_gps_lines_observed(lines: DataFrame):
+    """S1 with run counters (A9): returns (parsed DataFrame, counters). After the result
+    has been consumed, `counters.get` holds `lines` (non-blank input lines), `parsed` and
+    `skipped` — collected by `DataFrame.observe` during the same job, no extra pass."""
+    from pyspark.sql import Observation
+
+    class Counters:
+        def __init__(self):
+            self.inp, self.out = Observation("gps_lines"), Observation("gps_parsed")
+
+        @property
+        def get(self) -> dict:
+            n, p = self.inp.get["lines"], self.out.get["parsed"]
+            return {"lines": n, "parsed": p, "skipped": n - p}
+
+    c = Counters()
+    nonblank = lines.filter(strip(F.col("value")) != "").observe(c.inp, F.count(F.lit(1)).alias("lines"))
+    out = parse_gps_lines(nonblank).observe(c.out, F.count(F.lit(1)).alias("parsed"))
+    return out, c
 
 
 # Archive layout drift (trap D1): files written in this window hold the line number

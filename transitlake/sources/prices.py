@@ -99,3 +99,19 @@ def mine_cng_price(texts: DataFrame, text_col: str = "text", keep: list[str] | N
     return (m.filter(F.col("raw") != "")
              .select(*keep, F.lit("CNG").alias("fuel_type"), val.alias("price"))
              .filter(F.col("price").between(lo, hi)))
+
+
+def daily_archive_docs(prices: DataFrame, order_col: str = "seq") -> DataFrame:
+    """S4 writer + A10: one archive document per day, `prices` = {fuel: price} where the
+    last price of a fuel that day wins. Each fuel is reduced to one value before the
+    per-day map is built, so a day's group holds one entry per fuel type."""
+    last = (prices.groupBy("source_date", "fuel_type")
+                  .agg(F.max_by("price_eur", F.col(order_col)).alias("price"),
+                       F.max("scraped_at").alias("scraped_at")))
+    day = (last.groupBy("source_date")
+               .agg(F.map_from_entries(F.collect_list(F.struct("fuel_type", "price"))).alias("prices"),
+                    F.max("scraped_at").alias("scraped_at")))
+    doc = F.to_json(F.struct(F.col("source_date").cast("string").alias("date"),
+                             F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
+                             F.col("prices")))
+    return day.select("source_date", doc.alias("doc"))

@@ -64,7 +64,7 @@ def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "st1_bronze")
     d = dm.DriverTables(spark, sf_dir)
     raw = dm.gps_raw_lines(d.raw("events")).join(d.raw("events").select("event_id", "ts"), "event_id")
-    jobs.land_text_snapshots(raw, "ts", f"{out}/landing")
+    dm.land_text_snapshots(raw, "ts", f"{out}/landing")
     lines = jobs.read_landed_text(spark, f"{out}/landing", "*.txt")
     q = jobs.start_append(jobs.bronze_from_feed_lines(lines), f"{out}/bronze", f"{out}/checkpoint",
                           partition_by=["snapshot_date"])

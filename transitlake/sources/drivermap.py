@@ -399,3 +399,12 @@ def cng_texts(documents: DataFrame, orders: DataFrame) -> DataFrame:
         F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("text_id"),
         sentence.alias("text"))
     return docs.unionByName(news)
+
+
+def land_text_snapshots(lines: DataFrame, ts_col: str, folder: str) -> None:
+    """Fixture for ST1: write feed lines as landed daily snapshot files, one folder per
+    snapshot (`snapshot=DDMMYYYY_0000`), the way a collector drops them. One file per day
+    (fixture sizes only; a collector writes its own files)."""
+    snap = F.date_format(ts_col, "ddMMyyyy'_0000'")
+    (lines.select("value", snap.alias("snapshot")).repartition("snapshot")
+          .write.mode("append").partitionBy("snapshot").text(folder))

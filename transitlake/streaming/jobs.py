@@ -88,14 +88,6 @@ def bronze_from_feed_lines(lines: DataFrame) -> DataFrame:
                   .drop("file_path"))
 
 
-def land_text_snapshots(lines: DataFrame, ts_col: str, folder: str, per: str = "day") -> None:
-    """Write feed lines as landed snapshot files, one folder per snapshot
-    (`snapshot=DDMMYYYY_HHMM`), the way a collector drops files for ST1."""
-    fmt = "ddMMyyyy'_0000'" if per == "day" else "ddMMyyyy_HHmm"
-    (lines.select("value", F.date_format(ts_col, fmt).alias("snapshot"))
-          .write.mode("append").partitionBy("snapshot").text(folder))
-
-
 def drop_night(df: DataFrame, ts_col: str = "ingested_at") -> DataFrame:
     """ST2 / P13: the feeds pause at night (start <= hour < end); a stateless filter."""
     return df.filter(~classify.is_night(F.col(ts_col)))

@@ -2,7 +2,6 @@
 no previous price) and plan assertions."""
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from transitlake import schemas
 from transitlake.plans import gold, silver

@@ -5,8 +5,6 @@ codegen wherever they are used (batch or streaming).
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,7 +109,3 @@ def is_night(ts: Column) -> Column:
     """Start <= hour(ts) < end."""
     h = F.hour(ts)
     return (h >= seeds.NIGHT_START_HOUR) & (h < seeds.NIGHT_END_HOUR)
-
-
-def any_of(cols) -> Column:
-    return reduce(lambda a, b: a | b, cols)

@@ -43,10 +43,6 @@ def double_or_null(c: Column) -> Column:
     return strip(c).try_cast("double")
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.when(strip(c) != "", c)
-
-
 def none_literal_to_null(c: Column) -> Column:
     """Archived text uses Python's `None` for missing values (trap D9)."""
     return F.when(strip(c) != "None", c)

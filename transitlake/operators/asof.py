@@ -93,3 +93,35 @@ def near_join(left: DataFrame, right: DataFrame, radius_m: float, left_latlon=("
     dist = haversine_km(F.col(la), F.col(lo), F.col(ra), F.col(ro)) * 1000.0
     return j.withColumn("distance_m", dist).filter(F.col("distance_m") <= radius_m) \
             .drop("__cy", "__cx")
+
+
+def nearest_within(left: DataFrame, right: DataFrame, radius_m: float, right_cols: Sequence[str],
+                   left_latlon=("lat", "lon"), right_latlon=("lat", "lon"),
+                   max_abs_lat: float = 60.0, out: str = "nearest") -> DataFrame:
+    """Left rows + `out` = struct(distance_m, *right_cols) of the nearest right point within
+    `radius_m` (ties -> smallest right_cols), NULL when none. Map-side for the left side:
+    right points are grouped into one candidate array per grid cell (3 x 3 replication,
+    bounded by the right side's density), the cell table is broadcast after a size proof,
+    and each left row picks its nearest candidate with `array_min`; the left side is never
+    shuffled."""
+    dlat = radius_m / 111_195.0 * 1.0001
+    dlon = radius_m / (111_195.0 * math.cos(math.radians(max_abs_lat))) * 1.0001
+    la, lo = left_latlon
+    ra, ro = right_latlon
+    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    cells = (right.select(F.col(ra).alias("__rlat"), F.col(ro).alias("__rlon"), *right_cols,
+                          F.floor(F.col(ra) / dlat).cast("bigint").alias("__ry"),
+                          F.floor(F.col(ro) / dlon).cast("bigint").alias("__rx"))
+                  .withColumn("__oy", F.explode(offs)).withColumn("__ox", F.explode(offs))
+                  .groupBy((F.col("__ry") + F.col("__oy")).alias("__cy"),
+                           (F.col("__rx") + F.col("__ox")).alias("__cx"))
+                  .agg(F.collect_list(F.struct("__rlat", "__rlon", *right_cols)).alias("__cands")))
+    cells = bounded_broadcast(cells)
+    lc = (left.withColumn("__cy", F.floor(F.col(la) / dlat).cast("bigint"))
+              .withColumn("__cx", F.floor(F.col(lo) / dlon).cast("bigint")))
+    j = lc.join(cells, ["__cy", "__cx"], "left")
+    scored = F.transform(F.coalesce(F.col("__cands"), F.array()), lambda c: F.struct(
+        (haversine_km(F.col(la), F.col(lo), c["__rlat"], c["__rlon"]) * 1000.0).alias("distance_m"),
+        *[c[x].alias(x) for x in right_cols]))
+    near = F.array_min(F.filter(scored, lambda x: x["distance_m"] <= radius_m))
+    return j.withColumn(out, near).drop("__cy", "__cx", "__cands")

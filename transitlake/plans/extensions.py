@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import seeds
 from ..functions import classify
 from ..functions.parse import gtfs_seconds
-from ..operators.asof import asof_nearest, near_join
+from ..operators.asof import asof_nearest, nearest_within
 from ..operators.broadcast import bounded_broadcast
 from ..operators.latest import first_per_key, latest_per_key
 from ..operators.sequences import haversine_km, running_sum, with_next
@@ -52,16 +52,15 @@ def hhmmss(sec):
 
 
 def stop_schedule(stop_times: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
-    """(stop_id, line_number, sched_s, scheduled_time): scheduled arrivals per stop and line,
-    as seconds of the day (GTFS times past 24:00 wrap)."""
+    """(stop_id, line_number, sched_s): scheduled arrivals per stop and line, as seconds
+    of the day (GTFS times past 24:00 wrap)."""
     r = routes.select("route_id", F.col("route_short_name").alias("line_number"))
     sec = gtfs_seconds(F.col("arrival_time")) % 86400
     return (stop_times.select("trip_id", "stop_id", sec.alias("sched_s"))
                       .filter(F.col("sched_s").isNotNull())
                       .join(trips.select("trip_id", "route_id"), "trip_id")
                       .join(bounded_broadcast(r), "route_id")
-                      .select("stop_id", "line_number", "sched_s",
-                              hhmmss(F.col("sched_s")).alias("scheduled_time")))
+                      .select("stop_id", "line_number", "sched_s"))
 
 
 def vehicle_delays(positions: DataFrame, stops: DataFrame, schedule: DataFrame,
@@ -70,17 +69,15 @@ def vehicle_delays(positions: DataFrame, stops: DataFrame, schedule: DataFrame,
     against the nearest scheduled arrival of its line at that stop (ties -> earlier)."""
     obs_cols = ["vehicle_id", "line_number", "transport_type", "lat", "lon", "ingested_at"]
     st = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
-    pairs = near_join(positions.select(*obs_cols), st, radius_m, ("lat", "lon"), ("stop_lat", "stop_lon"))
-    at_stop = (pairs.groupBy(*obs_cols)
-                    .agg(F.min_by(F.struct("stop_id", "stop_name"),
-                                  F.struct("distance_m", "stop_id")).alias("s"))
-                    .select(*obs_cols, "s.stop_id", "s.stop_name")
-                    .withColumn("actual_s", seconds_of_day(F.col("ingested_at"))))
-    m = asof_nearest(at_stop, schedule, ["stop_id", "line_number"], "actual_s", "sched_s",
-                     ["scheduled_time"])
+    near = nearest_within(positions.select(*obs_cols), st, radius_m, ["stop_id", "stop_name"],
+                          ("lat", "lon"), ("stop_lat", "stop_lon"))
+    at_stop = (near.filter(F.col("nearest").isNotNull())
+                   .select(*obs_cols, "nearest.stop_id", "nearest.stop_name")
+                   .withColumn("actual_s", seconds_of_day(F.col("ingested_at"))))
+    m = asof_nearest(at_stop, schedule, ["stop_id", "line_number"], "actual_s", "sched_s", [])
     delay = F.round((F.col("actual_s") - F.col("match_sched_s")) / 60.0).cast("int")
     return m.select("vehicle_id", "line_number", "transport_type", "stop_name",
-                    F.col("match_scheduled_time").alias("scheduled_time"),
+                    hhmmss(F.col("match_sched_s").cast("int")).alias("scheduled_time"),
                     F.col("ingested_at").alias("actual_time"), delay.alias("delay_min"),
                     F.to_date("ingested_at").alias("snapshot_date"))
 

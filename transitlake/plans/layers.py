@@ -4,8 +4,8 @@ The reference keeps bronze and reference tables stored; its models read them. He
 the driver-derived layers are written once per input snapshot into the shared folder
 (`spark.checkpoint.dir`) as Parquet, bronze partitioned by `snapshot_date` so a
 day's model run prunes to one partition. A layer is identified by its name, the
-driver folder and the size + modification time of every source file, so changed
-inputs rebuild it. Writing a layer also cuts the lineage of everything built on it.
+driver folder, the size + modification time of every source file and a fingerprint
+of the package source, so changed inputs or changed code rebuild it. Writing a layer also cuts the lineage of everything built on it.
 """
 from __future__ import annotations
 
@@ -21,6 +21,21 @@ from ..session import ensure_checkpoint_dir
 
 ENABLED = os.environ.get("TRANSITLAKE_STORED_LAYERS", "1") != "0"
 
+
+def _code_fingerprint() -> str:
+    """Hash of this package's source: a layer built by other code is never reused."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_fingerprint()
+
 _lock = threading.Lock()
 _known: dict[tuple, str] = {}
 
@@ -33,6 +48,7 @@ def _stamp(spark: SparkSession, paths: list[str]) -> str:
         path = jvm.org.apache.hadoop.fs.Path(p)
         st = path.getFileSystem(conf).getFileStatus(path)
         parts.append(f"{p}:{st.getLen()}:{st.getModificationTime()}")
+    parts.append(CODE_VERSION)
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 

@@ -5,7 +5,8 @@ the driver-derived layers are written once per input snapshot into the shared fo
 (`spark.checkpoint.dir`) as Parquet, bronze partitioned by `snapshot_date` so a
 day's model run prunes to one partition. A layer is identified by its name, the
 driver folder, the size + modification time of every source file and a fingerprint
-of the package source, so changed inputs or changed code rebuild it. Writing a layer also cuts the lineage of everything built on it.
+of the package source, so changed inputs or changed code rebuild it. Writing a layer
+also cuts the lineage of everything built on it.
 """
 from __future__ import annotations
 

@@ -115,3 +115,28 @@ def test_latest_uses_group_limit(spark, sf_dir):
     p = Pipeline.from_driver(spark, sf_dir)
     plan = p.m3_latest_positions._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_parsers_evaluate_expensive_expressions_once(spark, sf_dir):
+    import __spark_entry__ as E
+    plan = E.queries()["s5_fuel_html_table"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(?is)<tr") == 1            # rows extracted once per page
+    plan = E.queries()["s3_train_json_parse"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_spread_is_noop_for_split_inputs(spark):
+    from transitlake.operators.parallel import spread
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread(many) is many
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_no_cartesian_or_python_in_models(spark, sf_dir):
+    import __spark_entry__ as E
+    for name in ["m1_vehicle_positions", "m3_latest_positions", "m5_fuel_cost_daily",
+                 "m7_route_activity", "x2_vehicle_delays", "t1_t4_data_quality"]:
+        plan = E.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
+            assert bad not in plan, (name, bad)

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, rows_of
 
-NO_ORACLE = set()
+NO_ORACLE = {"st6_route_activity_approx_stream"}   # approximate: no exact SQL twin
 
 
 def test_entry_smoke(spark):

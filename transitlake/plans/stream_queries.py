@@ -72,6 +72,26 @@ def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/bronze")
 
 
-STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, 
+def st2_day_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming bronze positions with the night pause applied (ST2 / P13)."""
+    out = scratch_path(spark, "st2_day_positions")
+    bronze = dm.bronze_vehicle_positions(_stream(spark, sf_dir, "events"))
+    q = jobs.start_append(jobs.drop_night(bronze), f"{out}/data", f"{out}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+def st6_route_activity_approx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6: approximate distinct vehicles per closed hour window (HyperLogLog++; no exact
+    SQL twin)."""
+    out = scratch_path(spark, "st6_route_activity_approx")
+    q = jobs.start_append(jobs.route_activity_approx(_positions_stream(spark, sf_dir)),
+                          f"{out}/data", f"{out}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st2_day_positions_stream,
+                                          st6_route_activity_approx_stream, 
     st4_latest_positions_stream, st5_route_activity_stream, st7_price_intake_stream,
     st8_replay_dedupe_stream)}

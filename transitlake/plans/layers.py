@@ -39,6 +39,7 @@ CODE_VERSION = _code_fingerprint()
 
 _lock = threading.Lock()
 _known: dict[tuple, str] = {}
+_frames: dict[tuple, DataFrame] = {}   # (session, version folder) -> read relation
 
 
 def _stamp(spark: SparkSession, paths: list[str]) -> str:
@@ -75,4 +76,13 @@ def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[
             sinks.materialise(build(), path, partition_by)
         with _lock:
             _known[key] = path
-    return sinks.read_materialised(spark, path)
+    # a version folder never changes once its marker exists, so its relation (file listing
+    # and schema) is read once per session
+    fkey = (id(spark), path)
+    with _lock:
+        df = _frames.get(fkey)
+    if df is None:
+        df = sinks.read_materialised(spark, path)
+        with _lock:
+            _frames[fkey] = df
+    return df

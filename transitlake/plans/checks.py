@@ -42,6 +42,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The checked tables: parsed sources stored as bronze / reference layers (data tests
     run on stored tables), lookups from the seeds."""
     d = dm.DriverTables(spark, sf_dir)
+    inputs = DriverInputs(spark, sf_dir)
     src = lambda *t: [f"{sf_dir.rstrip('/')}/{x}.parquet" for x in t]
     ev, orders = d.raw("events"), d.raw("orders")
     return {
@@ -54,16 +55,14 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "elron_positions": layers.stored(
             spark, "archive_elron_positions", src("events"),
             lambda: trains.parse_trains(trains.snapshots_from_text(dm.train_snapshot_docs(ev)))),
-        "vehicle_models": DriverInputs(spark, sf_dir).models,
+        "vehicle_models": inputs.models,
         "operators": reference.operators(spark),
         "line_types": reference.line_types(spark),
         "fuel_types": reference.fuel_types(spark),
-        "gtfs_routes": DriverInputs(spark, sf_dir).routes,
-        "gtfs_trips": layers.stored(spark, "gtfs_trips", src("orders"), lambda: dm.gtfs_trips(orders)),
-        "gtfs_stop_times": layers.stored(spark, "gtfs_stop_times", src("lineitem"),
-                                         lambda: dm.gtfs_stop_times_raw(d.raw("lineitem"))),
-        "gtfs_stops": layers.stored(spark, "gtfs_stops", src("supplier"),
-                                    lambda: dm.gtfs_stops(d.raw("supplier"))),
+        "gtfs_routes": inputs.routes,
+        "gtfs_trips": inputs.gtfs_trips,
+        "gtfs_stop_times": inputs.gtfs_stop_times,
+        "gtfs_stops": inputs.gtfs_stops,
     }
 
 

@@ -242,10 +242,9 @@ def delay_positions(events: DataFrame) -> DataFrame:
 
 
 def x2_vehicle_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = dm.DriverTables(spark, sf_dir)
-    sched = stop_schedule(dm.gtfs_stop_times_raw(d.raw("lineitem")), dm.gtfs_trips(d.raw("orders")),
-                          DriverInputs(spark, sf_dir).routes)
-    return vehicle_delays(delay_positions(d.raw("events")), dm.gtfs_stops(d.raw("supplier")), sched)
+    i = DriverInputs(spark, sf_dir)
+    sched = stop_schedule(i.gtfs_stop_times, i.gtfs_trips, i.routes)
+    return vehicle_delays(delay_positions(i.d.raw("events")), i.gtfs_stops, sched)
 
 
 def x3_transport_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,8 +308,8 @@ def x9_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x10_timetable_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = dm.DriverTables(spark, sf_dir)
-    return timetable_metrics(dm.gtfs_trips(d.raw("orders")), dm.gtfs_stop_times_raw(d.raw("lineitem")))
+    i = DriverInputs(spark, sf_dir)
+    return timetable_metrics(i.gtfs_trips, i.gtfs_stop_times)
 
 
 EXTENSION_QUERIES = {f.__name__: f for f in (

@@ -81,6 +81,21 @@ class DriverInputs:
         return layers.stored(self.spark, "vehicle_models", self._src("part"),
                              lambda: fleet.vehicle_models(self.d.fleet_pages(), EVENTS_AS_OF))
 
+    @cached_property
+    def gtfs_trips(self) -> DataFrame:
+        return layers.stored(self.spark, "gtfs_trips", self._src("orders"),
+                             lambda: drivermap.gtfs_trips(self.d.raw("orders")))
+
+    @cached_property
+    def gtfs_stop_times(self) -> DataFrame:
+        return layers.stored(self.spark, "gtfs_stop_times", self._src("lineitem"),
+                             lambda: drivermap.gtfs_stop_times_raw(self.d.raw("lineitem")))
+
+    @cached_property
+    def gtfs_stops(self) -> DataFrame:
+        return layers.stored(self.spark, "gtfs_stops", self._src("supplier"),
+                             lambda: drivermap.gtfs_stops(self.d.raw("supplier")))
+
     @cached_property
     def line_map(self) -> DataFrame:
         return reference.elron_line_types(self.spark)

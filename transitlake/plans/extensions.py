@@ -71,8 +71,10 @@ def vehicle_delays(positions: DataFrame, stops: DataFrame, schedule: DataFrame,
     st = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
     near = nearest_within(positions.select(*obs_cols), st, radius_m, ["stop_id", "stop_name"],
                           ("lat", "lon"), ("stop_lat", "stop_lon"))
+    # only the columns the result needs travel through the as-of shuffles
     at_stop = (near.filter(F.col("nearest").isNotNull())
-                   .select(*obs_cols, "nearest.stop_id", "nearest.stop_name")
+                   .select("vehicle_id", "line_number", "transport_type", "ingested_at",
+                           "nearest.stop_id", "nearest.stop_name")
                    .withColumn("actual_s", seconds_of_day(F.col("ingested_at"))))
     m = asof_nearest(at_stop, schedule, ["stop_id", "line_number"], "actual_s", "sched_s", [])
     delay = F.round((F.col("actual_s") - F.col("match_sched_s")) / 60.0).cast("int")

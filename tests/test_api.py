@@ -76,3 +76,29 @@ def test_latest_positions_stateful_stream(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert {r.vehicle_id: r.destination for r in out} == {1: "B", 2: "C"}
+
+
+def test_checkpoint_dir_fallback_without_setting(tmp_path):
+    from transitlake.session import ensure_checkpoint_dir, scratch_path
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class SC:
+        def __init__(self):
+            self.d = None
+
+        def getCheckpointDir(self):
+            return self.d
+
+        def setCheckpointDir(self, d):
+            self.d = d + "/uuid"
+
+    class FakeSpark:
+        conf, sparkContext = Conf(), SC()
+
+    s = FakeSpark()
+    first = ensure_checkpoint_dir(s)
+    assert first and first == ensure_checkpoint_dir(s)       # created once, then reused
+    assert scratch_path(s, "x").startswith(first.rstrip("/") + "/x-")

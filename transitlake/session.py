@@ -61,16 +61,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """Return the shared checkpoint folder; create a local one only if none is set.
+
+    `spark.checkpoint.dir` is a static setting (it cannot be changed on a running
+    session), so when it is absent the folder is registered through
+    `SparkContext.setCheckpointDir`, which is also what `DataFrame.checkpoint` uses."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="transitlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if not sc_dir:
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="transitlake-ckpt-"))
+        current = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

@@ -62,8 +62,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame],
-           partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """The layer `name` built from `sources`; written on first use, read afterwards."""
+           partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> DataFrame:
+    """The layer `name` built from `sources`; written on first use, read afterwards.
+
+    With `partition_by`, rows are range-partitioned by (partition columns, `cluster_by`)
+    before the write: each task holds a contiguous range, so it writes files for only a
+    few partitions (no small-file explosion), and a hot partition value is split over
+    several tasks by the finer `cluster_by` ranges."""
     if not ENABLED:
         return build()
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -73,7 +78,11 @@ def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[
     if path is None:
         path = f"{base}/layers/{name}-{_stamp(spark, sources)}"
         if not _exists(spark, f"{path}/_CURRENT"):
-            sinks.materialise(build(), path, partition_by)
+            df = build()
+            if partition_by:
+                df = df.repartitionByRange(spark.sparkContext.defaultParallelism,
+                                           *partition_by, *cluster_by)
+            sinks.materialise(df, path, partition_by)
         with _lock:
             _known[key] = path
     # a version folder never changes once its marker exists, so its relation (file listing

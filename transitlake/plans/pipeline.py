@@ -58,14 +58,14 @@ class DriverInputs:
         return layers.stored(
             self.spark, "bronze_vehicle_positions", self._src("events"),
             lambda: self.d.bronze_positions().withColumn("snapshot_date", F.to_date("ingested_at")),
-            partition_by=("snapshot_date",))
+            partition_by=("snapshot_date",), cluster_by=("ingested_at",))
 
     @cached_property
     def bronze_trains(self) -> DataFrame:
         return layers.stored(
             self.spark, "bronze_elron_positions", self._src("events"),
             lambda: self.d.bronze_trains().withColumn("snapshot_date", F.to_date("ingested_at")),
-            partition_by=("snapshot_date",))
+            partition_by=("snapshot_date",), cluster_by=("ingested_at",))
 
     @cached_property
     def fuel_prices(self) -> DataFrame:

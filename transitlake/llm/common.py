@@ -79,3 +79,9 @@ def n_words(c: Column) -> Column:
 def uniform(*cols: Column) -> Column:
     """A number in (0, 1) drawn from the hash of the arguments: the same in every run."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def row_key(*cols: str) -> list[Column]:
+    """Two 64-bit hashes of the columns, nulls told apart: never null, so plain equi-joins find the row."""
+    parts = [x for c in cols for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)]

@@ -2,17 +2,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import chat, minhash, mixing, quality_rules
 from .common import table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(spark, table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+PROBE = "\\### Assistant: </turn> ok"      # says a template's own control strings
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(PROBE).alias("text"))
+    return chat.digests(chat.format_chats(chat.log_of(turns.unionByName(probe))))
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.groups(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark, table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
 def queries():
-    return {f.__name__: f for f in (op10_quality_rules,)}
+    return {f.__name__: f for f in (op1_mixing, op5_chat_formatting, op7_minhash_near_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlake.llm import quality_rules
+from transitlake.llm import minhash, mixing, packing, quality_rules, substrings
 from transitlake.llm.common import stage
 
 
@@ -11,9 +11,37 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.clean(spark, docs)
 
 
-STAGES = [("quality_rules", quality_stage)]
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.dedup(spark, docs)
 
-# The later stages follow random permutations and byte-level cuts: tested against brute force instead.
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.cut(spark, docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+# Rules drop documents and boilerplate lines; of each group of near copies one document stays; repeated byte
+# strings are cut out; sources are mixed to their targets (a document may come twice, or in part); and
+# the mix is packed into token sequences (the last stage returns pieces, not documents).
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("minhash_near_dedup", near_dedup_stage),
+    ("suffix_array_dedup", substring_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+
+# SQL can express neither the random permutations of the mix nor token ids: the stages are tested
+# against brute force instead.
 ORACLE_SQL = None
 
 

@@ -11,7 +11,7 @@ from transitlake.streaming import jobs
 
 
 def test_read_snapshot_files_and_delayed(spark, tmp_path):
-    docs = [{"fetched_at": "2026-05-27T20:58:47", "source": "x", "count": 1,
+    docs = [{"fetched_at": "2026-03-02T07:15:30", "source": "x", "count": 1,
              "trains": [{"reis": "1", "liin": "Tallinn - Keila", "latitude": "59.4", "longitude": "24.7",
                          "erinevus_plaanist": "2"},
                         {"reis": "2", "liin": "Tallinn - Tapa", "latitude": "59.3", "longitude": "25.0",

@@ -125,14 +125,6 @@ def test_parsers_evaluate_expensive_expressions_once(spark, sf_dir):
     assert plan.count("from_json(") == 1
 
 
-def test_spread_is_noop_for_split_inputs(spark):
-    from transitlake.operators.parallel import spread
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(many) is many
-    one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 def test_no_cartesian_or_python_in_models(spark, sf_dir):
     import __spark_entry__ as E
     for name in ["m1_vehicle_positions", "m3_latest_positions", "m5_fuel_cost_daily",

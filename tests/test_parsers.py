@@ -14,21 +14,21 @@ def lines(spark, *values):
 def test_gps_raw_rules(spark):
     rows = gps.parse_gps_lines(lines(
         spark,
-        "3,2,24770460,59430930,,129,96,Z,95,Suur-Paala",       # valid tram
-        "2,36,24770460,59430930,,,101, z ,95, Viru ",           # empty bearing, lower z, trim
-        "2,36,24770460,59430930,,129,,,95,X",                   # empty vehicle id -> NULL
-        "2,36,24770460,59430930,,129,x1,Z,95,X",                # bad vehicle id -> drop
-        "2,36,24770460,59430930,,129,5",                        # too few fields -> drop
-        "a,36,24770460,59430930,,129,5,Z,95,X",                 # bad line type -> drop
-        "2,36,21500000,57500000,,1,7,Z,95,edge",                # inclusive corner
-        "2,36,21499999,57500000,,1,8,Z,95,out",                 # outside -> drop
+        "3,5,24660070,59410080,,47,812,Z,33,Harbour",       # valid tram
+        "2,17,24650050,59420040,,,101, z ,95, Viru ",           # empty bearing, lower z, trim
+        "2,17,24650050,59420040,,48,,,95,X",                   # empty vehicle id -> NULL
+        "2,17,24650050,59420040,,48,x1,Z,95,X",                # bad vehicle id -> drop
+        "2,17,24650050,59420040,,48,5",                        # too few fields -> drop
+        "a,36,24650050,59420040,,48,5,Z,95,X",                 # bad line type -> drop
+        "2,17,21500000,57500000,,1,7,Z,95,edge",                # inclusive corner
+        "2,17,21499999,57500000,,1,8,Z,95,out",                 # outside -> drop
         "   ",                                                  # blank -> ignored
-        "2,36,24.7,59430930,,1,9,Z,95,X",                       # non-integer coordinate -> drop
+        "2,17,24.7,59430930,,1,9,Z,95,X",                       # non-integer coordinate -> drop
     )).orderBy(F.col("destination")).collect()
     got = {r.destination: r for r in rows}
-    assert set(got) == {"Suur-Paala", "Viru", "X", "edge"}
-    assert got["Suur-Paala"].lat == 59.43093 and got["Suur-Paala"].lon == 24.77046
-    assert got["Suur-Paala"].low_floor and got["Suur-Paala"].vehicle_id == 96
+    assert set(got) == {"Harbour", "Viru", "X", "edge"}
+    assert got["Harbour"].lat == 59.41008 and got["Harbour"].lon == 24.66007
+    assert got["Harbour"].low_floor and got["Harbour"].vehicle_id == 812
     assert got["Viru"].bearing is None and got["Viru"].low_floor
     assert got["X"].vehicle_id is None and not got["X"].low_floor
     assert got["edge"].lat == 57.5 and got["edge"].operator == "TLT"
@@ -39,8 +39,8 @@ def test_gps_archive_rules(spark):
     rows = gps.parse_gps_archive(lines(
         spark,
         f"2026-05-28T23:44:00.123456,96,3,2,{broken},59.43,24.77,999,True,TLT",
-        "2026-05-28T23:45:00,None,2,36,Kopli,59.4,24.7,None,False,TLT",
-        "2026-05-27T09:41:00,97,2,63,Suur-Paala,59.4,24.7,10,True,TLT",
+        "2026-05-28T23:45:00,None,2,17,Kopli,59.4,24.7,None,False,TLT",
+        "2026-05-27T09:41:00,97,2,63,Harbour,59.4,24.7,10,True,TLT",
     ), old_layout_window=(dt.datetime(2026, 5, 27, 9), dt.datetime(2026, 5, 27, 12))).collect()
     by_layout = {r.layout: r for r in rows}
     first = [r for r in rows if r.bearing == 999][0]
@@ -142,8 +142,8 @@ def test_gtfs_members(spark, tmp_path):
 
 
 def test_gps_parse_counters(spark):
-    lines_df = lines(spark, "3,2,24770460,59430930,,129,96,Z,95,A", "bad", "  ",
-                     "2,36,24770460,59430930,,129,x,Z,95,B")
+    lines_df = lines(spark, "3,5,24650050,59420040,,48,96,Z,95,A", "bad", "  ",
+                     "2,17,24650050,59420040,,48,x,Z,95,B")
     out, counters = gps.parse_gps_lines_observed(lines_df)
     assert out.count() == 1
     assert counters.get == {"lines": 3, "parsed": 1, "skipped": 2}

@@ -39,17 +39,12 @@ def test_with_next_matches_definition(spark, rows):
 
 
 @SETTINGS
-@given(left=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 300)), min_size=1, max_size=25),
-       right=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 300)), max_size=25))
-def test_asof_nearest_matches_brute_force(spark, left, right):
-    from transitlake.operators.asof import asof_nearest
-    L = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(left)], "k string, t int, id int")
-    R = spark.createDataFrame(right or [("z", 0)], "k string, rt int")
-    got = {r.id: r.match_rt for r in asof_nearest(L, R, ["k"], "t", "rt", [], bucket_size=40).collect()}
-    for i, (k, t) in enumerate(left):
-        cands = [rt for rk, rt in right if rk == k]
-        if not cands:
-            assert got[i] is None
-            continue
-        best = min(cands, key=lambda rt: (abs(rt - t), rt > t))   # nearest; tie -> previous
-        assert got[i] == best, (k, t, cands, got[i])
+@given(seconds=st.lists(st.integers(0, 86_399), min_size=1, max_size=20), at=st.integers(0, 86_399))
+def test_nearest_in_day_matches_brute_force(spark, seconds, at):
+    from pyspark.sql import functions as F
+
+    from transitlake.operators.asof import nearest_in_day
+    df = spark.createDataFrame([(seconds, at)], "s array<int>, at int")
+    got = df.select(nearest_in_day(F.col("s"), F.col("at"))["second"]).first()[0]
+    gap = lambda s: min((s - at) % 86_400, (at - s) % 86_400)
+    assert got == min(seconds, key=lambda s: (gap(s), 0 < (s - at) % 86_400 < 43_200))

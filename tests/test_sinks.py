@@ -23,7 +23,7 @@ def test_upsert_policy_overwrites_listed_columns_only(spark):
                                    "trip_id string, route_id string, service_id string, trip_headsign string")
     batch = spark.createDataFrame([("t1", "rX", "Z", None), ("t3", "r3", "C", "new")],
                                   "trip_id string, route_id string, service_id string, trip_headsign string")
-    out = {r.trip_id: r for r in sinks.upsert(target, batch, ["trip_id"], ["trip_headsign"]).collect()}
+    out = {r.trip_id: r for r in sinks.upsert(target, batch, ["trip_id"], ["trip_headsign"], ["service_id"]).collect()}
     assert out["t1"].route_id == "r1" and out["t1"].trip_headsign is None   # EXCLUDED value, even NULL
     assert out["t2"].trip_headsign == "keep" and out["t3"].route_id == "r3"
 
@@ -64,35 +64,81 @@ def test_next_row_across_buckets_and_hot_key(spark):
     assert rs[0.0] == 1 and rs[994.0] == len(range(0, 1000, 7))
 
 
-def test_asof_nearest_across_buckets_and_ties(spark):
-    from transitlake.operators.asof import asof_nearest
-    left = spark.createDataFrame([("k", 100.0, "a"), ("k", 7250.0, "b"), ("k", 3700.0, "c"),
-                                  ("k", 5000.0, "d"), ("z", 1.0, "e")], "key string, t double, id string")
-    right = spark.createDataFrame([("k", 0.0, "s0"), ("k", 3600.0, "s1"), ("k", 7300.0, "s2"),
-                                   ("k", 5000.0, "s3"), ("k", 4400.0, "s4")], "key string, rt double, name string")
-    got = {r.id: r.match_name for r in
-           asof_nearest(left, right, ["key"], "t", "rt", ["name"], bucket_size=1000).collect()}
-    # a: 0 is 100 away; b: 7300 (next bucket, 50 away); c: 3600; d: equal time; e: no key
-    assert got == {"a": "s0", "b": "s2", "c": "s1", "d": "s3", "e": None}
-    tie = spark.createDataFrame([("k", 4700.0, "t")], "key string, t double, id string")
-    assert asof_nearest(tie, right, ["key"], "t", "rt", ["name"]).first().match_name == "s4"
+def test_nearest_in_day_around_midnight(spark):
+    from transitlake.operators.asof import nearest_in_day, signed_gap
+    rows = [(86_340, [60, 69_960]), (30, [86_370, 500]), (1000, [900, 1100]), (5, None), (0, [43_200]), (7, [7])]
+    df = spark.createDataFrame(rows, "at int, s array<int>").withColumn("n", nearest_in_day(F.col("s"), F.col("at"))["second"])
+    got = [(r.n, r.gap) for r in df.select("n", signed_gap(F.col("at"), F.col("n")).alias("gap")).collect()]
+    # 23:59 against 00:01 is two minutes early; of two equally near times the one before counts
+    assert got == [(60, -120), (86_370, 60), (900, 100), (None, None), (43_200, 43_200), (7, 0)]
 
 
-def test_near_join_equals_brute_force(spark):
+def test_nearest_points_equals_brute_force(spark):
     import random
 
-    from transitlake.operators.asof import near_join
+    from transitlake.operators.asof import nearest_points
     from transitlake.operators.sequences import haversine_km
     rnd = random.Random(7)
-    pts = [(i, 59.40 + rnd.random() * 0.02, 24.70 + rnd.random() * 0.04) for i in range(300)]
-    stops = [(j, 59.40 + rnd.random() * 0.02, 24.70 + rnd.random() * 0.04) for j in range(40)]
-    left = spark.createDataFrame(pts, "pid int, lat double, lon double")
-    right = spark.createDataFrame(stops, "sid int, slat double, slon double")
-    fast = {(r.pid, r.sid) for r in near_join(left, right, 300.0, ("lat", "lon"), ("slat", "slon")).collect()}
-    brute = left.crossJoin(right).withColumn(
-        "d", haversine_km(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon")) * 1000)
-    slow = {(r.pid, r.sid) for r in brute.filter("d <= 300").collect()}
-    assert fast == slow and len(slow) > 0
+    for lat0, lon0, spread in ((59.40, 24.70, 0.02), (78.2, 15.5, 0.05), (-0.01, 179.99, 0.03), (-85.0, -10.0, 0.1)):
+        wrap = lambda x: (x + 180) % 360 - 180
+        pts = [(lat0 + rnd.random() * spread, wrap(lon0 + rnd.random() * 2 * spread)) for _ in range(150)]
+        stops = [(j, lat0 + rnd.random() * spread, wrap(lon0 + rnd.random() * 2 * spread)) for j in range(40)]
+        stops += [(100, *stops[0][1:])]                                  # two stops on one spot
+        left = spark.createDataFrame([*pts, pts[0]], "lat double, lon double")
+        right = spark.createDataFrame(stops, "sid int, slat double, slon double")
+        near = nearest_points(left, right, 300.0, ["sid"], ("lat", "lon"), ("slat", "slon"))
+        fast = {(r.lat, r.lon): r.nearest.sid for r in near.collect()}
+        pairs = left.distinct().crossJoin(right).withColumn(
+            "d", haversine_km(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon")) * 1000).filter("d <= 300")
+        slow = {(r.lat, r.lon): r.m.sid for r in pairs.groupBy("lat", "lon").agg(F.min(F.struct("d", "sid")).alias("m")).collect()}
+        assert fast == slow and slow
+
+
+def test_upsert_takes_the_last_row_of_a_key(spark):
+    import pytest
+    cols = "trip_id string, route_id string, trip_headsign string"
+    target = spark.createDataFrame([("t1", "r1", "old")], cols)
+    batch = spark.createDataFrame([("t1", "a", "first", 1), ("t1", "b", "last", 2), ("t2", "c", "x", 1), ("t2", "c", "y", 1)],
+                                  cols + ", seq int")
+    out = {r.trip_id: r.trip_headsign for r in sinks.upsert(target, batch, ["trip_id"], ["trip_headsign"], ["seq"]).collect()}
+    assert out == {"t1": "last", "t2": "y"}
+    with pytest.raises(ValueError):
+        sinks.upsert(target, batch, ["trip_id"], ["trip_headsign"], [])
+
+
+def test_failed_reads_are_not_empty_tables(spark, tmp_path):
+    import pytest
+    batch = spark.createDataFrame([(1, "95", 1.7)], "seq int, fuel_type string, price double")
+    broken = tmp_path / "prices"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        sinks.insert_if_absent_to(spark, str(broken), batch, ["fuel_type"], ["seq"])
+    path = str(tmp_path / "gold")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_materialised(spark, path)
+    for n in (3, 5, 7):
+        sinks.materialise(spark.range(n), path)
+        (tmp_path / "gold" / "v=999999999999-unfinished").mkdir(exist_ok=True)      # a write that never completed
+        assert sinks.read_materialised(spark, path).count() == n
+    assert len(sinks.versions(spark, path)) == 2
+
+
+def test_replace_with_an_empty_feed_removes_the_operator(spark, tmp_path):
+    path, cols = str(tmp_path / "routes"), "route_id string, operator string"
+    sinks.replace_partition(spark.createDataFrame([("a", "TLT"), ("b", "Elron")], cols), path)
+    sinks.replace_partition(spark.createDataFrame([], cols), path, value="Elron")
+    assert [r.route_id for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_layers_follow_replaced_inputs(spark, tmp_path):
+    from transitlake.plans import layers
+    src = str(tmp_path / "src.parquet")
+    spark.range(100).repartition(3).write.parquet(src)
+    build = lambda: spark.read.parquet(src)
+    assert layers.stored(spark, "t", [src], build).count() == 100
+    spark.range(7).write.mode("overwrite").parquet(src)
+    assert layers.stored(spark, "t", [src], build).count() == 7
 
 
 def test_model_run_and_incremental_refresh(spark, sf_dir, tmp_path):

@@ -23,46 +23,61 @@ def test_drop_night(spark):
     assert [r[0].hour for r in jobs.drop_night(df).collect()] == [6, 23]
 
 
-def _positions_schema():
-    return schemas.struct(("vehicle_id", schemas.L), ("line_number", schemas.S),
-                          ("transport_type", schemas.S), ("fuel_type", schemas.S),
-                          ("operator", schemas.S), ("ingested_at", schemas.TS))
+BRONZE = schemas.struct(("vehicle_id", schemas.L), ("line_type", schemas.I), ("line_number", schemas.S),
+                        ("operator", schemas.S), ("ingested_at", schemas.TS))
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
-    land, out, ckpt = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+def _landing(spark, tmp_path):
+    """(drop a file of rows, stream over the landed files)."""
+    land = str(tmp_path / "land")
     os.makedirs(land)
-    schema = _positions_schema()
 
     def drop(name, rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{land}/{name}")
+        spark.createDataFrame(rows, BRONZE).coalesce(1).write.parquet(f"{land}/{name}")
+
+    return drop, lambda: spark.readStream.schema(BRONZE).option("recursiveFileLookup", True).parquet(land)
+
+
+def _at(h, m):
+    return dt.datetime(2026, 5, 27, h, m)
+
+
+def test_hours_are_complete_in_any_file_order(spark, tmp_path):
+    drop, stream = _landing(spark, tmp_path)
+    table, ckpt = str(tmp_path / "seen"), str(tmp_path / "ckpt")
+    drop("newest", [(1, 2, "36", "TLT", _at(12, 30)), (2, 2, "36", "TLT", _at(12, 31))])
+    jobs.start_vehicle_hours(stream(), table, ckpt).awaitTermination()
+    drop("oldest", [(4, 2, "36", "TLT", _at(10, 50)), (4, 2, "36", "TLT", _at(10, 51)), (None, 2, "36", "TLT", _at(10, 51)),
+                    (2, 2, "36", "TLT", _at(12, 59))])
+    jobs.start_vehicle_hours(stream(), table, ckpt).awaitTermination()
+    jobs.start_vehicle_hours(stream(), table, str(tmp_path / "replay")).awaitTermination()      # everything again
+    got = sorted((r.ingested_at.hour, r.vehicle_id) for r in spark.read.parquet(table).collect())
+    assert got == [(10, 4), (12, 1), (12, 2)]
+
+
+def test_sketches_are_close_and_replay_safe(spark, tmp_path):
+    drop, stream = _landing(spark, tmp_path)
+    table = str(tmp_path / "sketches")
+    drop("a", [(v, 3, "4", "TLT", _at(8, v % 60)) for v in range(3000)])
+    drop("b", [(v, 3, "4", "TLT", _at(8, v % 60)) for v in range(2000, 5000)])
+    for run in ("one", "two"):
+        jobs.start_vehicle_sketches(stream(), table, str(tmp_path / run)).awaitTermination()
+    n = spark.read.parquet(table).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch"))).first()[0]
+    assert abs(n - 5000) < 0.05 * 5000
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    drop, stream = _landing(spark, tmp_path)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
 
     def run():
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(land)
-        q = jobs.start_append(jobs.route_activity_windows(stream), out, ckpt)
+        q = jobs.start_append(jobs.dedupe_replays(stream()), out, ckpt)
         q.awaitTermination()
         return q
 
-    t = lambda h, m: dt.datetime(2026, 5, 27, h, m)
-    drop("b1", [(1, "36", "bus", "diesel", "TLT", t(10, 0)), (2, "36", "bus", "diesel", "TLT", t(10, 20)),
-                (1, "36", "bus", "diesel", "TLT", t(10, 40)), (3, "36", "bus", "diesel", "TLT", t(12, 30))])
+    drop("b1", [(1, 2, "36", "TLT", _at(10, 0)), (1, 2, "36", "TLT", _at(10, 0)), (3, 2, "36", "TLT", _at(12, 30))])
     run()
-    drop("b2", [(4, "36", "bus", "diesel", "TLT", t(10, 50)),        # late: window 10-11 closed
-                (5, "36", "bus", "diesel", "TLT", t(13, 15))])
+    drop("b2", [(4, 2, "36", "TLT", _at(10, 50)), (5, 2, "36", "TLT", _at(13, 15))])           # the first is late
     q = run()
-    res = {(r.window_start.hour, r.vehicle_count) for r in spark.read.parquet(out).collect()}
-    assert (10, 2) in res                       # vehicles 1 and 2, the late vehicle 4 not counted
+    assert sorted(r.vehicle_id for r in spark.read.parquet(out).collect()) == [1, 3, 5]
     assert jobs.late_rows_dropped(q) >= 1
-
-
-def test_approx_windows(spark, tmp_path):
-    schema = _positions_schema()
-    land = str(tmp_path / "land")
-    rows = [(v, "4", "tram", "electric", "TLT", dt.datetime(2026, 5, 27, 8, v)) for v in range(1, 30)]
-    rows.append((99, "4", "tram", "electric", "TLT", dt.datetime(2026, 5, 27, 11, 0)))
-    spark.createDataFrame(rows, schema).write.parquet(land)
-    stream = spark.readStream.schema(schema).parquet(land)
-    q = jobs.start_append(jobs.route_activity_approx(stream), str(tmp_path / "o"), str(tmp_path / "c"))
-    q.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "o")).filter("hour(window_start) = 8").first()
-    assert abs(got.vehicle_count_approx - 29) <= 1

@@ -1,127 +1,78 @@
-"""As-of matching and grid-cell proximity joins, exact and skew-safe.
-
-`asof_nearest` pairs every left row with the right row of the same key whose time is
-closest (previous or next; ties -> previous). It never joins all pairs: left and right
-rows are merged into one time-ordered sequence per key and the last / next right
-value is carried to each left row. Carrying uses the bucketed pattern of
-`sequences.py`: within (key, bucket) a window fill, across buckets one summary row
-per bucket, so a key holding a third of all rows is spread over its buckets.
-
-`near_join` finds, for each left point, the right points within `radius_m` through an
-equi-join on grid cells: each right point is replicated into the 3 x 3 cells around
-its own; cells are at least `radius_m` wide, so no partner is ever missed.
+"""Nearest point and nearest time of day, exact and skew-safe.
+
+`nearest_points` finds the nearest right point within a radius for each *distinct* left coordinate, through an
+equi-join on grid cells and a partial arg-min, so neither a hot cell nor a hot coordinate is gathered in one
+task. Cells are rows of latitude at least as high as the radius; each row has its own cell width, taken from the
+row's own latitude, so no partner is missed at any latitude (nor across the 180th meridian).
+
+`nearest_in_day` picks from an array of seconds of the day the one closest to a time on the circle of 24 hours:
+a bus at 23:59 is one minute before 00:00, not a day after it.
 """
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .broadcast import bounded_broadcast
 from .sequences import haversine_km
 
+METRES_PER_DEGREE = 111_195.0
+DAY = 86_400
 
-def _fill(df: DataFrame, keys: Sequence[str], order: list, value: str, bucket: str, out: str,
-          descending: bool) -> DataFrame:
-    """`out` = last non-NULL `value` at or before each row (after, if descending)."""
-    o = [c.desc() if descending else c.asc() for c in order]
-    w_in = (Window.partitionBy(*keys, bucket).orderBy(*o)
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = df.withColumn("__in", F.last(value, ignorenulls=True).over(w_in))
-    rank_key = F.when(F.col(value).isNotNull(), F.struct(*order))   # NULL keys are ignored
-    last_of = F.max_by(value, rank_key) if not descending else F.min_by(value, rank_key)
-    summary = d.groupBy(*keys, bucket).agg(
-        F.when(F.count(value) > 0, last_of).alias("__bval"))      # last non-NULL in the bucket
-    wb = Window.partitionBy(*keys).orderBy(F.col(bucket).desc() if descending else F.col(bucket).asc())
-    carry = (summary.withColumn("__carry", F.last("__bval", ignorenulls=True).over(
-                 wb.rowsBetween(Window.unboundedPreceding, -1)))
-                    .select(*keys, bucket, "__carry"))
-    carry = bounded_broadcast(carry)
-    return (d.join(carry, [*keys, bucket], "left")
-             .withColumn(out, F.coalesce("__in", "__carry")).drop("__in", "__carry"))
-
-
-def asof_nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str, right_t: str,
-                 right_cols: Sequence[str], bucket_size: float = 3600.0) -> DataFrame:
-    """Left rows + `match_<c>` for the nearest right row by time within the same key
-    (NULL when the key has no right rows), plus `match_<right_t>`."""
-    rcols = list(dict.fromkeys([right_t, *right_cols]))
-    lcols = left.columns
-    L = left.select(*keys, F.col(left_t).cast("double").alias("__t"), F.lit(1).alias("__kind"),
-                    F.struct(*[F.col(c) for c in lcols]).alias("__left"),
-                    F.lit(None).cast(right.select(F.struct(*rcols)).schema[0].dataType).alias("__r"))
-    R = right.select(*keys, F.col(right_t).cast("double").alias("__t"), F.lit(0).alias("__kind"),
-                     F.lit(None).cast(left.select(F.struct(*lcols)).schema[0].dataType).alias("__left"),
-                     F.struct(*[F.col(c) for c in rcols]).alias("__r"))
-    u = L.unionByName(R).withColumn("__b", F.floor(F.col("__t") / float(bucket_size)).cast("bigint"))
-    # right rows sort before left rows at the same time, so "previous" includes equal times
-    order = [F.col("__t"), F.col("__kind")]
-    u = _fill(u, keys, order, "__r", "__b", "__prev", descending=False)
-    order_next = [F.col("__t"), -F.col("__kind")]
-    u = _fill(u, keys, order_next, "__r", "__b", "__next", descending=True)
-    left_rows = u.filter(F.col("__kind") == 1)
-    dp = F.abs(F.col("__t") - F.col(f"__prev.{right_t}").cast("double"))
-    dn = F.abs(F.col(f"__next.{right_t}").cast("double") - F.col("__t"))
-    pick = (F.when(F.col("__prev").isNull(), F.col("__next"))
-             .when(F.col("__next").isNull(), F.col("__prev"))
-             .when(dn < dp, F.col("__next")).otherwise(F.col("__prev")))
-    return left_rows.select(*[F.col(f"__left.{c}").alias(c) for c in lcols],
-                            *[pick[c].alias(f"match_{c}") for c in rcols])
-
-
-def near_join(left: DataFrame, right: DataFrame, radius_m: float, left_latlon=("lat", "lon"),
-              right_latlon=("lat", "lon"), max_abs_lat: float = 60.0) -> DataFrame:
-    """All (left, right) pairs within `radius_m` (haversine), via 3x3 grid-cell replication
-    of the right side. Adds `distance_m`. Exact for |lat| <= max_abs_lat."""
-    dlat = radius_m / 111_195.0 * 1.0001
-    dlon = radius_m / (111_195.0 * math.cos(math.radians(max_abs_lat))) * 1.0001
-    la, lo = left_latlon
-    ra, ro = right_latlon
-    lc = left.withColumn("__cy", F.floor(F.col(la) / dlat).cast("bigint")) \
-             .withColumn("__cx", F.floor(F.col(lo) / dlon).cast("bigint"))
-    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    rc = (right.withColumn("__ry", F.floor(F.col(ra) / dlat).cast("bigint"))
-               .withColumn("__rx", F.floor(F.col(ro) / dlon).cast("bigint"))
-               .withColumn("__oy", F.explode(offs)).withColumn("__ox", F.explode(offs))
-               .withColumn("__cy", F.col("__ry") + F.col("__oy"))
-               .withColumn("__cx", F.col("__rx") + F.col("__ox"))
-               .drop("__ry", "__rx", "__oy", "__ox"))
-    rc = bounded_broadcast(rc)
-    j = lc.join(rc, ["__cy", "__cx"])
-    dist = haversine_km(F.col(la), F.col(lo), F.col(ra), F.col(ro)) * 1000.0
-    return j.withColumn("distance_m", dist).filter(F.col("distance_m") <= radius_m) \
-            .drop("__cy", "__cx")
-
-
-def nearest_within(left: DataFrame, right: DataFrame, radius_m: float, right_cols: Sequence[str],
-                   left_latlon=("lat", "lon"), right_latlon=("lat", "lon"),
-                   max_abs_lat: float = 60.0, out: str = "nearest") -> DataFrame:
-    """Left rows + `out` = struct(distance_m, *right_cols) of the nearest right point within
-    `radius_m` (ties -> smallest right_cols), NULL when none. Map-side for the left side:
-    right points are grouped into one candidate array per grid cell (3 x 3 replication,
-    bounded by the right side's density), the cell table is broadcast after a size proof,
-    and each left row picks its nearest candidate with `array_min`; the left side is never
-    shuffled."""
-    dlat = radius_m / 111_195.0 * 1.0001
-    dlon = radius_m / (111_195.0 * math.cos(math.radians(max_abs_lat))) * 1.0001
+
+def _cells_around(row: Column, row_height: float, radius_m: float) -> Column:
+    """How many equal cells a row of latitude has: as wide as the radius at its narrowest latitude."""
+    edge = F.least(F.greatest(F.abs(row * row_height), F.abs((row + 1) * row_height)), F.lit(89.999))
+    width = radius_m / (METRES_PER_DEGREE * F.cos(edge * math.pi / 180)) * 1.0001
+    return F.greatest(F.floor(360 / width), F.lit(1)).cast("bigint")
+
+
+def _with_cells(points: DataFrame, lat: str, lon: str, radius_m: float, around: bool) -> DataFrame:
+    """Points with their cell (`__cy`, `__cx`) or, with `around`, one row per cell of the 3 x 3 around it."""
+    height = radius_m / METRES_PER_DEGREE * 1.0001
+    steps = F.explode(F.array(*[F.lit(i) for i in ((-1, 0, 1) if around else (0,))]))
+    p = points.select("*", steps.alias("__dy"))
+    p = p.select("*", (F.floor(F.col(lat) / height) + F.col("__dy")).cast("bigint").alias("__cy"))
+    p = p.select("*", _cells_around(F.col("__cy"), height, radius_m).alias("__n"))
+    at = F.floor((F.col(lon) + 180) / 360 * F.col("__n"))
+    p = p.select("*", steps.alias("__dx")) if around else p.withColumn("__dx", F.lit(0))
+    p = p.withColumn("__cx", F.pmod(at + F.col("__dx"), F.col("__n")).cast("bigint"))
+    return p.drop("__dy", "__dx", "__n")
+
+
+def nearest_points(left: DataFrame, right: DataFrame, radius_m: float, right_cols: Sequence[str],
+                   left_latlon=("lat", "lon"), right_latlon=("lat", "lon"), out: str = "nearest") -> DataFrame:
+    """One row per distinct left coordinate with a right point within `radius_m`: the two left columns and
+    `out` = struct(distance_m, *right_cols) of the nearest (ties -> smallest right_cols)."""
     la, lo = left_latlon
     ra, ro = right_latlon
-    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    cells = (right.select(F.col(ra).alias("__rlat"), F.col(ro).alias("__rlon"), *right_cols,
-                          F.floor(F.col(ra) / dlat).cast("bigint").alias("__ry"),
-                          F.floor(F.col(ro) / dlon).cast("bigint").alias("__rx"))
-                  .withColumn("__oy", F.explode(offs)).withColumn("__ox", F.explode(offs))
-                  .groupBy((F.col("__ry") + F.col("__oy")).alias("__cy"),
-                           (F.col("__rx") + F.col("__ox")).alias("__cx"))
-                  .agg(F.collect_list(F.struct("__rlat", "__rlon", *right_cols)).alias("__cands")))
-    cells = bounded_broadcast(cells)
-    lc = (left.withColumn("__cy", F.floor(F.col(la) / dlat).cast("bigint"))
-              .withColumn("__cx", F.floor(F.col(lo) / dlon).cast("bigint")))
-    j = lc.join(cells, ["__cy", "__cx"], "left")
-    scored = F.transform(F.coalesce(F.col("__cands"), F.array()), lambda c: F.struct(
-        (haversine_km(F.col(la), F.col(lo), c["__rlat"], c["__rlon"]) * 1000.0).alias("distance_m"),
-        *[c[x].alias(x) for x in right_cols]))
-    near = F.array_min(F.filter(scored, lambda x: x["distance_m"] <= radius_m))
-    return j.withColumn(out, near).drop("__cy", "__cx", "__cands")
+    # of right points on one spot only the smallest can win
+    spots = right.where(F.col(ra).isNotNull() & F.col(ro).isNotNull()).groupBy(
+        F.col(ra).alias("__rlat"), F.col(ro).alias("__rlon")).agg(
+        F.min(F.struct(*right_cols)).alias("__r"))
+    spots = _with_cells(spots, "__rlat", "__rlon", radius_m, around=True).distinct()
+    places = left.select(la, lo).where(F.col(la).isNotNull() & F.col(lo).isNotNull()).distinct()
+    pairs = _with_cells(places, la, lo, radius_m, around=False).join(spots, ["__cy", "__cx"])
+    distance = haversine_km(F.col(la), F.col(lo), F.col("__rlat"), F.col("__rlon")) * 1000.0
+    found = pairs.select(la, lo, F.struct(distance.alias("distance_m"),
+                                          *[F.col(f"__r.{c}").alias(c) for c in right_cols]).alias(out))
+    return found.where(F.col(f"{out}.distance_m") <= radius_m).groupBy(la, lo).agg(F.min(out).alias(out))
+
+
+def nearest_in_day(seconds: Column, at: Column) -> Column:
+    """struct(gap, ahead, second): the entry of the array `seconds` nearest to `at` around the clock; `gap` in
+    seconds; of two equally near ones the one that lies before `at` (ahead = 0)."""
+    def score(s: Column) -> Column:
+        after = F.pmod(s - at, F.lit(DAY))
+        return F.struct(F.least(after, DAY - after).alias("gap"),
+                        F.when((after > 0) & (after < DAY - after), 1).otherwise(0).alias("ahead"), s.alias("second"))
+
+    return F.array_min(F.transform(seconds, score))
+
+
+def signed_gap(at: Column, second: Column) -> Column:
+    """Seconds from `second` to `at` on the circle of 24 hours, from -43,199 to 43,200."""
+    after = F.pmod(at - second, F.lit(DAY))
+    return F.when(after > DAY // 2, after - DAY).otherwise(after)

@@ -1,64 +1,14 @@
-"""Broadcast only sides with a proven size bound.
+"""Broadcast hints for seed tables.
 
-`bounded_broadcast` proves the bound with a short-circuiting `limit(n + 1).count()`
-on the candidate side: at most `max_rows` rows -> broadcast hint, otherwise the
-side is returned unhinted and the planner picks a shuffled join (AQE may still
-demote to broadcast at runtime from measured sizes).
-
-The proof is a small job, so its outcome is remembered per session like table
-statistics: keyed by the side's semantic plan hash plus its input files (with
-sizes and modification times), so a changed input re-proves the bound.
-Literal seed tables are bounded by construction and use `seed_broadcast`.
+Only relations built from literal rows in the code are hinted: their size is fixed. Every other join side is
+left to Spark, which broadcasts by measured bytes (`spark.sql.autoBroadcastJoinThreshold`, statically from
+file sizes or at run time from shuffle statistics) and otherwise shuffles and splits skewed partitions.
 """
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables this project broadcasts are lookup-sized (tens to thousands of
-# rows). Anything beyond this bound goes through a shuffle join instead.
-DEFAULT_MAX_ROWS = 200_000
-
-_proven: dict[tuple, bool] = {}
-_lock = threading.Lock()
-
-
-def _stats_key(df: DataFrame, max_rows: int) -> tuple | None:
-    try:
-        files = tuple(sorted(df.inputFiles()))
-    except Exception:  # noqa: BLE001 - non-file sources: no cache
-        return None
-    spark = df.sparkSession
-    stamp = []
-    if files:
-        jvm = spark.sparkContext._jvm
-        hconf = spark.sparkContext._jsc.hadoopConfiguration()
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            st = path.getFileSystem(hconf).getFileStatus(path)
-            stamp.append((f, st.getLen(), st.getModificationTime()))
-    return (id(spark), df.semanticHash(), tuple(stamp), max_rows)
-
-
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    key = _stats_key(df, max_rows)
-    if key is not None:
-        with _lock:
-            hit = _proven.get(key)
-        if hit is not None:
-            return hit
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        with _lock:
-            _proven[key] = ok
-    return ok
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
 
 def seed_broadcast(df: DataFrame) -> DataFrame:
     """For DataFrames built from in-code literal rows (size known statically)."""

@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .broadcast import bounded_broadcast
 
 RESULT_COLUMNS = ["table_name", "column_name", "check_name", "failing_rows"]
 
@@ -53,7 +52,6 @@ def foreign_key(child: DataFrame, table: str, child_cols: Sequence[str], parent:
                 parent_cols: Sequence[str], parent_name: str) -> DataFrame:
     """T4: child rows with a non-NULL key that has no parent row."""
     keys = parent.select(*[F.col(p).alias(f"__k{i}") for i, p in enumerate(parent_cols)]).distinct()
-    keys = bounded_broadcast(keys)
     nonnull = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_cols])
     cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__k{i}") for i, c in enumerate(child_cols)])
     orphans = child.select(*child_cols).filter(nonnull).join(keys, cond, "left_anti")

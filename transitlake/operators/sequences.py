@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .broadcast import bounded_broadcast
 
 
 def _bucket(order: Column, bucket_size: float) -> Column:
@@ -41,7 +40,6 @@ def with_next(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence
     w_b = Window.partitionBy(*keys).orderBy("__b")
     nxt = (first.withColumn("__next_first", F.lead("__first").over(w_b))
                 .select(*keys, "__b", "__next_first"))
-    nxt = bounded_broadcast(nxt)
     j = b.join(nxt, [*keys, "__b"], "left")
     for c in carry:
         b_val = F.when(F.col("__has_next_in"), F.col(f"__in_{c}")).otherwise(F.col(f"__next_first.{c}"))
@@ -63,7 +61,6 @@ def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, value_col: s
     w_b = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__bt").over(w_b), F.lit(0))) \
                     .select(*keys, "__b", "__off")
-    offsets = bounded_broadcast(offsets)
     return (b.join(offsets, [*keys, "__b"], "left")
              .withColumn(out, F.col("__in_sum") + F.col("__off"))
              .drop("__in_sum", "__off", "__b"))

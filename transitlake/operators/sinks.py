@@ -14,9 +14,9 @@ rows to add) that is tested against SQL, and a writer that applies it:
   this is a dynamic partition overwrite of the `operator=` partition.
 * version_gate (S18): newest stored feed version per operator (tiny table, a
   top-1 read) compared on the driver.
-* materialise (S21): full rebuild written to a fresh version folder, then the
-  `_CURRENT` marker is switched, so readers never see a half-written table and a
-  job never overwrites the path it reads.
+* materialise (S21): full rebuild written to a new version folder; readers take the
+  newest folder that Spark's committer completed, so they never see a half-written
+  table and a job never overwrites the path it reads.
 """
 from __future__ import annotations
 
@@ -67,9 +67,9 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 def insert_if_absent_to(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                         order: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
     """Apply S14 to a Parquet table folder; returns the appended rows (lazy re-read)."""
-    try:
+    if path_exists(spark, path):
         target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: empty target
+    else:                                                       # first load: empty target
         target = spark.createDataFrame([], batch.drop(*[c for c in order if c not in keys]).schema)
     new = rows_to_insert(target, batch, keys, order)
     append(new, path, partition_by)
@@ -79,16 +79,18 @@ def insert_if_absent_to(spark: SparkSession, path: str, batch: DataFrame, keys:
 # --- S15 upsert ----------------------------------------------------------------------
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-           order: Sequence[str] | None = None) -> DataFrame:
+           order: Sequence[str]) -> DataFrame:
     """New table state after `INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols`.
 
-    Within the batch the last row per key (by `order`, else arbitrary) is applied.
+    Within the batch the last row per key is applied: the greatest by `order`, then by the other columns.
     Matched rows take `update_cols` from the batch and everything else from the
     target; unmatched batch rows are inserted whole."""
     cols = target.columns
-    if order:
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-        batch = batch.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    if not order:
+        raise ValueError("upsert needs the order in which a batch's rows arrived")
+    total = list(dict.fromkeys([*order, *[c for c in cols if c not in keys]]))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in total])
+    batch = batch.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
     b = batch.select(*cols, F.lit(True).alias("__new")).alias("b")
     t = target.select(*cols, F.lit(True).alias("__old")).alias("t")
     j = t.join(b, _on(keys, "t", "b"), "full_outer")
@@ -121,8 +123,7 @@ UPSERT_POLICY = {
 }
 
 
-def upsert_table(name: str, target: DataFrame, batch: DataFrame,
-                 order: Sequence[str] | None = None) -> DataFrame:
+def upsert_table(name: str, target: DataFrame, batch: DataFrame, order: Sequence[str]) -> DataFrame:
     keys, cols = UPSERT_POLICY[name]
     return upsert(target, batch, keys, cols, order)
 
@@ -144,10 +145,14 @@ def replace_stop_times(stop_times: DataFrame, old_trips: DataFrame, new_stop_tim
     return keep.unionByName(new_stop_times.select(*stop_times.columns))
 
 
-def replace_partition(df: DataFrame, path: str, partition_col: str = "operator") -> None:
-    """On disk: overwrite only the partitions present in `df` (dynamic overwrite);
-    other operators' partitions survive. Nothing is deleted before the new data is
-    written."""
+def replace_partition(df: DataFrame, path: str, partition_col: str = "operator",
+                      value: str | None = None) -> None:
+    """On disk: overwrite only the partitions present in `df` (dynamic overwrite); other operators'
+    partitions survive. With `value`, that partition is replaced even by an empty `df`: its folder goes."""
+    if value is not None and not df.limit(1).count():
+        fs, p = _fs(df.sparkSession, f"{path.rstrip('/')}/{partition_col}={value}")
+        fs.delete(p, True)
+        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
 
@@ -198,46 +203,48 @@ def require_all_valid(df: DataFrame, ok: Column, what: str) -> DataFrame:
 
 # --- S21 materialise ----------------------------------------------------------------------
 
-def materialise(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a full rebuild to `<path>/v=<id>` and point `<path>/_CURRENT` at it."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """False only if the path does not exist; any other failure to look is an error."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a rebuilt table, oldest first: folders that Spark's committer marked `_SUCCESS`."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n for n in names if n.startswith("v=") and path_exists(spark, f"{path.rstrip('/')}/{n}/_SUCCESS"))
+
+
+def materialise(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 2) -> str:
+    """Write a full rebuild to a new version folder `<path>/v=<number>-<id>`; readers take the newest complete one.
+
+    There is no moment without a readable version. The `keep` newest versions stay (a reader may still be on
+    the one before), older ones are deleted."""
     spark = df.sparkSession
-    version = f"v={uuid.uuid4().hex}"
+    old = versions(spark, path)
+    number = int(old[-1][2:14]) + 1 if old else 0
+    version = f"v={number:012d}-{uuid.uuid4().hex}"
     w = df.write.mode("error")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{path.rstrip('/')}/{version}")
-    _write_marker(spark, f"{path.rstrip('/')}/_CURRENT", version)
+    for gone in versions(spark, path)[:-keep]:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{gone}")
+        fs.delete(p, True)
     return version
 
 
 def read_materialised(spark: SparkSession, path: str) -> DataFrame:
-    marker = _read_marker(spark, f"{path.rstrip('/')}/_CURRENT")
-    return spark.read.parquet(f"{path.rstrip('/')}/{marker}")
-
-
-def _read_marker(spark: SparkSession, marker_path: str) -> str:
-    """The marker is a few bytes; read it through the Hadoop FileSystem API (a Spark
-    file scan would skip it: names starting with '_' are hidden)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(marker_path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine().strip()
-    finally:
-        stream.close()
-
-
-def _write_marker(spark: SparkSession, marker_path: str, text: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(marker_path)
-    fs = p.getFileSystem(conf)
-    tmp = jvm.org.apache.hadoop.fs.Path(marker_path + ".tmp-" + uuid.uuid4().hex)
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    """The newest complete version; an error if there is none."""
+    done = versions(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no complete version of {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{done[-1]}")

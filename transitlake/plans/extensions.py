@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from .. import seeds
 from ..functions import classify
 from ..functions.parse import gtfs_seconds
-from ..operators.asof import asof_nearest, nearest_within
-from ..operators.broadcast import bounded_broadcast
+from ..operators.asof import nearest_in_day, nearest_points, signed_gap
 from ..operators.latest import first_per_key, latest_per_key
 from ..operators.sequences import haversine_km, running_sum, with_next
 from ..sources import drivermap as dm
@@ -59,27 +58,26 @@ def stop_schedule(stop_times: DataFrame, trips: DataFrame, routes: DataFrame) ->
     return (stop_times.select("trip_id", "stop_id", sec.alias("sched_s"))
                       .filter(F.col("sched_s").isNotNull())
                       .join(trips.select("trip_id", "route_id"), "trip_id")
-                      .join(bounded_broadcast(r), "route_id")
+                      .join(r, "route_id")
                       .select("stop_id", "line_number", "sched_s"))
 
 
 def vehicle_delays(positions: DataFrame, stops: DataFrame, schedule: DataFrame,
                    radius_m: float = 300.0) -> DataFrame:
     """Each observation at a stop (nearest stop within `radius_m`, ties -> smaller stop id)
-    against the nearest scheduled arrival of its line at that stop (ties -> earlier)."""
-    obs_cols = ["vehicle_id", "line_number", "transport_type", "lat", "lon", "ingested_at"]
-    st = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
-    near = nearest_within(positions.select(*obs_cols), st, radius_m, ["stop_id", "stop_name"],
-                          ("lat", "lon"), ("stop_lat", "stop_lon"))
-    # only the columns the result needs travel through the as-of shuffles
-    at_stop = (near.filter(F.col("nearest").isNotNull())
-                   .select("vehicle_id", "line_number", "transport_type", "ingested_at",
-                           "nearest.stop_id", "nearest.stop_name")
-                   .withColumn("actual_s", seconds_of_day(F.col("ingested_at"))))
-    m = asof_nearest(at_stop, schedule, ["stop_id", "line_number"], "actual_s", "sched_s", [])
-    delay = F.round((F.col("actual_s") - F.col("match_sched_s")) / 60.0).cast("int")
+    against the nearest scheduled arrival of its line at that stop (around midnight too; ties -> the
+    one before)."""
+    stops = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
+    near = nearest_points(positions, stops, radius_m, ["stop_id", "stop_name"], ("lat", "lon"), ("stop_lat", "stop_lon"))
+    near = near.select("lat", "lon", "nearest.stop_id", "nearest.stop_name")
+    # distinct seconds of the day: at most 86 400 entries however long the history is
+    arrivals = schedule.groupBy("stop_id", "line_number").agg(F.collect_set("sched_s").alias("arrivals"))
+    at_stop = positions.select("vehicle_id", "line_number", "transport_type", "lat", "lon", "ingested_at").join(near, ["lat", "lon"])
+    m = at_stop.join(arrivals, ["stop_id", "line_number"], "left").withColumn("actual_s", seconds_of_day(F.col("ingested_at")))
+    m = m.withColumn("sched_s", nearest_in_day(F.col("arrivals"), F.col("actual_s"))["second"])
+    delay = F.round(signed_gap(F.col("actual_s"), F.col("sched_s")) / 60.0).cast("int")
     return m.select("vehicle_id", "line_number", "transport_type", "stop_name",
-                    hhmmss(F.col("match_sched_s").cast("int")).alias("scheduled_time"),
+                    hhmmss(F.col("sched_s").cast("int")).alias("scheduled_time"),
                     F.col("ingested_at").alias("actual_time"), delay.alias("delay_min"),
                     F.to_date("ingested_at").alias("snapshot_date"))
 
@@ -108,7 +106,6 @@ def fuel_with_discount(prices: DataFrame, discounts: DataFrame, as_of=None,
     """Today's price per fuel (M6 'today') against every client discount on that fuel;
     discount in EUR per unit (or percent), net price never below 0."""
     today = gold.fuel_daily(prices, as_of).select("fuel_type", "price_today", "date_today")
-    today = bounded_broadcast(today)
     d = discounts.withColumn("fuel_key", F.lower("fuel_type"))
     j = d.join(today, d.fuel_key == today.fuel_type, "inner").drop(today.fuel_type)
     net = (F.col("price_today") * (1 - F.col("discount") / 100) if percent
@@ -251,7 +248,7 @@ def x2_vehicle_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def x3_transport_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = DriverInputs(spark, sf_dir)
-    return transport_summary(silver.vehicle_positions(i.bronze_positions, i.routes, i.models),
+    return transport_summary(silver.vehicle_positions(gold.hourly_vehicles(i.bronze_positions), i.routes, i.models),
                              silver.elron_positions(i.bronze_trains, i.line_map))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify
-from ..operators.broadcast import bounded_broadcast, seed_broadcast
+from ..operators.broadcast import seed_broadcast
 from ..operators.latest import latest_per_key
 from . import silver
 
@@ -107,6 +107,18 @@ def latest_prices(prices: DataFrame) -> DataFrame:
                   .agg(F.max_by(F.col("price_eur"), order).alias("p_price")))
 
 
+def hourly_vehicles(bronze: DataFrame) -> DataFrame:
+    """Bronze reduced to one row per vehicle, line, operator and hour (partially aggregated before the
+    shuffle), in bronze's own columns: distinct counts run on this, before the route and model fan-out."""
+    day = F.col("snapshot_date") if "snapshot_date" in bronze.columns else F.to_date("ingested_at")
+    hour = F.date_trunc("hour", F.col("ingested_at")).cast("timestamp_ntz")
+    rows = bronze.select("vehicle_id", "line_type", "line_number", "operator", day.alias("snapshot_date"),
+                         hour.alias("ingested_at")).distinct()
+    return rows.withColumns({"destination": F.lit(None).cast("string"), "lat": F.lit(None).cast("double"),
+                             "lon": F.lit(None).cast("double"), "bearing": F.lit(None).cast("int"),
+                             "low_floor": F.lit(None).cast("boolean")})
+
+
 def active_vehicles(positions: DataFrame, trains: DataFrame, as_of=None) -> DataFrame:
     """A1 ∪ A2 for one day: distinct vehicles (bus/tram) and distinct trips (trains)."""
     day = _date(as_of)
@@ -124,13 +136,16 @@ def active_vehicles(positions: DataFrame, trains: DataFrame, as_of=None) -> Data
 
 
 def active_vehicles_weighted(positions: DataFrame, trains: DataFrame, as_of=None) -> DataFrame:
-    """N1 corrected: a bus counts once in total, split over fuels by the fleet share
-    (`fuel_share` from M1 in weighted mode); trains as in A2."""
+    """N1 corrected: a vehicle counts once in total. Its observations may fall in several groups (fuels of the
+    fleet, routes, unrouted ones); each group gets its share of the vehicle (`fuel_share` from M1 in weighted
+    mode), scaled so that a vehicle's shares of the day add up to one. Trains as in A2."""
     day = _date(as_of)
     per_vehicle = (positions.filter((F.col("snapshot_date") == day) & F.col("vehicle_id").isNotNull())
                             .groupBy("transport_type", "fuel_type", "operator", "snapshot_date",
                                      "vehicle_id")
                             .agg(F.max("fuel_share").alias("share")))
+    whole = Window.partitionBy("snapshot_date", "vehicle_id")
+    per_vehicle = per_vehicle.withColumn("share", F.col("share") / F.sum("share").over(whole))
     av = (per_vehicle.groupBy("transport_type", "fuel_type", "operator", "snapshot_date")
                      .agg(F.round(F.sum("share"), 6).alias("vehicle_count")))
     ea = active_vehicles(positions.limit(0), trains, as_of).filter(F.col("transport_type") == "train")
@@ -149,7 +164,7 @@ def fuel_cost_daily(positions: DataFrame, trains: DataFrame, prices: DataFrame,
            else active_vehicles(positions, trains, as_of)).alias("av")
     # one row per (transport, fuel, operator) of the fleet table; the static estimate of
     # an inner-join chain is the product of its inputs, so prove the size instead
-    fleet = bounded_broadcast(_fleet_aggregates(models, operators, line_types, fuel_types)).alias("f")
+    fleet = _fleet_aggregates(models, operators, line_types, fuel_types).alias("f")
     lp = latest_prices(prices).alias("p")
     j = (act.join(fleet, (F.col("f.transport_type") == F.col("av.transport_type"))
                   & (F.col("f.fuel_type") == F.col("av.fuel_type"))

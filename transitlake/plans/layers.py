@@ -37,28 +37,21 @@ def _code_fingerprint() -> str:
 
 CODE_VERSION = _code_fingerprint()
 
-_lock = threading.Lock()
-_known: dict[tuple, str] = {}
-_frames: dict[tuple, DataFrame] = {}   # (session, version folder) -> read relation
+_lock = threading.RLock()
 
 
 def _stamp(spark: SparkSession, paths: list[str]) -> str:
+    """Names, sizes and times of all files of the sources (a table may be one file or a folder of parts)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = []
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        st = path.getFileSystem(conf).getFileStatus(path)
-        parts.append(f"{p}:{st.getLen()}:{st.getModificationTime()}")
-    parts.append(CODE_VERSION)
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            st = files.next()
+            parts.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join([*sorted(parts), CODE_VERSION]).encode()).hexdigest()[:16]
 
 
 def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame],
@@ -71,27 +64,11 @@ def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[
     several tasks by the finer `cluster_by` ranges."""
     if not ENABLED:
         return build()
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    key = (id(spark), base, name, tuple(sources))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layers/{name}-{_stamp(spark, sources)}"
     with _lock:
-        path = _known.get(key)
-    if path is None:
-        path = f"{base}/layers/{name}-{_stamp(spark, sources)}"
-        if not _exists(spark, f"{path}/_CURRENT"):
+        if not sinks.versions(spark, path):
             df = build()
             if partition_by:
-                df = df.repartitionByRange(spark.sparkContext.defaultParallelism,
-                                           *partition_by, *cluster_by)
+                df = df.repartitionByRange(*partition_by, *cluster_by)
             sinks.materialise(df, path, partition_by)
-        with _lock:
-            _known[key] = path
-    # a version folder never changes once its marker exists, so its relation (file listing
-    # and schema) is read once per session
-    fkey = (id(spark), path)
-    with _lock:
-        df = _frames.get(fkey)
-    if df is None:
-        df = sinks.read_materialised(spark, path)
-        with _lock:
-            _frames[fkey] = df
-    return df
+    return sinks.read_materialised(spark, path)

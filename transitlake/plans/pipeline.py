@@ -157,8 +157,8 @@ class Pipeline:
 
     @cached_property
     def m5_fuel_cost_daily(self) -> DataFrame:
-        day_positions = silver.vehicle_positions(_day_slice(self.i.bronze_positions, self.as_of),
-                                                 self.i.routes, self.i.models, fuel_mode=self.fuel_mode)
+        day = gold.hourly_vehicles(_day_slice(self.i.bronze_positions, self.as_of))
+        day_positions = silver.vehicle_positions(day, self.i.routes, self.i.models, fuel_mode=self.fuel_mode)
         day_trains = silver.elron_positions(_day_slice(self.i.bronze_trains, self.as_of),
                                             self.i.line_map)
         return gold.fuel_cost_daily(day_positions, day_trains,
@@ -168,8 +168,8 @@ class Pipeline:
     @cached_property
     def m5_fuel_cost_weighted(self) -> DataFrame:
         """M5 with the fan-out corrected (fuel_mode="weighted")."""
-        day_positions = silver.vehicle_positions(_day_slice(self.i.bronze_positions, self.as_of),
-                                                 self.i.routes, self.i.models, fuel_mode="weighted")
+        day = gold.hourly_vehicles(_day_slice(self.i.bronze_positions, self.as_of))
+        day_positions = silver.vehicle_positions(day, self.i.routes, self.i.models, fuel_mode="weighted")
         day_trains = silver.elron_positions(_day_slice(self.i.bronze_trains, self.as_of),
                                             self.i.line_map)
         return gold.fuel_cost_daily(day_positions, day_trains, self.i.fuel_prices, self.i.models,
@@ -182,7 +182,8 @@ class Pipeline:
 
     @cached_property
     def m7_route_activity(self) -> DataFrame:
-        return gold.route_activity(self.m1_vehicle_positions)
+        return gold.route_activity(silver.vehicle_positions(
+            gold.hourly_vehicles(self.i.bronze_positions), self.i.routes, self.i.models, fuel_mode=self.fuel_mode))
 
     def models(self) -> dict[str, Callable[[], DataFrame]]:
         """Model name -> builder (lazy: only the requested model is planned)."""

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import seeds
 from ..functions import classify
-from ..operators.broadcast import bounded_broadcast
 
 M1_COLUMNS = ["vehicle_id", "line_type", "line_number", "route_id", "transport_type",
               "fuel_type", "destination", "operator", "lat", "lon", "bearing", "low_floor",
@@ -40,24 +39,25 @@ def model_lookup(models: DataFrame) -> DataFrame:
 
 
 def vehicle_positions(bronze: DataFrame, routes: DataFrame, models: DataFrame,
-                      fuel_mode: str = "reference") -> DataFrame:
+                      fuel_mode: str = "reference", keep: tuple[str, ...] = ()) -> DataFrame:
     """M1. `fuel_mode="reference"` keeps the reference's fan-out (one row per matching
     active model); `"weighted"` keeps one row per observation and route, carrying the
-    fleet-weighted fuel share in `fuel_share` (see gold.fuel_cost_daily)."""
-    r = bounded_broadcast(route_lookup(routes))
+    fleet-weighted fuel share in `fuel_share` (see gold.fuel_cost_daily). `keep`: further
+    bronze columns to carry."""
+    r = route_lookup(routes)
     v = bronze.alias("v")
     cond = ((F.col("r_short_name") == F.col("v.line_number"))
             & (((F.col("v.line_type") == 3) & (F.col("r_route_type") == 0))
                | ((F.col("v.line_type") == 2) & (F.col("r_route_type") == 3))))
     vr = v.join(r, cond, "left")
     if fuel_mode == "reference":
-        m = bounded_broadcast(model_lookup(models))
+        m = model_lookup(models)
         vrm = vr.join(m, F.col("m_line_type") == F.col("v.line_type"), "left")
         fuel = classify.position_fuel_type(F.col("r_route_type"), F.col("m_fuel"))
         extra = []
     elif fuel_mode == "weighted":
         # only bus routes take the fleet's fuel mix; everything else stays one row
-        m = bounded_broadcast(fuel_shares(models))
+        m = fuel_shares(models)
         vrm = vr.join(m, (F.col("m_line_type") == F.col("v.line_type")) & (F.col("r_route_type") == 3),
                       "left")
         fuel = classify.position_fuel_type(F.col("r_route_type"), F.col("m_fuel"))
@@ -74,7 +74,7 @@ def vehicle_positions(bronze: DataFrame, routes: DataFrame, models: DataFrame,
         F.col("v.bearing"), F.col("v.low_floor"),
         (F.col("v.snapshot_date") if "snapshot_date" in bronze.columns
          else F.to_date(F.col("v.ingested_at"))).alias("snapshot_date"),
-        F.col("v.ingested_at"), *extra)
+        F.col("v.ingested_at"), *extra, *[F.col(f"v.{c}") for c in keep])
 
 
 def fuel_shares(models: DataFrame) -> DataFrame:
@@ -91,9 +91,9 @@ def fuel_shares(models: DataFrame) -> DataFrame:
 
 def elron_positions(bronze_trains: DataFrame, line_map: DataFrame) -> DataFrame:
     """M2."""
-    lt = bounded_broadcast(line_map.select(F.col("liin").alias("lt_liin"),
+    lt = line_map.select(F.col("liin").alias("lt_liin"),
                                            F.col("fuel_type").alias("lt_fuel"),
-                                           F.col("model").alias("lt_model")))
+                                           F.col("model").alias("lt_model"))
     e = bronze_trains.alias("e")
     j = e.join(lt, F.col("lt_liin") == F.col("e.liin"), "left")
     return j.select(

@@ -24,12 +24,14 @@ def _positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.vehicle_positions(bronze, i.routes, i.models)
 
 
+def _bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dm.bronze_vehicle_positions(_stream(spark, sf_dir, "events"))
+
+
 def st5_route_activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_path(spark, "st5_route_activity")
-    q = jobs.start_append(jobs.route_activity_windows(_positions_stream(spark, sf_dir)),
-                          f"{out}/data", f"{out}/checkpoint")
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    out, i = scratch_path(spark, "st5_route_activity"), DriverInputs(spark, sf_dir)
+    jobs.start_vehicle_hours(_bronze_stream(spark, sf_dir), f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return jobs.route_activity_windows(spark.read.parquet(f"{out}/data"), i.routes, i.models)
 
 
 def st4_latest_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,13 +84,10 @@ def st2_day_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st6_route_activity_approx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST6: approximate distinct vehicles per closed hour window (HyperLogLog++; no exact
-    SQL twin)."""
-    out = scratch_path(spark, "st6_route_activity_approx")
-    q = jobs.start_append(jobs.route_activity_approx(_positions_stream(spark, sf_dir)),
-                          f"{out}/data", f"{out}/checkpoint")
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    """ST6: approximate distinct vehicles per hour window (mergeable sketches; no exact SQL twin)."""
+    out, i = scratch_path(spark, "st6_route_activity_approx"), DriverInputs(spark, sf_dir)
+    jobs.start_vehicle_sketches(_bronze_stream(spark, sf_dir), f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return jobs.route_activity_approx(spark.read.parquet(f"{out}/data"), i.routes, i.models)
 
 
 STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st2_day_positions_stream,

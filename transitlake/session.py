@@ -71,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="transitlake-ckpt-"))
         current = sc.getCheckpointDir()
     elif not sc.getCheckpointDir():

@@ -38,7 +38,8 @@ def read_member(spark: SparkSession, feed_dir: str, member: str) -> DataFrame:
     if not _exists(spark, path):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in MEMBER_COLUMNS[member]])
         return spark.createDataFrame([], schema)
-    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    df = (spark.read.option("header", True).option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
+          .option("multiLine", True).csv(path))
     first = df.columns[0]
     if first.startswith("\ufeff"):
         df = df.withColumnRenamed(first, first.lstrip("\ufeff"))
@@ -59,7 +60,7 @@ def feed_version(spark: SparkSession, feed_dir: str) -> str | None:
 
 
 def typed_routes(raw: DataFrame, operator: str) -> DataFrame:
-    rt = F.coalesce(_col(raw, "route_type"), F.lit("3"))
+    rt = _col(raw, "route_type", "3")          # only a missing column means 3; a blank value aborts the load
     df = raw.select(F.col("route_id"), F.coalesce(_col(raw, "agency_id"), F.lit("")).alias("agency_id"),
                     F.coalesce(_col(raw, "route_short_name"), F.lit("")).alias("route_short_name"),
                     F.coalesce(_col(raw, "route_long_name"), F.lit("")).alias("route_long_name"),
@@ -116,4 +117,4 @@ def write_member(df: DataFrame, feed_dir: str, member: str, bom: bool = True) ->
     """Land a member as header CSV (the first column name carries a BOM, as feeds do)."""
     if bom:
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
-    df.write.mode("overwrite").option("header", True).csv(f"{feed_dir.rstrip('/')}/{member}.txt")
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(f"{feed_dir.rstrip('/')}/{member}.txt")

@@ -32,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import classify
 from ..operators import sinks
 from ..operators.latest import latest_per_key
+from ..plans import gold, silver
 from ..sources import gps
 
 WATERMARK = "10 minutes"
@@ -125,10 +126,8 @@ def start_latest_positions(positions: DataFrame, table_path: str, checkpoint: st
     vehicle, small), written as a new version and swapped in (S21)."""
     def merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            state = sinks.read_materialised(spark, table_path)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            state = None
+        # only a table that was never written is empty; a failed read must fail the batch
+        state = sinks.read_materialised(spark, table_path) if sinks.versions(spark, table_path) else None
         sinks.materialise(merge_latest(state, batch), table_path)
 
     w = positions.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -148,34 +147,69 @@ def latest_positions_stateful(positions: DataFrame) -> DataFrame:
 
 # --- ST5 / ST6 / ST8 / ST9 -----------------------------------------------------------------
 
+SEEN_KEYS = ["vehicle_id", "line_type", "line_number", "operator", "snapshot_date", "ingested_at"]
 ACTIVITY_KEYS = ["line_number", "transport_type", "fuel_type", "operator"]
 
 
-def route_activity_windows(positions: DataFrame, window: str = "1 hour",
-                           watermark: str = WATERMARK) -> DataFrame:
-    """ST5: exact distinct vehicles per (hour window, line, type, fuel, operator).
+def _foreach(stream: DataFrame, apply, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
 
-    `countDistinct` is not allowed on streams, so vehicles are first deduplicated per
-    window and key (state bounded by the watermark), then counted; append mode emits
-    each window once, after the watermark has passed its end."""
-    ev = event_time(positions).withWatermark("event_ts", watermark)
-    w = ev.withColumn("window", F.window("event_ts", window))
-    dedup = w.dropDuplicates(["window", *ACTIVITY_KEYS, "vehicle_id"])
-    counts = dedup.groupBy("window", *ACTIVITY_KEYS).agg(F.count("vehicle_id").alias("vehicle_count"))
-    return counts.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                         *ACTIVITY_KEYS, "vehicle_count")
 
+def start_vehicle_hours(bronze: DataFrame, table_path: str, checkpoint: str,
+                        available_now: bool = True) -> StreamingQuery:
+    """ST5, first half: the table of (vehicle, line, operator, hour) seen so far, by day.
 
-def route_activity_approx(positions: DataFrame, window: str = "1 hour",
-                          watermark: str = WATERMARK, rsd: float = 0.02) -> DataFrame:
-    """ST6: approximate distinct vehicles (HyperLogLog++), one stateful operator."""
-    ev = event_time(positions).withWatermark("event_ts", watermark)
-    agg = (ev.groupBy(F.window("event_ts", window).alias("window"), *ACTIVITY_KEYS)
-             .agg(F.approx_count_distinct("vehicle_id", rsd).alias("vehicle_count_approx")))
-    return agg.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                      *ACTIVITY_KEYS, "vehicle_count_approx")
+    Every batch is reduced to distinct rows and only the new ones are added (S14), so hours are complete as
+    far as files have landed, files may land in any order, and a replayed batch adds nothing. No state is
+    held and no row is ever late."""
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        seen = gold.hourly_vehicles(batch).select(*SEEN_KEYS)
+        sinks.insert_if_absent_to(batch.sparkSession, table_path, seen.where("vehicle_id is not null"), SEEN_KEYS,
+                                  SEEN_KEYS, ("snapshot_date",))
+
+    return _foreach(bronze, add, checkpoint, available_now)
+
+
+def _as_bronze(rows: DataFrame) -> DataFrame:
+    empty = {"destination": "string", "lat": "double", "lon": "double", "bearing": "int", "low_floor": "boolean"}
+    return rows.withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
+
+
+def _windows() -> list[Column]:
+    return [F.col("ingested_at").alias("window_start"),
+            (F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")).alias("window_end")]
+
+
+def route_activity_windows(vehicle_hours: DataFrame, routes: DataFrame, models: DataFrame) -> DataFrame:
+    """ST5, second half: exact distinct vehicles per hour window, line, type, fuel and operator."""
+    positions = silver.vehicle_positions(_as_bronze(vehicle_hours), routes, models)
+    return positions.groupBy(*_windows(), *ACTIVITY_KEYS).agg(F.countDistinct("vehicle_id").alias("vehicle_count"))
+
+
+SKETCH_KEYS = ["line_type", "line_number", "operator", "snapshot_date", "ingested_at"]
+
+
+def start_vehicle_sketches(bronze: DataFrame, table_path: str, checkpoint: str, lg_size: int = 12,
+                           available_now: bool = True) -> StreamingQuery:
+    """ST6, first half: every batch appends one sketch of its vehicles per line and hour. The union of a
+    sketch with itself changes nothing, so replays and the order of files do not matter."""
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        day, hour = F.to_date("ingested_at"), F.date_trunc("hour", F.col("ingested_at")).cast("timestamp_ntz")
+        rows = batch.where("vehicle_id is not null").groupBy(
+            "line_type", "line_number", "operator", day.alias("snapshot_date"), hour.alias("ingested_at"))
+        sinks.append(rows.agg(F.hll_sketch_agg("vehicle_id", F.lit(lg_size)).alias("sketch")), table_path, ("snapshot_date",))
+
+    return _foreach(bronze, add, checkpoint, available_now)
+
+
+def route_activity_approx(sketches: DataFrame, routes: DataFrame, models: DataFrame) -> DataFrame:
+    """ST6, second half: approximate distinct vehicles (relative error about 1.04 / sqrt(2 ** lg_size))."""
+    joined = sketches.groupBy(*SKETCH_KEYS).agg(F.hll_union_agg("sketch").alias("sketch")).withColumn("vehicle_id", F.lit(None).cast("bigint"))
+    positions = silver.vehicle_positions(_as_bronze(joined), routes, models, keep=("sketch",))
+    return positions.groupBy(*_windows(), *ACTIVITY_KEYS).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("vehicle_count_approx"))
 
 
 def dedupe_replays(positions: DataFrame, keys: Sequence[str] = ("vehicle_id", "ingested_at"),

@@ -1,12 +1,15 @@
 """Registered sink queries (S12, S14-S16, S18): table state after the operation."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sinks
 from ..session import scratch_path
 from ..sources import drivermap as dm
+from ..sources import gtfs, gtfs_load
 
 
 def _date(s: str):
@@ -79,6 +82,62 @@ def s18_latest_feed_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.latest_versions(hist)
 
 
+def _land_feed(d: dm.DriverTables, folder: str, version: str, odd: int, orders: DataFrame) -> str:
+    """One operator's feed as CSV members: ids of one parity; names with quotes, commas and line breaks; blank
+    and wrong numbers."""
+    text = lambda c: F.col(c).cast("string")
+    mine = lambda df, c: df.filter(F.col(c) % 2 == odd)
+    orders = mine(orders, "o_orderkey")
+    key = F.col("o_orderkey")
+    members = {
+        "agency": mine(d.raw("region"), "r_regionkey").select(
+            text("r_regionkey").alias("agency_id"), F.concat("r_name", F.lit(' "A" tee, 1')).alias("agency_name")),
+        "routes": mine(d.raw("nation"), "n_nationkey").select(
+            text("n_nationkey").alias("route_id"), F.col("n_name").alias("route_short_name"),
+            F.concat(F.lit("Line\n"), "n_name").alias("route_long_name"),
+            F.when(F.col("n_nationkey") % 5 == 0, "0").otherwise("3").alias("route_type")),
+        "stops": mine(d.raw("supplier"), "s_suppkey").select(
+            text("s_suppkey").alias("stop_id"), F.concat("s_name", F.lit(', "x"')).alias("stop_name"),
+            F.when(F.col("s_suppkey") % 11 == 0, "north").when(F.col("s_suppkey") % 7 == 0, "").otherwise("59.4").alias("stop_lat"),
+            F.lit("24.7").alias("stop_lon")),
+        "trips": orders.select(
+            text("o_orderkey").alias("trip_id"), (key % 25).cast("string").alias("route_id"),
+            F.col("o_orderpriority").alias("trip_headsign"),
+            F.when(key % 13 == 0, "x").when(key % 3 == 0, "").otherwise("1").alias("direction_id")),
+        "stop_times": dm.gtfs_stop_times_raw(d.raw("lineitem").join(
+            orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")),
+        "feed_info": d.raw("region").filter("r_regionkey = 0").select(F.lit(version).alias("feed_version")),
+    }
+    for member, df in members.items():
+        gtfs.write_member(df, folder, member)
+    return folder
+
+
+def s16_gtfs_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two operators' feeds loaded whole, one again unchanged (skipped), the other in a newer version with half
+    of its trips (replaced): every row of the tables afterwards."""
+    d, out = dm.DriverTables(spark, sf_dir), scratch_path(spark, "gtfs_load")
+    orders = d.raw("orders")
+    newer = orders.filter(F.col("o_orderkey") % 4 == 1)
+    feeds = [("TLT", "v1", 0, orders), ("Elron", "v1", 1, orders), ("TLT", "v1", 0, newer), ("Elron", "v2", 1, newer)]
+    for n, (operator, version, odd, rows) in enumerate(feeds):
+        feed = _land_feed(d, f"{out}/feed{n}", version, odd, rows)
+        gtfs_load.load_feed(spark, feed, operator, f"{out}/tables", f"2024-01-0{n + 1} 00:00:00")
+
+    def rows(member: str, key: str, name: str, n) -> DataFrame:
+        t = spark.read.parquet(f"{out}/tables/{member}")
+        return t.select(F.lit(member).alias("member"), "operator", F.col(key).cast("string").alias("id"),
+                        F.col(name).alias("name"), n.cast("long").alias("n"))
+
+    times = rows("stop_times", "trip_id", "arrival_time", F.col("stop_sequence")).groupBy("member", "operator", "id").agg(
+        F.min("name").alias("name"), F.count("*").alias("n"))
+    parts = [rows("agency", "agency_id", "agency_name", F.lit(None)), rows("routes", "route_id", "route_long_name", F.col("route_type")),
+             rows("stops", "stop_id", "stop_name", F.col("stop_lat").isNotNull().cast("int")),
+             rows("trips", "trip_id", "trip_headsign", F.col("direction_id")), times,
+             rows("feed_info", "operator", "feed_version", F.day("loaded_at"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 SINK_QUERIES = {f.__name__: f for f in (
-    s12_append_partitioned, s14_insert_if_absent, s15_upsert_trips, s16_replace_operator,
+    s12_append_partitioned, s14_insert_if_absent, s15_upsert_trips, s16_replace_operator, s16_gtfs_load,
     s18_latest_feed_version)}

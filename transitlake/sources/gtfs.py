@@ -59,6 +59,18 @@ def feed_version(spark: SparkSession, feed_dir: str) -> str | None:
     return row[0][0] if row else None
 
 
+def _row(df: DataFrame) -> list:
+    """The row's place in its feed, if the caller numbered the rows."""
+    return [F.col("feed_row")] if "feed_row" in df.columns else []
+
+
+def typed_agency(raw: DataFrame, operator: str) -> DataFrame:
+    """Only a missing `agency_id` column means the operator; blank values stay blank."""
+    return raw.select(F.coalesce(_col(raw, "agency_id", operator), F.lit("")).alias("agency_id"),
+                      *[F.coalesce(_col(raw, c), F.lit("")).alias(c) for c in MEMBER_COLUMNS["agency"][1:]],
+                      F.lit(operator).alias("operator"), *_row(raw))
+
+
 def typed_routes(raw: DataFrame, operator: str) -> DataFrame:
     rt = _col(raw, "route_type", "3")          # only a missing column means 3; a blank value aborts the load
     df = raw.select(F.col("route_id"), F.coalesce(_col(raw, "agency_id"), F.lit("")).alias("agency_id"),
@@ -67,7 +79,7 @@ def typed_routes(raw: DataFrame, operator: str) -> DataFrame:
                     int_or_null(rt, "int").alias("route_type"),
                     F.coalesce(_col(raw, "route_color"), F.lit("")).alias("route_color"),
                     F.coalesce(_col(raw, "route_text_color"), F.lit("")).alias("route_text_color"),
-                    F.lit(operator).alias("operator"))
+                    F.lit(operator).alias("operator"), *_row(raw))
     return require_all_valid(df, F.col("route_type").isNotNull(), "routes.txt")
 
 
@@ -78,7 +90,7 @@ def typed_stops(raw: DataFrame, operator: str) -> tuple[DataFrame, DataFrame]:
     df = raw.select(F.col("stop_id"), F.coalesce(_col(raw, "stop_name"), F.lit("")).alias("stop_name"),
                     lat.alias("_lat"), lon.alias("_lon"), lt.alias("_lt"),
                     F.when(strip(_col(raw, "parent_station")) != "", _col(raw, "parent_station"))
-                     .alias("parent_station"))
+                     .alias("parent_station"), *_row(raw))
     ok = (F.col("stop_id").isNotNull()
           & ((F.coalesce(strip(F.col("_lat")), F.lit("")) == "") | double_or_null(F.col("_lat")).isNotNull())
           & ((F.coalesce(strip(F.col("_lon")), F.lit("")) == "") | double_or_null(F.col("_lon")).isNotNull())
@@ -88,7 +100,7 @@ def typed_stops(raw: DataFrame, operator: str) -> tuple[DataFrame, DataFrame]:
                        double_or_null(F.col("_lat")).alias("stop_lat"),
                        double_or_null(F.col("_lon")).alias("stop_lon"),
                        int_or_null(F.col("_lt"), "int").alias("location_type"),
-                       "parent_station", F.lit(operator).alias("operator"))
+                       "parent_station", F.lit(operator).alias("operator"), *_row(raw))
     return good, bad
 
 
@@ -97,7 +109,7 @@ def typed_trips(raw: DataFrame, operator: str) -> tuple[DataFrame, DataFrame]:
     df = raw.select(_col(raw, "trip_id").alias("trip_id"), _col(raw, "route_id").alias("route_id"),
                     F.coalesce(_col(raw, "service_id"), F.lit("")).alias("service_id"),
                     F.coalesce(_col(raw, "trip_headsign"), F.lit("")).alias("trip_headsign"),
-                    int_or_null(d, "int").alias("direction_id"))
+                    int_or_null(d, "int").alias("direction_id"), *_row(raw))
     ok = F.col("trip_id").isNotNull() & F.col("route_id").isNotNull() & F.col("direction_id").isNotNull()
     good, bad = split_valid(df, ok)
     return good.withColumn("operator", F.lit(operator)), bad

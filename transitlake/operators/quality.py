@@ -13,14 +13,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 RESULT_COLUMNS = ["table_name", "column_name", "check_name", "failing_rows"]
 
 
-def _rows(df: DataFrame, table: str, named_counts: list[tuple[str, str, F.Column]]) -> DataFrame:
+def _rows(df: DataFrame, table: str, named_counts: list[tuple[str, str, Column]]) -> DataFrame:
     """One aggregation computing all counts, unpivoted to result rows."""
     agg = df.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"c{i}")
                    for i, (_, _, c) in enumerate(named_counts)])
@@ -31,15 +31,22 @@ def _rows(df: DataFrame, table: str, named_counts: list[tuple[str, str, F.Column
     return agg.select(stack.alias("r")).select("r.*")
 
 
-def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+def _null_count(column: str) -> tuple[str, str, Column]:
     """Rows where the column is NULL."""
-    return _rows(df, table, [(c, "not_null", F.sum(F.col(c).isNull().cast("int"))) for c in columns])
+    return column, "not_null", F.sum(F.col(column).isNull().cast("int"))
 
 
-def accepted_values(df: DataFrame, table: str, column: str, values: Sequence) -> DataFrame:
+def _unaccepted_count(column: str, values: Sequence) -> tuple[str, str, Column]:
     """Non-NULL values outside the accepted set (NULL passes)."""
-    bad = F.sum((F.col(column).isNotNull() & ~F.col(column).isin(list(values))).cast("int"))
-    return _rows(df, table, [(column, "accepted_values", bad)])
+    return column, "accepted_values", F.sum((F.col(column).isNotNull() & ~F.col(column).isin(list(values))).cast("int"))
+
+
+def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    return _rows(df, table, [_null_count(c) for c in columns])
+
+
+def accepted_values(df: DataFrame, table: str, column: str, values: Sequence) -> DataFrame:
+    return _rows(df, table, [_unaccepted_count(column, values)])
 
 
 def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -69,10 +76,11 @@ class QualitySpec:
 
 def run_checks(tables: dict[str, DataFrame], spec: QualitySpec) -> DataFrame:
     parts: list[DataFrame] = []
-    for t, cols in spec.not_null.items():
-        parts.append(not_null(tables[t], t, cols))
-    for t, c, vals in spec.accepted:
-        parts.append(accepted_values(tables[t], t, c, vals))
+    # T1 and T2 of a table are counted in one pass over it
+    for t in dict.fromkeys([*spec.not_null, *[a[0] for a in spec.accepted]]):
+        counts = [_null_count(c) for c in spec.not_null.get(t, [])]
+        counts += [_unaccepted_count(c, vals) for name, c, vals in spec.accepted if name == t]
+        parts.append(_rows(tables[t], t, counts))
     for t, cols in spec.unique:
         parts.append(unique(tables[t], t, cols))
     for t, cols, p, pcols in spec.foreign:

@@ -161,7 +161,9 @@ def congestion_episodes(positions: DataFrame, max_step_m: float = 500.0,
     `max_step_m` (and are at most `max_gap_minutes` apart) lasting more than `min_minutes`."""
     p = (positions.select("vehicle_id", "ingested_at", "lat", "lon")
                   .filter(F.col("vehicle_id").isNotNull() & F.col("ingested_at").isNotNull())
-                  .dropDuplicates(["vehicle_id", "ingested_at"])
+                  .groupBy("vehicle_id", "ingested_at")
+                  .agg(F.min(F.struct("lat", "lon")).alias("at"))          # of several reports at one instant
+                  .select("vehicle_id", "ingested_at", "at.lat", "at.lon")
                   .withColumn("t", F.unix_micros(F.col("ingested_at").cast("timestamp")) / 1e6))
     n = with_next(p, ["vehicle_id"], "t", ["lat", "lon"], bucket_size=bucket_size)
     step_m = haversine_km(F.col("lat"), F.col("lon"), F.col("next_lat"), F.col("next_lon")) * 1000

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import sinks
 from ..session import scratch_path
 from ..sources import drivermap as dm
-from ..sources import gtfs, gtfs_load
+from ..sources import gtfs, gtfs_load, prices
 
 
 def _date(s: str):
@@ -36,6 +36,28 @@ def s14_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.insert_if_absent(stored, incoming, ["fuel_type", "source_date"], ["seq"])
 
 
+def s14_fuel_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price tables, the electricity series and CNG texts merged and inserted twice: rows of even ids first, then
+    all of them; the first price of a fuel and day stays."""
+    d, out = dm.DriverTables(spark, sf_dir), scratch_path(spark, "fuel_ingest")
+    day = F.date_add(_date("2024-01-01"), (F.col("id") % 500).cast("int"))
+
+    def batch(keep):
+        tables = prices.parse_price_tables(dm.price_pages(d.raw("orders")), keep=["page_id"]).select(
+            F.col("page_id").alias("id"), "row_pos", "fuel_type", F.col("price").alias("price_eur"))
+        electric = prices.parse_electric(dm.electric_docs(d.raw("events")), keep=["event_id"]).select(
+            F.col("event_id").alias("id"), F.lit(0).alias("row_pos"), "fuel_type", "price_eur")
+        cng = prices.mine_cng_price(dm.cng_texts(d.raw("documents"), d.raw("orders")), keep=["text_id"])
+        cng = cng.filter(F.col("text_id").startswith("order:")).select(
+            F.split_part("text_id", F.lit(":"), F.lit(2)).cast("bigint").alias("id"), F.lit(0).alias("row_pos"), "fuel_type",
+            F.col("price").alias("price_eur"))
+        return prices.ingest_batch(*[x.filter(keep).withColumn("source_date", day) for x in (tables, electric, cng)])
+
+    for keep in (F.col("id") % 2 == 0, F.lit(True)):
+        sinks.insert_if_absent_to(spark, out, batch(keep), ["fuel_type", "source_date"], ["seq"])
+    return spark.read.parquet(out)
+
+
 def s15_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips stored before 2000, a feed from mid-1999 with new headsigns, routes and
     services; only the headsign of stored trips may change, new trips insert whole. Every
@@ -139,5 +161,5 @@ def s16_gtfs_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SINK_QUERIES = {f.__name__: f for f in (
-    s12_append_partitioned, s14_insert_if_absent, s15_upsert_trips, s16_replace_operator, s16_gtfs_load,
+    s12_append_partitioned, s14_insert_if_absent, s14_fuel_ingest, s15_upsert_trips, s16_replace_operator, s16_gtfs_load,
     s18_latest_feed_version)}

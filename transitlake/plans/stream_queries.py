@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import sinks
 from ..session import scratch_path
 from ..sources import drivermap as dm
+from ..sources import trains
 from ..streaming import jobs
 from . import silver
 from .pipeline import DriverInputs
@@ -74,6 +75,15 @@ def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/bronze")
 
 
+def st1_train_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train snapshot documents as a stream into bronze train positions (ST1, S3)."""
+    out = scratch_path(spark, "st1_trains")
+    docs = dm.train_snapshot_docs(_stream(spark, sf_dir, "events"))
+    parsed = trains.parse_trains(trains.snapshots_from_text(docs), keep=["event_id", "ingested_at"])
+    jobs.start_append(parsed, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
 def st2_day_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming bronze positions with the night pause applied (ST2 / P13)."""
     out = scratch_path(spark, "st2_day_positions")
@@ -90,7 +100,7 @@ def st6_route_activity_approx_stream(spark: SparkSession, sf_dir: str) -> DataFr
     return jobs.route_activity_approx(spark.read.parquet(f"{out}/data"), i.routes, i.models)
 
 
-STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st2_day_positions_stream,
+STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st1_train_ingest_stream, st2_day_positions_stream,
                                           st6_route_activity_approx_stream, 
     st4_latest_positions_stream, st5_route_activity_stream, st7_price_intake_stream,
     st8_replay_dedupe_stream)}

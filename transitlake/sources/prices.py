@@ -101,6 +101,16 @@ def mine_cng_price(texts: DataFrame, text_col: str = "text", keep: list[str] | N
              .filter(F.col("price").between(lo, hi)))
 
 
+def ingest_batch(tables: DataFrame, electric: DataFrame, cng: DataFrame) -> DataFrame:
+    """The day's prices of the three sources in the order they are asked (S5, S6, S7): columns seq, fuel_type,
+    price_eur, source_date, source. Each input has id, row_pos, fuel_type, price_eur and source_date; any of them
+    may be empty. `seq` orders the rows within a day, so the first price of a fuel wins on insert (S14)."""
+    parts = [df.select(F.struct(F.lit(n).alias("source"), "id", "row_pos").alias("seq"), "fuel_type",
+                       F.col("price_eur").cast(PRICE_TYPE).alias("price_eur"), "source_date", F.lit(name).alias("source"))
+             for n, (name, df) in enumerate((("table", tables), ("electric", electric), ("cng", cng)))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def daily_archive_docs(prices: DataFrame, order_col: str = "seq") -> DataFrame:
     """S4 writer + A10: one archive document per day, `prices` = {fuel: price} where the
     last price of a fuel that day wins. Each fuel is reduced to one value before the

@@ -87,7 +87,7 @@ def test_trigger_depends_on_the_window_only():
     a, b, c = (np.frombuffer(prose(s, 400).encode(), np.uint8)[:900] for s in (22, 23, 24))
     whole = np.concatenate([a, b, c])
     for lone, shift in ((b, len(a)),):
-        g, f, first, last, _ = substrings.phrases(whole)
+        g, f, first, last, *_ = substrings.phrases(whole)
         own = substrings.phrases(lone)
         place = {int(x): int(h) for x, h in zip(own[2], own[0])}
         inside = [(int(x) - shift, int(h)) for x, h in zip(first, g) if x > shift and x - shift in place]

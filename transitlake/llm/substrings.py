@@ -11,8 +11,10 @@ bytes, so ranks are 64-bit fingerprints grouped by Spark (trigger and content: 1
 
 1. Phrases whose trigger occurs once hold no repeated window and are dropped.
 2. A phrase that occurs twice or more is repeated as a whole: each of its windows is.
-3. For the remaining phrases with a shared trigger (those at the rims of repeats) and one copy of the
-   repeated phrases with the same trigger, every suffix of the phrase is ranked to depth 200.
+3. The remaining phrases with a shared trigger (those at the rims of repeats), and one copy of the
+   repeated phrases with the same trigger, are cut into blocks of `BLOCK` windows, aligned to the trigger. A
+   block whose core (the bytes common to its windows) occurs once is dropped, a block that occurs twice
+   as a whole is settled; only in the others every suffix of the phrase is ranked to depth 200.
 
 Counting is by aggregation, so a passage in a third of all texts is summed before the shuffle; the joins
 back are plain equi-joins that Spark can split. Texts are parsed in slices of `SLICE` bytes; a phrase cut
@@ -37,6 +39,7 @@ from .common import release, row_key, ship, stage
 LENGTH, GRAM = 200, 96
 WINDOW = LENGTH - GRAM + 1       # trigger candidates in a window
 SLICE = 1 << 20
+BLOCK = 8                        # windows in a block of a phrase
 _ONE, _LOW = np.uint64(1), np.uint64(0xFFFFFFFF)
 
 
@@ -86,7 +89,7 @@ def _last_minimum(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Phrases of a slice: (trigger hash, content hash, first window, last window, prefix sums)."""
+    """Phrases of a slice: (trigger hash, content hash, first window, last window, trigger place, prefix sums)."""
     sums = _sums(data)
     at = np.arange(len(data) - GRAM + 1)
     grams = _hashes(sums, at, at + GRAM)
@@ -97,7 +100,7 @@ def phrases(data: np.ndarray) -> tuple[np.ndarray, ...]:
     last = np.concatenate((first[1:] - 1, [len(trigger) - 1]))
     place = trigger[first]
     content = _mix(_hashes(sums, first, last + LENGTH) ^ _mix(((place - first) << 32 | (last - first)).astype(np.uint64)))
-    return grams[place], content, first, last, sums
+    return grams[place], content, first, last, place, sums
 
 
 def _slices(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
@@ -116,7 +119,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, held = [], 0
         for k1, k2, text in zip(pdf["k1"], pdf["k2"], pdf["text"]):
             for offset, data in _slices(text):
-                g, f, first, last, _ = phrases(data)
+                g, f, first, last, *_ = phrases(data)
                 out.append((np.full(len(g), k1), np.full(len(g), k2), g.astype(np.int64), f.astype(np.int64),
                             (first + offset).astype(np.int64), (last - first + 1).astype(np.int32)))
                 held += len(g)
@@ -131,23 +134,65 @@ def _rows(parts) -> pd.DataFrame:
     return pd.DataFrame(dict(zip(("k1", "k2", "g", "f", "first", "windows"), map(np.concatenate, zip(*parts)))))
 
 
+def _asked(pdf: pd.DataFrame):
+    """For each slice of each text: keys, offset, bytes, and the first window and number of windows asked for."""
+    for row in zip(*(pdf[c] for c in ("k1", "k2", "text", "gs", "firsts", "counts"))):
+        gs, firsts, counts = (np.asarray(x, np.int64) for x in row[3:])
+        order = np.argsort(firsts, kind="stable")
+        gs, firsts, counts = gs[order], firsts[order], counts[order]
+        for offset, data in _slices(row[2]):
+            a, b = np.searchsorted(firsts, [offset, offset + SLICE])
+            if a < b:
+                yield row[0], row[1], offset, data, gs[a:b], firsts[a:b] - offset, counts[a:b]
+
+
+def _windows(firsts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of some runs, and which run each is of."""
+    of = np.repeat(np.arange(len(firsts)), counts)
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + firsts[of], of
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per block of the asked phrases: g is the hash of its core, f that of all its bytes."""
+    core = LENGTH - BLOCK + 1
+    for pdf in batches:
+        out, held = [], 0
+        for k1, k2, offset, data, gs, firsts, counts in _asked(pdf):
+            _, _, first, _, place, sums = phrases(data)
+            place = place[np.searchsorted(first, firsts)]
+            at, of = _windows(firsts, counts)
+            block = (place[of] - at) // BLOCK
+            new = np.flatnonzero(np.concatenate(([True], (block[1:] != block[:-1]) | (of[1:] != of[:-1]))))
+            size = np.diff(np.concatenate((new, [len(at)])))
+            start, b, of = at[new], block[new], of[new]
+            middle = place[of] - BLOCK * b
+            g = _mix(_hashes(sums, middle, middle + core) ^ _mix(gs[of].astype(np.uint64) + b.astype(np.uint64)))
+            f = _mix(_hashes(sums, start, start + size - 1 + LENGTH)
+                     ^ _mix(((place[of] - start) << 32 | size).astype(np.uint64)))
+            out.append((np.full(len(g), k1), np.full(len(g), k2), g.astype(np.int64), f.astype(np.int64),
+                        (start + offset).astype(np.int64), size.astype(np.int32)))
+            held += len(g)
+            if held >= _BATCH:
+                yield _rows(out)
+                out, held = [], 0
+        if out:
+            yield _rows(out)
+
+
 def _rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per window of the asked phrases: k1, k2, g, w (hash of its bytes), at."""
+    """One row per window of the asked blocks: k1, k2, g (of the block), f (hash of the window), first, windows."""
     for pdf in batches:
-        for k1, k2, text, gs, firsts, counts in zip(*(pdf[c] for c in ("k1", "k2", "text", "gs", "firsts", "counts"))):
-            gs, firsts, counts = (np.asarray(x) for x in (gs, firsts, counts))
-            for offset, data in _slices(text):
-                mine = (firsts >= offset) & (firsts < offset + SLICE)
-                if not mine.any():
-                    continue
-                n = counts[mine].astype(np.int64)
-                at = np.repeat(firsts[mine] - offset, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                w = _hashes(_sums(data), at, at + LENGTH)
-                g = np.repeat(gs[mine], n)
-                for i in range(0, len(at), _BATCH):
-                    j = slice(i, i + _BATCH)
-                    yield pd.DataFrame({"k1": np.full(len(at[j]), k1), "k2": np.full(len(at[j]), k2), "g": g[j],
-                                        "w": w[j].astype(np.int64), "at": at[j] + offset})
+        out, held = [], 0
+        for k1, k2, offset, data, gs, firsts, counts in _asked(pdf):
+            at, of = _windows(firsts, counts)
+            out.append((np.full(len(at), k1), np.full(len(at), k2), gs[of], _hashes(_sums(data), at, at + LENGTH).astype(np.int64),
+                        (at + offset).astype(np.int64), np.ones(len(at), np.int32)))
+            held += len(at)
+            if held >= _BATCH:
+                yield _rows(out)
+                out, held = [], 0
+        if out:
+            yield _rows(out)
 
 
 def _runs(firsts, counts) -> tuple[np.ndarray, np.ndarray]:
@@ -173,42 +218,53 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])], axis=1)
 
 
+_ROWS = "k1 long, k2 long, g long, f long, first long, windows int"
+
+
+def _settle(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Rows whose group g has more than one row: k1, k2, g, first, windows, whole (content f occurs again) and
+    asked (one row of each content, in groups that hold a content that occurs once)."""
+    dictionary = rows.groupBy("g", "f").agg(F.count("*").alias("n"))
+    shared = dictionary.groupBy("g").agg(F.sum("n").alias("all"), F.min("n").alias("least")).where("all > 1")
+    known = stage(spark, rows.join(shared, "g").select("k1", "k2", "g", "f", "first", "windows", "least"), f"{label}-shared")
+    release(spark)
+    entries = known.groupBy("g", "f").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "first")).alias("one"))
+    out = known.join(entries.where("n > 1").drop("n"), ["g", "f"], "left").select(
+        "k1", "k2", "g", "first", "windows", F.col("one").isNotNull().alias("whole"),
+        ((F.col("least") == 1) & (F.col("one").isNull() | (F.struct("k1", "k2", "first") == F.col("one")))).alias("asked"))
+    out = stage(spark, out, f"{label}-settled")
+    release(spark, known)
+    return out
+
+
+def _look_again(rows: DataFrame, settled: DataFrame, look) -> DataFrame:
+    """What `look` finds in the texts for the asked rows."""
+    asked = settled.where("asked").groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "g", "windows")).alias("p"))
+    asked = asked.select("k1", "k2", F.col("p.g").alias("gs"), F.col("p.first").alias("firsts"), F.col("p.windows").alias("counts"))
+    return rows.join(asked, ["k1", "k2"]).mapInPandas(look, _ROWS)
+
+
 def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """k1, k2 (row_key of doc_id and text), firsts, counts: the repeated windows of each text that has any."""
     ship(spark)
     k1, k2 = row_key("doc_id", "text")
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), "text")
-    parsed = stage(spark, rows.mapInPandas(_parse, "k1 long, k2 long, g long, f long, first long, windows int"), "pfp-parse")
-
-    dictionary = parsed.groupBy("g", "f").agg(F.count("*").alias("n"))
-    shared = dictionary.groupBy("g").agg(F.sum("n").alias("all"), F.min("n").alias("least")).where("all > 1")
-    known = parsed.join(shared, "g").select("k1", "k2", "g", "f", "first", "windows", "least")
-    known = stage(spark, known, "pfp-shared")
+    parsed = stage(spark, rows.mapInPandas(_parse, _ROWS), "pfp-parse")
+    phrases_ = _settle(spark, parsed, "pfp-phrases")
     release(spark, parsed)
-
-    # Phrases that are repeated as a whole, and one copy of each.
-    entries = known.groupBy("g", "f").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "first")).alias("one"))
-    entries = stage(spark, entries.where("n > 1").select("g", "f", "one"), "pfp-dictionary")
-    whole = known.join(entries, ["g", "f"], "left").select(
-        "k1", "k2", "g", "first", "windows", F.col("one").isNotNull().alias("whole"),
-        (F.col("least") == 1).alias("rim"),
-        (F.col("one").isNull() | (F.struct("k1", "k2", "first") == F.col("one"))).alias("asked"))
-    whole = stage(spark, whole, "pfp-whole")
-
-    asked = whole.where("rim and asked").groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "g", "windows")).alias("p"))
-    asked = asked.select("k1", "k2", F.transform("p", lambda x: x["g"]).alias("gs"),
-                         F.transform("p", lambda x: x["first"]).alias("firsts"),
-                         F.transform("p", lambda x: x["windows"]).alias("counts"))
-    ranked = stage(spark, rows.join(asked, ["k1", "k2"]).mapInPandas(
-        _rank, "k1 long, k2 long, g long, w long, at long"), "pfp-suffixes")
-    twice = ranked.groupBy("g", "w").agg(F.count("*").alias("n")).where("n > 1").select("g", "w")
-    single = ranked.join(twice, ["g", "w"]).select("k1", "k2", F.col("at").alias("first"), F.lit(1).alias("windows"))
-    found = whole.where("whole").select("k1", "k2", "first", "windows").unionByName(single)
-    per_text = found.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "windows")).alias("p"))
-    per_text = per_text.select("k1", "k2", F.transform("p", lambda x: x["first"]).alias("firsts"),
-                               F.transform("p", lambda x: x["windows"]).alias("counts"))
-    out = stage(spark, per_text, "pfp-repeats")
-    release(spark, known, entries, whole, ranked)
+    parts = stage(spark, _look_again(rows, phrases_, _blocks), "pfp-blocks")
+    release(spark)
+    blocks = _settle(spark, parts, "pfp-blocks")
+    release(spark, parts)
+    windows = stage(spark, _look_again(rows, blocks, _rank), "pfp-windows")
+    release(spark)
+    twice = windows.groupBy("g", "f").agg(F.count("*").alias("n")).where("n > 1").select("g", "f")
+    single = windows.join(twice, ["g", "f"])
+    found = [t.select("k1", "k2", "first", "windows") for t in (phrases_.where("whole"), blocks.where("whole"), single)]
+    per_text = found[0].unionByName(found[1]).unionByName(found[2]).groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("first", "windows")).alias("p"))
+    out = stage(spark, per_text.select("k1", "k2", F.col("p.first").alias("firsts"), F.col("p.windows").alias("counts")), "pfp-repeats")
+    release(spark, phrases_, blocks, windows)
     return out
 
 

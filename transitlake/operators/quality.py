@@ -4,8 +4,8 @@ failing_rows).
 * not_null / accepted_values: one aggregation pass per table (map-side partial
   sums, a single row shuffled), however many columns are checked.
 * unique: groupBy(key) count > 1, partial aggregation absorbs hot keys.
-* foreign key: child `left_anti` parent on the key; the parent is broadcast only
-  when its size is proven small, otherwise a shuffled anti join (AQE splits skew).
+* foreign key: child `left_anti` parent on the key; Spark broadcasts a parent of few
+  bytes, otherwise it is a shuffled anti join (AQE splits skew).
 """
 from __future__ import annotations
 

@@ -162,8 +162,6 @@ def fuel_cost_daily(positions: DataFrame, trains: DataFrame, prices: DataFrame,
     joins, so the joins are tiny; the scans are pruned to `as_of`."""
     act = (active_vehicles_weighted(positions, trains, as_of) if "fuel_share" in positions.columns
            else active_vehicles(positions, trains, as_of)).alias("av")
-    # one row per (transport, fuel, operator) of the fleet table; the static estimate of
-    # an inner-join chain is the product of its inputs, so prove the size instead
     fleet = _fleet_aggregates(models, operators, line_types, fuel_types).alias("f")
     lp = latest_prices(prices).alias("p")
     j = (act.join(fleet, (F.col("f.transport_type") == F.col("av.transport_type"))

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import drivermap as dm
 from ..session import scratch_path
@@ -67,6 +68,34 @@ def a10_daily_price_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices.parse_fuel_archive(docs).select("fuel_type", "price_eur", "source_date")
 
 
-SOURCE_QUERIES = {f.__name__: f for f in (s8_gtfs_csv_roundtrip, a10_daily_price_map, 
+def a9_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of an ingest run (A9, P14): GPS lines read, parsed and skipped, trains parsed and delayed."""
+    d = dm.DriverTables(spark, sf_dir)
+    lines = dm.gps_raw_lines(d.raw("events"))
+    observed = trains.parse_trains(trains.snapshots_from_text(dm.train_snapshot_docs(d.raw("events"))))
+    one, none = F.lit(1), F.lit(0)
+    read = lines.filter(F.trim("value") != "").select(one.alias("lines"), none.alias("parsed"), none.alias("trains"), none.alias("delayed"))
+    parsed = gps.parse_gps_lines(lines).select(none.alias("lines"), one.alias("parsed"), none.alias("trains"), none.alias("delayed"))
+    rail = observed.select(none.alias("lines"), none.alias("parsed"), one.alias("trains"),
+                           F.coalesce((F.col("erinevus") > 0).cast("int"), none).alias("delayed"))
+    n = read.unionByName(parsed).unionByName(rail).agg(
+        *[F.coalesce(F.sum(c), none).cast("long").alias(c) for c in ("lines", "parsed", "trains", "delayed")])
+    return n.select("lines", "parsed", (F.col("lines") - F.col("parsed")).alias("skipped"), "trains", "delayed")
+
+
+def s13_dated_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw feed lines written as dated archive files (one snapshot a day), read back with the snapshot time of
+    their path: lines per snapshot."""
+    d = dm.DriverTables(spark, sf_dir)
+    raw = dm.gps_raw_lines(d.raw("events")).join(
+        d.raw("events").select("event_id", F.date_trunc("day", "ts").alias("ts")), "event_id")
+    out = scratch_path(spark, "gps_archive")
+    gps.write_archive(raw.filter(F.trim("value") != ""), "gps", "ts", out)
+    read = gps.read_archive(spark, f"{out}/gps")
+    return read.groupBy("snapshot_at").agg(F.count(F.lit(1)).alias("lines"))
+
+
+SOURCE_QUERIES = {f.__name__: f for f in (a9_run_counters, s13_dated_archive,
+    s8_gtfs_csv_roundtrip, a10_daily_price_map, 
     s1_gps_raw_parse, s2_gps_archive_parse, s3_train_json_parse, s4_fuel_archive,
     s5_fuel_html_table, s6_electric_price, s7_cng_price, s10_fleet_models)}

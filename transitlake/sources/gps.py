@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import seeds
@@ -122,3 +122,20 @@ def parse_gps_archive(lines: DataFrame, old_layout_window=OLD_LAYOUT_WINDOW,
 def backfill_bronze(archive_rows: DataFrame) -> DataFrame:
     """Archive rows -> bronze.vehicle_positions, keeping the old layout out."""
     return archive_rows.filter(F.col("layout") == "v1").drop("layout")
+
+
+def write_archive(lines: DataFrame, kind: str, ts: str, base: str) -> None:
+    """Lines into `<base>/<kind>/YYYY/monYYYY/DDMMYYYY/DDMMYYYY_HHMM`, one folder a minute (Spark names the
+    files inside). Rows are clustered by minute before the write, so a minute is written by one task."""
+    t = F.col(ts)
+    stamp = {"year": F.date_format(t, "yyyy"), "month": F.lower(F.date_format(t, "MMMyyyy")),
+             "day": F.date_format(t, "ddMMyyyy"), "minute": F.date_format(t, "ddMMyyyy_HHmm")}
+    rows = lines.select("value", *[c.alias(k) for k, c in stamp.items()])
+    rows.repartition(*stamp).write.mode("append").partitionBy(*stamp).text(f"{base.rstrip('/')}/{kind}")
+
+
+def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the dated archive (value) with `snapshot_at`, the minute in their path."""
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"minute=(\d{8}_\d{4})", 1)
+    read = spark.read.option("recursiveFileLookup", True).text(folder)
+    return read.select("value", F.try_to_timestamp(stamp, F.lit("ddMMyyyy_HHmm")).cast("timestamp_ntz").alias("snapshot_at"))

@@ -13,6 +13,7 @@ from ..session import scratch_path
 
 # A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+ROWS_PER_BATCH = 2000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -27,7 +28,7 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     Cuts lineage in a way that survives lost executors, and gives Spark exact sizes."""
     path = scratch_path(spark, f"llm-{label}")
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.staged_at = path
     return out
@@ -45,8 +46,11 @@ def release(spark: SparkSession, *staged: DataFrame) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, whatever their search path is."""
+    """Make this package importable in the Python workers, whatever their search path is, and keep the Arrow
+    batches of whole texts small (the default of 10,000 rows would hold 10,000 texts per worker)."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ROWS_PER_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     if getattr(sc, "_transitlake_llm_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))

@@ -10,6 +10,7 @@ from . import (
     lm,
     minhash,
     mixing,
+    oracle,
     packing,
     quality_rules,
     substrings,
@@ -82,4 +83,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

@@ -72,8 +72,7 @@ def _tokenise(path: str):
         for pdf in batches:
             for i in range(0, len(pdf), 1000):
                 part = pdf.iloc[i:i + 1000]
-                enc.learn_all(part["text"])
-                ids = [np.append(enc.ids(t), enc.dtype.type(END)) for t in part["text"]]
+                ids = [np.append(x, enc.dtype.type(END)) for x in enc.ids_of(part["text"])]
                 keys = hilbert(np.array([point(x) for x in ids]))
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "tie": part["tie"].to_numpy(), "curve": keys,
                                     "ids": [x.astype("<u4").tobytes() if x.dtype.itemsize == 4 else x.tobytes() for x in ids],

@@ -12,7 +12,7 @@ import numpy as np
 
 _PUNCTUATION = b".,;:!?"
 _AT_ONCE = 512
-_MOST_CACHED = 1_200_000        # words held per worker; beyond it the cache starts anew
+_MOST_CACHED = 1_500_000        # words held per worker; beyond it the cache starts anew
 _END_OF_WORD = "</w>"
 
 
@@ -35,61 +35,67 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        try:
-            return np.frombuffer(b"".join(map(self.words.__getitem__, words)), self.dtype)
-        except KeyError:
-            self.learn(set(words))
-            return np.frombuffer(b"".join(map(self.words.__getitem__, words)), self.dtype)
-
-    def learn_all(self, texts) -> None:
-        """Encode the new words of many texts together."""
-        new: set[bytes] = set()
-        for text in texts:
-            new.update((text or "").encode("utf-8", "surrogatepass").split())
-        self.learn(new)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Afterwards the cache holds every one of `words`."""
-        if len(self.words) + len(words) > _MOST_CACHED:
-            self.words.clear()
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts) -> list[np.ndarray]:
+        """Ids of some texts; their new words are encoded together."""
+        split = [self._split(t) for t in texts]
         known = self.words
-        parts = {w: self._parts(w) for w in words if w not in known}
-        self._encode({p for ps in parts.values() for p in ps if p not in known})
-        for w, ps in parts.items():
-            known[w] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+        if len(known) > _MOST_CACHED:
+            known.clear()
+        new: set[bytes] = set()
+        for words in split:
+            new.update(words)
+        new.difference_update(known)
+        if new:
+            self._learn(new)
+        return [np.frombuffer(b"".join([known[w] for w in words]), self.dtype) for words in split]
 
     @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, ...]:
-        """Pieces of a word that are encoded on their own: core and trailing punctuation, or all of it."""
-        if b"<|" in word:                    # may be a special token: its case counts
-            return (word,)
-        core = word.rstrip(_PUNCTUATION)
-        if len(core) < len(word) and core and core.decode("utf-8", "replace")[-1].isalnum():
-            return core.lower(), word[len(core):]
-        return (word.lower(),)
+    def _split(text: str | None) -> list[bytes]:
+        """Words of a text, lower-cased (A-Z) unless it may hold a special token, whose case counts."""
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        return raw.split() if b"<|" in raw else raw.lower().split()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Encode new words: core and trailing punctuation apart, or whole if the pattern may join them."""
+        known, parts, new = self.words, [], set()
+        for word in words:
+            core = word.rstrip(_PUNCTUATION)
+            if len(core) < len(word) and core and b"<|" not in word and (
+                    core[-1] < 128 and core[-1:].isalnum() or core[-1] > 127 and core.decode("utf-8", "replace")[-1].isalnum()):
+                tail = word[len(core):]
+                parts.append((word, core, tail))
+                new.add(core)
+                new.add(tail)
+            else:
+                new.add(word)
+        new.difference_update(known)
+        self._encode(new)
+        for word, core, tail in parts:
+            known[word] = known[core] + known[tail]
 
     def _encode(self, cores: set[bytes]) -> None:
         letters, lowered, others = [], [], []
         for core in cores:
             text = core.decode("utf-8", "replace")
-            if text.isalpha() and text[-1] < "Ā" and max(text) < "Ā":
+            if text.isalpha() and (text.isascii() or max(text) < "Ā"):
                 letters.append(core)
                 lowered.append(text.lower())
             else:
                 others.append(core)
         groups = range(0, len(letters), _AT_ONCE)
         done = self.plain.encode_batch_fast([" ".join(lowered[i:i + _AT_ONCE]) for i in groups], add_special_tokens=False)
-        size = self.dtype.itemsize
+        size, known = self.dtype.itemsize, self.words
         for i, found in zip(groups, done):
-            some, ids = letters[i:i + _AT_ONCE], np.array(found.ids, self.dtype)
+            ids = np.array(found.ids, self.dtype)
             raw, last = ids.tobytes(), 0
-            for core, cut in zip(some, (np.flatnonzero(self.ends[ids]) + 1).tolist(), strict=True):
-                self.words[core] = raw[last * size:cut * size]
+            for core, cut in zip(letters[i:i + _AT_ONCE], ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist(), strict=True):
+                known[core] = raw[last:cut]
                 last = cut
         for core, found in zip(others, self.tokenizer.encode_batch_fast(
                 [c.decode("utf-8", "replace") for c in others], add_special_tokens=False)):
-            self.words[core] = np.array(found.ids, self.dtype).tobytes()
+            known[core] = np.array(found.ids, self.dtype).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,9 +35,9 @@ from ..session import scratch_path
 from .common import row_key, ship, stage
 from .tokens import encoder
 
-END, BLOCK, LANES = 1, 4096, 4096
+END, BLOCK, LANES = 1, 1024, 4096
 MAGIC = 0x31524D43
-_SLOTS = 10
+_SLOTS = 8
 _TOP, _BOTTOM = np.uint64(1 << 32), np.uint64(1 << 31)
 _U64, _32 = np.uint64, np.uint64(32)
 
@@ -61,7 +62,7 @@ _ALL = _U64(_ONE << 48)
 class _Model:
     """Predictions and probabilities of `n` lanes, reset for each block.
 
-    A slot of a prediction table holds an id and, above it, how sure it is (0 to 3)."""
+    A slot of a prediction table holds an id and, above it, whether it has held since it was set."""
 
     def __init__(self, n: int, bits: int):
         self.word = np.uint32 if bits == 16 else np.uint64
@@ -80,33 +81,35 @@ class _Model:
         self.h1 = h
         self.at2 = self.base + (h2 >> np.uint32(32 - _SLOTS))
         self.at1 = self.base + (h >> np.uint32(32 - _SLOTS))
-        self.w2, self.w1 = self.two[self.at2], self.one[self.at1]
+        self.w2, self.w1 = self.two.take(self.at2), self.one.take(self.at1)
         self.g2, self.g1 = self.w2 & self.id_mask, self.w1 & self.id_mask
-        self.s2, self.s1 = self.w2 >> self.bits, self.w1 >> self.bits
-        self.a = self.sixteen + ((self.s2 << self.word(2)) + self.s1).astype(np.int64)
+        sure = ((self.w2 >> self.bits << self.word(1)) + (self.w1 >> self.bits)).astype(np.int64)
+        self.a = self.sixteen + sure
         self.b = self.sixteen + self.last
-        self.f_sure, self.f_past = self.by_sure[self.a], self.by_past[self.b]
+        self.f_sure, self.f_past = self.by_sure.take(self.a), self.by_past.take(self.b)
         return (self.f_sure >> _U64(1) & _HALVED) + (self.f_past >> _U64(1) & _HALVED)
 
     def outcome(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids == self.g2, 0, np.where(ids == self.g1, 1, np.where(ids == self.best, 2, 3)))
-
-    def learn(self, ids: np.ndarray, what: np.ndarray) -> None:
-        for table, at, w, guess, sure in ((self.two, self.at2, self.w2, self.g2, self.s2),
-                                          (self.one, self.at1, self.w1, self.g1, self.s1)):
-            up = np.where(sure < 3, w + self.sure_one, w)
-            down = np.where(sure > 0, w - self.sure_one, ids)
-            table[at] = np.where(guess == ids, up, down)
-        # The commonest id so far, by majority vote.
-        vote = ids == self.best
-        self.votes += np.where(vote, 1, -1)
-        self.best = np.where(self.votes < 0, ids, self.best)
-        np.abs(self.votes, out=self.votes)
-        pull = _TARGETS[what]
+        what = np.where(ids == self.best, 2, 3)
+        what[ids == self.g1] = 1
+        what[ids == self.g2] = 0
+        return what
+
+    def learn(self, ids: np.ndarray, what: np.ndarray, t: int) -> None:
+        for table, at, w, guess in ((self.two, self.at2, self.w2, self.g2), (self.one, self.at1, self.w1, self.g1)):
+            # held: sure from now on; failed: no longer sure or, if it was not, replaced
+            new = np.where(w > guess, guess, ids)
+            table[at] = np.where(guess == ids, w | self.sure_one, new)
+        if not t % 4:
+            # the commonest id so far, by a majority vote of every fourth id
+            self.votes += np.where(ids == self.best, 1, -1)
+            self.best = np.where(self.votes < 0, ids, self.best)
+            np.abs(self.votes, out=self.votes)
+        pull = _TARGETS.take(what)
         self.by_sure[self.a] = self.f_sure - (self.f_sure >> _PULL & _SHIFTED) + pull
         self.by_past[self.b] = self.f_past - (self.f_past >> _PULL & _SHIFTED) + pull
         self.last = (self.last & 3) * 4 + what
-        self.p1 = ids.astype(np.uint32)
+        self.p1 = ids if ids.dtype == np.uint32 else ids.astype(np.uint32)
 
 
 class _Words:
@@ -184,7 +187,7 @@ def encode(ids: np.ndarray, bits: int = 16) -> tuple[np.ndarray, np.ndarray]:
                 if shift:
                     coder.turn(settle)
         coder.turn(settle)
-        model.learn(x, what)
+        model.learn(x, what, t)
     for _ in range(2):
         settle(every)
         coder.low <<= _32
@@ -220,7 +223,7 @@ def decode(words: np.ndarray, length: int, bits: int = 16) -> np.ndarray:
             x[lanes] = got
         coder.turn(refill)
         ids[t] = x
-        model.learn(x, what)
+        model.learn(x, what, t)
     return ids.T
 
 
@@ -263,8 +266,11 @@ def read_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-_FILE = ("part long, block long, ids_before long, n_ids long, payload binary, "
-         "pieces array<struct<row:long,doc_id:long,start:long,n:long>>")
+# A block's pieces of documents as parallel arrays: row of the document in its part, its doc_id (0 where it has
+# none), first id and number of ids.
+_FILE = ("part long, block long, ids_before long, n_ids long, payload binary, rows array<long>, doc_ids array<long>, "
+         "no_id array<boolean>, starts array<long>, sizes array<long>")
+_PIECE = ("rows", "doc_ids", "no_id", "starts", "sizes")
 
 
 def _write(path: str):
@@ -281,22 +287,23 @@ def _write(path: str):
             payloads = write_blocks([b for b, _ in done], bits)
             sizes = np.array([len(b) for b, _ in done], np.int64)
             out = pd.DataFrame({"part": part, "block": block + np.arange(len(done)),
-                                "ids_before": before + np.cumsum(sizes) - sizes, "n_ids": sizes,
-                                "payload": payloads, "pieces": [p for _, p in done]})
+                                "ids_before": before + np.cumsum(sizes) - sizes, "n_ids": sizes, "payload": payloads})
+            for k, name in enumerate(_PIECE):
+                out[name] = [[p[k] for p in held] for _, held in done]
             block, before, done = block + len(done), before + int(sizes.sum()), []
             return out
 
         for pdf in batches:
             for i in range(0, len(pdf), 1000):
                 some = pdf.iloc[i:i + 1000]
-                enc.learn_all(some["text"])
-                for doc_id, text in zip(some["doc_id"].astype(object), some["text"]):
-                    ids = np.append(enc.ids(text), enc.dtype.type(END))
-                    at = 0
+                for doc_id, ids in zip(some["doc_id"].astype(object), enc.ids_of(some["text"])):
+                    ids = np.append(ids, enc.dtype.type(END))
+                    none = pd.isna(doc_id)
+                    at, known = 0, 0 if none else int(doc_id)
                     while at < len(ids):
                         take = min(BLOCK - fill, len(ids) - at)
                         now.append(ids[at:at + take])
-                        pieces.append({"row": row, "doc_id": None if pd.isna(doc_id) else int(doc_id), "start": at, "n": take})
+                        pieces.append((row, known, none, at, take))
                         at, fill = at + take, fill + take
                         if fill == BLOCK:
                             done.append((np.concatenate(now), pieces))
@@ -324,16 +331,16 @@ def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for i in range(0, len(pdf), LANES):
             some = pdf.iloc[i:i + LANES]
-            out = []
-            for part, before, pieces, ids in zip(some["part"], some["ids_before"], some["pieces"], read_blocks(list(some["payload"]))):
-                at = 0
-                for p in pieces:
-                    got = ids[at:at + p["n"]].astype("<u4").tobytes()
-                    out.append((part, p["row"], p["doc_id"], p["start"], p["n"], before + at, got))
-                    at += p["n"]
-            frame = pd.DataFrame(out, columns=["part", "row", "doc_id", "start", "n", "at", "ids"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            rows, doc_ids, no_id, starts, sizes = (np.concatenate([np.asarray(x) for x in some[c]]) for c in _PIECE)
+            of = np.repeat(np.arange(len(some)), some["sizes"].map(len))
+            first = np.cumsum(sizes) - sizes
+            block_first = some["n_ids"].to_numpy()
+            block_first = np.cumsum(block_first) - block_first
+            raw = np.concatenate(read_blocks(list(some["payload"]))).astype("<u4").tobytes()
+            yield pd.DataFrame({
+                "part": some["part"].to_numpy()[of], "row": rows, "doc_id": pd.arrays.IntegerArray(doc_ids.astype(np.int64), no_id.astype(bool)),
+                "start": starts, "n": sizes, "at": some["ids_before"].to_numpy()[of] + first - block_first[of],
+                "ids": [raw[4 * a:4 * (a + n)] for a, n in zip(first.tolist(), sizes.tolist())]})
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -363,14 +370,20 @@ for _ in range(63):
     _SQUARES.append(_times(_SQUARES[-1], _SQUARES[-1]))
 
 
-def join_crc(left: int, right: int, right_bytes: int) -> int:
-    """crc32 of two strings laid end to end, from their checksums and the second one's length."""
-    shift, bits, k = 1 << 31, right_bytes * 8, 0
+@lru_cache(maxsize=2 * BLOCK)
+def _shift(n_bytes: int) -> int:
+    """x ** (8 * n_bytes): pieces have few different lengths."""
+    out, bits, k = 1 << 31, n_bytes * 8, 0
     while bits:
         if bits & 1:
-            shift = _times(_SQUARES[k], shift)
+            out = _times(_SQUARES[k], out)
         bits, k = bits >> 1, k + 1
-    return _times(shift, left) ^ right
+    return out
+
+
+def join_crc(left: int, right: int, right_bytes: int) -> int:
+    """crc32 of two strings laid end to end, from their checksums and the second one's length."""
+    return _times(_shift(right_bytes), left) ^ right
 
 
 def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,9 +5,11 @@
 2. Classes are posted under their tokens. Tokens of one class alone are dropped at once. Two classes
    with at least `MATCHES` equal coordinates must meet in the `COORDS - MATCHES + 1` rarest tokens of
    either, so only this prefix stays posted, and a class with fewer shared tokens is not posted at all.
-3. Every posted class is checked against the pivot (smallest class) of its lists; components follow.
-   Lists whose classes all lie in one component are skipped; in the others all pairs from different
-   components are merged, each pair only in its first common list, keeping those with enough collisions.
+3. Every posted class is checked against the pivot of its lists (the class with the most shared tokens);
+   components follow. Lists whose classes all lie in one component are skipped. In the others all pairs
+   from different components are merged, each pair only in its first common list, keeping those with
+   enough collisions whose sets can overlap enough: a shingle that no other class of these lists has is
+   in no overlap, an exact bound.
 4. Every link is confirmed on the full shingle sets: 100 * |A and B| >= 75 * |A or B|.
 
 A pair at similarity 0.75 has 48 equal coordinates of 64 on average (standard deviation 3.5); it is
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import row_key, ship, stage
+from .common import release, row_key, ship, stage
 from .components import components
 
 SHINGLE, COORDS, MATCHES = 5, 64, 32
@@ -93,10 +95,11 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"node": part["node"], "shingles": [shingle_set(t).astype(np.int64) for t in part["text"]]})
 
 
-def posted(classes: DataFrame) -> DataFrame:
+def posted(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """node, size, tokens (shared with another class), prefix (the rarest of them, rarest first)."""
     posts = classes.select("c1", F.explode("tokens").alias("token"))
-    common = posts.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    # Stored: a join of two plain tables can split a hot token, a join on top of an aggregation can not.
+    common = stage(spark, posts.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "minhash-common")
     shared = posts.join(common, "token").groupBy("c1").agg(
         F.sort_array(F.collect_list(F.struct("held", "token"))).alias("t")).where(F.size("t") >= MATCHES)
     tokens = F.transform("t", lambda x: x["token"])
@@ -113,6 +116,18 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
 
+def _bounds(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, n (set size), shared: how many of its shingles another of these nodes has; no set in common is larger.
+    Nodes that this alone keeps from any link are left out."""
+    mine = sets.join(rows.select("node").distinct(), "node")
+    owners = mine.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(
+        F.count("*").alias("held"), F.min("node").alias("node"))
+    alone = owners.where("held = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    out = mine.select("node", F.size("shingles").alias("n")).join(alone, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    return out.where(100 * F.col("shared") >= PERCENT * F.col("n"))
+
+
 def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """k1, k2 (row_key of doc_id and text), doc_id, n_shingles, component_id, kept; one row per document."""
     ship(spark)
@@ -120,39 +135,56 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), "doc_id", "text")
     signed = stage(spark, rows.mapInPandas(
         _sign, "k1 long, k2 long, doc_id long, n long, c1 long, c2 long, tokens array<long>"), "minhash")
+    rows_of = stage(spark, signed.drop("tokens"), "minhash-rows")
     classes = stage(spark, signed.where("n > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("k1", "k2")).alias("row"), F.max("n").alias("n"),
         F.first("tokens").alias("tokens")), "minhash-classes")
-    candidates = stage(spark, posted(classes), "minhash-posted")
+    release(spark, signed)
+    candidates = stage(spark, posted(spark, classes), "minhash-posted")
+    release(spark)
 
     need = candidates.join(classes, F.col("node") == F.col("c1")).select("node", "row.k1", "row.k2")
     texts = rows.join(need, ["k1", "k2"]).select("node", "text")
     sets = stage(spark, texts.mapInPandas(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "minhash-sets")
 
-    lists = candidates.select("node", F.explode("prefix").alias("token"))
-    pivots = lists.groupBy("token").agg(F.min("node").alias("pivot"))
-    star = lists.join(pivots, "token").where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("b"))
-    links = stage(spark, _confirm(star.select(F.col("node").alias("a"), "b"), sets), "minhash-links")
+    # A list's pivot is its class with the most shared tokens: the likeliest centre of a group of near copies.
+    lists = candidates.select("node", F.size("tokens").alias("shared"), F.explode("prefix").alias("token"))
+    pivots = lists.groupBy("token").agg(F.max(F.struct("shared", "node")).alias("pivot"))
+    star = lists.join(pivots, "token").where("node <> pivot.node").groupBy("node").agg(F.max("pivot").alias("pivot"))
+    links = stage(spark, _confirm(star.select(F.col("node").alias("a"), F.col("pivot.node").alias("b")), sets), "minhash-links")
     roots = components(spark, links)
 
     of = candidates.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "tokens", "prefix")
     of = stage(spark, of, "minhash-roots")
     mixed = of.select("root", F.explode("prefix").alias("token")).groupBy("token").agg(
         F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    open_lists = of.select("*", F.explode("prefix").alias("token")).join(mixed, "token")
-    x = open_lists.select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("tokens").alias("ta"), F.col("prefix").alias("pa"))
-    y = open_lists.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("tokens").alias("tb"), F.col("prefix").alias("pb"))
-    first = F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("token")
-    cross = x.join(y, "token").where((F.col("ra") < F.col("rb")) & first
-                                     & (F.size(F.array_intersect("ta", "tb")) >= MATCHES)).select("a", "b")
-    more = stage(spark, _confirm(stage(spark, cross, "minhash-cross"), sets), "minhash-more")
-    roots = components(spark, links.unionByName(more))
+    mixed = stage(spark, mixed, "minhash-mixed")
+    bounds = stage(spark, _bounds(of.select("node", F.explode("prefix").alias("token")).join(mixed, "token"), sets), "minhash-bounds")
+    open_lists = of.join(bounds, "node").select("*", F.explode("prefix").alias("token")).join(mixed, "token")
+    x, y = (open_lists.select("token", F.col("node").alias(c), *[F.col(k).alias(k + c) for k in ("root", "tokens", "prefix", "n", "shared")])
+            for c in "ab")
+    first = F.get(F.array_intersect("prefixa", "prefixb"), F.lit(0)) == F.col("token")
+    most = F.least("shareda", "sharedb")
+    able = 100 * most >= PERCENT * (F.col("na") + F.col("nb") - most)
+    cross = x.join(y, "token").where((F.col("roota") < F.col("rootb")) & able & first
+                                     & (F.size(F.array_intersect("tokensa", "tokensb")) >= MATCHES)).select("a", "b")
+    cross = stage(spark, cross, "minhash-cross")
+    more = stage(spark, _confirm(cross, sets), "minhash-more")
+    # One link for each two components that meet: the second pass runs on components, not on classes.
+    side = lambda c: of.select(F.col("node").alias(c), F.col("root").alias(f"root{c}"))
+    met = more.join(side("a"), "a").join(side("b"), "b").select(F.col("roota").alias("a"), F.col("rootb").alias("b")).distinct()
+    met = stage(spark, met, "minhash-met")
+    release(spark, candidates, sets, of, mixed, bounds, cross)
+    joined = components(spark, met).select(F.col("node").alias("root"), F.col("root").alias("over"))
+    roots = roots.join(joined, "root", "full").select(
+        F.coalesce("node", "root").alias("node"), F.coalesce("over", "root").alias("root"))
 
     named = classes.join(roots, F.col("c1") == F.col("node"), "left").select(
         "c1", "c2", "first_id", F.coalesce("root", "c1").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(ids, "root").select("c1", "c2", "component_id")
-    out = signed.join(named, ["c1", "c2"], "left")
+    named = stage(spark, named.join(ids, "root").select("c1", "c2", "component_id"), "minhash-components")
+    release(spark, classes, links, more, met)
+    out = rows_of.join(named, ["c1", "c2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       component.eqNullSafe(F.col("doc_id")).alias("kept"))
@@ -161,6 +193,7 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One document of each group (the one with the smallest doc_id), with the columns of `docs`."""
     kept = groups(spark, docs).where("kept").select(F.col("k1").alias("mh_k1"), F.col("k2").alias("mh_k2")).distinct()
+    kept = stage(spark, kept, "minhash-kept")
     k1, k2 = row_key("doc_id", "text")
     rows = docs.select(k1.alias("mh_k1"), k2.alias("mh_k2"), F.struct(*docs.columns).alias("mh_row"))
     one = F.row_number().over(W.partitionBy("mh_k1", "mh_k2").orderBy("mh_k1"))

@@ -226,14 +226,17 @@ def _settle(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     asked (one row of each content, in groups that hold a content that occurs once)."""
     dictionary = rows.groupBy("g", "f").agg(F.count("*").alias("n"))
     shared = dictionary.groupBy("g").agg(F.sum("n").alias("all"), F.min("n").alias("least")).where("all > 1")
+    # Stored: a join of two plain tables can split a hot key, a join on top of an aggregation can not.
+    shared = stage(spark, shared.drop("all"), f"{label}-groups")
     known = stage(spark, rows.join(shared, "g").select("k1", "k2", "g", "f", "first", "windows", "least"), f"{label}-shared")
     release(spark)
     entries = known.groupBy("g", "f").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "first")).alias("one"))
-    out = known.join(entries.where("n > 1").drop("n"), ["g", "f"], "left").select(
+    entries = stage(spark, entries.where("n > 1").drop("n"), f"{label}-entries")
+    out = known.join(entries, ["g", "f"], "left").select(
         "k1", "k2", "g", "first", "windows", F.col("one").isNotNull().alias("whole"),
         ((F.col("least") == 1) & (F.col("one").isNull() | (F.struct("k1", "k2", "first") == F.col("one")))).alias("asked"))
     out = stage(spark, out, f"{label}-settled")
-    release(spark, known)
+    release(spark, known, shared, entries)
     return out
 
 
@@ -259,7 +262,7 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     windows = stage(spark, _look_again(rows, blocks, _rank), "pfp-windows")
     release(spark)
     twice = windows.groupBy("g", "f").agg(F.count("*").alias("n")).where("n > 1").select("g", "f")
-    single = windows.join(twice, ["g", "f"])
+    single = windows.join(stage(spark, twice, "pfp-twice"), ["g", "f"])
     found = [t.select("k1", "k2", "first", "windows") for t in (phrases_.where("whole"), blocks.where("whole"), single)]
     per_text = found[0].unionByName(found[1]).unionByName(found[2]).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("first", "windows")).alias("p"))

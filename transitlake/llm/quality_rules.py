@@ -153,8 +153,12 @@ def clean(spark: SparkSession, docs: DataFrame, line_share: float = LINE_SHARE,
     left = F.array_join(F.filter(_lines(own), lambda x: ~F.array_contains(F.col("qk_cut"), line_key(x))), "\n")
     both = both.select("qk_row", own.alias("qk_own"),
                        F.when(F.col("qk_cut").isNull(), own).otherwise(left).alias("qk_text"))
-    kept = measured(both, "qk_own", full=False).where(
-        (F.col("n_words") >= 20) & (100 * F.col("n_repeat_words") <= 30 * F.col("n_words"))
+    # Through a generator: a filter on plain columns would be pushed down and compute the window hashes again
+    # for every place that reads them.
+    done = measured(both, "qk_own", full=False).select(
+        "qk_row", "qk_own", "qk_text", F.explode(F.array(F.struct("n_words", "n_repeat_words"))).alias("qk_m"))
+    kept = done.where(
+        (F.col("qk_m.n_words") >= 20) & (100 * F.col("qk_m.n_repeat_words") <= 30 * F.col("qk_m.n_words"))
         & (F.length("qk_text") >= min_left * F.length("qk_own")))
     changed = {"text": F.col("qk_text"), "n_chars": F.when(F.col("qk_text") == F.col("qk_own"), F.col("qk_row.n_chars"))
                .otherwise(F.length("qk_text"))}

@@ -63,6 +63,33 @@ def test_groups_larger_than_a_block(spark, monkeypatch):
     assert sum(h[2] == w[2] for h, w in zip(have, want)) >= 0.97 * len(want)
 
 
+def near(rng, base, cosine, n):
+    """n unit vectors at the cosine to the unit vector `base`."""
+    u = rng.standard_normal((n, len(base)))
+    u = vectors._unit(u - (u @ base)[:, None] * base)
+    return cosine * base + math.sqrt(1 - cosine * cosine) * u
+
+
+def test_tight_groups_without_background(spark):
+    rng = np.random.default_rng(2)
+    for dim in (64, 128):
+        bases = vectors._unit(rng.standard_normal((10, dim)))
+        x = np.vstack([near(rng, b, 0.985, 60) for b in bases])
+        rows = [(i, floats(v)) for i, v in enumerate(x[rng.permutation(len(x))])]
+        want, have = brute(rows), got(spark, rows)
+        assert sum(h[1] for h in have) >= 0.99 * sum(w[1] for w in want)
+        assert all(h[1] <= w[1] and h[2] == w[2] for h, w in zip(have, want))
+
+
+def test_groups_within_a_group():
+    rng = np.random.default_rng(3)
+    base = vectors._unit(rng.standard_normal((1, 64)))[0]
+    x = np.vstack([near(rng, c, 0.998, 60) for c in near(rng, base, 0.98, 8)])       # near copies of near copies
+    ptr, idx, starts = vectors.joined(x, vectors.robust_prune(x))
+    found = vectors.search(x, ptr, idx, np.arange(len(x)), starts)
+    assert found.sum() >= 0.99 * (x @ x.T >= vectors.COSINE).sum()
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 3.0]), (5, [1.0, float("nan"), 3.0]), (6, [1.0, float("inf"), 3.0]),

@@ -7,8 +7,9 @@
 2. Each group builds a graph: a class's nearest candidates, robustly pruned (a candidate goes if a kept
    neighbour is closer to it than the class itself is, by the factor `ALPHA`), and the way back.
    Adjacency lists of a class are united over all groups.
-3. Each group searches the united graph for all its classes: greedily with a beam from the medoid, then
-   expanding through everything within range.
+3. Each group joins the parts of the united graph through their medoids and searches it for all its classes:
+   greedily with a beam from the class's own node and the medoids of the largest parts, then expanding through
+   everything within range.
 4. Links are confirmed by cosine in double precision; a pair is counted in one group only. Components follow
    from spanning links.
 
@@ -36,6 +37,7 @@ SAMPLE, PER_CENTRE, MOST_CENTRES, APART = 8192, 1000, 1024, 0.7
 BLOCK = 1024
 CANDIDATES, DEGREE, ALPHA = 40, 16, 1.2
 BEAM, SLACK, BATCH = 24, 0.02, 256
+LEVELS = (0.99, 0.97, 0.95, 0.93)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -111,12 +113,61 @@ def robust_prune(x: np.ndarray) -> list[np.ndarray]:
     return [np.unique(np.array(r + b, np.int64)) for r, b in zip(lists, back)]
 
 
-def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, start: int) -> np.ndarray:
-    """(len(queries), n) booleans: what a range-expanding greedy search reaches at COSINE or more."""
+def _parts(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Smallest vertex of each vertex's part of the graph with the edges (u, v)."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, root[u], root[v])
+        np.minimum.at(low, root[v], root[u])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _medoids(x: np.ndarray, root: np.ndarray, least: int) -> np.ndarray:
+    """The member nearest to the mean of each part of at least `least` members; largest parts first."""
+    _, of, held = np.unique(root, return_inverse=True, return_counts=True)
+    sums = np.zeros((len(held), x.shape[1]))
+    np.add.at(sums, of, x)
+    order = np.lexsort((-np.einsum("ij,ij->i", x, sums[of]), of))
+    best = order[np.r_[True, of[order][1:] != of[order][:-1]]]
+    return best[np.argsort(-held, kind="stable")][:int((held >= least).sum())]
+
+
+def joined(x: np.ndarray, lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ptr, idx, medoids): the graph with every edge both ways, and its parts joined.
+
+    A dense group of more than CANDIDATES vectors has no edge out of itself. So at each level the parts held
+    together by edges of at least its cosine get edges between their medoids (nearest ones, robustly pruned), and in the end
+    parts are joined until there is one."""
+    n = len(x)
+    u, v = np.repeat(np.arange(n), [len(r) for r in lists]), np.concatenate([*lists, np.empty(0, np.int64)]).astype(np.int64)
+    starts = [_medoids(x, np.zeros(n, np.int64), 1)]
+    for level in (*LEVELS, -2.0):
+        while True:
+            sims = np.concatenate([np.einsum("ij,ij->i", x[u[i:i + (1 << 16)]], x[v[i:i + (1 << 16)]])
+                                   for i in range(0, len(u), 1 << 16)] or [np.empty(0)])
+            near = ~(sims < level)
+            some = _medoids(x, _parts(n, u[near], v[near]), DEGREE // 2 if level > -2.0 else 1)
+            if len(some) > 1:
+                more = robust_prune(x[some])
+                u = np.concatenate([u, some[np.repeat(np.arange(len(some)), [len(r) for r in more])]])
+                v = np.concatenate([v, some[np.concatenate(more)]])
+            if level > -2.0:
+                starts.append(some[:DEGREE])
+            if level > -2.0 or len(some) == 1:
+                break
+    both = np.unique(np.concatenate([u * n + v, v * n + u]))
+    ptr = np.searchsorted(both, np.arange(n + 1) * n)
+    return ptr, both % n, np.unique(np.concatenate(starts))
+
+
+def search(x: np.ndarray, ptr: np.ndarray, idx: np.ndarray, queries: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(len(queries), n) booleans: what a range-expanding greedy search from the query's own node and `starts`
+    reaches at COSINE or more."""
     n, q = len(x), len(queries)
-    table = np.full((n, max(map(len, lists), default=0) + 1), -1, np.int64)
-    for i, row in enumerate(lists):
-        table[i, :len(row)] = row
     every, mine = np.arange(q), x[queries]
     seen, sims = np.zeros((q, n), bool), np.full((q, n), -2.0)
 
@@ -128,15 +179,19 @@ def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, start: i
             sims[a, b] = np.einsum("ij,ij->i", mine[a], x[b])
         seen[who, what] = True
 
-    def around(nodes_of: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Unseen neighbours of nodes (one row of nodes per query in `rows`)."""
-        new = np.zeros((q, n + 1), bool)
-        near = table[nodes_of].reshape(len(rows), -1)
-        new[np.repeat(rows, near.shape[1]), near.ravel()] = True
-        return new[:, :n] & ~seen
+    def around(who: np.ndarray, what: np.ndarray) -> np.ndarray:
+        """Unseen neighbours of the nodes `what` of the queries `who`."""
+        new = np.zeros((q, n), bool)
+        for i in range(0, len(who), 1 << 14):
+            a, b = who[i:i + (1 << 14)], what[i:i + (1 << 14)]
+            held = ptr[b + 1] - ptr[b]
+            at = np.arange(held.sum()) + np.repeat(ptr[b] - np.cumsum(held) + held, held)
+            new[np.repeat(a, held), idx[at]] = True
+        return new & ~seen
 
     first = np.zeros((q, n), bool)
-    first[:, start] = True
+    first[:, starts] = True
+    first[every, queries] = True
     reach(first)
     done = np.zeros((q, n), bool)
     while True:                      # greedy: the best unexpanded of each query's beam
@@ -146,18 +201,16 @@ def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, start: i
         able = np.take_along_axis(open_, best, 1) > -2.0
         if not able.any():
             break
-        nodes = np.where(able, np.take_along_axis(beam, best, 1), start)
-        done[every[:, None], nodes] = True
-        reach(around(nodes, every))
+        who, k = np.nonzero(able)
+        what = beam[who, best[who, k]]
+        done[who, what] = True
+        reach(around(who, what))
     while True:                      # range: everything near enough leads on
         who, what = np.nonzero((sims >= COSINE - SLACK) & ~done)
         if not len(who):
             break
         done[who, what] = True
-        new = np.zeros((q, n + 1), bool)
-        for k in range(table.shape[1]):
-            new[who, table[what, k]] = True
-        reach(new[:, :n] & ~seen)
+        reach(around(who, what))
     return sims >= COSINE
 
 
@@ -181,11 +234,11 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     place = {v: i for i, v in enumerate(nodes.tolist())}
     lists = [np.array([place[v] for v in row if v in place], np.int64) for row in pdf["near"]]
     lists = [np.unique(r[r != i]) for i, r in enumerate(lists)]
-    medoid = int((x @ x.mean(axis=0)).argmax())
+    ptr, idx, starts = joined(x, lists)
     n = len(x)
     linked = np.zeros((n, n), bool)
     for a in range(0, n, BATCH):
-        linked[a:a + BATCH] = search(x, lists, np.arange(a, min(a + BATCH, n)), medoid)
+        linked[a:a + BATCH] = search(x, ptr, idx, np.arange(a, min(a + BATCH, n)), starts)
     linked |= linked.T
     np.fill_diagonal(linked, False)
     # This group counts a pair if its shard is the first that both belong to, and the blocks are this pair's.

@@ -90,6 +90,17 @@ def test_groups_within_a_group():
     assert found.sum() >= 0.99 * (x @ x.T >= vectors.COSINE).sum()
 
 
+def test_pairs_meet_among_many_centres(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    for name, value in {"PER_CENTRE": 10, "SAMPLE": 400, "PAIRS": 400}.items():       # centres know few of the pairs
+        monkeypatch.setattr(vectors, name, value, raising=False)
+    x = vectors._unit(rng.standard_normal((1000, 64)))
+    pairs = np.vstack([x, np.vstack([near(rng, v, 0.9505, 1) for v in x])])
+    have = got(spark, [(i, floats(v)) for i, v in enumerate(pairs)])
+    assert sum(h[1] for h in have) >= 0.96 * 2000
+    assert all(h[1] <= 1 for h in have)        # shards that a pair shares count it once
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 3.0]), (5, [1.0, float("nan"), 3.0]), (6, [1.0, float("inf"), 3.0]),

@@ -1,8 +1,9 @@
 """Embedding near-dedup on a robust-pruned flat graph (operator 4).
 
 1. Equal vectors form one class. Cluster centres come from a sample of at most `SAMPLE` vectors (the
-   ones with the smallest hashes); centres keep apart, so a dense group is not torn. Every class goes to its
-   two nearest clusters: the shards overlap. A shard of more than `BLOCK` classes is dealt into blocks, and each
+   ones with the smallest hashes), their margin from `PAIRS` others; centres keep apart, so a dense group is not torn. Every class goes to its
+   two nearest clusters and to all that are hardly farther: the shards overlap, by a margin measured so that 0.99
+   of the sampled pairs at the threshold meet, whatever the number of centres. A shard of more than `BLOCK` classes is dealt into blocks, and each
    pair of blocks is a group of its own, so no group grows with the data and none of its pairs is lost.
 2. Each group builds a graph: a class's nearest candidates, robustly pruned (a candidate goes if a kept
    neighbour is closer to it than the class itself is, by the factor `ALPHA`), and the way back.
@@ -34,6 +35,7 @@ from .components import components
 
 COSINE = 0.95
 SAMPLE, PER_CENTRE, MOST_CENTRES, APART = 8192, 1000, 1024, 0.7
+PAIRS, MEET = 4096, 0.99
 BLOCK = 1024
 CANDIDATES, DEGREE, ALPHA = 40, 16, 1.2
 BEAM, SLACK, BATCH = 24, 0.02, 256
@@ -61,18 +63,37 @@ def centres(sample: np.ndarray, most: int) -> np.ndarray:
     return seeds
 
 
-def _assign(by_length: dict[int, np.ndarray]):
+def margin(sample: np.ndarray, near: np.ndarray) -> float:
+    """How far behind a vector's best centre its other centres may lie, in cosine, so that `MEET` of the pairs at
+    the threshold get a common centre. Measured on sampled vectors that the centres do not know, each with a partner at
+    COSINE in the direction of another sampled vector."""
+    toward = np.roll(sample, 1, axis=0)
+    toward = toward - np.einsum("ij,ij->i", toward, sample)[:, None] * sample
+    size = np.linalg.norm(toward, axis=1)
+    some = np.flatnonzero(size > 1e-6)[:PAIRS]
+    if not len(some) or len(near) < 2:
+        return 0.0
+    a = sample[some]
+    b = COSINE * a + np.sqrt(1 - COSINE ** 2) * toward[some] / size[some, None]
+    a, b = a @ near.T, b @ near.T
+    behind = np.maximum(a.max(axis=1, keepdims=True) - a, b.max(axis=1, keepdims=True) - b).min(axis=1)
+    return float(np.quantile(behind, MEET))
+
+
+def _assign(by_length: dict[int, tuple[np.ndarray, float]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for n, part in pdf.groupby(pdf["vector"].map(len)):
                 x = _unit(np.array(part["vector"].tolist(), np.float64))
-                near = by_length.get(int(n), x[:0])
+                near, behind = by_length.get(int(n), (x[:0], 0.0))
                 base = int(n) << 32
                 if len(near) < 2:
                     shards = [[base]] * len(part)
                 else:
-                    two = np.argpartition(-(x @ near.T), 1, axis=1)[:, :2]
-                    shards = [sorted(base + 1 + int(c) for c in row) for row in two]
+                    sims = x @ near.T
+                    two = -np.partition(-sims, 1, axis=1)[:, :2]
+                    row, c = np.nonzero(sims >= np.minimum(two[:, 1], two[:, 0] - behind)[:, None])
+                    shards = [r.tolist() for r in np.split(base + 1 + c, np.flatnonzero(np.diff(row)) + 1)]
                 yield pd.DataFrame({"node": part["node"].to_numpy(), "held": part["held"].to_numpy(),
                                     "vector": list(x), "shards": shards})
     return run
@@ -246,9 +267,12 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     block = pdf["block"].to_numpy()
     own = (block[:, None] == i) & (block[None, :] == j)
     own |= own.T
-    first = np.array([list(s)[0] for s in pdf["shards"]])
-    earlier = (first[:, None] == first[None, :]) & (first[:, None] < shard)
-    counted = (linked & own & ~earlier) @ held
+    before = [[s for s in row if s < shard] for row in pdf["shards"]]
+    every = np.unique([s for row in before for s in row])
+    member = np.zeros((n, len(every)), np.float32)
+    for row, mine in enumerate(before):
+        member[row, np.searchsorted(every, mine)] = 1
+    counted = (linked & own & (member @ member.T == 0)) @ held
     root = np.arange(n)
     while True:
         low = np.where(linked, root[None, :], n).min(axis=1, initial=n)
@@ -277,12 +301,17 @@ def groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
         F.min("vec_id").alias("first_id"), F.count("*").alias("held"), F.first("vector").alias("vector"))
     classes = stage(spark, classes.withColumnRenamed("k1", "node"), "vector-classes")
     n = classes.count()
-    sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").collect()
+    sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE + PAIRS).select("vector").collect()
     by_length: dict[int, list] = {}
     for r in sample:
         by_length.setdefault(len(r["vector"]), []).append(r["vector"])
     most = max(1, min(MOST_CENTRES, n // PER_CENTRE))
-    found = {k: centres(_unit(np.array(v)), max(1, most * len(v) // len(sample))) for k, v in by_length.items()}
+    found = {}
+    for k, v in by_length.items():
+        x = _unit(np.array(v))
+        cut = max(1, len(x) * SAMPLE // (SAMPLE + PAIRS))
+        near = centres(x[:cut], max(1, most * len(v) // len(sample)))
+        found[k] = near, margin(x[cut:], near)      # centres lie nearer to the vectors they are fitted on
 
     assigned = stage(spark, classes.select("node", "held", "vector").mapInPandas(
         _assign(found), "node long, held long, vector array<double>, shards array<long>"), "vector-shards")

@@ -101,6 +101,22 @@ def test_pairs_meet_among_many_centres(spark, monkeypatch):
     assert all(h[1] <= 1 for h in have)        # shards that a pair shares count it once
 
 
+def test_recall_is_measured_by_the_query(spark, monkeypatch, caplog):
+    rng = np.random.default_rng(6)
+    x = np.vstack([near(rng, b, 0.985, 30) for b in vectors._unit(rng.standard_normal((5, 64)))])
+    rows = [(i, floats(v)) for i, v in enumerate(x)]
+    with caplog.at_level("INFO", vectors.__name__):
+        got(spark, rows)
+    assert [r.args for r in caplog.records] == [(5 * 30 * 29, 5 * 30 * 29)]
+    caplog.clear()
+    monkeypatch.setattr(vectors, "components", lambda spark, links: links.select(links.a.alias("node"), links.b.alias("root")).limit(0))
+    stage = vectors.stage
+    monkeypatch.setattr(vectors, "stage", lambda spark, df, label: stage(
+        spark, df.withColumn("links", df.links - df.links) if label == "vector-links" else df, label))
+    got(spark, rows)
+    assert [(r.levelname, r.args) for r in caplog.records] == [("WARNING", (0, 5 * 30 * 29))]
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 3.0]), (5, [1.0, float("nan"), 3.0]), (6, [1.0, float("inf"), 3.0]),

@@ -14,7 +14,10 @@
 4. Links are confirmed by cosine in double precision; a pair is counted in one group only. Components follow
    from spanning links.
 
-`audit` measures the recall of the links against all pairs of a query set.
+5. `recall` compares the links of a fixed number of sampled classes with all vectors, in every run, and logs the
+   share that was found (a warning below `ASKED`).
+
+`audit` measures the recall of the links of a finished result against all pairs of a query set.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing,
 nor do vectors of different lengths; equal vectors are linked with each other; repeated rows are vectors of
@@ -23,6 +26,7 @@ columns are ignored.
 """
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +43,11 @@ PAIRS, MEET = 4096, 0.99
 BLOCK = 1024
 CANDIDATES, DEGREE, ALPHA = 40, 16, 1.2
 BEAM, SLACK, BATCH = 24, 0.02, 256
+AUDITED, ASKED = 256, 0.9
 LEVELS = (0.99, 0.97, 0.95, 0.93)
 
+log = logging.getLogger(__name__)
+
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -330,6 +337,9 @@ def groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
     roots = components(spark, met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
+    found, true = recall(classes, links)
+    log.log(logging.WARNING if found < ASKED * true else logging.INFO,
+            "embedding near-dedup: %d of %d links of sampled vectors found", found, true)
     named = classes.select("node", "k2", "first_id", "held").join(links, "node", "left").join(roots, "node", "left").select(
         F.col("node").alias("k1"), "k2", "first_id", "held", "links", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -340,6 +350,31 @@ def groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
                       component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 
+def recall(classes: DataFrame, links: DataFrame) -> tuple[int, int]:
+    """(links found, true links) of AUDITED classes drawn from all and as many drawn from the linked ones."""
+    order = F.xxhash64("node", F.lit("recall")), F.col("node")
+    every = classes.select("node", "held", "vector")
+    linked = every.join(links.where("links > 0").select("node"), "node", "left_semi")
+    rows = {r["node"]: r for some in (every, linked) for r in some.orderBy(*order).limit(AUDITED).collect()}
+    by_length: dict[int, list] = {}
+    for r in rows.values():
+        by_length.setdefault(len(r["vector"]), []).append(r)
+    queries = {k: (np.array([r["node"] for r in v]), _unit(np.array([r["vector"] for r in v]))) for k, v in by_length.items()}
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for n, part in pdf.groupby(pdf["vector"].map(len)):
+                if n in queries:
+                    ids, q = queries[n]
+                    near = q @ _unit(np.array(part["vector"].tolist(), np.float64)).T >= COSINE
+                    near &= ids[:, None] != part["node"].to_numpy()[None, :]
+                    yield pd.DataFrame({"node": ids, "n": near @ part["held"].to_numpy()})
+
+    true = every.mapInPandas(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    both = true.join(links, "node", "left").agg(F.sum("links").alias("got"), F.sum("n").alias("all")).first()
+    return both["got"] or 0, both["all"] or 0
+
+
 def audit(spark: SparkSession, rows: DataFrame, found: DataFrame, every: int = 20) -> float:
     """Recall of the links of the vectors whose id is divisible by `every`, against all rows, in blocks.
 

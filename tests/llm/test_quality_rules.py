@@ -68,6 +68,14 @@ def test_removed_lines_leave_the_text(spark, make_docs):
     assert out[100]["text"] == prose(900, 40) and line not in out[3]["text"]
 
 
+def test_line_feeds_of_removed_lines_do_not_deplete(spark, make_docs):
+    lines = "".join(f"\nw{k:04d}" for k in range(120))          # 600 characters and 120 line feeds of 1,000
+    docs = make_docs([(i, prose(i, 80)[:280] + lines, "h") for i in range(25)])
+    kept = {r["doc_id"] for r in q.judge(spark, docs).collect() if r["kept"]}
+    assert len(kept) == 25
+    assert {r["doc_id"] for r in q.clean(spark, docs).collect()} == kept
+
+
 def test_empty_and_repeated_rows(spark, make_docs):
     assert q.judge(spark, make_docs([])).count() == 0
     assert q.clean(spark, make_docs([])).count() == 0

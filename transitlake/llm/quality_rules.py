@@ -118,21 +118,30 @@ def common_lines(spark: SparkSession, docs: DataFrame, line_share: float = LINE_
     return lines, stage(spark, above, "common-lines")
 
 
+def _lost(lines: DataFrame, above: DataFrame) -> DataFrame:
+    """l_id, l_hash, l_host, n_removed_chars, cut (line hashes): what the lines above the limits take from a text."""
+    return (lines.join(above, ["qk_host", "line"])
+            .groupBy("qk_id", "qk_hash", "qk_host", "pos").agg(F.max("chars").alias("chars"), F.first("line").alias("line"))
+            .groupBy("qk_id", "qk_hash", "qk_host").agg(F.sum("chars").alias("n_removed_chars"), F.collect_set("line").alias("cut"))
+            .withColumnsRenamed({"qk_id": "l_id", "qk_hash": "l_hash", "qk_host": "l_host"}))
+
+
+def _depleted(chars: Column, removed: Column, min_left: float) -> Column:
+    """Whether a text is left with too little; line feeds of removed lines do not count as removed."""
+    return chars - removed < min_left * chars
+
+
 def judge(spark: SparkSession, docs: DataFrame, line_share: float = LINE_SHARE, min_docs: int = MIN_DOCS,
           min_left: float = MIN_LEFT) -> DataFrame:
     """doc_id, the five measures, base_failed, n_removed_chars (in lines above the limits), kept."""
     lines, above = common_lines(spark, docs, line_share, min_docs)
-    lost = (lines.join(above, ["qk_host", "line"])
-            .groupBy("qk_id", "qk_hash", "qk_host", "pos").agg(F.max("chars").alias("chars"))
-            .groupBy("qk_id", "qk_hash", "qk_host").agg(F.sum("chars").alias("n_removed_chars"))
-            .select(F.col("qk_id").alias("l_id"), F.col("qk_hash").alias("l_hash"),
-                    F.col("qk_host").alias("l_host"), "n_removed_chars"))
+    lost = _lost(lines, above).drop("cut")
     base = measured(_keyed(docs).withColumn("qk_chars", F.length("qk_text")), "qk_text").drop("qk_text")
     both = base.join(lost, F.col("qk_id").eqNullSafe(F.col("l_id")) & (F.col("qk_hash") == F.col("l_hash"))
                      & (F.col("qk_host") == F.col("l_host")), "left")
     removed = F.coalesce(F.col("n_removed_chars"), F.lit(0)).cast("long")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    depleted = F.col("qk_chars") - removed < min_left * F.col("qk_chars")
+    depleted = _depleted(F.col("qk_chars"), removed, min_left)
     return both.select(F.col("qk_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", failed.alias("base_failed"), removed.alias("n_removed_chars"),
                        (~failed & ~depleted).alias("kept"))
@@ -143,23 +152,22 @@ def clean(spark: SparkSession, docs: DataFrame, line_share: float = LINE_SHARE,
     """The documents that `judge` keeps, with their columns; lines above the limits are cut from `text`
     and `n_chars` follows it (a text without such lines stays as it is)."""
     lines, above = common_lines(spark, docs, line_share, min_docs)
-    cut = (lines.join(above, ["qk_host", "line"])
-           .groupBy("qk_id", "qk_hash", "qk_host").agg(F.collect_set("line").alias("qk_cut"))
-           .withColumnsRenamed({"qk_id": "qk_lid", "qk_hash": "qk_lhash", "qk_host": "qk_lhost"}))
+    cut = _lost(lines, above).withColumnsRenamed({
+        "l_id": "qk_lid", "l_hash": "qk_lhash", "l_host": "qk_lhost", "n_removed_chars": "qk_removed", "cut": "qk_cut"})
     rows = docs.select(F.struct(*docs.columns).alias("qk_row")).select("qk_row", _key("qk_row.text"), _host("qk_row.source"))
     both = rows.join(cut, F.col("qk_row.doc_id").eqNullSafe(F.col("qk_lid")) & (F.col("qk_hash") == F.col("qk_lhash"))
                      & (F.col("qk_host") == F.col("qk_lhost")), "left")
     own = F.col("qk_row.text")
     left = F.array_join(F.filter(_lines(own), lambda x: ~F.array_contains(F.col("qk_cut"), line_key(x))), "\n")
-    both = both.select("qk_row", own.alias("qk_own"),
+    both = both.select("qk_row", own.alias("qk_own"), F.coalesce("qk_removed", F.lit(0)).alias("qk_removed"),
                        F.when(F.col("qk_cut").isNull(), own).otherwise(left).alias("qk_text"))
     # Through a generator: a filter on plain columns would be pushed down and compute the window hashes again
     # for every place that reads them.
     done = measured(both, "qk_own", full=False).select(
-        "qk_row", "qk_own", "qk_text", F.explode(F.array(F.struct("n_words", "n_repeat_words"))).alias("qk_m"))
+        "qk_row", "qk_own", "qk_removed", "qk_text", F.explode(F.array(F.struct("n_words", "n_repeat_words"))).alias("qk_m"))
     kept = done.where(
         (F.col("qk_m.n_words") >= 20) & (100 * F.col("qk_m.n_repeat_words") <= 30 * F.col("qk_m.n_words"))
-        & (F.length("qk_text") >= min_left * F.length("qk_own")))
+        & ~_depleted(F.length("qk_own"), F.col("qk_removed"), min_left))
     changed = {"text": F.col("qk_text"), "n_chars": F.when(F.col("qk_text") == F.col("qk_own"), F.col("qk_row.n_chars"))
                .otherwise(F.length("qk_text"))}
     return kept.select(*[changed.get(f.name, F.col(f"qk_row.`{f.name}`")).cast(f.dataType).alias(f.name)

@@ -8,7 +8,7 @@ from transitlake.llm import oracle, queries
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_matches_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     df = queries.queries()[name](spark, sf_dir)
     want = con.execute(oracle.SQL[name])

@@ -59,4 +59,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND chars - n_removed_chars >= 0.30 * chars AS kept
 FROM m"""
 
-SQL = {"op5_chat_formatting": OP5, "op7_minhash_near_dedup": OP7, "op10_quality_rules": OP10}
+_NEAREST = """a{n} AS MATERIALIZED (
+  SELECT vec_id, q, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.r, v.vec_id, v.q, m.c, list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - m.q[i]) * (v.q[i] - m.q[i])))::BIGINT AS d
+    FROM v, m{n} AS m)
+  GROUP BY r, vec_id, q)"""
+_MOVED = """m{n} AS MATERIALIZED (
+  SELECT c, coalesce(moved.q, m{p}.q) AS q FROM m{p} LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS q FROM (
+      SELECT c, i, sum(q[i]) AS s, count(*) AS n FROM a{p}, range(1, 65) AS pos(i) GROUP BY c, i)
+    GROUP BY c) AS moved USING (c))"""
+
+OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, q FROM v QUALIFY c < 16),
+{_NEAREST.format(n=0)}, {_MOVED.format(n=1, p=0)},
+{_NEAREST.format(n=1)}, {_MOVED.format(n=2, p=1)},
+{_NEAREST.format(n=2)}, {_MOVED.format(n=3, p=2)},
+{_NEAREST.format(n=3)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m3.q, ',')) AS centroid_sha256
+FROM a3 JOIN m3 USING (c)"""
+
+SQL = {"op12_centroid_clustering": OP12, "op5_chat_formatting": OP5, "op7_minhash_near_dedup": OP7, "op10_quality_rules": OP10}

@@ -2,6 +2,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from transitlake.operators import sinks
@@ -86,8 +87,8 @@ def test_checkpoint_dir_fallback_without_setting(tmp_path):
             return default
 
     class SC:
-        def __init__(self):
-            self.d = None
+        def __init__(self, master="local[1]"):
+            self.d, self.master = None, master
 
         def getCheckpointDir(self):
             return self.d
@@ -102,3 +103,7 @@ def test_checkpoint_dir_fallback_without_setting(tmp_path):
     first = ensure_checkpoint_dir(s)
     assert first and first == ensure_checkpoint_dir(s)       # created once, then reused
     assert scratch_path(s, "x").startswith(first.rstrip("/") + "/x-")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):      # no machine-local folder on a cluster
+        s.sparkContext = SC(master)
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(s)

@@ -32,7 +32,7 @@ def test_latest_per_key_matches_definition(spark, rows):
                      min_size=1, max_size=60, unique=True))
 def test_with_next_matches_definition(spark, rows):
     df = spark.createDataFrame(rows, "k string, t int")
-    got = {(r.k, r.t): r.next_t for r in with_next(df, ["k"], "t", [], bucket_size=37).collect()}
+    got = {(r.k, r.t): r.next_t for r in with_next(df, ["k"], "t", []).collect()}
     for k, t in rows:
         later = [t2 for k2, t2 in rows if k2 == k and t2 > t]
         assert got[(k, t)] == (min(later) if later else None)

@@ -4,7 +4,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from transitlake.operators import sinks
-from transitlake.operators.sequences import running_sum, with_next
 
 
 def test_insert_if_absent_first_wins_and_idempotent(spark, tmp_path):
@@ -52,18 +51,6 @@ def test_version_gate(spark):
     assert sinks.version_gate(info, "TLT", "v2", force=True)
 
 
-def test_next_row_across_buckets_and_hot_key(spark):
-    # one hot key with many rows spread over many buckets, one cold key
-    rows = [("hot", float(t)) for t in range(0, 1000, 7)] + [("cold", 5.0), ("cold", 505.0)]
-    df = spark.createDataFrame(rows, "k string, t double")
-    got = {(r.k, r.t): r.next_t for r in with_next(df, ["k"], "t", [], bucket_size=50).collect()}
-    assert got[("hot", 49.0)] == 56.0 and got[("hot", 994.0)] is None
-    assert got[("cold", 5.0)] == 505.0 and got[("cold", 505.0)] is None
-    rs = {r.t: r.running for r in running_sum(df.filter("k = 'hot'").withColumn("v", F.lit(1)),
-                                              ["k"], "t", "v", bucket_size=50).collect()}
-    assert rs[0.0] == 1 and rs[994.0] == len(range(0, 1000, 7))
-
-
 def test_nearest_in_day_around_midnight(spark):
     from transitlake.operators.asof import nearest_in_day, signed_gap
     rows = [(86_340, [60, 69_960]), (30, [86_370, 500]), (1000, [900, 1100]), (5, None), (0, [43_200]), (7, [7])]

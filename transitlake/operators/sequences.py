@@ -1,12 +1,16 @@
-"""Skew-safe "next row" and running sums per key.
-
-A window `partitionBy(key).orderBy(t)` puts every row of a key into one task; a
-key holding a third of all rows (one busy route, one vehicle reporting far more
-than others) would then sit in a single task. Here the order axis is cut into
-buckets of `bucket_size`: `lead` / running sums run per (key, bucket), and only one
-summary row per bucket crosses bucket boundaries (a window over bucket summaries,
-then a join back on (key, bucket)). A hot key is spread over its buckets; the
-per-key step handles rows / bucket_size summaries.
+"""Next row, running sums and positions per key, on ranges of equal volume.
+
+A window `partitionBy(key).orderBy(t)` puts every row of a key into one task. Here the rows are put into one total
+order (keys, order column, tie-breakers) and cut into ranges of equal volume, whatever the keys are: Spark samples
+the order and deals the ranges, so a key with 90 % of the rows, all on one day, simply spans many ranges.
+
+* The dealt rows are written once to the shared folder with the number of their range and their place in the order,
+  so every later pass sees the same ranges, also after an executor is lost.
+* Inside a range, `lead` and running sums run in one task per range (`repartitionById` puts each range into a
+  partition of its own; Spark adds no further exchange for the windows).
+* One summary row per range crosses the borders: its first row for "next row"; for running sums the sums of its
+  first and last key, the only keys it can share with other ranges. The carried values are at most one row per
+  range, whose number is `spark.sql.shuffle.partitions`, so joining them back is a broadcast of fixed size.
 """
 from __future__ import annotations
 
@@ -15,55 +19,78 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
+RANGE, PLACE = "__range", "__place"
+
+
+class RangeScan:
+    """`df` in the total order (keys, order), nulls last, cut into ranges of equal volume.
+
+    Rows equal in all of them come in the order of a hash of their columns. Null keys are a key of their own. `rows`
+    holds the columns of `df`, those added so far, and RANGE and PLACE; `result()` leaves these two out."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None) -> None:
+        spark = df.sparkSession
+        self.keys = list(keys)
+        self.ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        by = [F.col(c).asc_nulls_last() for c in (*keys, *order)] + [F.xxhash64(*df.columns)]
+        dealt = df.repartitionByRange(self.ranges, *by).sortWithinPartitions(*by)
+        path = scratch_path(spark, "ranges")
+        dealt.withColumns({RANGE: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}).write.parquet(path)
+        self.rows = spark.read.parquet(path).repartitionById(self.ranges, F.col(RANGE))
+
+    def _key(self) -> Column:
+        return F.struct(*[F.col(k) for k in self.keys])
+
+    def with_next(self, cols: Sequence[str], prefix: str = "next_") -> RangeScan:
+        """Add `<prefix><c>`: the value of c in the following row of the same key, null in a key's last row."""
+        me = F.struct(self._key().alias("key"), F.struct(*[F.col(c) for c in cols]).alias("row"))
+        firsts = self.rows.groupBy(RANGE).agg(F.min_by(me, PLACE).alias("first"))
+        follows = firsts.select(RANGE, F.lead("first").over(Window.orderBy(RANGE)).alias("__border"))     # one row a range
+        inside = F.lead(me).over(Window.partitionBy(RANGE).orderBy(PLACE))
+        both = self.rows.withColumn("__inside", inside).join(F.broadcast(follows), RANGE, "left")
+        after = F.coalesce("__inside", "__border")
+        same = after["key"].eqNullSafe(self._key())
+        self.rows = both.withColumns({f"{prefix}{c}": F.when(same, after["row"][c]) for c in cols}).drop("__inside", "__border")
+        return self
 
+    def running_sum(self, value: Column | str, out: str = "running") -> RangeScan:
+        """Add `out`: the sum of `value` over the key's rows up to and including this one."""
+        value = F.col(value) if isinstance(value, str) else value
+        rows = self.rows.withColumn("__v", value)
+        ends = rows.groupBy(RANGE).agg(F.min_by(self._key(), PLACE).alias("__first"), F.max_by(self._key(), PLACE).alias("__last"))
+        border = (F.broadcast(ends.select(F.col(RANGE).alias("__r"), "__first", "__last")),                # one row a range
+                  (F.col(RANGE) == F.col("__r")) & (self._key().eqNullSafe(F.col("__first")) | self._key().eqNullSafe(F.col("__last"))))
+        sums = rows.join(*border).groupBy(RANGE, *self.keys).agg(F.sum("__v").alias("__s"), F.first("__first").alias("__first"))
+        before = Window.partitionBy(*self.keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        carried = sums.withColumn("__c", F.sum("__s").over(before)).where(
+            F.col("__c").isNotNull() & self._key().eqNullSafe(F.col("__first"))).select(
+            RANGE, F.col("__first").alias("__key"), "__c")                                                 # at most one row a range
+        inside = F.sum("__v").over(Window.partitionBy(RANGE, *self.keys).orderBy(PLACE).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow))
+        both = rows.withColumn("__in", inside).join(F.broadcast(carried), RANGE, "left")
+        carry = F.when(F.col("__key").eqNullSafe(self._key()), F.col("__c"))
+        self.rows = both.withColumn(out, F.coalesce(F.col("__in") + carry, F.col("__in"), carry)).drop(
+            "__v", "__in", "__key", "__c")
+        return self
 
-def _bucket(order: Column, bucket_size: float) -> Column:
-    return F.floor(order.cast("double") / F.lit(float(bucket_size))).cast("bigint")
+    def result(self) -> DataFrame:
+        return self.rows.drop(RANGE, PLACE)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str],
-              tiebreak: Sequence[str] = (), bucket_size: float = 86_400.0,
-              prefix: str = "next_") -> DataFrame:
+              tiebreak: Sequence[str] = (), prefix: str = "next_", ranges: int | None = None) -> DataFrame:
     """Add `next_<c>` (and `next_<order_col>`) = values of the following row of the same
     key under (order_col, *tiebreak) ascending; NULL for the last row of a key."""
-    order_cols = [order_col, *tiebreak]
     carry = list(dict.fromkeys([order_col, *cols, *tiebreak]))
-    b = df.withColumn("__b", _bucket(F.col(order_col), bucket_size))
-    w_in = Window.partitionBy(*keys, "__b").orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-    for c in carry:
-        b = b.withColumn(f"__in_{c}", F.lead(c).over(w_in))
-    b = b.withColumn("__has_next_in", F.lead(F.lit(1)).over(w_in).isNotNull())
-    # first row of every (key, bucket), then the next non-empty bucket's first row per key
-    first = (b.groupBy(*keys, "__b")
-              .agg(F.min_by(F.struct(*[F.col(c) for c in carry]),
-                            F.struct(*[F.col(c) for c in order_cols])).alias("__first")))
-    w_b = Window.partitionBy(*keys).orderBy("__b")
-    nxt = (first.withColumn("__next_first", F.lead("__first").over(w_b))
-                .select(*keys, "__b", "__next_first"))
-    j = b.join(nxt, [*keys, "__b"], "left")
-    for c in carry:
-        b_val = F.when(F.col("__has_next_in"), F.col(f"__in_{c}")).otherwise(F.col(f"__next_first.{c}"))
-        j = j.withColumn(f"{prefix}{c}", b_val)
-    drop = [f"__in_{c}" for c in carry] + ["__has_next_in", "__next_first", "__b"]
-    return j.drop(*drop)
+    return RangeScan(df, keys, [order_col, *tiebreak], ranges).with_next(carry, prefix).result()
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
-                tiebreak: Sequence[str] = (), bucket_size: float = 86_400.0,
-                out: str = "running") -> DataFrame:
+                tiebreak: Sequence[str] = (), out: str = "running", ranges: int | None = None) -> DataFrame:
     """Inclusive running sum of `value_col` per key under (order_col, *tiebreak)."""
-    order_cols = [order_col, *tiebreak]
-    b = df.withColumn("__b", _bucket(F.col(order_col), bucket_size))
-    w_in = (Window.partitionBy(*keys, "__b").orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    b = b.withColumn("__in_sum", F.sum(value_col).over(w_in))
-    totals = b.groupBy(*keys, "__b").agg(F.sum(value_col).alias("__bt"))
-    w_b = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__bt").over(w_b), F.lit(0))) \
-                    .select(*keys, "__b", "__off")
-    return (b.join(offsets, [*keys, "__b"], "left")
-             .withColumn(out, F.col("__in_sum") + F.col("__off"))
-             .drop("__in_sum", "__off", "__b"))
+    return RangeScan(df, keys, [order_col, *tiebreak], ranges).running_sum(value_col, out).result()
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

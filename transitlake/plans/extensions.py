@@ -13,7 +13,7 @@ from ..functions import classify
 from ..functions.parse import gtfs_seconds
 from ..operators.asof import nearest_in_day, nearest_points, signed_gap
 from ..operators.latest import first_per_key, latest_per_key
-from ..operators.sequences import haversine_km, running_sum, with_next
+from ..operators.sequences import RangeScan, haversine_km, with_next
 from ..sources import drivermap as dm
 from . import gold, silver
 from .pipeline import PRICES_AS_OF, DriverInputs
@@ -142,10 +142,10 @@ def tag_cities(positions: DataFrame) -> DataFrame:
 
 # --- X7 route length from shape points -------------------------------------------------------------
 
-def shape_lengths(points: DataFrame, bucket_size: float = 1000.0) -> DataFrame:
+def shape_lengths(points: DataFrame) -> DataFrame:
     """(shape_id, pt_sequence, pt_lat, pt_lon) -> length in km along the sequence."""
     p = first_per_key(points, ["shape_id", "pt_sequence"], ["pt_lat", "pt_lon"])
-    n = with_next(p, ["shape_id"], "pt_sequence", ["pt_lat", "pt_lon"], bucket_size=bucket_size)
+    n = with_next(p, ["shape_id"], "pt_sequence", ["pt_lat", "pt_lon"])
     step = haversine_km(F.col("pt_lat"), F.col("pt_lon"), F.col("next_pt_lat"), F.col("next_pt_lon"))
     return (n.groupBy("shape_id")
              .agg(F.count(F.lit(1)).alias("n_points"),
@@ -155,8 +155,7 @@ def shape_lengths(points: DataFrame, bucket_size: float = 1000.0) -> DataFrame:
 # --- X8 congestion episodes -------------------------------------------------------------------------
 
 def congestion_episodes(positions: DataFrame, max_step_m: float = 500.0,
-                        min_minutes: float = 7.0, max_gap_minutes: float = 10.0,
-                        bucket_size: float = 86_400.0) -> DataFrame:
+                        min_minutes: float = 7.0, max_gap_minutes: float = 10.0) -> DataFrame:
     """Islands of consecutive observations of one vehicle that each move less than
     `max_step_m` (and are at most `max_gap_minutes` apart) lasting more than `min_minutes`."""
     p = (positions.select("vehicle_id", "ingested_at", "lat", "lon")
@@ -165,14 +164,12 @@ def congestion_episodes(positions: DataFrame, max_step_m: float = 500.0,
                   .agg(F.min(F.struct("lat", "lon")).alias("at"))          # of several reports at one instant
                   .select("vehicle_id", "ingested_at", "at.lat", "at.lon")
                   .withColumn("t", F.unix_micros(F.col("ingested_at").cast("timestamp")) / 1e6))
-    n = with_next(p, ["vehicle_id"], "t", ["lat", "lon"], bucket_size=bucket_size)
+    scan = RangeScan(p, ["vehicle_id"], ["t"]).with_next(["t", "lat", "lon"])
     step_m = haversine_km(F.col("lat"), F.col("lon"), F.col("next_lat"), F.col("next_lon")) * 1000
     # a break after a row starts a new island at the next row
-    n = n.withColumn("brk", F.when(F.col("next_t").isNull() | (step_m >= max_step_m)
-                                   | (F.col("next_t") - F.col("t") > max_gap_minutes * 60), 1)
-                            .otherwise(0))
-    r = running_sum(n, ["vehicle_id"], "t", "brk", bucket_size=bucket_size, out="brks")
-    island = r.withColumn("island", F.col("brks") - F.col("brk"))
+    brk = F.when(F.col("next_t").isNull() | (step_m >= max_step_m)
+                 | (F.col("next_t") - F.col("t") > max_gap_minutes * 60), 1).otherwise(0)
+    island = scan.running_sum(brk, "brks").result().withColumn("island", F.col("brks") - brk)
     ep = (island.groupBy("vehicle_id", "island")
                 .agg(F.min("ingested_at").alias("episode_start"),
                      F.max("ingested_at").alias("episode_end"),
@@ -193,7 +190,7 @@ def price_history(prices: DataFrame) -> DataFrame:
     (fuel, day) after insert-if-absent, so a fuel's series is bounded by its days."""
     s = silver_fuel_prices(prices)
     n = with_next(s.withColumn("d", F.unix_date("source_date")), ["fuel_type"], "d",
-                  ["price_eur", "source_date"], bucket_size=3650, prefix="nx_")
+                  ["price_eur", "source_date"], prefix="nx_")
     nxt = n.select(F.col("fuel_type"), F.col("nx_source_date").alias("source_date"),
                    F.col("price_eur").alias("price_previous")).filter(F.col("source_date").isNotNull())
     out = s.join(nxt, ["fuel_type", "source_date"], "left")
@@ -215,8 +212,7 @@ def timetable_metrics(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
     per_trip = st.groupBy("trip_id").agg(F.min("dep_s").alias("first_dep_s"),
                                          F.max("arr_s").alias("last_arr_s"))
     t = trips.select("trip_id", "route_id", "direction_id").join(per_trip, "trip_id")
-    t = with_next(t, ["route_id", "direction_id"], "first_dep_s", ["trip_id"], tiebreak=["trip_id"],
-                  bucket_size=3600)
+    t = with_next(t, ["route_id", "direction_id"], "first_dep_s", ["trip_id"], tiebreak=["trip_id"])
     t = t.withColumn("hour", F.floor(F.col("first_dep_s") / 3600).cast("int"))
     return (t.groupBy("route_id", "hour")
              .agg(F.count(F.lit(1)).alias("trips"),

@@ -55,26 +55,33 @@ class RangeScan:
         self.rows = both.withColumns({f"{prefix}{c}": F.when(same, after["row"][c]) for c in cols}).drop("__inside", "__border")
         return self
 
-    def running_sum(self, value: Column | str, out: str = "running") -> RangeScan:
-        """Add `out`: the sum of `value` over the key's rows up to and including this one."""
-        value = F.col(value) if isinstance(value, str) else value
-        rows = self.rows.withColumn("__v", value)
+    def running_sums(self, values: dict[str, Column]) -> RangeScan:
+        """Add for every name the sum of its value over the key's rows up to and including this one."""
+        each = range(len(values))
+        rows = self.rows.withColumns({f"__v{i}": v for i, v in enumerate(values.values())})
         ends = rows.groupBy(RANGE).agg(F.min_by(self._key(), PLACE).alias("__first"), F.max_by(self._key(), PLACE).alias("__last"))
         border = (F.broadcast(ends.select(F.col(RANGE).alias("__r"), "__first", "__last")),                # one row a range
                   (F.col(RANGE) == F.col("__r")) & (self._key().eqNullSafe(F.col("__first")) | self._key().eqNullSafe(F.col("__last"))))
-        sums = rows.join(*border).groupBy(RANGE, *self.keys).agg(F.sum("__v").alias("__s"), F.first("__first").alias("__first"))
+        sums = rows.join(*border).groupBy(RANGE, *self.keys).agg(
+            F.first("__first").alias("__first"), *[F.sum(f"__v{i}").alias(f"__s{i}") for i in each])
         before = Window.partitionBy(*self.keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-        carried = sums.withColumn("__c", F.sum("__s").over(before)).where(
-            F.col("__c").isNotNull() & self._key().eqNullSafe(F.col("__first"))).select(
-            RANGE, F.col("__first").alias("__key"), "__c")                                                 # at most one row a range
-        inside = F.sum("__v").over(Window.partitionBy(RANGE, *self.keys).orderBy(PLACE).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow))
-        both = rows.withColumn("__in", inside).join(F.broadcast(carried), RANGE, "left")
-        carry = F.when(F.col("__key").eqNullSafe(self._key()), F.col("__c"))
-        self.rows = both.withColumn(out, F.coalesce(F.col("__in") + carry, F.col("__in"), carry)).drop(
-            "__v", "__in", "__key", "__c")
+        carried = sums.withColumns({f"__c{i}": F.sum(f"__s{i}").over(before) for i in each}).where(
+            self._key().eqNullSafe(F.col("__first"))).select(
+            RANGE, F.col("__first").alias("__key"), *[f"__c{i}" for i in each])                            # one row a range
+        running = Window.partitionBy(RANGE, *self.keys).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        both = rows.withColumns({f"__in{i}": F.sum(f"__v{i}").over(running) for i in each}).join(F.broadcast(carried), RANGE, "left")
+        mine = F.col("__key").eqNullSafe(self._key())
+        out = {}
+        for i, name in enumerate(values):
+            inside, carry = F.col(f"__in{i}"), F.when(mine, F.col(f"__c{i}"))
+            out[name] = F.coalesce(inside + carry, inside, carry)
+        self.rows = both.withColumns(out).drop("__key", *[f"__{x}{i}" for x in ("v", "in", "c") for i in each])
         return self
 
+    def running_sum(self, value: Column | str, out: str = "running") -> RangeScan:
+        """Add `out`: the sum of `value` over the key's rows up to and including this one."""
+        return self.running_sums({out: F.col(value) if isinstance(value, str) else value})
+
     def result(self) -> DataFrame:
         return self.rows.drop(RANGE, PLACE)
 

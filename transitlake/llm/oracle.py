@@ -59,6 +59,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND chars - n_removed_chars >= 0.30 * chars AS kept
 FROM m"""
 
+# crc32 (polynomial 0xEDB88320, reflected) of a decimal number's digits, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]),
+    lambda s, i: xor(s >> 1, CASE WHEN s % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))))"""
+
+OP11 = f"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n, ({_CRC32.format('c')} % 4)::BIGINT AS h FROM t GROUP BY c),
+k AS (SELECT n.c, n.h, n.n, least(n.h, coalesce(b.n, 0)) AS taken FROM n LEFT JOIN n AS b ON b.c = n.c - n.c % 20),
+r AS (
+  SELECT k.c, pos AS d, role, text FROM k JOIN t ON t.c = k.c - k.c % 20 AND pos <= taken
+  UNION ALL
+  SELECT k.c, pos - h + taken, role, text FROM k JOIN t USING (c) WHERE pos > h),
+s AS MATERIALIZED (
+  SELECT c, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '' ORDER BY d) OVER (PARTITION BY c ORDER BY d)) AS node
+  FROM r
+  UNION ALL SELECT c, 0, 0, 'root' FROM k),
+p AS MATERIALIZED (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent, lead(node) OVER (PARTITION BY c ORDER BY d) IS NULL AS ends FROM s),
+nodes AS MATERIALIZED (
+  SELECT node, d, min(c) AS conv_id, min(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY node, d),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sub AS (
+  SELECT p.node, sum((NOT EXISTS (SELECT 1 FROM kids WHERE kids.node = m.node))::INT)::BIGINT AS n_leaves, sum(m.saved)::BIGINT AS saved_tokens
+  FROM nodes AS m JOIN p ON p.c = m.conv_id AND p.d <= m.d GROUP BY p.node)
+SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(kids.n, 0) AS n_children,
+       n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sub USING (node) LEFT JOIN kids USING (node) LEFT JOIN nodes AS up ON up.node = nodes.parent"""
+
 _NEAREST = """a{n} AS MATERIALIZED (
   SELECT vec_id, q, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
     SELECT v.r, v.vec_id, v.q, m.c, list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - m.q[i]) * (v.q[i] - m.q[i])))::BIGINT AS d
@@ -83,4 +115,4 @@ SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY
        (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m3.q, ',')) AS centroid_sha256
 FROM a3 JOIN m3 USING (c)"""
 
-SQL = {"op12_centroid_clustering": OP12, "op5_chat_formatting": OP5, "op7_minhash_near_dedup": OP7, "op10_quality_rules": OP10}
+SQL = {"op11_conversation_trie": OP11, "op12_centroid_clustering": OP12, "op5_chat_formatting": OP5, "op7_minhash_near_dedup": OP7, "op10_quality_rules": OP10}

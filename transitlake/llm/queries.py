@@ -14,6 +14,7 @@ from . import (
     packing,
     quality_rules,
     substrings,
+    trie,
     url_filter,
     vectors,
     vptree,
@@ -77,6 +78,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark, table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(spark, table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.cluster(spark, table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -84,7 +89,7 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {f.__name__: f for f in (
         op1_mixing, op2_token_ids, op3_url_filter, op4_embedding_near_dedup, op5_chat_formatting, op6_packing, op7_minhash_near_dedup,
-        op8_lm_scoring, op9_suffix_array_dedup, op10_quality_rules, op12_centroid_clustering)}
+        op8_lm_scoring, op9_suffix_array_dedup, op10_quality_rules, op11_conversation_trie, op12_centroid_clustering)}
 
 
 def oracle_sql() -> dict[str, str]:

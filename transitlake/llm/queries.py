@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import (
     chat,
     coder,
+    langid,
     lm,
     minhash,
     mixing,
@@ -86,10 +87,14 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.cluster(spark, table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_mixing, op2_token_ids, op3_url_filter, op4_embedding_near_dedup, op5_chat_formatting, op6_packing, op7_minhash_near_dedup,
-        op8_lm_scoring, op9_suffix_array_dedup, op10_quality_rules, op11_conversation_trie, op12_centroid_clustering)}
+        op8_lm_scoring, op9_suffix_array_dedup, op10_quality_rules, op11_conversation_trie, op12_centroid_clustering, op13_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

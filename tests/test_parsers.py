@@ -133,8 +133,14 @@ def test_gtfs_members(spark, tmp_path):
     routes = spark.createDataFrame([("r1", "3"), ("r2", "bus")], "route_id string, route_type string")
     gtfs.write_member(routes, feed, "routes")
     import pytest
-    with pytest.raises(ValueError):
-        gtfs.typed_routes(gtfs.read_member(spark, feed, "routes"), "TLT")
+    with pytest.raises(Exception, match="load aborted"):
+        gtfs.typed_routes(gtfs.read_member(spark, feed, "routes"), "TLT").collect()
+    times = spark.createDataFrame([("t1", ""), ("t1", " 7 "), ("t2", None)], "trip_id string, stop_sequence string")
+    assert sorted(r.stop_sequence for r in gtfs.typed_stop_times(times).collect()) == [0, 0, 7]
+    for wrong in ("x", " ", "1.5"):
+        bad = times.unionByName(spark.createDataFrame([("t9", wrong)], times.schema))
+        with pytest.raises(Exception, match="load aborted"):
+            gtfs.typed_stop_times(bad).collect()
     info = spark.createDataFrame([(" 2026-05 ", "20260501", "20260601")],
                                  "feed_version string, feed_start_date string, feed_end_date string")
     gtfs.write_member(info, feed, "feed_info", bom=False)

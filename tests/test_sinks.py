@@ -1,6 +1,7 @@
 """Sink semantics (S14, S15, S16, S21) and skew-safe sequence operators."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from transitlake.operators import sinks
@@ -118,6 +119,29 @@ def test_replace_with_an_empty_feed_removes_the_operator(spark, tmp_path):
     assert [r.route_id for r in spark.read.parquet(path).collect()] == ["a"]
 
 
+def test_wrong_stop_sequence_stops_the_load(spark, tmp_path):
+    """The feed's version is not recorded and the stored stop times stay; a mended feed loads."""
+    from transitlake.sources import gtfs, gtfs_load
+    tables = str(tmp_path / "tables")
+
+    def feed(version, sequences):
+        folder = str(tmp_path / version)
+        rows = [("t1", "08:00:00", "08:00:00", "s1", s) for s in sequences]
+        gtfs.write_member(spark.createDataFrame(rows, "trip_id string, arrival_time string, departure_time string, stop_id string, "
+                                                      "stop_sequence string"), folder, "stop_times")
+        gtfs.write_member(spark.createDataFrame([("r1", "3")], "route_id string, route_type string"), folder, "routes")
+        gtfs.write_member(spark.createDataFrame([(version,)], "feed_version string"), folder, "feed_info")
+        return folder
+
+    assert gtfs_load.load_feed(spark, feed("v1", ["1", "2"]), "TLT", tables, "2026-05-01 00:00:00")
+    with pytest.raises(Exception, match="load aborted"):
+        gtfs_load.load_feed(spark, feed("v2", ["1", "two"]), "TLT", tables, "2026-05-02 00:00:00")
+    stored = lambda: sorted(r.stop_sequence for r in spark.read.parquet(f"{tables}/stop_times").collect())
+    assert stored() == [1, 2]
+    assert [r.feed_version for r in spark.read.parquet(f"{tables}/feed_info").collect()] == ["v1"]
+    assert gtfs_load.load_feed(spark, feed("v3", ["5"]), "TLT", tables, "2026-05-03 00:00:00") and stored() == [5]
+
+
 def test_layers_follow_replaced_inputs(spark, tmp_path):
     from transitlake.plans import layers
     src = str(tmp_path / "src.parquet")

@@ -145,16 +145,23 @@ def replace_stop_times(stop_times: DataFrame, old_trips: DataFrame, new_stop_tim
     return keep.unionByName(new_stop_times.select(*stop_times.columns))
 
 
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    fs, p = _fs(spark, folder)
+    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 def replace_partition(df: DataFrame, path: str, partition_col: str = "operator",
                       value: str | None = None) -> None:
     """On disk: overwrite only the partitions present in `df` (dynamic overwrite); other operators'
-    partitions survive. With `value`, that partition is replaced even by an empty `df`: its folder goes."""
-    if value is not None and not df.limit(1).count():
-        fs, p = _fs(df.sparkSession, f"{path.rstrip('/')}/{partition_col}={value}")
-        fs.delete(p, True)
-        return
+    partitions survive. With `value`, that partition is replaced even by an empty `df`: one write of `df`, and if it
+    left that folder's files as they were, the folder goes."""
+    folder = f"{path.rstrip('/')}/{partition_col}={value}"
+    before = _files(df.sparkSession, folder) if value is not None else set()
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
+    if before and _files(df.sparkSession, folder) == before:
+        fs, p = _fs(df.sparkSession, folder)
+        fs.delete(p, True)
 
 
 # --- S18 / S19 feed versions -----------------------------------------------------------
@@ -194,11 +201,10 @@ def split_valid(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def require_all_valid(df: DataFrame, ok: Column, what: str) -> DataFrame:
-    """Strict mode (routes): one invalid row aborts the load."""
-    bad = df.filter(~F.coalesce(ok, F.lit(False))).limit(1).count()
-    if bad:
-        raise ValueError(f"{what}: invalid row found, load aborted")
-    return df
+    """Strict mode (routes, stop times): one invalid row fails the job that reads the rows, so nothing is loaded. Rows are
+    looked at as they pass, there is no extra pass over them."""
+    stop = F.raise_error(F.lit(f"{what}: invalid row found, load aborted"))
+    return df.filter(F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(stop))
 
 
 # --- S21 materialise ----------------------------------------------------------------------

@@ -60,6 +60,20 @@ def s8_gtfs_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gtfs.typed_stop_times(gtfs.read_member(spark, feed, "stop_times"))
 
 
+def s8_gtfs_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stop_times as the one file that a feed holds, with quotes, commas and line breaks in the headsigns, read back
+    by many tasks (S8, S17)."""
+    d = dm.DriverTables(spark, sf_dir)
+    feed = scratch_path(spark, "gtfs_feed")
+    times = dm.gtfs_stop_times_raw(d.raw("lineitem"))
+    n = F.col("stop_sequence")
+    sign = F.when(n % 3 == 0, F.concat(F.lit('Line "'), "trip_id", F.lit('"\nto, '), "stop_id")).when(
+        n % 3 == 1, F.concat("stop_id", F.lit('\n\n"'))).otherwise(F.concat(F.lit("to "), "stop_id"))
+    gtfs.write_member(times.withColumn("stop_headsign", sign), feed, "stop_times", one_file=True)
+    raw = gtfs.read_member(spark, feed, "stop_times")
+    return gtfs.typed_stop_times(raw, "stop_headsign")
+
+
 def a10_daily_price_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order's price observation collapsed into one archive document per day (last
     price per fuel wins), then read back through the archive parser (A10 + S4)."""
@@ -96,6 +110,6 @@ def s13_dated_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SOURCE_QUERIES = {f.__name__: f for f in (a9_run_counters, s13_dated_archive,
-    s8_gtfs_csv_roundtrip, a10_daily_price_map, 
+    s8_gtfs_csv_roundtrip, s8_gtfs_quoted_lines, a10_daily_price_map,
     s1_gps_raw_parse, s2_gps_archive_parse, s3_train_json_parse, s4_fuel_archive,
     s5_fuel_html_table, s6_electric_price, s7_cng_price, s10_fleet_models)}

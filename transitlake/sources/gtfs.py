@@ -1,9 +1,9 @@
 """GTFS feed members (unpacked CSV with header, UTF-8 with BOM) -> typed tables.
 
-Members are read as strings (no schema inference), the BOM is stripped from the
-first column name, a missing member is an empty table. Row rules per table (S20):
-stops and trips skip rows that fail conversion, routes abort the load on one bad
-`route_type` (missing column -> 3), stop_times take an empty sequence as 0.
+Members are read as strings (no schema inference) by many tasks, also with line breaks in quoted names
+(`csv_records`); the BOM is stripped from the first column name, a missing member is an empty table. Row rules per
+table (S20): stops and trips skip rows that fail conversion; routes abort the load on one bad `route_type` (missing
+column -> 3); stop_times take an empty sequence as 0 and abort the load on one that is no integer.
 """
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.parse import double_or_null, int_or_null, strip
 from ..operators.sinks import require_all_valid, split_valid
+from . import csv_records
 
 MEMBER_COLUMNS = {
     "agency": ["agency_id", "agency_name", "agency_url", "agency_timezone", "agency_phone",
@@ -32,18 +33,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_member(spark: SparkSession, feed_dir: str, member: str) -> DataFrame:
-    """`<feed_dir>/<member>.txt` as strings; missing member -> empty table."""
+def read_member(spark: SparkSession, feed_dir: str, member: str, order: str | None = None) -> DataFrame:
+    """`<feed_dir>/<member>.txt` as strings, read by many tasks even if quoted names hold line breaks; missing member ->
+    empty table. With `order`, a column that sorts the rows as they stand in the file."""
     path = f"{feed_dir.rstrip('/')}/{member}.txt"
     if not _exists(spark, path):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in MEMBER_COLUMNS[member]])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*MEMBER_COLUMNS[member], *([order] if order else [])]])
         return spark.createDataFrame([], schema)
-    df = (spark.read.option("header", True).option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
-          .option("multiLine", True).csv(path))
-    first = df.columns[0]
-    if first.startswith("\ufeff"):
-        df = df.withColumnRenamed(first, first.lstrip("\ufeff"))
-    return df
+    return csv_records.read_csv(spark, path, order)
 
 
 def _col(df: DataFrame, name: str, default=None):
@@ -115,18 +112,22 @@ def typed_trips(raw: DataFrame, operator: str) -> tuple[DataFrame, DataFrame]:
     return good.withColumn("operator", F.lit(operator)), bad
 
 
-def typed_stop_times(raw: DataFrame) -> DataFrame:
-    seq = F.when(F.coalesce(strip(_col(raw, "stop_sequence")), F.lit("")) == "", F.lit(0)) \
-           .otherwise(int_or_null(_col(raw, "stop_sequence"), "int"))
-    return raw.select(F.coalesce(_col(raw, "trip_id"), F.lit("")).alias("trip_id"),
+def typed_stop_times(raw: DataFrame, *texts: str) -> DataFrame:
+    given = _col(raw, "stop_sequence")
+    seq = F.when(F.coalesce(given, F.lit("")) == "", F.lit(0)).otherwise(int_or_null(given, "int"))
+    rows = raw.select(F.coalesce(_col(raw, "trip_id"), F.lit("")).alias("trip_id"),
                       F.coalesce(_col(raw, "arrival_time"), F.lit("")).alias("arrival_time"),
                       F.coalesce(_col(raw, "departure_time"), F.lit("")).alias("departure_time"),
                       F.coalesce(_col(raw, "stop_id"), F.lit("")).alias("stop_id"),
-                      seq.alias("stop_sequence"))
+                      seq.alias("stop_sequence"), *[F.coalesce(_col(raw, c), F.lit("")).alias(c) for c in texts])
+    return require_all_valid(rows, F.col("stop_sequence").isNotNull(), "stop_times.txt")
 
 
-def write_member(df: DataFrame, feed_dir: str, member: str, bom: bool = True) -> None:
-    """Land a member as header CSV (the first column name carries a BOM, as feeds do)."""
+def write_member(df: DataFrame, feed_dir: str, member: str, bom: bool = True, one_file: bool = False) -> None:
+    """Land a member as header CSV (the first column name carries a BOM, as feeds do); with `one_file`, as the single
+    file that a feed's archive holds."""
+    if one_file:
+        df = df.coalesce(1)
     if bom:
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(f"{feed_dir.rstrip('/')}/{member}.txt")

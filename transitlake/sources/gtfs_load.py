@@ -3,7 +3,8 @@ rows in the five tables, record the feed.
 
 Tables are Parquet folders partitioned by `operator`, stop times included, so replacing a feed overwrites one
 partition per table and reads nothing of the other operators. An empty or missing member empties that
-partition, as deleting before loading does. Rows that repeat a key inside a feed count once: the key's first row
+partition, as deleting before loading does. A wrong number in routes or stop times fails the load before any table
+but that one's turn has come; its version is not recorded, so the next run loads the feed again. Rows that repeat a key inside a feed count once: the key's first row
 is inserted, later ones change the columns an update overwrites.
 """
 from __future__ import annotations
@@ -32,8 +33,8 @@ def once_per_key(df: DataFrame, key: str, updated: list[str], order: str) -> Dat
 
 def typed_members(spark: SparkSession, feed_dir: str, operator: str) -> dict[str, DataFrame]:
     """The five members as typed tables with `operator` (S20 row rules)."""
-    raw = {m: gtfs.read_member(spark, feed_dir, m).withColumn("feed_row", F.monotonically_increasing_id())
-           for m in ("agency", "routes", "stops", "trips", "stop_times")}
+    raw = {m: gtfs.read_member(spark, feed_dir, m, "feed_row") for m in ("agency", "routes", "stops", "trips")}
+    raw["stop_times"] = gtfs.read_member(spark, feed_dir, "stop_times")
     typed = {"agency": gtfs.typed_agency(raw["agency"], operator),
              "routes": gtfs.typed_routes(raw["routes"], operator),
              "stops": gtfs.typed_stops(raw["stops"], operator)[0],
@@ -50,8 +51,9 @@ def load_feed(spark: SparkSession, feed_dir: str, operator: str, tables: str, lo
     history = f"{tables}/feed_info"
     if sinks.path_exists(spark, history) and not sinks.version_gate(spark.read.parquet(history), operator, version, force):
         return False
-    for member, df in typed_members(spark, feed_dir, operator).items():
-        sinks.replace_partition(df, f"{tables}/{member}", value=operator)
+    members = typed_members(spark, feed_dir, operator)
+    for member in ("stop_times", "routes", "agency", "stops", "trips"):        # first those that may refuse the feed
+        sinks.replace_partition(members[member], f"{tables}/{member}", value=operator)
     info = gtfs.read_member(spark, feed_dir, "feed_info")
     date = lambda c: gtfs._col(info, c).try_cast("string")
     sinks.append_feed_info(history, info.select(

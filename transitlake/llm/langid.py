@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship, uniform
+from .common import release, ship, stage, uniform
 
 ORDERS = (1, 2, 3)
 BITS = 17
@@ -144,11 +144,12 @@ def statistics(spark: SparkSession, training: DataFrame) -> tuple[dict[str, int]
                             "n": list(texts.values()) + held[some].tolist()})
 
     parts = training.select("lang", "text").mapInPandas(count, "lang string, bucket int, n long")
-    sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = stage(spark, parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "langid-counts")
     texts = {r["lang"]: r["n"] for r in sums.where("bucket < 0").orderBy(F.col("n").desc(), "lang").limit(SAMPLE).collect()}
     held = np.zeros(BUCKETS, dtype=np.int64)
     for r in sums.where("bucket >= 0").select("bucket", "n").toLocalIterator():
         held[r["bucket"]] = r["n"]
+    release(spark, sums)
     return texts, held
 
 
@@ -156,7 +157,7 @@ def sample(spark: SparkSession, training: DataFrame, texts: dict[str, int]) -> D
     """At most PER_LANG rows of a language and SAMPLE in all, in a fixed order: lang, text, rank, chance."""
     chance = uniform(F.lit(SEED), F.col("doc_id"), F.col("text"))
     sizes = spark.createDataFrame(list(texts.items()), "lang string, n_lang long")
-    rows = training.join(sizes, "lang").withColumn("chance", chance)
+    rows = training.join(F.broadcast(sizes), "lang").withColumn("chance", chance)
     rows = rows.where(F.col("chance") * F.col("n_lang") < 2 * PER_LANG)          # about twice as many as needed, by hash
     by_hash = Window.partitionBy("lang").orderBy("chance", F.xxhash64("text"))
     ranked = rows.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= PER_LANG)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transitlake.operators import sinks
+from transitlake.operators.keyed import keyed_table
 
 
 def test_insert_if_absent_first_wins_and_idempotent(spark, tmp_path):
@@ -12,8 +13,8 @@ def test_insert_if_absent_first_wins_and_idempotent(spark, tmp_path):
                                    (3, "98", dt.date(2026, 5, 27), 1.9)],
                                   "seq int, fuel_type string, source_date date, price double")
     path = str(tmp_path / "prices")
-    sinks.insert_if_absent_to(spark, path, batch, ["fuel_type", "source_date"], ["seq"])
-    sinks.insert_if_absent_to(spark, path, batch, ["fuel_type", "source_date"], ["seq"])  # replay
+    for _ in range(2):                                                                     # the second is a replay
+        keyed_table(batch, path, ["fuel_type", "source_date"], ["seq"]).insert_if_absent(batch, ["seq"])
     got = sorted((r.fuel_type, r.price) for r in spark.read.parquet(path).collect())
     assert got == [("95", 1.7), ("98", 1.9)]
 
@@ -101,7 +102,7 @@ def test_failed_reads_are_not_empty_tables(spark, tmp_path):
     broken.mkdir()
     (broken / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
-        sinks.insert_if_absent_to(spark, str(broken), batch, ["fuel_type"], ["seq"])
+        keyed_table(batch, str(broken), ["fuel_type"], ["seq"]).insert_if_absent(batch, ["seq"])
     path = str(tmp_path / "gold")
     with pytest.raises(FileNotFoundError):
         sinks.read_materialised(spark, path)

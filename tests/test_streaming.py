@@ -2,6 +2,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from transitlake import schemas
@@ -42,17 +43,64 @@ def _at(h, m):
     return dt.datetime(2026, 5, 27, h, m)
 
 
-def test_hours_are_complete_in_any_file_order(spark, tmp_path):
+def _references(spark):
+    routes = spark.createDataFrame([("r1", "36", 3, "TLT"), ("r2", "4", 0, "TLT")],
+                                   "route_id string, route_short_name string, route_type int, operator string")
+    models = spark.createDataFrame([("TLT", 2, "diesel", True, 5)],
+                                   "operator_code string, line_type_code int, fuel_type_code string, active boolean, vehicle_amount int")
+    return routes, models
+
+
+def _bronze(df):
+    return jobs._as_bronze(df)
+
+
+def _parts(folder):
+    """Files per day partition of a table on disk."""
+    return {d: sorted(f for f in os.listdir(os.path.join(folder, d)) if f.endswith(".parquet"))
+            for d in os.listdir(folder) if "=" in d}
+
+
+def test_activity_is_complete_in_any_file_order_and_touches_its_days_only(spark, tmp_path):
     drop, stream = _landing(spark, tmp_path)
-    table, ckpt = str(tmp_path / "seen"), str(tmp_path / "ckpt")
-    drop("newest", [(1, 2, "36", "TLT", _at(12, 30)), (2, 2, "36", "TLT", _at(12, 31))])
-    jobs.start_vehicle_hours(stream(), table, ckpt).awaitTermination()
+    routes, models = _references(spark)
+    table, ckpt = str(tmp_path / "activity"), str(tmp_path / "ckpt")
+    run = lambda c: jobs.start_route_activity(_bronze(stream()), routes, models, table, c).awaitTermination()
+    other = dt.datetime(2026, 5, 30, 9, 0)
+    drop("newest", [(1, 2, "36", "TLT", _at(12, 30)), (2, 2, "36", "TLT", _at(12, 31)), (9, 2, None, "TLT", other)])
+    run(ckpt)
+    day = "snapshot_date=2026-05-30"
+    before = _parts(f"{table}/counts")
+    assert set(before) == {day, "snapshot_date=2026-05-27"}
     drop("oldest", [(4, 2, "36", "TLT", _at(10, 50)), (4, 2, "36", "TLT", _at(10, 51)), (None, 2, "36", "TLT", _at(10, 51)),
                     (2, 2, "36", "TLT", _at(12, 59))])
-    jobs.start_vehicle_hours(stream(), table, ckpt).awaitTermination()
-    jobs.start_vehicle_hours(stream(), table, str(tmp_path / "replay")).awaitTermination()      # everything again
-    got = sorted((r.ingested_at.hour, r.vehicle_id) for r in spark.read.parquet(table).collect())
-    assert got == [(10, 4), (12, 1), (12, 2)]
+    run(ckpt)
+    after = _parts(f"{table}/counts")
+    assert after[day] == before[day] and after["snapshot_date=2026-05-27"] != before["snapshot_date=2026-05-27"]
+    seen = spark.read.parquet(f"{table}/seen").count()
+    run(str(tmp_path / "replay"))                                                      # everything again
+    got = sorted((r.window_start.day, r.window_start.hour, r.line_number, r.vehicle_count) for r in jobs.route_activity(spark, table).collect())
+    assert got == [(27, 10, "36", 1), (27, 12, "36", 2), (30, 9, None, 1)]
+    assert spark.read.parquet(f"{table}/seen").count() == seen == 4
+
+
+def test_activity_survives_a_failure_between_its_two_writes(spark, tmp_path, monkeypatch):
+    """The batch's rows are stored, its counts are not: the repeated batch counts them."""
+    drop, stream = _landing(spark, tmp_path)
+    routes, models = _references(spark)
+    table, ckpt = str(tmp_path / "activity"), str(tmp_path / "ckpt")
+    drop("a", [(1, 2, "36", "TLT", _at(12, 30))])
+    plain = jobs.sinks.replace_partition
+
+    def fails(*args, **kw):
+        raise OSError("lost")
+    monkeypatch.setattr(jobs.sinks, "replace_partition", fails)
+    q = jobs.start_route_activity(_bronze(stream()), routes, models, table, ckpt)
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    monkeypatch.setattr(jobs.sinks, "replace_partition", plain)
+    jobs.start_route_activity(_bronze(stream()), routes, models, table, ckpt).awaitTermination()
+    assert [r.vehicle_count for r in jobs.route_activity(spark, table).collect()] == [1]
 
 
 def test_sketches_are_close_and_replay_safe(spark, tmp_path):
@@ -66,18 +114,22 @@ def test_sketches_are_close_and_replay_safe(spark, tmp_path):
     assert abs(n - 5000) < 0.05 * 5000
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+def test_replays_of_any_age_and_late_rows(spark, tmp_path):
+    """No row is lost, whatever the order; rows that come late are listed as well."""
     drop, stream = _landing(spark, tmp_path)
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-
-    def run():
-        q = jobs.start_append(jobs.dedupe_replays(stream()), out, ckpt)
-        q.awaitTermination()
-        return q
-
-    drop("b1", [(1, 2, "36", "TLT", _at(10, 0)), (1, 2, "36", "TLT", _at(10, 0)), (3, 2, "36", "TLT", _at(12, 30))])
+    run = lambda c=ckpt: jobs.start_replay_dedupe(stream(), out, c).awaitTermination()
+    held = lambda name: sorted((r.vehicle_id or 0, r.ingested_at.hour, r.ingested_at.minute)
+                               for r in jobs.replay_table(spark, out, name, BRONZE.names).collect())
+    drop("b1", [(1, 2, "36", "TLT", _at(10, 0)), (1, 2, "36", "TLT", _at(10, 0)), (3, 2, "36", "TLT", _at(12, 30)),
+                (None, 2, "36", "TLT", _at(12, 30))])
+    run()
+    drop("b2", [(4, 2, "36", "TLT", _at(10, 50)), (5, 2, "36", "TLT", _at(13, 15)), (6, 2, "36", "TLT", _at(12, 25)),
+                (1, 2, "36", "TLT", _at(10, 0)), (None, 2, "36", "TLT", _at(12, 30))])     # late; new; in time; two replays
+    run()
+    drop("b3", [(7, 2, "36", "TLT", dt.datetime(2026, 5, 20, 8, 0)), (4, 2, "36", "TLT", _at(10, 50))])    # a week late; a replay
     run()
-    drop("b2", [(4, 2, "36", "TLT", _at(10, 50)), (5, 2, "36", "TLT", _at(13, 15))])           # the first is late
-    q = run()
-    assert sorted(r.vehicle_id for r in spark.read.parquet(out).collect()) == [1, 3, 5]
-    assert jobs.late_rows_dropped(q) >= 1
+    assert held("rows") == [(0, 12, 30), (1, 10, 0), (3, 12, 30), (4, 10, 50), (5, 13, 15), (6, 12, 25), (7, 8, 0)]
+    assert held("late_rows") == [(4, 10, 50), (7, 8, 0)]
+    run(str(tmp_path / "again"))                                                       # the whole feed replayed
+    assert len(held("rows")) == 7 and held("late_rows") == [(4, 10, 50), (7, 8, 0)]

@@ -5,7 +5,7 @@ rows to add) that is tested against SQL, and a writer that applies it:
 
 * append (S12): partitioned append, one distributed write.
 * insert_if_absent (S14): first row per key inside the batch, then `left_anti`
-  against the target; only the new rows are appended.
+  against the target; only the new rows are appended. On disk it is `keyed.KeyedTable`.
 * upsert (S15): full outer join on the key with a per-table list of columns the
   new row overwrites (PostgreSQL `ON CONFLICT DO UPDATE SET c = EXCLUDED.c`;
   the other columns keep the stored value). Inside one batch the last row wins.
@@ -64,18 +64,6 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return target.unionByName(rows_to_insert(target, batch, keys, order))
 
 
-def insert_if_absent_to(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                        order: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-    """Apply S14 to a Parquet table folder; returns the appended rows (lazy re-read)."""
-    if path_exists(spark, path):
-        target = spark.read.parquet(path)
-    else:                                                       # first load: empty target
-        target = spark.createDataFrame([], batch.drop(*[c for c in order if c not in keys]).schema)
-    new = rows_to_insert(target, batch, keys, order)
-    append(new, path, partition_by)
-    return new
-
-
 # --- S15 upsert ----------------------------------------------------------------------
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str],

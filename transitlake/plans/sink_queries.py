@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sinks
+from ..operators.keyed import keyed_table
 from ..session import scratch_path
 from ..sources import drivermap as dm
 from ..sources import gtfs, gtfs_load, prices
@@ -27,13 +28,19 @@ def s12_append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s14_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored prices (orders before 1998) + a batch overlapping half a year."""
+    """Stored prices (orders before 1998) + a batch overlapping half a year, inserted into a table by year: only the
+    batch's years are read."""
     d = dm.DriverTables(spark, sf_dir)
     batch = dm.fuel_price_batch(d.raw("orders"))
     stored = dm.bronze_fuel_prices(d.raw("orders").filter(F.col("o_orderdate") < F.lit("1998-01-01")
                                                           .cast("timestamp_ntz")))
     incoming = batch.filter(F.col("source_date") >= _date("1997-07-01"))
-    return sinks.insert_if_absent(stored, incoming, ["fuel_type", "source_date"], ["seq"])
+    keys, year = ["fuel_type", "source_date"], F.year("source_date")
+    rows = stored.withColumn("source_year", year)
+    table = keyed_table(rows, scratch_path(spark, "fuel_prices"), keys, (), "source_year")
+    table.insert(rows)
+    table.insert_if_absent(incoming.withColumn("source_year", year), ["seq"])
+    return table.rows().drop("source_year")
 
 
 def s14_fuel_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,14 +55,15 @@ def s14_fuel_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         electric = prices.parse_electric(dm.electric_docs(d.raw("events")), keep=["event_id"]).select(
             F.col("event_id").alias("id"), F.lit(0).alias("row_pos"), "fuel_type", "price_eur")
         cng = prices.mine_cng_price(dm.cng_texts(d.raw("documents"), d.raw("orders")), keep=["text_id"])
-        cng = cng.filter(F.col("text_id").startswith("order:")).select(
-            F.split_part("text_id", F.lit(":"), F.lit(2)).cast("bigint").alias("id"), F.lit(0).alias("row_pos"), "fuel_type",
-            F.col("price").alias("price_eur"))
+        cng = cng.select(                                         # an order's news and a document may share a number
+            F.split_part("text_id", F.lit(":"), F.lit(2)).cast("bigint").alias("id"),
+            F.col("text_id").startswith("order:").cast("int").alias("row_pos"), "fuel_type", F.col("price").alias("price_eur"))
         return prices.ingest_batch(*[x.filter(keep).withColumn("source_date", day) for x in (tables, electric, cng)])
 
     for keep in (F.col("id") % 2 == 0, F.lit(True)):
-        sinks.insert_if_absent_to(spark, out, batch(keep), ["fuel_type", "source_date"], ["seq"])
-    return spark.read.parquet(out)
+        rows = batch(keep).withColumn("source_year", F.year("source_date"))
+        keyed_table(rows, out, ["fuel_type", "source_date"], ["seq"], "source_year").insert_if_absent(rows, ["seq"])
+    return spark.read.parquet(out).drop("source_year")
 
 
 def s15_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ table files (availableNow), into the shared folder, and returns the read-back re
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import sinks
 from ..session import scratch_path
@@ -31,8 +32,8 @@ def _bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def st5_route_activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, i = scratch_path(spark, "st5_route_activity"), DriverInputs(spark, sf_dir)
-    jobs.start_vehicle_hours(_bronze_stream(spark, sf_dir), f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return jobs.route_activity_windows(spark.read.parquet(f"{out}/data"), i.routes, i.models)
+    jobs.start_route_activity(_bronze_stream(spark, sf_dir), i.routes, i.models, out, f"{out}/checkpoint").awaitTermination()
+    return jobs.route_activity(spark, out)
 
 
 def st4_latest_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,17 +49,44 @@ def st7_price_intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = dm.fuel_price_batch(_stream(spark, sf_dir, "orders"))
     q = jobs.start_price_intake(prices, f"{out}/table", f"{out}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{out}/table")
+    return spark.read.parquet(f"{out}/table").drop("source_year")
+
+
+def _replayed_newest_first(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """The events landed in three parts, the newest part first, every part read by two sources (a replayed feed), one
+    file per trigger: the folder of the deduplicated tables."""
+    out = scratch_path(spark, label)
+    events = dm.table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    third = (last - first) / 3
+    edges = [None, first + third, first + 2 * third, None]
+    for k in (2, 1, 0):
+        part = events
+        if edges[k] is not None:
+            part = part.where(F.col("ts") >= F.lit(edges[k]).cast("timestamp_ntz"))
+        if edges[k + 1] is not None:
+            part = part.where(F.col("ts") < F.lit(edges[k + 1]).cast("timestamp_ntz"))
+        part.write.mode("append").parquet(f"{out}/landing")
+
+    def source() -> DataFrame:
+        return dm.bronze_vehicle_positions(jobs.read_table_stream(spark, f"{out}/landing", "*.parquet", events.schema, 1))
+
+    jobs.start_replay_dedupe(source().unionByName(source()), f"{out}/tables", f"{out}/checkpoint").awaitTermination()
+    return f"{out}/tables"
 
 
 def st8_replay_dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events feed delivered twice (two sources over the same files)."""
-    out = scratch_path(spark, "st8_dedupe")
-    a = dm.bronze_vehicle_positions(_stream(spark, sf_dir, "events"))
-    b = dm.bronze_vehicle_positions(_stream(spark, sf_dir, "events"))
-    q = jobs.start_append(jobs.dedupe_replays(a.unionByName(b)), f"{out}/data", f"{out}/checkpoint")
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    """Every observation once, though delivered twice and newest first."""
+    tables = _replayed_newest_first(spark, sf_dir, "st8_dedupe")
+    columns = dm.bronze_vehicle_positions(dm.table(spark, sf_dir, "events")).columns
+    return jobs.replay_table(spark, tables, "rows", columns)
+
+
+def st9_late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the same run, the rows that came over ten minutes later than newer ones: kept, and listed."""
+    tables = _replayed_newest_first(spark, sf_dir, "st9_late")
+    columns = dm.bronze_vehicle_positions(dm.table(spark, sf_dir, "events")).columns
+    return jobs.replay_table(spark, tables, "late_rows", columns)
 
 
 def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,4 +131,4 @@ def st6_route_activity_approx_stream(spark: SparkSession, sf_dir: str) -> DataFr
 STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st1_train_ingest_stream, st2_day_positions_stream,
                                           st6_route_activity_approx_stream, 
     st4_latest_positions_stream, st5_route_activity_stream, st7_price_intake_stream,
-    st8_replay_dedupe_stream)}
+    st8_replay_dedupe_stream, st9_late_rows_stream)}

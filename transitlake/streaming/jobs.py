@@ -7,15 +7,14 @@ ST1 files -> bronze (parse expressions from `sources`, Parquet append, checkpoin
 ST2 night pause as a stateless event-time filter
 ST3 stream ⟕ static enrichment (silver M1/M2 functions work on streams unchanged)
 ST4 latest position per vehicle: per micro-batch merge into a small state table
-ST5 exact distinct vehicles per line and hour: watermark + dropDuplicates + count
-ST6 the same, approximate (approx_count_distinct in a window)
+ST5 exact distinct vehicles per line and hour: keyed table of what was seen, counts of the touched days
+ST6 the same, approximate (mergeable sketches)
 ST7 idempotent price intake: foreachBatch + insert-if-absent
-ST8 replayed-snapshot dedupe: dropDuplicatesWithinWatermark
-ST9 late data: watermark; dropped rows reported by the query progress
+ST8 replayed-snapshot dedupe, whatever the order: keyed table by day
+ST9 late data: kept, and listed in a side table
 
-Event time must be TIMESTAMP (with zone) for watermarks; with the session zone at
-UTC the NTZ feed times are cast without changing wall-clock values, and outputs
-are cast back to TIMESTAMP_NTZ.
+No job holds state that grows with the stream or forgets by a watermark: what was seen lives in tables, read only
+where a batch can meet it.
 
 Checkpoints and state tables live in the shared folder named by
 `spark.checkpoint.dir` (see `session.scratch_path`), so a restarted query resumes
@@ -31,12 +30,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import classify
 from ..operators import sinks
+from ..operators.keyed import keyed_table
 from ..operators.latest import latest_per_key
 from ..plans import gold, silver
 from ..sources import gps
 
-WATERMARK = "10 minutes"
-
 
 # --- sources / landing ---------------------------------------------------------------
 
@@ -73,10 +71,6 @@ def archive_path(kind: Column | str, ts: Column, ext: str) -> Column:
                        F.concat(F.date_format(ts, "ddMMyyyy_HHmm"), F.lit(f".{ext}")))
 
 
-def event_time(df: DataFrame, col: str = "ingested_at", out: str = "event_ts") -> DataFrame:
-    return df.withColumn(out, F.col(col).cast("timestamp"))
-
-
 # --- ST1 / ST2 ---------------------------------------------------------------------------
 
 def bronze_from_feed_lines(lines: DataFrame) -> DataFrame:
@@ -147,47 +141,67 @@ def latest_positions_stateful(positions: DataFrame) -> DataFrame:
 
 # --- ST5 / ST6 / ST8 / ST9 -----------------------------------------------------------------
 
-SEEN_KEYS = ["vehicle_id", "line_type", "line_number", "operator", "snapshot_date", "ingested_at"]
 ACTIVITY_KEYS = ["line_number", "transport_type", "fuel_type", "operator"]
+SEEN_KEYS = ["vehicle_id", *ACTIVITY_KEYS, "ingested_at"]
+NONE = "\0"                      # stands for a null in a key: nulls are equal there
 
 
 def _foreach(stream: DataFrame, apply, checkpoint: str, available_now: bool) -> StreamingQuery:
-    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    """Run `apply(batch, epoch)` on every micro-batch, kept while it is worked on (it is read more than once)."""
+    def kept(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        try:
+            apply(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    w = stream.writeStream.foreachBatch(kept).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def start_vehicle_hours(bronze: DataFrame, table_path: str, checkpoint: str,
-                        available_now: bool = True) -> StreamingQuery:
-    """ST5, first half: the table of (vehicle, line, operator, hour) seen so far, by day.
+def _windows() -> list[Column]:
+    return [F.col("ingested_at").alias("window_start"),
+            (F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")).alias("window_end")]
+
 
-    Every batch is reduced to distinct rows and only the new ones are added (S14), so hours are complete as
-    far as files have landed, files may land in any order, and a replayed batch adds nothing. No state is
-    held and no row is ever late."""
+def start_route_activity(bronze: DataFrame, routes: DataFrame, models: DataFrame, table_path: str, checkpoint: str,
+                         available_now: bool = True) -> StreamingQuery:
+    """ST5: exact distinct vehicles per hour window, line, type, fuel and operator, kept up to date in
+    `<table_path>/counts`, one partition per day.
+
+    A batch is reduced to distinct (vehicle, line, type, fuel, operator, hour) rows; those not seen yet are added to
+    `<table_path>/seen`, a keyed table by day, of which only the batch's days are read. Then the counts of these days
+    are taken again from their `seen` rows and their partitions replaced; other days' files stay as they are. Hours
+    are complete as far as files have landed, files may land in any order, and a batch that is replayed, or
+    repeated after a failure between the two writes, changes nothing."""
     def add(batch: DataFrame, epoch_id: int) -> None:
-        seen = gold.hourly_vehicles(batch).select(*SEEN_KEYS)
-        sinks.insert_if_absent_to(batch.sparkSession, table_path, seen.where("vehicle_id is not null"), SEEN_KEYS,
-                                  SEEN_KEYS, ("snapshot_date",))
+        rows = silver.vehicle_positions(gold.hourly_vehicles(batch), routes, models)
+        rows = rows.where("vehicle_id IS NOT NULL AND ingested_at IS NOT NULL").select(
+            "vehicle_id", *[F.coalesce(c, F.lit(NONE)).alias(c) for c in ACTIVITY_KEYS], "ingested_at", "snapshot_date")
+        seen = keyed_table(rows, f"{table_path}/seen", SEEN_KEYS, part="snapshot_date")
+        days = seen.parts_of(batch.select(F.to_date("ingested_at").alias("snapshot_date")).where("snapshot_date IS NOT NULL"))
+        if not days:
+            return
+        seen.insert_if_absent(rows, SEEN_KEYS, days)
+        keys = [F.nullif(F.col(c), F.lit(NONE)).alias(c) for c in ACTIVITY_KEYS]
+        counts = seen.rows(days).groupBy(*_windows(), *keys, "snapshot_date").agg(
+            F.countDistinct("vehicle_id").alias("vehicle_count"))
+        sinks.replace_partition(counts, f"{table_path}/counts", partition_col="snapshot_date")
 
     return _foreach(bronze, add, checkpoint, available_now)
 
 
+def route_activity(spark: SparkSession, table_path: str) -> DataFrame:
+    """The counts that `start_route_activity` keeps; nothing is counted here."""
+    return spark.read.parquet(f"{table_path}/counts").drop("snapshot_date")
+
+
 def _as_bronze(rows: DataFrame) -> DataFrame:
     empty = {"destination": "string", "lat": "double", "lon": "double", "bearing": "int", "low_floor": "boolean"}
     return rows.withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
 
 
-def _windows() -> list[Column]:
-    return [F.col("ingested_at").alias("window_start"),
-            (F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")).alias("window_end")]
-
-
-def route_activity_windows(vehicle_hours: DataFrame, routes: DataFrame, models: DataFrame) -> DataFrame:
-    """ST5, second half: exact distinct vehicles per hour window, line, type, fuel and operator."""
-    positions = silver.vehicle_positions(_as_bronze(vehicle_hours), routes, models)
-    return positions.groupBy(*_windows(), *ACTIVITY_KEYS).agg(F.countDistinct("vehicle_id").alias("vehicle_count"))
-
-
 SKETCH_KEYS = ["line_type", "line_number", "operator", "snapshot_date", "ingested_at"]
 
 
@@ -212,17 +226,40 @@ def route_activity_approx(sketches: DataFrame, routes: DataFrame, models: DataFr
         F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("vehicle_count_approx"))
 
 
-def dedupe_replays(positions: DataFrame, keys: Sequence[str] = ("vehicle_id", "ingested_at"),
-                   watermark: str = WATERMARK) -> DataFrame:
-    """ST8: the same observation delivered twice (replayed snapshot) is kept once."""
-    ev = event_time(positions).withWatermark("event_ts", watermark)
-    return ev.dropDuplicatesWithinWatermark(list(keys)).drop("event_ts")
+REPLAY_KEYS = ["vehicle_id", "ingested_at"]
+
+
+def start_replay_dedupe(positions: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str] = REPLAY_KEYS,
+                        event_time: str = "ingested_at", delay: str = "10 minutes", available_now: bool = True) -> StreamingQuery:
+    """ST8 / ST9: every observation once, in whatever order and however often it arrives.
 
+    `<table_path>/rows` is a keyed table by day; a batch adds what its days do not hold yet, so a replay of any age adds
+    nothing and a late row is never lost. A row that is new but older than the newest stored event time less `delay`
+    is also put into `<table_path>/late_rows` (same columns and keys): what a watermark would have dropped. Late
+    rows are written first; a batch repeated after a failure finds the same ones. Of rows with equal keys in
+    one batch the smallest by all columns stays; nulls in keys are equal."""
+    columns = positions.columns
+    marks = [f"key_{k}" for k in keys]
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """ST9: rows dropped as late by the stateful operators over the recent progress."""
-    return int(sum(op.get("numRowsDroppedByWatermark", 0)
-                   for p in (query.recentProgress or []) for op in p.get("stateOperators", [])))
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumns({m: F.coalesce(F.col(k).cast("string"), F.lit(NONE)) for k, m in zip(keys, marks)} |
+                                 {"day": F.to_date(event_time)})
+        table, late = (keyed_table(rows, f"{table_path}/{name}", marks, part="day") for name in ("rows", "late_rows"))
+        fresh = table.absent(rows, columns)
+        newest = table.last_part()
+        edge = None if newest is None else table.rows([newest]).agg(
+            F.max(event_time) - F.expr(f"INTERVAL {delay}")).first()[0]
+        if edge is not None:
+            late.insert_if_absent(fresh.where(F.col(event_time) < F.lit(edge)), marks)
+        table.insert(fresh)
+
+    return _foreach(positions, add, checkpoint, available_now)
+
+
+def replay_table(spark: SparkSession, table_path: str, name: str, columns: Sequence[str]) -> DataFrame:
+    """`rows` or `late_rows` of `start_replay_dedupe`."""
+    return spark.read.parquet(f"{table_path}/{name}").select(*columns)
 
 
 # --- ST7 -------------------------------------------------------------------------------------
@@ -230,11 +267,10 @@ def late_rows_dropped(query: StreamingQuery) -> int:
 def start_price_intake(prices: DataFrame, table_path: str, checkpoint: str,
                        keys: Sequence[str] = ("fuel_type", "source_date"),
                        order: Sequence[str] = ("seq",), available_now: bool = True) -> StreamingQuery:
-    """ST7: each micro-batch goes through insert-if-absent (S14): replaying a batch or a
-    whole day changes nothing; the first price of a day wins."""
+    """ST7: each micro-batch goes through insert-if-absent (S14) into a keyed table by year: replaying a batch or a
+    whole day changes nothing; the first price of a day wins. Only the years of a batch are read."""
     def intake(batch: DataFrame, epoch_id: int) -> None:
-        sinks.insert_if_absent_to(batch.sparkSession, table_path, batch, list(keys), list(order))
+        rows = batch.withColumn("source_year", F.year("source_date"))
+        keyed_table(rows, table_path, keys, order, "source_year").insert_if_absent(rows, order)
 
-    w = prices.writeStream.foreachBatch(intake).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    return w.start()
+    return _foreach(prices, intake, checkpoint, available_now)

@@ -70,6 +70,45 @@ def test_group_near_the_border_has_no_lost_link(spark, make_docs):
     assert got(spark, make_docs([(i, t, "s") for i, t in rows])) == brute(rows)
 
 
+def test_links_with_few_equal_coordinates_are_found(spark, make_docs):
+    """Pairs just above 0.75 whose signatures agree in fewer than half of the coordinates."""
+    found = []
+    for seed in range(4000):
+        rng = random.Random(seed)
+        words = prose(seed + 5000, 20).split()
+        other = words[:]
+        other[0] = f"x{rng.randrange(10**9)}"
+        other[-1] = f"y{rng.randrange(10**9)}"
+        a, b = " ".join(words), " ".join(other)
+        x, y = minhash.shingle_set(a), minhash.shingle_set(b)
+        both = len(set(x.tolist()) & set(y.tolist()))
+        if 100 * both >= 75 * (len(x) + len(y) - both) and (minhash.signature(x) == minhash.signature(y)).sum() < 42:
+            found.append((a, b))
+    assert len(found) >= 20
+    rows = [(2 * i + k, t) for i, pair in enumerate(found) for k, t in enumerate(pair)]
+    assert got(spark, make_docs([(i, t, "s") for i, t in rows])) == brute(rows)
+
+
+def test_bound_is_never_below_the_overlap(spark):
+    rng = random.Random(3)
+    base = prose(9, 160)
+    texts = [edited(base, rng.randrange(40), 900 + i) for i in range(60)]
+    sets = {i: minhash.shingle_set(t) for i, t in enumerate(texts)}
+    df = spark.createDataFrame([(i, s.astype("int64").tolist(), [int((s % minhash.PARTS == k).sum()) for k in range(minhash.PARTS)])
+                                for i, s in sets.items()], "node long, shingles array<long>, parts array<long>")
+    bounds = {r["node"]: r["shared"] for r in minhash._bounds(df, df).collect()}
+    for a in bounds:
+        for b in bounds:
+            if a < b:
+                both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
+                assert both <= sum(map(min, bounds[a], bounds[b])) <= min(len(sets[a]), len(sets[b]))
+    dropped = set(sets) - set(bounds)                  # those cannot link with anything
+    for a in dropped:
+        for b in set(sets) - {a}:
+            both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
+            assert 100 * both < 75 * (len(sets[a]) + len(sets[b]) - both)
+
+
 def test_signature_meets_in_the_prefix():
     a = minhash.signature(minhash.shingle_set(prose(1, 500)))
     assert len(a) == minhash.COORDS and len(set(a.tolist())) == minhash.COORDS

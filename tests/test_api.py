@@ -27,13 +27,6 @@ def test_read_snapshot_files_and_delayed(spark, tmp_path):
     assert [r.reis for r in trains.delayed(parsed).collect()] == ["1"]
 
 
-def test_backfill_keeps_old_layout_out(spark):
-    lines = spark.createDataFrame([("2026-05-27T09:41:00,97,2,63,X,59.4,24.7,10,True,TLT",),
-                                   ("2026-05-28T09:41:00,97,2,63,X,59.4,24.7,10,True,TLT",)], "value string")
-    rows = gps.backfill_bronze(gps.parse_gps_archive(lines)).collect()
-    assert len(rows) == 1 and rows[0].line_number == "63" and "layout" not in rows[0].asDict()
-
-
 def test_trip_row_rules(spark):
     raw = spark.createDataFrame([("t1", "r1", "", "x"), ("t2", "r1", "1", "y"), ("t3", "r2", "q", "z"),
                                  (None, "r1", "0", "w")],

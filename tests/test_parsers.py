@@ -36,19 +36,39 @@ def test_gps_raw_rules(spark):
 
 def test_gps_archive_rules(spark):
     broken = "Mustamäe".encode("utf-8").decode("latin-1")
-    rows = gps.parse_gps_archive(lines(
-        spark,
-        f"2026-05-28T23:44:00.123456,96,3,2,{broken},59.43,24.77,999,True,TLT",
-        "2026-05-28T23:45:00,None,2,17,Kopli,59.4,24.7,None,False,TLT",
-        "2026-05-27T09:41:00,97,2,63,Harbour,59.4,24.7,10,True,TLT",
-    ), old_layout_window=(dt.datetime(2026, 5, 27, 9), dt.datetime(2026, 5, 27, 12))).collect()
-    by_layout = {r.layout: r for r in rows}
+    old = [f"2026-05-27T09:41:0{i},97,{n},63,Harbour,59.4,24.7,10,True,TLT" for i, n in enumerate((1, 2, 4, 2))]
+    new = ["2026-05-27T09:41:30,97,2,63,Correct,59.4,24.7,10,True,TLT",          # at the same time, in a file of today's layout
+           f"2026-05-28T23:44:00.123456,96,3,2,{broken},59.43,24.77,999,True,TLT",
+           "2026-05-28T23:45:00,None,2,17,Kopli,59.4,24.7,None,False,TLT", "short,line"]
+    df = spark.createDataFrame([("a.txt", x) for x in old] + [("b.txt", x) for x in new], "file string, value string")
+    assert {r["file"]: (r["layout"], r["lines"], r["known"]) for r in gps.archive_layouts(df, "file").collect()} == {
+        "a.txt": ("v0", 4, 2), "b.txt": ("v1", 3, 3)}
+    rows = gps.parse_gps_archive(df, "file").collect()
     first = [r for r in rows if r.bearing == 999][0]
     assert first.destination == "Mustamäe" and first.low_floor
     second = [r for r in rows if r.destination == "Kopli"][0]
     assert second.vehicle_id is None and second.bearing is None and not second.low_floor
-    old = by_layout["v0"]
-    assert old.line_number == "2" and old.line_type is None
+    found = [r for r in rows if r.layout == "v0"]
+    assert sorted(r.line_number for r in found) == ["1", "2", "2", "4"] and all(r.line_type is None for r in found)
+    kept = gps.backfill_bronze(gps.parse_gps_archive(df, "file")).collect()
+    assert sorted(r.destination for r in kept) == ["Correct", "Kopli", "Mustamäe"]
+
+
+def test_archive_files_split_large_snapshots(spark, tmp_path):
+    """A snapshot beyond the advisory size is written by several tasks; small ones are one file each."""
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        rows = spark.range(0, 30_000, 1, 8).select(
+            F.concat(F.lit("line "), F.col("id"), F.lit("x" * 40)).alias("value"),
+            F.when(F.col("id") < 29_000, F.lit("2026-05-27 09:41:00")).otherwise(F.lit("2026-05-27 09:42:00")).cast("timestamp_ntz").alias("ts"))
+        gps.write_archive(rows, "gps", "ts", str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    folders = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.rglob("minute=*")}
+    assert folders["minute=27052026_0941"] > 3 and folders["minute=27052026_0942"] <= 2
+    back = gps.read_archive(spark, f"{tmp_path}/gps")
+    assert back.count() == 30_000 and back.select("snapshot").distinct().count() == 2
 
 
 def test_repair_is_conditional(spark):

@@ -48,8 +48,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "vehicle_positions": layers.stored(
             spark, "archive_vehicle_positions", src("events"),
-            lambda: gps.parse_gps_archive(dm.gps_archive_lines(ev),
-                                          old_layout_window=dm.OLD_LAYOUT_DRIVER_WINDOW)),
+            lambda: gps.parse_gps_archive(dm.gps_archive_lines(ev), "file", dm.ARCHIVE_TYPES)),
         "fuel_prices": layers.stored(spark, "archive_fuel_prices", src("orders"),
                                      lambda: prices.parse_fuel_archive(dm.fuel_archive_docs(orders))),
         "elron_positions": layers.stored(

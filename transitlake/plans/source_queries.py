@@ -15,9 +15,11 @@ def s1_gps_raw_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s2_gps_archive_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive lines written as dated files (S13), read back and parsed, the layout found file by file."""
     d = dm.DriverTables(spark, sf_dir)
-    return gps.parse_gps_archive(dm.gps_archive_lines(d.raw("events")),
-                                 old_layout_window=dm.OLD_LAYOUT_DRIVER_WINDOW, keep=["event_id"])
+    out = scratch_path(spark, "gps_lines")
+    gps.write_archive(dm.gps_archive_lines(d.raw("events")), "gps", "ts", out)
+    return gps.parse_gps_archive(gps.read_archive(spark, f"{out}/gps"), "snapshot", dm.ARCHIVE_TYPES)
 
 
 def s3_train_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

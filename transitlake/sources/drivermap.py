@@ -269,16 +269,15 @@ def gps_raw_lines(events: DataFrame) -> DataFrame:
     return events.select(e.alias("event_id"), line.alias("value"))
 
 
-OLD_LAYOUT_DRIVER_WINDOW = ("2024-01-02 09:00:00", "2024-01-02 12:00:00")
-
+ARCHIVE_TYPES = (1, 2, 3)                # line types in the driver's archive lines
 
 def gps_archive_lines(events: DataFrame) -> DataFrame:
-    """S2 input: archived lines with `None` literals, bearing 999, mis-decoded names and
-    the old field layout inside OLD_LAYOUT_DRIVER_WINDOW."""
+    """S2 input: archived lines, one file an hour (`file`), with `None` literals, bearing 999, mis-decoded names and, in
+    every 37th hour's file, the old field layout."""
     e = F.col("event_id")
     s = lambda c: c.cast("string")
-    lo, hi = OLD_LAYOUT_DRIVER_WINDOW
-    old = (F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
+    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000))
+    old = hour % 37 == 5
     dest = pick(DESTINATIONS + DESTINATIONS_BROKEN, "event_id % 16")
     lat = F.lit(57.0) + (e % 400).cast("double") / 100.0
     lon = F.lit(21.0) + (e % 800).cast("double") / 100.0
@@ -293,7 +292,7 @@ def gps_archive_lines(events: DataFrame) -> DataFrame:
         F.when(e % 2 == 0, F.lit("True")).otherwise(F.lit("False")),
         F.lit(seeds.GPS_OPERATOR),
     )
-    return events.select(e.alias("event_id"), line.alias("value"))
+    return events.select(e.alias("event_id"), line.alias("value"), hour.alias("file"), F.date_trunc("hour", "ts").alias("ts"))
 
 
 def train_snapshot_docs(events: DataFrame) -> DataFrame:

@@ -6,8 +6,6 @@ on `readStream.text(...)`.
 """
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,26 +80,39 @@ def parse_gps_lines_observed(lines: DataFrame):
     return out, c
 
 
-# Archive layout drift (trap D1): files written in this window hold the line number
-# in the line-type slot. Reference value from the archived inputs.
-OLD_LAYOUT_WINDOW = (dt.datetime(2026, 5, 27, 9, 0), dt.datetime(2026, 5, 27, 12, 0))
+# Types that the position feed sends (fixed values): bus and tram.
+FEED_TYPES = (2, 3)
+# A file is in today's layout if at least this share of its lines hold a feed type in the type slot.
+KNOWN_SHARE = 0.9
+
+
+def archive_layouts(lines: DataFrame, file: str, known_types: tuple[int, ...] = FEED_TYPES) -> DataFrame:
+    """Layout of every archived file, from its own lines (trap D1): (file, layout, lines, known).
+
+    Old files hold the line number in the type slot, so many of their lines have a type that the feed does not know;
+    in today's files nearly all are known. Nothing is assumed about when a file was written."""
+    f = F.split(F.col("value"), ",", -1)
+    known = F.coalesce(int_or_null(none_literal_to_null(F.get(f, 2)), "int").isin(*known_types), F.lit(False))
+    counts = lines.where(F.size(f) >= 10).groupBy(file).agg(F.count("*").alias("lines"), F.sum(known.cast("int")).alias("known"))
+    return counts.select(file, F.when(F.col("known") >= KNOWN_SHARE * F.col("lines"), "v1").otherwise("v0").alias("layout"),
+                         "lines", "known")
 
 
-def parse_gps_archive(lines: DataFrame, old_layout_window=OLD_LAYOUT_WINDOW,
+def parse_gps_archive(lines: DataFrame, file: str, known_types: tuple[int, ...] = FEED_TYPES,
                       keep: list[str] | None = None) -> DataFrame:
     """Archived lines `ts,vehicle_id,line_type,line_number,destination,lat,lon,
-    bearing,low_floor,operator` -> bronze rows plus `ingested_at` and `layout`.
+    bearing,low_floor,operator` -> bronze rows plus `ingested_at` and `layout`. `file` names the column that says
+    which file a line comes from.
 
     `None` literals become NULL (D9), `True`/`False` booleans, double-encoded text is
-    repaired (D3), bearing 999 is kept (D8). Rows from the old-layout window are
+    repaired (D3), bearing 999 is kept (D8). Rows of files in the old layout are
     tagged `layout='v0'` with the line number taken from the line-type slot and an
     unknown line type; nothing is dropped except lines without ten fields."""
     keep = keep or []
-    f = F.split(F.col("value"), ",", -1)
-    s = lines.select(*keep, f.alias("f"))
+    layouts = archive_layouts(lines, file, known_types).select(file, "layout")
+    s = lines.join(layouts, file).select(*keep, "layout", F.split(F.col("value"), ",", -1).alias("f"))
     ts = strip(F.get(F.col("f"), 0)).try_cast("timestamp_ntz")
-    lo, hi = (F.lit(str(x)).cast("timestamp_ntz") for x in old_layout_window)
-    old = F.coalesce((ts >= lo) & (ts < hi), F.lit(False))
+    old = F.col("layout") == "v0"
     field = lambda i: none_literal_to_null(F.col("f")[i])
     return s.filter(F.size("f") >= 10).select(
         *keep,
@@ -115,7 +126,7 @@ def parse_gps_archive(lines: DataFrame, old_layout_window=OLD_LAYOUT_WINDOW,
         (F.lower(strip(field(8))) == "true").alias("low_floor"),
         strip(field(9)).alias("operator"),
         ts.alias("ingested_at"),
-        F.when(old, "v0").otherwise("v1").alias("layout"),
+        "layout",
     )
 
 
@@ -126,16 +137,20 @@ def backfill_bronze(archive_rows: DataFrame) -> DataFrame:
 
 def write_archive(lines: DataFrame, kind: str, ts: str, base: str) -> None:
     """Lines into `<base>/<kind>/YYYY/monYYYY/DDMMYYYY/DDMMYYYY_HHMM`, one folder a minute (Spark names the
-    files inside). Rows are clustered by minute before the write, so a minute is written by one task."""
+    files inside). Rows are rebalanced by minute before the write: small minutes are one file each, a minute beyond
+    the advisory partition size is split over tasks and files."""
     t = F.col(ts)
     stamp = {"year": F.date_format(t, "yyyy"), "month": F.lower(F.date_format(t, "MMMyyyy")),
              "day": F.date_format(t, "ddMMyyyy"), "minute": F.date_format(t, "ddMMyyyy_HHmm")}
     rows = lines.select("value", *[c.alias(k) for k, c in stamp.items()])
-    rows.repartition(*stamp).write.mode("append").partitionBy(*stamp).text(f"{base.rstrip('/')}/{kind}")
+    rows.hint("rebalance", *stamp).write.mode("append").partitionBy(*stamp).text(f"{base.rstrip('/')}/{kind}")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of the dated archive (value) with `snapshot_at`, the minute in their path."""
-    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"minute=(\d{8}_\d{4})", 1)
+    """Lines of the dated archive (value) with `snapshot`, the folder of their minute (what was one file), and
+    `snapshot_at`, the minute in its name (S13)."""
+    path = F.col("_metadata.file_path")
+    stamp = F.regexp_extract(path, r"minute=(\d{8}_\d{4})", 1)
     read = spark.read.option("recursiveFileLookup", True).text(folder)
-    return read.select("value", F.try_to_timestamp(stamp, F.lit("ddMMyyyy_HHmm")).cast("timestamp_ntz").alias("snapshot_at"))
+    return read.select("value", F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("snapshot"),
+                       F.try_to_timestamp(stamp, F.lit("ddMMyyyy_HHmm")).cast("timestamp_ntz").alias("snapshot_at"))

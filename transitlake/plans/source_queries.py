@@ -1,7 +1,7 @@
 """Registered parser queries (S1-S7, S10) over driver-derived raw documents."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import drivermap as dm
@@ -85,18 +85,28 @@ def a10_daily_price_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a9_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters of an ingest run (A9, P14): GPS lines read, parsed and skipped, trains parsed and delayed."""
-    d = dm.DriverTables(spark, sf_dir)
-    lines = dm.gps_raw_lines(d.raw("events"))
+    """Counters of an ingest run (A9, P14), observed while the rows are written: GPS lines read, parsed and skipped, trains
+    parsed and delayed. Every feed is parsed once."""
+    d, out = dm.DriverTables(spark, sf_dir), scratch_path(spark, "ingest")
+    parsed, lines = gps.parse_gps_lines_observed(dm.gps_raw_lines(d.raw("events")))
+    parsed.write.parquet(f"{out}/gps")
+    rail = Observation()
     observed = trains.parse_trains(trains.snapshots_from_text(dm.train_snapshot_docs(d.raw("events"))))
-    one, none = F.lit(1), F.lit(0)
-    read = lines.filter(F.trim("value") != "").select(one.alias("lines"), none.alias("parsed"), none.alias("trains"), none.alias("delayed"))
-    parsed = gps.parse_gps_lines(lines).select(none.alias("lines"), one.alias("parsed"), none.alias("trains"), none.alias("delayed"))
-    rail = observed.select(none.alias("lines"), none.alias("parsed"), one.alias("trains"),
-                           F.coalesce((F.col("erinevus") > 0).cast("int"), none).alias("delayed"))
-    n = read.unionByName(parsed).unionByName(rail).agg(
-        *[F.coalesce(F.sum(c), none).cast("long").alias(c) for c in ("lines", "parsed", "trains", "delayed")])
-    return n.select("lines", "parsed", (F.col("lines") - F.col("parsed")).alias("skipped"), "trains", "delayed")
+    observed = observed.observe(rail, F.count(F.lit(1)).alias("trains"), F.count_if(trains.is_delayed()).alias("delayed"))
+    observed.write.parquet(f"{out}/trains")
+    n = lines.get | rail.get
+    return spark.range(1).select(*[F.lit(n[c]).cast("long").alias(c) for c in ("lines", "parsed", "skipped", "trains", "delayed")])
+
+
+def p12_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices that are not taken, with the reason, stored beside the taken ones by the same write."""
+    d, out = dm.DriverTables(spark, sf_dir), scratch_path(spark, "checked_prices")
+    tables = prices.price_rows(dm.price_pages(d.raw("orders")), keep=["page_id"]).select(
+        F.lit("table").alias("source"), F.col("page_id").cast("string").alias("id"), "row_pos", "fuel_type", "price_text", "price", "reason")
+    cng = prices.cng_rows(dm.cng_texts(d.raw("documents"), d.raw("orders")), keep=["text_id"]).select(
+        F.lit("cng").alias("source"), F.col("text_id").alias("id"), F.lit(0).alias("row_pos"), "fuel_type", "price_text", "price", "reason")
+    prices.write_checked(tables.unionByName(cng), out)
+    return spark.read.parquet(out).where("outcome = 'rejected'").drop("outcome")
 
 
 def s13_dated_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +121,7 @@ def s13_dated_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.groupBy("snapshot_at").agg(F.count(F.lit(1)).alias("lines"))
 
 
-SOURCE_QUERIES = {f.__name__: f for f in (a9_run_counters, s13_dated_archive,
+SOURCE_QUERIES = {f.__name__: f for f in (a9_run_counters, p12_rejects, s13_dated_archive,
     s8_gtfs_csv_roundtrip, s8_gtfs_quoted_lines, a10_daily_price_map,
     s1_gps_raw_parse, s2_gps_archive_parse, s3_train_json_parse, s4_fuel_archive,
     s5_fuel_html_table, s6_electric_price, s7_cng_price, s10_fleet_models)}

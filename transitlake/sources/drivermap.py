@@ -354,17 +354,19 @@ PAGE_FUEL_NAMES = [
 
 
 def price_pages(orders: DataFrame) -> DataFrame:
-    """S5 input: one HTML page per order with a header row and one price row."""
+    """S5 input: one HTML page per order with a header row, one price row and, in every fifth, a nested table; entities and
+    a comment in the cells."""
     pr = F.col("o_orderpriority")
     name = None
     for p, n in PAGE_FUEL_NAMES:
         name = F.when(pr == p, n) if name is None else name.when(pr == p, n)
     name = name.otherwise("Diisel")
     price = (F.col("o_totalprice").cast("decimal(18,2)") / F.lit(100000)).cast("decimal(18,7)")
+    note = F.when(F.col("o_orderkey") % 5 == 0, "<tr><td>Info<table><tr><td>&lt;tr&gt;</td></tr></table></td></tr>\n").otherwise("")
     html = F.concat(
-        F.lit("<html><body><table class=\"prices\">\n<tr><th>Kütus</th><th>Hind</th></tr>\n<tr><td> "),
+        F.lit("<html><body><table class=\"prices\">\n<tr><th>K&uuml;tus</th><th>Hind</th></tr>\n<tr><td>&nbsp;"),
         name, F.lit(" </td><td><b>"), F.regexp_replace(price.cast("string"), r"\.", ","),
-        F.lit(" €</b></td></tr>\n</table></body></html>"))
+        F.lit("</b>&nbsp;&euro;<!-- 9,99 --></td></tr>\n"), note, F.lit("</table></body></html>"))
     return orders.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
 
 
@@ -392,7 +394,7 @@ def cng_texts(documents: DataFrame, orders: DataFrame) -> DataFrame:
     sentence = F.when(F.col("o_orderkey") % 2 == 0,
                       F.concat(F.lit("Alates "), F.col("o_orderdate").cast("date").cast("string"),
                                F.lit(" maksab CNG "), comma, F.lit(" euroni kilogrammist.")))\
-                .otherwise(F.concat(F.lit("CNG hind: "), price.cast("string"), F.lit(" € / kg")))
+                .otherwise(F.concat(F.lit("CNG hind: "), price.cast("string"), F.lit("\u00a0€\u00a0/ kg")))
     news = orders.select(
         F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("text_id"),
         sentence.alias("text"))

@@ -6,7 +6,7 @@ model candidate; its vehicle count comes from the immediately following `p/div/u
 sibling (`N tükki`), else from the known-amount table. The first occurrence of a
 model name across all pages (page_rank, page_id, position) wins.
 
-All extraction is regex on the JVM (`regexp_extract_all` + `posexplode`); the
+All extraction is done by column expressions (`functions.html`); the
 dedupe is `row_number() = 1`, which is map-side limited so a model that appears on
 a third of all pages does not concentrate in one task.
 """
@@ -18,30 +18,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import seeds
+from ..functions import html
 from ..operators.broadcast import seed_broadcast
 from ..operators.latest import first_per_key
 from ..operators.once import evaluate_once
 from . import reference
 
-# an h2 block plus an optional immediately following p/div/ul sibling
-_BLOCK = r"(?s)<h2[^>]*>.*?</h2>\s*(?:<(?:p|div|ul)\b[^>]*>.*?</(?:p|div|ul)>)?"
-_HEADING = r"(?s)<h2[^>]*>(.*?)</h2>"
-_SIBLING = r"(?s)</h2>\s*<(?:p|div|ul)\b[^>]*>(.*?)</(?:p|div|ul)>"
-
-
-def strip_tags(c):
-    return F.trim(F.regexp_replace(c, r"<[^>]*>", ""))
+SIBLINGS = ("p", "div", "ul")
 
 
 def extract_headings(pages: DataFrame) -> DataFrame:
-    """-> (page_rank, page_id, line_type_code, pos, model, sibling_text)."""
+    """-> (page_rank, page_id, line_type_code, pos, model, sibling_text). The sibling is the element that follows the
+    heading; its text counts only if it is a `p`, `div` or `ul`, whole, whatever is nested in it."""
     keep = ["page_rank", "page_id", "line_type_code"]
-    arr = evaluate_once(pages, keep, {"b": F.regexp_extract_all(F.col("html"), F.lit(_BLOCK), 0)})
-    blocks = arr.select(*keep, F.posexplode("b").alias("pos", "block"))
-    return blocks.select(
-        "page_rank", "page_id", "line_type_code", "pos",
-        strip_tags(F.regexp_extract("block", _HEADING, 1)).alias("model"),
-        strip_tags(F.regexp_extract("block", _SIBLING, 1)).alias("sibling_text"))
+    t = evaluate_once(pages, keep, {"t": html.tokens(F.col("html"))})
+    e = evaluate_once(t, [*keep, "t"], {"h2": html.elements(F.col("t"), "h2"), "blocks": html.elements(F.col("t"), *SIBLINGS),
+                                        "tags": F.filter(F.transform("t", lambda x, i: F.struct(i.alias("at"), x["kind"].alias("kind"))),
+                                                         lambda x: x["kind"] != "text")})
+    text = lambda x: html.text_between(F.col("t"), x["start"], x["stop"])
+
+    def sibling(h):
+        """The block that opens at the first tag after the heading; none if that tag closes the parent."""
+        following = F.filter("tags", lambda x: x["at"] > h["stop"])
+        return F.filter("blocks", lambda b: b["start"] == F.get(following, F.lit(0))["at"])
+
+    found = F.transform("h2", lambda h: F.struct(text(h).alias("model"), F.coalesce(F.get(F.transform(sibling(h), text), F.lit(0)), F.lit(""))
+                                                 .alias("sibling_text")))
+    return evaluate_once(e, keep, {"b": found}).select(*keep, F.posexplode("b").alias("pos", "b")).select(
+        *keep, "pos", "b.model", "b.sibling_text")
 
 
 def vehicle_amount(text):

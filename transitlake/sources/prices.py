@@ -10,19 +10,15 @@ document is processed independently (no grouping).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas, seeds
-from ..functions import classify
-from ..functions.parse import strip
+from ..functions import classify, html
 from ..operators.once import evaluate_once
 
 PRICE_TYPE = "decimal(18,7)"
 
-_ROW = r"(?is)<tr\b[^>]*>.*?</tr>"
-_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
-
 
 def archive_fuel_name(key: Column) -> Column:
     """Archive key -> fuel code: old long names through the name map, others as is."""
@@ -46,34 +42,41 @@ def parse_fuel_archive(docs: DataFrame, text_col: str = "doc",
     )
 
 
+def price_rows(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None,
+               lo: float = seeds.FUEL_PRICE_MIN, hi: float = seeds.FUEL_PRICE_MAX) -> DataFrame:
+    """Every row of a table that has >= 2 cells and names a fuel: (row_pos, fuel_type, price_text, price, reason).
+
+    Fuel from the first cell by the ordered name map; price = second cell stripped to digits/./, with ',' -> '.'.
+    `reason` says why a price is not taken; it is NULL for those that are. A row's cells are all cells below it, and
+    tables, rows and cells end by tag depth (`functions.html`), so nested tables are rows of their own as well.
+
+    Rows and cells are found once per page inside array lambdas and then exploded: filters on the exploded fields
+    cannot be pushed below the generator, so no page is taken apart twice."""
+    keep = keep or []
+    t = evaluate_once(pages, keep, {"t": html.tokens(F.col(html_col))})
+    e = evaluate_once(t, [*keep, "t"], {n: html.elements(F.col("t"), n) for n in ("table", "tr", "td")})
+    inside = lambda x, of: (x["start"] > of["start"]) & (x["start"] < of["stop"])
+    rows = F.filter("tr", lambda r: F.exists("table", lambda t: inside(r, t)))
+    text = lambda c: html.text_between(F.col("t"), c["start"], c["stop"])
+    cells = F.transform(rows, lambda r, i: F.struct(i.alias("row_pos"), F.slice(F.filter("td", lambda c: inside(c, r)), 1, 2).alias("cells")))
+    read = F.transform(F.filter(cells, lambda x: F.size(x["cells"]) == 2), lambda x: F.struct(
+        x["row_pos"].alias("row_pos"), F.lower(text(x["cells"][0])).alias("name"),
+        F.regexp_replace(F.regexp_replace(text(x["cells"][1]), r"[^\d.,]", ""), ",", ".").alias("price_text")))
+    cand = evaluate_once(e, keep, {"a": read}).select(*keep, F.inline("a"))
+    price = F.when(F.col("price_text") != "", F.col("price_text").try_cast("double"))
+    parsed = cand.select(*keep, "row_pos", classify.price_fuel_type("name").alias("fuel_type"), "price_text", price.alias("price"))
+    reason = (F.when(F.col("price_text") == "", "no price").when(F.col("price").isNull(), "no number")
+               .when(~F.col("price").between(lo, hi), "out of range"))
+    return parsed.filter(F.col("fuel_type").isNotNull()).withColumn("reason", reason)
+
+
 def parse_price_tables(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None,
                        lo: float = seeds.FUEL_PRICE_MIN, hi: float = seeds.FUEL_PRICE_MAX
                        ) -> DataFrame:
-    """Every table row with >= 2 cells; fuel from the first cell by the ordered name
-    map; price = second cell stripped to digits/./, with ',' -> '.'; kept if in range.
-
-    Rows and cells are parsed once per page inside array lambdas and then exploded:
-    filters on the exploded fields cannot be pushed below the generator, so no regex
-    is evaluated twice."""
+    """The accepted rows of `price_rows`."""
     keep = keep or []
-    text = lambda c: strip(F.regexp_replace(c, r"<[^>]*>", ""))
-    rows = F.regexp_extract_all(F.col(html_col), F.lit(_ROW), 0)
-    with_cells = F.transform(rows, lambda r, i: F.struct(
-        i.alias("row_pos"), F.regexp_extract_all(r, F.lit(_CELL), 1).alias("cells")))
-    cleaned = F.transform(with_cells, lambda x: F.struct(
-        x["row_pos"].alias("row_pos"),
-        F.size(x["cells"]).alias("n_cells"),
-        F.lower(text(F.get(x["cells"], 0))).alias("name"),
-        F.regexp_replace(F.regexp_replace(text(F.get(x["cells"], 1)), r"[^\d.,]", ""), ",", ".")
-         .alias("price_text")))
-    arr = evaluate_once(pages, keep, {"a": F.filter(cleaned, lambda y: y["n_cells"] >= 2)})
-    cand = arr.select(*keep, F.inline("a"))
-    parsed = cand.select(*keep, "row_pos",
-                         classify.price_fuel_type("name").alias("fuel_type"),
-                         F.when(F.col("price_text") != "", F.col("price_text").try_cast("double"))
-                          .alias("price"))
-    return (parsed.filter(F.col("fuel_type").isNotNull() & F.col("price").between(lo, hi))
-                  .select(*keep, "row_pos", "fuel_type", "price"))
+    rows = price_rows(pages, html_col, keep, lo, hi)
+    return rows.filter(F.col("reason").isNull()).select(*keep, "row_pos", "fuel_type", "price")
 
 
 def parse_electric(docs: DataFrame, text_col: str = "doc", keep: list[str] | None = None) -> DataFrame:
@@ -88,17 +91,35 @@ def parse_electric(docs: DataFrame, text_col: str = "doc", keep: list[str] | Non
                       .alias("price_eur")))
 
 
+def cng_rows(texts: DataFrame, text_col: str = "text", keep: list[str] | None = None,
+             lo: float = seeds.CNG_PRICE_MIN, hi: float = seeds.CNG_PRICE_MAX) -> DataFrame:
+    """First `<number> euroni kilogrammist` / `<number> €/kg` in each text: (fuel_type, price_text, price, reason).
+    Texts without a match yield no row. Pages go through `functions.html.page_text` first."""
+    keep = keep or []
+    plain = F.translate(F.col(text_col), "\u00a0\u2007\u202f", "   ")       # a non-breaking space is white space too
+    raw = F.regexp_extract(plain, seeds.CNG_PRICE_PATTERN, 1)
+    m = evaluate_once(texts, keep, {"raw": raw}).filter(F.col("raw") != "")   # one regex pass per text
+    price_text = F.regexp_replace("raw", ",", ".")
+    rows = m.select(*keep, F.lit("CNG").alias("fuel_type"), price_text.alias("price_text"), price_text.try_cast("double").alias("price"))
+    return rows.withColumn("reason", F.when(F.col("price").isNull(), "no number").when(~F.col("price").between(lo, hi), "out of range"))
+
+
 def mine_cng_price(texts: DataFrame, text_col: str = "text", keep: list[str] | None = None,
                    lo: float = seeds.CNG_PRICE_MIN, hi: float = seeds.CNG_PRICE_MAX) -> DataFrame:
-    """First `<number> euroni kilogrammist` / `<number> €/kg` in each text; kept when the
-    number is in range. Texts without a match yield no row."""
+    """The accepted rows of `cng_rows`."""
     keep = keep or []
-    raw = F.regexp_extract(F.col(text_col), seeds.CNG_PRICE_PATTERN, 1)
-    m = evaluate_once(texts, keep, {"raw": raw})          # one regex pass per text
-    val = F.regexp_replace("raw", ",", ".").try_cast("double")
-    return (m.filter(F.col("raw") != "")
-             .select(*keep, F.lit("CNG").alias("fuel_type"), val.alias("price"))
-             .filter(F.col("price").between(lo, hi)))
+    return cng_rows(texts, text_col, keep, lo, hi).filter(F.col("reason").isNull()).select(*keep, "fuel_type", "price")
+
+
+def write_checked(rows: DataFrame, path: str) -> dict[str, int]:
+    """Accepted and rejected rows (P12: `reason` is NULL or not) into `<path>/outcome=accepted` and `.../outcome=rejected` by
+    one write; the counts of both come from the same job."""
+    seen = Observation()
+    bad = F.col("reason").isNotNull()
+    flagged = rows.withColumn("outcome", F.when(bad, "rejected").otherwise("accepted"))
+    flagged = flagged.observe(seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+    flagged.write.mode("append").partitionBy("outcome").parquet(path)
+    return dict(seen.get)
 
 
 def ingest_batch(tables: DataFrame, electric: DataFrame, cng: DataFrame) -> DataFrame:

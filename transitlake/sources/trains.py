@@ -12,7 +12,7 @@ for it. Field rules (all feed fields are strings):
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -65,6 +65,10 @@ def parse_trains(snapshots: DataFrame, keep: list[str] | None = None) -> DataFra
     return parsed.filter(classify.in_bbox(F.col("lat"), F.col("lon")))
 
 
-def delayed(trains: DataFrame) -> DataFrame:
+def is_delayed() -> Column:
     """Delay > 0 (NULL and 0 are on time)."""
-    return trains.filter(F.col("erinevus") > 0)
+    return F.coalesce(F.col("erinevus") > 0, F.lit(False))
+
+
+def delayed(trains: DataFrame) -> DataFrame:
+    return trains.filter(is_delayed())

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pandas as pd
+
 from transitlake.llm import minhash
 
 from .conftest import prose
@@ -89,24 +92,29 @@ def test_links_with_few_equal_coordinates_are_found(spark, make_docs):
     assert got(spark, make_docs([(i, t, "s") for i, t in rows])) == brute(rows)
 
 
-def test_bound_is_never_below_the_overlap(spark):
-    rng = random.Random(3)
-    base = prose(9, 160)
-    texts = [edited(base, rng.randrange(40), 900 + i) for i in range(60)]
-    sets = {i: minhash.shingle_set(t) for i, t in enumerate(texts)}
-    df = spark.createDataFrame([(i, s.astype("int64").tolist(), [int((s % minhash.PARTS == k).sum()) for k in range(minhash.PARTS)])
-                                for i, s in sets.items()], "node long, shingles array<long>, parts array<long>")
-    bounds = {r["node"]: r["shared"] for r in minhash._bounds(df, df).collect()}
-    for a in bounds:
-        for b in bounds:
-            if a < b:
-                both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
-                assert both <= sum(map(min, bounds[a], bounds[b])) <= min(len(sets[a]), len(sets[b]))
-    dropped = set(sets) - set(bounds)                  # those cannot link with anything
-    for a in dropped:
-        for b in set(sets) - {a}:
-            both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
-            assert 100 * both < 75 * (len(sets[a]) + len(sets[b]) - both)
+def test_overlaps_are_exact(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    a, b = ([np.unique(rng.integers(0, 60, rng.integers(1, 30))) for _ in range(n)] for n in (9, 5))
+    assert minhash.overlaps(a, b).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
+    assert minhash.overlaps([np.array([1])], [np.array([2])]).tolist() == [[0.0]]
+
+
+def test_lists_of_many_blocks(spark, make_docs, monkeypatch):
+    """A hot group around the border, many blocks a list: the same components."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    base, rows = prose(18, 150), []
+    for i in range(160):
+        rows.append((i, edited(base, 1 + i % 14, 70 + i)))
+    assert got(spark, make_docs([(i, t, "s") for i, t in rows])) == brute(rows)
+
+
+def test_a_block_sends_at_most_one_link_per_component():
+    sets = [np.arange(100)] * 50
+    pdf = pd.DataFrame({"token": 1, "i": 0, "j": 0, "side": 0, "root": range(50), "n": 100, "shingles": sets})
+    out = minhash._meet(pdf)
+    assert len(out) == 49 and set(out["a"]) | set(out["b"]) == set(range(50))
+    assert len(minhash._meet(pdf.assign(root=3))) == 0
 
 
 def test_signature_meets_in_the_prefix():

@@ -5,17 +5,17 @@
 2. Classes are posted under their tokens. Tokens of one class alone are dropped at once. Two classes
    with at least `MATCHES` equal coordinates must meet in the `COORDS - MATCHES + 1` rarest tokens of
    either, so only this prefix stays posted, and a class with fewer shared tokens is not posted at all.
-3. Every posted class is checked against the pivot of its lists (the class with the most shared tokens);
-   components follow. Lists whose classes all lie in one component are skipped. In the others the pairs
-   from different components are merged, each pair only in its first common list, keeping those with
-   enough collisions whose sets can overlap enough. That bound is exact: a shingle that no other class of
-   these lists has is in no overlap, the others are counted in `PARTS` parts of the shingle space, and two sets
-   share at most the smaller count of every part. In a group of thousands that are alike but not
-   alike enough, nearly every pair ends here.
-4. Every link is confirmed on the full shingle sets: 100 * |A and B| >= 75 * |A or B|.
+3. Every posted class is checked against the pivot of its lists (the class with the most shared tokens) on the full
+   shingle sets; components follow. Lists whose classes all lie in one component are closed, and classes that
+   cannot link with any other of the open lists (a shingle that no other class has is in no overlap) leave.
+4. Open lists are merged whole: a list is dealt into blocks of at most `BLOCK` classes and `BLOCK_SHINGLES` shingles,
+   and every two blocks are compared at once by a product of their shingle incidence matrices, which gives
+   the exact overlaps. Only links that join two components leave a task, at most one per component: never the
+   pairs of a group, nor the near misses among thousands of texts that are alike but not alike enough.
+   Every link satisfies 100 * |A and B| >= 75 * |A or B| on the full sets.
 
 A pair at similarity 0.75 has 48 equal coordinates of 64 on average (standard deviation 3.5); it is
-missed below 20, about once in 3 * 10^13 pairs. Links inside one component are not listed one by one.
+missed below 24, about once in 2 * 10^10 pairs. Links inside one component are not listed one by one.
 
 Edge cases: texts without words (null, empty, white space) are linked with nothing; shorter texts than
 five words are one shingle; repeated rows fall in one class; null doc_ids count as larger than all others;
@@ -28,17 +28,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .common import release, row_key, ship, stage
 from .components import components
 
-SHINGLE, COORDS, MATCHES, PARTS = 5, 64, 20, 64
+SHINGLE, COORDS, MATCHES = 5, 64, 24
 PERCENT = 75
 SEED = 20240607
 _BLOCK = 1 << 13
+BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 20, 1 << 12
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -94,9 +95,7 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for i in range(0, len(pdf), 256):
             part = pdf.iloc[i:i + 256]
-            sets = [shingle_set(t) for t in part["text"]]
-            yield pd.DataFrame({"node": part["node"], "shingles": [s.astype(np.int64) for s in sets],
-                                "parts": [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for s in sets]})
+            yield pd.DataFrame({"node": part["node"], "shingles": [shingle_set(t).astype(np.int64) for t in part["text"]]})
 
 
 def posted(spark: SparkSession, classes: DataFrame) -> DataFrame:
@@ -120,21 +119,72 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
 
-def _bounds(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, n (set size), shared: how many of its shingles another of these nodes has, by part; no set in common is
-    larger. Nodes that this alone keeps from any link are left out."""
+def _able(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, n (set size) and shingles, those that another of these nodes has too; nodes with too few of them to link with
+    anything are left out."""
     mine = sets.join(rows.select("node").distinct(), "node")
     owners = mine.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(
         F.count("*").alias("held"), F.min("node").alias("node"))
-    alone = owners.where("held = 1").groupBy("node", F.pmod("s", F.lit(PARTS)).alias("part")).agg(F.count("*").alias("n"))
-    alone = alone.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("alone"))
-    shared = F.transform("parts", lambda x, i: x - F.coalesce(F.try_element_at("alone", i.cast("long")), F.lit(0)))
-    out = mine.join(alone, "node", "left").select("node", F.size("shingles").alias("n"), shared.alias("shared"))
-    return out.where(100 * _sum("shared") >= PERCENT * F.col("n"))
-
-
-def _sum(counts: str | Column) -> Column:
-    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    alone = owners.where("held = 1").groupBy("node").agg(F.collect_list("s").alias("alone"))
+    shared = F.when(F.col("alone").isNull(), F.col("shingles")).otherwise(F.array_except("shingles", F.coalesce("alone", F.array().cast("array<long>"))))
+    out = mine.join(alone, "node", "left").select("node", F.size("shingles").alias("n"), shared.alias("shingles"))
+    return out.where(100 * F.size("shingles") >= PERCENT * F.col("n"))
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of a with all of b."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    left, right = np.concatenate(a), np.concatenate(b)
+    common = np.intersect1d(left, right)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b)]
+    for i in range(0, len(common), COLUMNS):
+        words = common[i:i + COLUMNS]
+        sides = []
+        for values, at, n in ((left, rows[0], len(a)), (right, rows[1], len(b))):
+            place = np.minimum(np.searchsorted(words, values), len(words) - 1)
+            hit = words[place] == values
+            held = np.zeros((n, len(words)), np.float32)
+            held[at[hit], place[hit]] = 1
+            sides.append(held)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b: roots) that join the components of two blocks of a list, as few as join them."""
+    x, y = pdf[pdf["side"] <= 0], pdf[pdf["side"] >= 0]
+    out: list[tuple[int, int]] = []
+    if len(x) and len(y) and pdf["root"].nunique() > 1:
+        both = overlaps([np.asarray(s) for s in x["shingles"]], [np.asarray(s) for s in y["shingles"]])
+        near = (100 + PERCENT) * both >= PERCENT * (x["n"].to_numpy()[:, None] + y["n"].to_numpy()[None])
+        names, number = np.unique(np.concatenate([x["root"], y["root"]]), return_inverse=True)
+        p, q = number[:len(x)], number[len(x):]
+        i, j = np.nonzero(near & (p[:, None] != q[None]))
+        top = np.arange(len(names))
+        for u, v in np.unique(np.stack([np.minimum(p[i], q[j]), np.maximum(p[i], q[j])], axis=1), axis=0).tolist():
+            while top[u] != u:
+                u = top[u]
+            while top[v] != v:
+                v = top[v]
+            if u != v:
+                out.append((int(names[u]), int(names[v])))
+                top[max(u, v)] = min(u, v)
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+
+def _merge(of: DataFrame, able: DataFrame) -> DataFrame:
+    """Links between components (a, b) from the open lists of `of` (node, root, token): lists of two components or more."""
+    rows = of.join(able, "node")
+    size = rows.groupBy("token").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("root").alias("low"),
+                                     F.max("root").alias("high")).where("low <> high")
+    blocks = F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
+    size = size.select("token", blocks.cast("int").alias("blocks"))
+    mine = rows.join(size, "token").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = mine.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    # side: -1 or 1 for the lower and the higher block of a pair, 0 for a block with itself
+    dealt = dealt.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                         F.signum(F.col("mine") - F.col("other")).cast("int").alias("side"), "root", "n", "shingles")
+    return dealt.groupBy("token", "i", "j").applyInPandas(_meet, "a long, b long")
 
 
 def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -154,7 +204,7 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     need = candidates.join(classes, F.col("node") == F.col("c1")).select("node", "row.k1", "row.k2")
     texts = rows.join(need, ["k1", "k2"]).select("node", "text")
-    sets = stage(spark, texts.mapInPandas(_sets, "node long, shingles array<long>, parts array<long>").dropDuplicates(["node"]), "minhash-sets")
+    sets = stage(spark, texts.mapInPandas(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "minhash-sets")
 
     # A list's pivot is its class with the most shared tokens: the likeliest centre of a group of near copies.
     lists = candidates.select("node", F.size("tokens").alias("shared"), F.explode("prefix").alias("token"))
@@ -163,27 +213,15 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     links = stage(spark, _confirm(star.select(F.col("node").alias("a"), F.col("pivot.node").alias("b")), sets), "minhash-links")
     roots = components(spark, links)
 
-    of = candidates.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "tokens", "prefix")
+    of = candidates.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "prefix")
     of = stage(spark, of, "minhash-roots")
     mixed = of.select("root", F.explode("prefix").alias("token")).groupBy("token").agg(
         F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     mixed = stage(spark, mixed, "minhash-mixed")
-    bounds = stage(spark, _bounds(of.select("node", F.explode("prefix").alias("token")).join(mixed, "token"), sets), "minhash-bounds")
-    open_lists = of.join(bounds, "node").select("*", F.explode("prefix").alias("token")).join(mixed, "token")
-    x, y = (open_lists.select("token", F.col("node").alias(c), *[F.col(k).alias(k + c) for k in ("root", "tokens", "prefix", "n", "shared")])
-            for c in "ab")
-    first = F.get(F.array_intersect("prefixa", "prefixb"), F.lit(0)) == F.col("token")
-    most = _sum(F.zip_with("shareda", "sharedb", lambda m, n: F.least(m, n)))
-    able = 100 * most >= PERCENT * (F.col("na") + F.col("nb") - most)
-    cross = x.join(y, "token").where((F.col("roota") < F.col("rootb")) & able & first
-                                     & (F.size(F.array_intersect("tokensa", "tokensb")) >= MATCHES)).select("a", "b")
-    cross = stage(spark, cross, "minhash-cross")
-    more = stage(spark, _confirm(cross, sets), "minhash-more")
-    # One link for each two components that meet: the second pass runs on components, not on classes.
-    side = lambda c: of.select(F.col("node").alias(c), F.col("root").alias(f"root{c}"))
-    met = more.join(side("a"), "a").join(side("b"), "b").select(F.col("roota").alias("a"), F.col("rootb").alias("b")).distinct()
-    met = stage(spark, met, "minhash-met")
-    release(spark, candidates, sets, of, mixed, bounds, cross)
+    open_lists = of.select("node", "root", F.explode("prefix").alias("token")).join(mixed, "token")
+    able = stage(spark, _able(open_lists, sets), "minhash-able")
+    met = stage(spark, _merge(open_lists, able), "minhash-met")
+    release(spark, candidates, sets, of, mixed, able)
     joined = components(spark, met).select(F.col("node").alias("root"), F.col("root").alias("over"))
     roots = roots.join(joined, "root", "full").select(
         F.coalesce("node", "root").alias("node"), F.coalesce("over", "root").alias("root"))
@@ -192,7 +230,7 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "c1", "c2", "first_id", F.coalesce("root", "c1").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = stage(spark, named.join(ids, "root").select("c1", "c2", "component_id"), "minhash-components")
-    release(spark, classes, links, more, met)
+    release(spark, classes, links, met)
     out = rows_of.join(named, ["c1", "c2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

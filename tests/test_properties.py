@@ -43,8 +43,12 @@ def test_with_next_matches_definition(spark, rows):
 def test_nearest_in_day_matches_brute_force(spark, seconds, at):
     from pyspark.sql import functions as F
 
-    from transitlake.operators.asof import nearest_in_day
+    from transitlake.operators.asof import minute_index, nearest_by_minute, nearest_in_day
     df = spark.createDataFrame([(seconds, at)], "s array<int>, at int")
     got = df.select(nearest_in_day(F.col("s"), F.col("at"))["second"]).first()[0]
+    indexed = df.withColumn("x", minute_index(F.sort_array(F.array_distinct("s"))))
+    index = indexed.first()["x"]
+    assert index["before"] == [sum(s < 60 * m for s in set(seconds)) for m in range(1441)]
+    assert indexed.select(nearest_by_minute(F.col("x"), F.col("at"))["second"]).first()[0] == got
     gap = lambda s: min((s - at) % 86_400, (at - s) % 86_400)
     assert got == min(seconds, key=lambda s: (gap(s), 0 < (s - at) % 86_400 < 43_200))

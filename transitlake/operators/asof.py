@@ -6,7 +6,9 @@ task. Cells are rows of latitude at least as high as the radius; each row has it
 row's own latitude, so no partner is missed at any latitude (nor across the 180th meridian).
 
 `nearest_in_day` picks from an array of seconds of the day the one closest to a time on the circle of 24 hours:
-a bus at 23:59 is one minute before 00:00, not a day after it.
+a bus at 23:59 is one minute before 00:00, not a day after it. `minute_index` lets it look at a few entries only:
+the sorted seconds with, for every minute, how many lie before it, so a time's own minute and its two
+neighbours are read by address, however long the timetable is.
 """
 from __future__ import annotations
 
@@ -72,6 +74,28 @@ def nearest_in_day(seconds: Column, at: Column) -> Column:
     return F.array_min(F.transform(seconds, score))
 
 
+MINUTES = DAY // 60
+
+
+def minute_index(seconds: Column) -> Column:
+    """struct(at, before) of a sorted array of seconds of the day: `before[m]` entries lie before minute m, m = 0 ... 1440."""
+    minute = lambda x: F.floor(x / 60).cast("int")
+    # entry i is the first not before the minutes after entry i - 1's up to its own
+    runs = F.transform(seconds, lambda x, i: F.array_repeat(
+        i, minute(x) - F.coalesce(minute(F.get(seconds, i - 1)), F.lit(-1))))
+    rest = F.array_repeat(F.size(seconds), F.lit(MINUTES) - F.coalesce(minute(F.element_at(seconds, -1)), F.lit(-1)))
+    return F.struct(seconds.alias("at"), F.flatten(F.concat(runs, F.array(rest))).alias("before"))
+
+
+def nearest_by_minute(index: Column, at: Column) -> Column:
+    """`nearest_in_day` on a `minute_index`: the entries of the time's own minute, the one before and the one after."""
+    minute = F.floor(at / 60).cast("int")
+    first, beyond, n = F.get(index["before"], minute), F.get(index["before"], minute + 1), F.size(index["at"])
+    near = F.concat(F.array(F.get(index["at"], F.pmod(first - 1, n))), F.slice(index["at"], first + 1, beyond - first),
+                    F.array(F.get(index["at"], F.pmod(beyond, n))))
+    return F.when(n > 0, nearest_in_day(near, at))
+
+
 def signed_gap(at: Column, second: Column) -> Column:
     """Seconds from `second` to `at` on the circle of 24 hours, from -43,199 to 43,200."""
     after = F.pmod(at - second, F.lit(DAY))

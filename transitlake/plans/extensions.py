@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import seeds
 from ..functions import classify
 from ..functions.parse import gtfs_seconds
-from ..operators.asof import nearest_in_day, nearest_points, signed_gap
+from ..operators.asof import minute_index, nearest_by_minute, nearest_points, signed_gap
 from ..operators.latest import first_per_key, latest_per_key
 from ..operators.sequences import RangeScan, haversine_km, with_next
 from ..sources import drivermap as dm
@@ -70,11 +70,12 @@ def vehicle_delays(positions: DataFrame, stops: DataFrame, schedule: DataFrame,
     stops = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
     near = nearest_points(positions, stops, radius_m, ["stop_id", "stop_name"], ("lat", "lon"), ("stop_lat", "stop_lon"))
     near = near.select("lat", "lon", "nearest.stop_id", "nearest.stop_name")
-    # distinct seconds of the day: at most 86 400 entries however long the history is
-    arrivals = schedule.groupBy("stop_id", "line_number").agg(F.collect_set("sched_s").alias("arrivals"))
+    # distinct seconds of the day (at most 86 400 entries however long the history is), addressed by minute
+    arrivals = schedule.groupBy("stop_id", "line_number").agg(F.sort_array(F.collect_set("sched_s")).alias("arrivals"))
+    arrivals = arrivals.select("stop_id", "line_number", minute_index(F.col("arrivals")).alias("arrivals"))
     at_stop = positions.select("vehicle_id", "line_number", "transport_type", "lat", "lon", "ingested_at").join(near, ["lat", "lon"])
     m = at_stop.join(arrivals, ["stop_id", "line_number"], "left").withColumn("actual_s", seconds_of_day(F.col("ingested_at")))
-    m = m.withColumn("sched_s", nearest_in_day(F.col("arrivals"), F.col("actual_s"))["second"])
+    m = m.withColumn("sched_s", nearest_by_minute(F.col("arrivals"), F.col("actual_s"))["second"])
     delay = F.round(signed_gap(F.col("actual_s"), F.col("sched_s")) / 60.0).cast("int")
     return m.select("vehicle_id", "line_number", "transport_type", "stop_name",
                     hhmmss(F.col("sched_s").cast("int")).alias("scheduled_time"),

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from transitlake.operators.sequences import PLACE, RANGE, RangeScan, running_sum, with_next
+from transitlake.operators.surrogate import assign_ids
 
 
 def brute(rows):
@@ -66,3 +67,15 @@ def test_ties_nulls_and_empty(spark):
     assert empty.count() == 0 and "next_v" in empty.columns
     nulls = spark.createDataFrame([("a", i, None if i % 2 else i) for i in range(6)], "k string, t int, v int")
     assert [r.running for r in running_sum(nulls, ["k"], "t", "v", ranges=3).orderBy("t").collect()] == [0, 0, 2, 2, 6, 6]
+
+
+def test_surrogate_ids_are_dense_and_stable(spark):
+    rows = spark.createDataFrame([("b", i) for i in range(30)] + [("a", 7), ("a", 7), (None, 1)], "k string, n int")
+    first = assign_ids(rows, ["k", "n"])
+    got = {(r.k, r.n): r.id for r in first.collect()}
+    assert first.count() == 33 and sorted(got.values()) == list(range(1, 33))
+    assert got[("a", 7)] == 1 and got[("b", 0)] == 2 and got[(None, 1)] == 32           # by the natural key, nulls last
+    more = rows.unionByName(spark.createDataFrame([("0", 0), ("c", 1)], rows.schema))
+    again = {(r.k, r.n): r.id for r in assign_ids(more, ["k", "n"], first.select("k", "n", "id").distinct()).collect()}
+    assert {k: again[k] for k in got} == got and again[("0", 0)] == 33 and again[("c", 1)] == 34
+    assert assign_ids(rows.limit(0), ["k", "n"]).count() == 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import seeds
 from ..operators.quality import QualitySpec, run_checks
 from ..sources import drivermap as dm
-from ..sources import gps, prices, reference, trains
+from ..sources import fleet, gps, prices, reference, trains
 from . import layers
 from .pipeline import DriverInputs
 
@@ -15,13 +15,14 @@ SOURCE_SPEC = QualitySpec(
         "vehicle_positions": ["vehicle_id", "lat", "lon", "ingested_at", "operator"],
         "fuel_prices": ["fuel_type", "price_eur"],
         "elron_positions": ["liin", "lat", "lon"],
-        "vehicle_models": ["model", "consumption"],
+        "vehicle_models": ["id", "model", "consumption"],
     },
     accepted=[
         ("vehicle_positions", "operator", seeds.ACCEPTED_OPERATORS),
         ("fuel_prices", "fuel_type", seeds.ACCEPTED_FUEL_TYPES),
     ],
     unique=[
+        ("vehicle_models", ["id"]),
         ("vehicle_models", ["operator_code", "line_type_code", "model"]),
         ("gtfs_routes", ["route_id"]),
         ("gtfs_trips", ["trip_id"]),
@@ -54,7 +55,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "elron_positions": layers.stored(
             spark, "archive_elron_positions", src("events"),
             lambda: trains.parse_trains(trains.snapshots_from_text(dm.train_snapshot_docs(ev)))),
-        "vehicle_models": inputs.models,
+        "vehicle_models": fleet.with_model_ids(inputs.models),
         "operators": reference.operators(spark),
         "line_types": reference.line_types(spark),
         "fuel_types": reference.fuel_types(spark),

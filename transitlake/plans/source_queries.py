@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import drivermap as dm
+from ..operators.surrogate import assign_ids
 from ..session import scratch_path
 from ..sources import fleet, gps, gtfs, prices, trains
 
@@ -53,6 +54,14 @@ def s10_fleet_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.scrape_fleet(d.fleet_pages(), valid_from=None).drop("valid_from")
 
 
+def s11_surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of parts by (brand, part key): those of even part keys stored first, then all of them; stored ids stay."""
+    part = dm.DriverTables(spark, sf_dir).raw("part").select("p_brand", "p_partkey", "p_name")
+    keys = ["p_brand", "p_partkey"]
+    stored = assign_ids(part.where("p_partkey % 2 = 0"), keys)
+    return assign_ids(part, keys, stored)
+
+
 def s8_gtfs_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stop_times landed as a header CSV member (with BOM) in the shared folder, read back
     as strings and typed (S8, S17, S20)."""
@@ -121,7 +130,7 @@ def s13_dated_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.groupBy("snapshot_at").agg(F.count(F.lit(1)).alias("lines"))
 
 
-SOURCE_QUERIES = {f.__name__: f for f in (a9_run_counters, p12_rejects, s13_dated_archive,
+SOURCE_QUERIES = {f.__name__: f for f in (a9_run_counters, p12_rejects, s11_surrogate_ids, s13_dated_archive,
     s8_gtfs_csv_roundtrip, s8_gtfs_quoted_lines, a10_daily_price_map,
     s1_gps_raw_parse, s2_gps_archive_parse, s3_train_json_parse, s4_fuel_archive,
     s5_fuel_html_table, s6_electric_price, s7_cng_price, s10_fleet_models)}

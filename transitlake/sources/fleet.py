@@ -22,6 +22,7 @@ from ..functions import html
 from ..operators.broadcast import seed_broadcast
 from ..operators.latest import first_per_key
 from ..operators.once import evaluate_once
+from ..operators.surrogate import assign_ids
 from . import reference
 
 SIBLINGS = ("p", "div", "ul")
@@ -80,3 +81,11 @@ def vehicle_models(pages: DataFrame, valid_from: dt.date | None = None) -> DataF
     """Scraped TLT models + hand-entered train models."""
     spark = pages.sparkSession
     return scrape_fleet(pages, valid_from).unionByName(reference.train_models(spark, valid_from))
+
+
+MODEL_KEY = ["operator_code", "line_type_code", "model"]
+
+
+def with_model_ids(models: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Vehicle models with their surrogate `id`: stored models keep theirs, new ones get the next."""
+    return assign_ids(models, MODEL_KEY, stored)

@@ -132,3 +132,23 @@ def test_no_cartesian_or_python_in_models(spark, sf_dir):
         plan = E.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_route_kilometres_are_driven_once(spark):
+    """A route's kilometres are the same however many vehicles and fuels share them; others keep the constant."""
+    models = reference.known_fleet_models(spark)
+    lookups = reference.operators(spark), reference.line_types(spark), reference.fuel_types(spark)
+    prices = spark.sql("SELECT 'diesel' AS fuel_type, 1.5BD AS price_eur, DATE '2026-05-28' AS source_date")
+    trips = spark.createDataFrame([(f"t{i}", "r1", "s1") for i in range(10)] + [("x", "r1", "gone")], "trip_id string, route_id string, shape_id string")
+    shapes = spark.createDataFrame([("s1", 12.5)], "shape_id string, length_km double")
+    distances = gold.route_distances(trips, shapes)
+    assert [(r.route_id, r.km) for r in distances.collect()] == [("r1", 125.0)]
+    trains = spark.createDataFrame([], "reis string, fuel_type string, ingested_at timestamp_ntz")
+    for vehicles in (1, 4):
+        b = bronze(spark, [(i, 2, "36", "Viru", 59.4, 24.7, 10, True, "TLT", ts(10)) for i in range(vehicles)]
+                   + [(99, 2, "99", "X", 59.4, 24.7, 10, True, "TLT", ts(10))])
+        positions = silver.vehicle_positions(b, routes(spark), models)
+        out = gold.fuel_cost_by_distance(positions, trains, prices, models, *lookups, distances, as_of=dt.date(2026, 5, 28)).collect()
+        n_fuels = positions.where("vehicle_id = 99").select("fuel_type").distinct().count()
+        unrouted = sum(r.vehicle_km for r in out) - 125.0
+        assert abs(unrouted - 225 * n_fuels) < 0.01

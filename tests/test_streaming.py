@@ -133,3 +133,19 @@ def test_replays_of_any_age_and_late_rows(spark, tmp_path):
     assert held("late_rows") == [(4, 10, 50), (7, 8, 0)]
     run(str(tmp_path / "again"))                                                       # the whole feed replayed
     assert len(held("rows")) == 7 and held("late_rows") == [(4, 10, 50), (7, 8, 0)]
+
+
+def test_congestion_sessions_in_any_order(spark, tmp_path):
+    land = str(tmp_path / "land")
+    schema = "vehicle_id long, ingested_at timestamp_ntz, lat double, lon double"
+    stand = [(1, _at(8, m), 59.401, 24.701) for m in (0, 5, 9, 13)]                      # 13 minutes in one cell
+    moves = [(2, _at(8, m), 59.40 + m / 100, 24.7) for m in (0, 5, 9)]
+    short = [(3, _at(8, m), 59.401, 24.701) for m in (0, 4)] + [(3, _at(8, 30), 59.401, 24.701)]
+    later = [(9, _at(10, 0), 59.0, 24.0)]
+    rows = (stand + moves + short + [(None, _at(8, 0), 59.4, 24.7)])[::-1] + later
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(land)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    stream = spark.readStream.schema(schema).parquet(land)
+    jobs.start_append(jobs.congestion_sessions(stream), out, ckpt).awaitTermination()
+    got = [(r.vehicle_id, r.episode_start, r.episode_end, r.n_obs, r.duration_min) for r in spark.read.parquet(out).collect()]
+    assert got == [(1, _at(8, 0), _at(8, 13), 4, 13.0)]

@@ -16,7 +16,7 @@ from ..operators.latest import first_per_key, latest_per_key
 from ..operators.sequences import RangeScan, haversine_km, with_next
 from ..sources import drivermap as dm
 from . import gold, silver
-from .pipeline import PRICES_AS_OF, DriverInputs
+from .pipeline import PRICES_AS_OF, DriverInputs, Pipeline
 
 
 # --- X1 train delays ----------------------------------------------------------------------
@@ -287,6 +287,14 @@ def x7_shape_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_lengths(shape_points(dm.DriverTables(spark, sf_dir).raw("lineitem")))
 
 
+def m5_fuel_cost_by_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cost model on timetable kilometres: every trip runs the shape of its order."""
+    p, i = Pipeline.from_driver(spark, sf_dir), DriverInputs(spark, sf_dir)
+    distances = gold.route_distances(i.gtfs_trips.select("trip_id", "route_id", F.col("trip_id").alias("shape_id")),
+                                     shape_lengths(shape_points(i.d.raw("lineitem"))))
+    return p.m5_fuel_cost_by_distance(distances)
+
+
 def congestion_positions(events: DataFrame) -> DataFrame:
     """Driver mapping for X8: three vehicles that stand at one spot per hour (the spot
     moves ~1.1 km when the hour changes), so standing episodes exist."""
@@ -312,4 +320,4 @@ def x10_timetable_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EXTENSION_QUERIES = {f.__name__: f for f in (
     x1_elron_delays, x2_vehicle_delays, x3_transport_summary, x4_fuel_with_discount, x5_silver_fuel_prices,
-    x6_city_tagging, x7_shape_lengths, x8_congestion, x9_price_history, x10_timetable_metrics)}
+    x6_city_tagging, x7_shape_lengths, m5_fuel_cost_by_distance, x8_congestion, x9_price_history, x10_timetable_metrics)}

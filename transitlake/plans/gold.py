@@ -188,6 +188,42 @@ def fuel_cost_daily(positions: DataFrame, trains: DataFrame, prices: DataFrame,
     )
 
 
+def route_distances(trips: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Timetable kilometres a day of every route: (route_id, km) = shape length x trips. trips: trip_id, route_id,
+    shape_id; shapes: shape_id, length_km (X7)."""
+    return (trips.select("route_id", "shape_id").join(shapes.select("shape_id", "length_km"), "shape_id")
+                 .groupBy("route_id").agg(F.sum("length_km").alias("km")))
+
+
+def fuel_cost_by_distance(positions: DataFrame, trains: DataFrame, prices: DataFrame, models: DataFrame, operators: DataFrame,
+                          line_types: DataFrame, fuel_types: DataFrame, distances: DataFrame, as_of=None) -> DataFrame:
+    """M5 with route kilometres in the place of constants (X7): a route's timetable kilometres of the day are spread evenly
+    over the vehicles seen on it (each once per fuel that M1 gives it), so they are driven once, however many vehicles
+    run. Vehicles on routes without a timetable and trains keep the constant of their type."""
+    day = _date(as_of)
+    seen = positions.filter((F.col("snapshot_date") == day) & F.col("vehicle_id").isNotNull()).select(
+        "vehicle_id", "route_id", "transport_type", "fuel_type", "operator", "snapshot_date").distinct()
+    on_route = seen.groupBy("route_id").agg(F.count("*").alias("rows")).join(distances, "route_id").select(
+        "route_id", (F.col("km") / F.col("rows")).alias("km_each"))
+    km = F.coalesce("km_each", classify.km_per_day(F.col("transport_type")).cast("double"))
+    groups = ["transport_type", "fuel_type", "operator", "snapshot_date"]
+    road = seen.join(on_route, "route_id", "left").groupBy(*groups).agg(
+        F.countDistinct("vehicle_id").alias("active_today"), F.sum(km).alias("vehicle_km"))
+    rail = active_vehicles(positions.limit(0), trains, as_of).select(
+        *groups, F.col("vehicle_count").alias("active_today"),
+        (F.col("vehicle_count") * classify.km_per_day(F.col("transport_type"))).cast("double").alias("vehicle_km"))
+    act = road.unionByName(rail).alias("av")
+    fleet = _fleet_aggregates(models, operators, line_types, fuel_types).alias("f")
+    same = [F.col(f"f.{c}") == F.col(f"av.{c}") for c in ("transport_type", "fuel_type", "operator")]
+    j = act.join(fleet, same, "left").join(
+        latest_prices(prices), F.col("p_fuel") == classify.price_fuel_key(F.col("av.fuel_type")), "left")
+    avg_c = F.when(F.col("f.in_fleet") == 1, F.col("f.avg_consumption"))
+    cost = (F.col("vehicle_km") * F.coalesce(avg_c, F.lit(0.0)) / 100.0 * F.coalesce(F.col("p_price").cast("double"), F.lit(0.0)))
+    return j.select(*[F.col(f"av.{c}") for c in groups], "active_today", F.round("vehicle_km", 3).alias("vehicle_km"),
+                    avg_c.alias("avg_consumption"), F.col("p_price").alias("fuel_price_eur"),
+                    F.round(cost, 2).alias("estimated_daily_cost_eur"))
+
+
 # --- M6 -------------------------------------------------------------------------
 
 def fuel_daily(prices: DataFrame, as_of=None) -> DataFrame:

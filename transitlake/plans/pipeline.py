@@ -176,6 +176,14 @@ class Pipeline:
                                     self.i.operators, self.i.line_types, self.i.fuel_types,
                                     self.as_of)
 
+    def m5_fuel_cost_by_distance(self, distances: DataFrame) -> DataFrame:
+        """M5 on route kilometres (`gold.route_distances`) in place of constants."""
+        day = gold.hourly_vehicles(_day_slice(self.i.bronze_positions, self.as_of))
+        return gold.fuel_cost_by_distance(
+            silver.vehicle_positions(day, self.i.routes, self.i.models),
+            silver.elron_positions(_day_slice(self.i.bronze_trains, self.as_of), self.i.line_map),
+            self.i.fuel_prices, self.i.models, self.i.operators, self.i.line_types, self.i.fuel_types, distances, self.as_of)
+
     @cached_property
     def m6_fuel_daily(self) -> DataFrame:
         return gold.fuel_daily(self.i.fuel_prices, self.prices_as_of)

@@ -10,7 +10,7 @@ from ..session import scratch_path
 from ..sources import drivermap as dm
 from ..sources import trains
 from ..streaming import jobs
-from . import silver
+from . import extensions, silver
 from .pipeline import DriverInputs
 
 
@@ -89,6 +89,14 @@ def st9_late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.replay_table(spark, tables, "late_rows", columns)
 
 
+def x8_congestion_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standing vehicles as session windows over the events stream (X8); sessions that the stream has passed."""
+    out = scratch_path(spark, "x8_congestion")
+    sessions = jobs.congestion_sessions(extensions.congestion_positions(_stream(spark, sf_dir, "events")), gap="60 minutes")
+    jobs.start_append(sessions, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema(sessions.schema).parquet(f"{out}/data")
+
+
 def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw GPS feed lines landed as daily snapshot files, ingested by a file stream into
     bronze Parquet partitioned by snapshot_date (ST1, S1, S12, S13)."""
@@ -131,4 +139,4 @@ def st6_route_activity_approx_stream(spark: SparkSession, sf_dir: str) -> DataFr
 STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st1_train_ingest_stream, st2_day_positions_stream,
                                           st6_route_activity_approx_stream, 
     st4_latest_positions_stream, st5_route_activity_stream, st7_price_intake_stream,
-    st8_replay_dedupe_stream, st9_late_rows_stream)}
+    st8_replay_dedupe_stream, st9_late_rows_stream, x8_congestion_stream)}

@@ -226,6 +226,25 @@ def route_activity_approx(sketches: DataFrame, routes: DataFrame, models: DataFr
         F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("vehicle_count_approx"))
 
 
+CELL = 0.005          # degrees: a vehicle that stays in such a cell stands
+
+
+def congestion_sessions(positions: DataFrame, gap: str = "10 minutes", min_minutes: float = 7.0,
+                        delay: str = "10 minutes") -> DataFrame:
+    """X8 as a stream: sessions of one vehicle in one cell whose observations are less than `gap` apart and that last longer
+    than `min_minutes`. A session is emitted once the stream is `delay` past its last observation plus `gap`; until
+    then rows may come in any order. State holds the open sessions only."""
+    at = positions.where("vehicle_id IS NOT NULL AND ingested_at IS NOT NULL").select(
+        "vehicle_id", F.col("ingested_at").cast("timestamp").alias("ts"),
+        *[F.floor(F.col(c) / CELL).cast("int").alias(f"{c}_cell") for c in ("lat", "lon")])
+    sessions = at.withWatermark("ts", delay).groupBy("vehicle_id", "lat_cell", "lon_cell", F.session_window("ts", gap)).agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n_obs"))
+    minutes = (F.unix_micros("last") - F.unix_micros("first")) / 6e7
+    return sessions.where(minutes > min_minutes).select(
+        "vehicle_id", F.col("first").cast("timestamp_ntz").alias("episode_start"), F.col("last").cast("timestamp_ntz").alias("episode_end"),
+        "n_obs", F.round(minutes, 3).alias("duration_min"), "lat_cell", "lon_cell")
+
+
 REPLAY_KEYS = ["vehicle_id", "ingested_at"]
 
 

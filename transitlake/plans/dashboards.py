@@ -13,6 +13,22 @@ from ..operators.latest import latest_per_key
 from .gold import FLEET_SUMMARY_ORDER
 
 
+def where(table: DataFrame, **values) -> DataFrame:
+    """Dashboard filters on a table before any chart reads it: `column=value` or `column=[values]`; None stands for NULL.
+    Plain equalities, so Spark pushes them into the Parquet scan or prunes partitions by them."""
+    unknown = set(values) - set(table.columns)
+    if unknown:
+        raise ValueError(f"no such columns: {', '.join(sorted(unknown))}")
+    for column, wanted in values.items():
+        wanted = list(wanted) if isinstance(wanted, (list, tuple, set)) else [wanted]
+        known = [v for v in wanted if v is not None]
+        keep = F.col(column) == known[0] if len(known) == 1 else F.col(column).isin(known)
+        if None in wanted:
+            keep = keep | F.col(column).isNull() if known else F.col(column).isNull()
+        table = table.filter(keep)
+    return table
+
+
 def active_vehicles_now(latest: DataFrame) -> DataFrame:
     """Q1: big number, count of M3."""
     return latest.agg(F.count(F.lit(1)).alias("active_vehicles"))

@@ -89,15 +89,15 @@ def _trips_with_operator(orders: DataFrame) -> DataFrame:
 
 
 def s16_replace_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stop times after replacing the train operator's feed: its trips' old stop times
-    are removed (semi join through trips) and the new feed's stop times added."""
-    d = dm.DriverTables(spark, sf_dir)
-    trips = _trips_with_operator(d.raw("orders"))
+    """Stop times after replacing the train operator's feed. They are stored by the operator of their trip, so its old
+    ones (J9) are one partition, which the new feed's overwrite; no other row is read or written."""
+    d, out = dm.DriverTables(spark, sf_dir), scratch_path(spark, "stop_times")
+    trips = _trips_with_operator(d.raw("orders")).select("trip_id", "operator")
     st = dm.gtfs_stop_times_raw(d.raw("lineitem"))
-    op_trips = trips.filter(F.col("operator") == "Elron").select("trip_id")
-    new_st = (st.join(op_trips, "trip_id", "left_semi")
-                .withColumn("stop_sequence", F.col("stop_sequence") + 100))
-    return sinks.replace_stop_times(st, trips, new_st, "Elron")
+    sinks.replace_partition(st.join(trips, "trip_id", "left"), out)
+    new_st = st.join(trips.filter(F.col("operator") == "Elron"), "trip_id").withColumn("stop_sequence", F.col("stop_sequence") + 100)
+    sinks.replace_partition(new_st, out, value="Elron")
+    return spark.read.parquet(out).drop("operator")
 
 
 def s18_latest_feed_version(spark: SparkSession, sf_dir: str) -> DataFrame:

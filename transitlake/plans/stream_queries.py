@@ -10,7 +10,7 @@ from ..session import scratch_path
 from ..sources import drivermap as dm
 from ..sources import trains
 from ..streaming import jobs
-from . import extensions, silver
+from . import extensions, gold, silver
 from .pipeline import DriverInputs
 
 
@@ -112,10 +112,12 @@ def st1_bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st1_train_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train snapshot documents as a stream into bronze train positions (ST1, S3)."""
-    out = scratch_path(spark, "st1_trains")
-    docs = dm.train_snapshot_docs(_stream(spark, sf_dir, "events"))
-    parsed = trains.parse_trains(trains.snapshots_from_text(docs), keep=["event_id", "ingested_at"])
+    """Train snapshot documents landed as JSON files, ingested by a file stream into bronze train positions (ST1, S3)."""
+    out, d = scratch_path(spark, "st1_trains"), dm.DriverTables(spark, sf_dir)
+    docs = dm.train_snapshot_docs(d.raw("events"))
+    docs.withColumn("ingested_at", F.date_format("ingested_at", jobs.LANDED_TIME)).write.json(f"{out}/landing")
+    landed = jobs.read_landed_json(spark, f"{out}/landing", "event_id long, ingested_at string, doc string")
+    parsed = trains.parse_trains(trains.snapshots_from_text(landed), keep=["event_id", "ingested_at"])
     jobs.start_append(parsed, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/data")
 
@@ -130,10 +132,20 @@ def st2_day_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st6_route_activity_approx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST6: approximate distinct vehicles per hour window (mergeable sketches; no exact SQL twin)."""
+    """ST6: distinct vehicles per hour window from mergeable sketches, beside the exact counts: `close` says whether the
+    estimate is within 5 % (or one vehicle) of the exact count."""
     out, i = scratch_path(spark, "st6_route_activity_approx"), DriverInputs(spark, sf_dir)
     jobs.start_vehicle_sketches(_bronze_stream(spark, sf_dir), f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return jobs.route_activity_approx(spark.read.parquet(f"{out}/data"), i.routes, i.models)
+    approx = jobs.route_activity_approx(spark.read.parquet(f"{out}/data"), i.routes, i.models)
+    exact = silver.vehicle_positions(gold.hourly_vehicles(i.bronze_positions), i.routes, i.models)
+    keys = ["window_start", "window_end", *jobs.ACTIVITY_KEYS]
+    exact = exact.where("vehicle_id IS NOT NULL").groupBy(*jobs._windows(), *jobs.ACTIVITY_KEYS).agg(
+        F.countDistinct("vehicle_id").alias("vehicle_count"))
+    same = [approx[k].eqNullSafe(exact[k]) for k in keys]
+    error = F.abs(F.col("vehicle_count_approx") - F.col("vehicle_count"))
+    return exact.join(approx, same, "full").select(
+        *[F.coalesce(exact[k], approx[k]).alias(k) for k in keys], "vehicle_count",
+        F.coalesce(error <= F.greatest(F.lit(1.0), 0.05 * F.col("vehicle_count")), F.lit(False)).alias("close"))
 
 
 STREAM_QUERIES = {f.__name__: f for f in (st1_bronze_ingest_stream, st1_train_ingest_stream, st2_day_positions_stream,

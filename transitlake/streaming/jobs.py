@@ -56,6 +56,17 @@ def read_landed_text(spark: SparkSession, folder: str, file_glob: str = "*.txt",
     return r.text(folder).withColumn("file_path", F.col("_metadata.file_path"))
 
 
+LANDED_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def read_landed_json(spark: SparkSession, folder: str, schema: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed JSON files as a stream, one document a line; `ingested_at` is read as a timestamp."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(folder).withColumn("ingested_at", F.try_to_timestamp("ingested_at", F.lit(LANDED_TIME)).cast("timestamp_ntz"))
+
+
 def snapshot_time_from_path(path: Column) -> Column:
     """S13 naming `.../DDMMYYYY_HHMM.ext` (or a `snapshot=DDMMYYYY_HHMM` folder) -> snapshot
     time (minute precision); the first `8 digits _ 4 digits` group in the path."""

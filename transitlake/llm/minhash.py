@@ -173,12 +173,16 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _merge(of: DataFrame, able: DataFrame) -> DataFrame:
-    """Links between components (a, b) from the open lists of `of` (node, root, token): lists of two components or more."""
-    rows = of.join(able, "node")
-    size = rows.groupBy("token").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("root").alias("low"),
-                                     F.max("root").alias("high")).where("low <> high")
+    """Links between components (a, b) from the open lists of `of` (node, root, token): lists of two components or more.
+    Of lists with the same classes (known by two 64-bit sums over them) one is enough."""
+    rows = of.join(able.select("node", "n"), "node")
+    lists = rows.groupBy("token").agg(
+        F.count("*").alias("many"), F.sum("n").alias("total"), F.min("root").alias("low"), F.max("root").alias("high"),
+        *[F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"x{i}") for i in range(2)]).where("low <> high")
+    size = lists.groupBy("many", "x0", "x1").agg(F.min("token").alias("token"), F.max("total").alias("total"))
     blocks = F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
     size = size.select("token", blocks.cast("int").alias("blocks"))
+    rows = of.join(able, "node")
     mine = rows.join(size, "token").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = mine.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     # side: -1 or 1 for the lower and the higher block of a pair, 0 for a block with itself

@@ -1,19 +1,24 @@
 """Token-id files in a context-mixing range coder (operator 2).
 
 Ids are cut into blocks of `BLOCK`. Every block is coded on its own, from an empty model, and carries
-its checksum. The model predicts the next id three times: the id that last followed the same two ids
-(order 2), the same id (order 1), and the block's commonest id so far (order 0). What is coded is which
-of the predictions is the first to hold, or none; its probabilities mix the adaptive ones of two contexts
-(how often the predictions held in their slots; the last two outcomes). An id that no prediction
-gives follows as 16 (or 32) plain bits. A carry-less range coder with a 64-bit range turns this into
-32-bit words.
+its checksum. The model predicts the next id from three orders:
 
-Blocks of a task are coded side by side as the lanes of numpy vectors, so a step costs a few dozen
-vector operations for thousands of blocks.
+* order 2 and order 1: the id that last followed the same two ids / the same id anywhere in the block so far, with a
+  mark whether it has held since;
+* order 0: the distribution of the block's ids, counted over all of them and stored in the block's header.
+
+First comes which order gives the id: order 2, order 1 or order 0. The probabilities of these three outcomes mix the
+adaptive ones of two contexts (the marks of the predictions; the last two outcomes). An id of order 0 follows
+with its probability. A carry-less range coder with a 64-bit range turns this into 32-bit words.
+
+A block is coded as lanes of `LANE` ids side by side, each with a range coder of its own, in step: the lanes of a block
+share its tables and learn from each other. Lanes of several blocks make up numpy vectors, so a step costs
+a few dozen vector operations for thousands of ids.
 
 Files: documents are range-sorted by doc_id; each range is one part; a block row holds part, block, the
 ids before it in the part, the payload and which documents' ids it holds. Payload: magic, number of
-ids, plain bits, crc32 of the ids, then the coder's words, all little-endian unsigned 32-bit.
+ids, lane length, plain bits, crc32 of the ids, size of the order-0 table, the table (zlib), the words of each lane
+counted, then the lanes' words, all little-endian unsigned 32-bit.
 
 Edge cases: null is the empty text, its only id is the end; null doc_ids come first; repeated rows are written
 each; long texts span blocks; an empty table gives no blocks and an empty result; other columns are ignored.
@@ -35,13 +40,12 @@ from ..session import scratch_path
 from .common import row_key, ship, stage
 from .tokens import encoder
 
-END, BLOCK, LANES = 1, 1024, 4096
-MAGIC = 0x31524D43
-_SLOTS = 8
+END, BLOCK, LANE, LANES = 1, 1 << 20, 1024, 4096
+MAGIC = 0x32524D43
 _TOP, _BOTTOM = np.uint64(1 << 32), np.uint64(1 << 31)
 _U64, _32 = np.uint64, np.uint64(32)
 
-# Probabilities of the four outcomes: cumulated up to the first, second and third, as three fields of 16
+# Probabilities of the three outcomes: cumulated up to the first and the second, as two fields of 16
 # bits above an empty one, out of 2 ** 15. An outcome pulls each field 1/32 of the way to its target; the
 # targets keep at least _LEAST / 2 ** 15 for every outcome.
 _ONE, _LEAST, _PULL = 1 << 15, 64, _U64(5)
@@ -52,66 +56,97 @@ def _fields(up_to: list[int]) -> np.uint64:
     return _U64(sum(x << 16 * (k + 1) for k, x in enumerate(up_to)))
 
 
-_TARGETS = np.array([_fields([((_ONE - (4 - k) * _LEAST) if s < k else k * _LEAST) >> 5 for k in (1, 2, 3)])
-                     for s in range(4)])
-_START = _fields([_ONE * k // 8 for k in (1, 2, 3)])
-_SHIFTED, _HALVED = _fields([0x07FF] * 3), _fields([0x7FFF] * 3)
-_ALL = _U64(_ONE << 48)
+_TARGETS = np.array([_fields([((_ONE - (3 - k) * _LEAST) if s < k else k * _LEAST) >> 5 for k in (1, 2)]) for s in range(3)])
+_START = _fields([_ONE * k // 8 for k in (1, 2)])
+_SHIFTED, _HALVED = _fields([0x07FF] * 2), _fields([0x7FFF] * 2)
+_ALL = _U64(_ONE << 32)
 
 
 class _Model:
-    """Predictions and probabilities of `n` lanes, reset for each block.
+    """Predictions and probabilities of the lanes of some blocks, from nothing; `lanes`: lanes of each block, `ids`:
+    ids of each.
 
     A slot of a prediction table holds an id and, above it, whether it has held since it was set."""
 
-    def __init__(self, n: int, bits: int):
+    def __init__(self, lanes: list[int], ids: list[int], bits: int):
+        n = sum(lanes)
         self.word = np.uint32 if bits == 16 else np.uint64
         self.bits, self.id_mask, self.sure_one = self.word(bits), self.word((1 << bits) - 1), self.word(1 << bits)
-        self.base, self.sixteen = np.arange(n) << _SLOTS, np.arange(n) << 4
-        self.two, self.one = np.zeros(n << _SLOTS, self.word), np.zeros(n << _SLOTS, self.word)
-        self.by_sure, self.by_past = np.full(n << 4, _START), np.full(n << 4, _START)
-        self.best, self.votes = np.zeros(n, self.word), np.zeros(n, np.int32)
+        # slots of a block's tables: a power of two near its ids
+        wide = np.array([min(max(int(k).bit_length(), 8), 18) for k in ids])
+        self.base = np.repeat(np.cumsum(1 << wide) - (1 << wide), lanes)
+        self.shift = np.repeat(32 - wide, lanes).astype(np.uint32)
+        self.two, self.one = (np.zeros(int((1 << wide).sum()), self.word) for _ in range(2))
+        self.four, self.nine = np.arange(n) << 2, np.arange(n) * 9
+        self.by_sure, self.by_past = np.full(n << 2, _START), np.full(n * 9, _START)
         self.last = np.zeros(n, np.int64)
         self.p1, self.h1 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
 
     def predict(self) -> np.ndarray:
-        """Mixed probabilities: cumulated before each outcome, in four fields."""
+        """Mixed probabilities: cumulated before each outcome, in three fields."""
         h = self.p1 * np.uint32(2654435761)
         h2 = (h ^ self.h1) * np.uint32(3266489917)
         self.h1 = h
-        self.at2 = self.base + (h2 >> np.uint32(32 - _SLOTS))
-        self.at1 = self.base + (h >> np.uint32(32 - _SLOTS))
+        self.at2 = self.base + (h2 >> self.shift)
+        self.at1 = self.base + (h >> self.shift)
         self.w2, self.w1 = self.two.take(self.at2), self.one.take(self.at1)
         self.g2, self.g1 = self.w2 & self.id_mask, self.w1 & self.id_mask
         sure = ((self.w2 >> self.bits << self.word(1)) + (self.w1 >> self.bits)).astype(np.int64)
-        self.a = self.sixteen + sure
-        self.b = self.sixteen + self.last
+        self.a = self.four + sure
+        self.b = self.nine + self.last
         self.f_sure, self.f_past = self.by_sure.take(self.a), self.by_past.take(self.b)
         return (self.f_sure >> _U64(1) & _HALVED) + (self.f_past >> _U64(1) & _HALVED)
 
     def outcome(self, ids: np.ndarray) -> np.ndarray:
-        what = np.where(ids == self.best, 2, 3)
-        what[ids == self.g1] = 1
+        what = np.where(ids == self.g1, 1, 2)
         what[ids == self.g2] = 0
         return what
 
-    def learn(self, ids: np.ndarray, what: np.ndarray, t: int) -> None:
+    def learn(self, ids: np.ndarray, what: np.ndarray) -> None:
         for table, at, w, guess in ((self.two, self.at2, self.w2, self.g2), (self.one, self.at1, self.w1, self.g1)):
-            # held: sure from now on; failed: no longer sure or, if it was not, replaced
+            # held: sure from now on; failed: no longer sure or, if it was not, replaced; of lanes that meet in a slot
+            # the last one sets it
             new = np.where(w > guess, guess, ids)
             table[at] = np.where(guess == ids, w | self.sure_one, new)
-        if not t % 4:
-            # the commonest id so far, by a majority vote of every fourth id
-            self.votes += np.where(ids == self.best, 1, -1)
-            self.best = np.where(self.votes < 0, ids, self.best)
-            np.abs(self.votes, out=self.votes)
         pull = _TARGETS.take(what)
         self.by_sure[self.a] = self.f_sure - (self.f_sure >> _PULL & _SHIFTED) + pull
         self.by_past[self.b] = self.f_past - (self.f_past >> _PULL & _SHIFTED) + pull
-        self.last = (self.last & 3) * 4 + what
+        self.last = (self.last % 3) * 3 + what
         self.p1 = ids if ids.dtype == np.uint32 else ids.astype(np.uint32)
 
 
+class _OrderZero:
+    """The distribution of a block's ids: distinct ids in order, their frequencies out of 2 ** `bits`."""
+
+    def __init__(self, ids: np.ndarray, frequencies: np.ndarray):
+        self.ids, self.frequencies = ids, frequencies.astype(np.int64)
+        self.bits = int(self.frequencies.sum()).bit_length() - 1
+        self.first = np.cumsum(self.frequencies) - self.frequencies
+
+    @classmethod
+    def of(cls, ids: np.ndarray, counts: np.ndarray) -> _OrderZero:
+        total = 1 << max(18, (2 * len(ids)).bit_length())
+        f = np.maximum(counts * total // counts.sum(), 1)
+        more = total - int(f.sum())
+        order = np.argsort(-f, kind="stable")
+        if more >= 0:
+            f[order[0]] += more
+        else:                                     # the commonest give what the rarest were raised by
+            spare = f[order] - 1
+            before = np.cumsum(spare) - spare
+            f[order] -= np.clip(-more - before, 0, spare)
+        return cls(ids, f)
+
+    def pack(self) -> bytes:
+        return zlib.compress(np.diff(self.ids.astype(np.int64), prepend=-1).astype("<u4").tobytes() + self.frequencies.astype("<u4").tobytes(), 6)
+
+    @classmethod
+    def unpack(cls, raw: bytes) -> _OrderZero:
+        both = np.frombuffer(zlib.decompress(raw), "<u4").astype(np.int64)
+        half = len(both) // 2
+        return cls(np.cumsum(both[:half]) - 1, both[half:])
+
+
 class _Words:
     """Output (or input) words of each lane, two-dimensional with a position per lane."""
 
@@ -147,11 +182,11 @@ class _Range:
         self.low += part * first
         self.range = part * (end - first)
 
-    def plain(self, lanes, values):
-        """Narrow some lanes to one of 65,536 equal parts."""
-        part = self.range[lanes] >> _U64(16)
-        self.low[lanes] += part * values
-        self.range[lanes] = part
+    def part(self, lanes, bits, first, size):
+        """Narrow some lanes to a part of 2 ** bits."""
+        unit = self.range[lanes] >> bits
+        self.low[lanes] += unit * first
+        self.range[lanes] = unit * size
 
     def turn(self, move):
         low, size, lanes = self.low, self.range, None
@@ -169,100 +204,147 @@ class _Range:
             self.low[lanes], self.range[lanes] = low, size
 
 
-def encode(ids: np.ndarray, bits: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Code the rows of a matrix of ids. Returns the words (one row each) and how many of them count."""
-    n, length = ids.shape
-    model, coder, out, every = _Model(n, bits), _Range(n), _Words(n), np.arange(n)
-    ids = np.ascontiguousarray(ids.T).astype(model.word)
-    settle = lambda lanes: out.put(lanes, (coder.low[lanes] >> _32).astype(np.uint32))
+def _rows(ids: np.ndarray) -> np.ndarray:
+    """A block's ids as lanes (rows) of equal length, the last one padded with zeros."""
+    length = min(LANE, len(ids))
+    lanes = -(-len(ids) // length)
+    out = np.zeros(lanes * length, np.uint32)
+    out[:len(ids)] = ids
+    return out.reshape(lanes, length)
+
+
+def encode(blocks: list[np.ndarray], bits: int = 16) -> list[tuple[_OrderZero, list[np.ndarray]]]:
+    """Code blocks of lanes (matrices with rows of the same length): each one's order-0 table and its lanes' words."""
+    lanes, length = [len(b) for b in blocks], blocks[0].shape[1]
+    model, coder, out, every = _Model(lanes, [b.size for b in blocks], bits), _Range(sum(lanes)), _Words(sum(lanes)), np.arange(sum(lanes))
+    zero, places = [], []
+    for b in blocks:
+        distinct, place, counts = np.unique(b, return_inverse=True, return_counts=True)
+        zero.append(_OrderZero.of(distinct, counts))
+        places.append(place.reshape(b.shape).T + sum(len(z.ids) for z in zero[:-1]))
+    first, size = (np.concatenate([getattr(z, name) for z in zero]).astype(_U64) for name in ("first", "frequencies"))
+    unit = np.repeat([z.bits for z in zero], lanes).astype(_U64)
+    ids = np.concatenate([b.T for b in blocks], axis=1).astype(model.word)
+    place = np.concatenate(places, axis=1)
+    settle = lambda at: out.put(at, (coder.low[at] >> _32).astype(np.uint32))
     for t in range(length):
         x = ids[t]
         before = model.predict()
         what = model.outcome(x)
         coder.outcome(before, what)
-        lanes = np.flatnonzero(what == 3)
-        if len(lanes):
-            for shift in range(bits - 16, -1, -16):
-                coder.plain(lanes, (x[lanes] >> model.word(shift)).astype(_U64) & _FIELD)
-                if shift:
-                    coder.turn(settle)
+        at = np.flatnonzero(what == 2)
+        if len(at):
+            p = place[t, at]
+            coder.part(at, unit[at], first[p], size[p])
         coder.turn(settle)
-        model.learn(x, what, t)
+        model.learn(x, what)
     for _ in range(2):
         settle(every)
         coder.low <<= _32
-    return out.words, out.at
-
-
-def decode(words: np.ndarray, length: int, bits: int = 16) -> np.ndarray:
-    """The ids of `encode`, from its words (rows padded to equal length, two words more than the longest)."""
-    n = len(words)
-    model, coder, source, every = _Model(n, bits), _Range(n), _Words(n, words), np.arange(n)
+    ends = np.cumsum(lanes)
+    return [(z, [out.words[i, :out.at[i]] for i in range(e - n, e)]) for z, n, e in zip(zero, lanes, ends.tolist())]
+
+
+def decode(blocks: list[tuple[_OrderZero, list[np.ndarray]]], length: int, sizes: list[int], bits: int = 16) -> list[np.ndarray]:
+    """The lanes of `encode`; `sizes`: ids of each block, padding included."""
+    lanes = [len(w) for _, w in blocks]
+    n = sum(lanes)
+    words = np.zeros((n, max(len(w) for _, ws in blocks for w in ws) + 2), np.uint32)
+    for i, w in enumerate(w for _, ws in blocks for w in ws):
+        words[i, :len(w)] = w
+    model, coder, source, every = _Model(lanes, sizes, bits), _Range(n), _Words(n, words), np.arange(n)
+    zero = [z for z, _ in blocks]
+    start = np.cumsum([0] + [len(z.ids) for z in zero])
+    distinct, first, size = (np.concatenate([getattr(z, name) for z in zero]) for name in ("ids", "first", "frequencies"))
+    # which id a place in the distribution belongs to
+    owner = np.concatenate([np.repeat(np.arange(len(z.ids)) + s, z.frequencies) for z, s in zip(zero, start)]).astype(np.int32)
+    owner_at = np.repeat(np.cumsum([0] + [1 << z.bits for z in zero])[:-1], lanes)
+    distinct, first, size = distinct.astype(model.word), first.astype(_U64), size.astype(_U64)
+    unit = np.repeat([z.bits for z in zero], lanes).astype(_U64)
     code = source.get(every) << _32 | source.get(every)
     ids = np.zeros((length, n), np.uint32)
 
-    def refill(lanes):
-        code[lanes] = code[lanes] << _32 | source.get(lanes)
+    def refill(at):
+        code[at] = code[at] << _32 | source.get(at)
 
     for t in range(length):
         before = model.predict()
         value = (code - coder.low) // (coder.range >> _U64(15))
-        what = ((value >= (before >> _U64(16) & _FIELD)).astype(np.int64) + (value >= (before >> _32 & _FIELD))
-                + (value >= before >> _U64(48)))
+        what = (value >= (before >> _U64(16) & _FIELD)).astype(np.int64) + (value >= (before >> _32 & _FIELD))
         coder.outcome(before, what)
-        x = np.where(what == 0, model.g2, np.where(what == 1, model.g1, model.best))
-        lanes = np.flatnonzero(what == 3)
-        if len(lanes):
-            got = np.zeros(len(lanes), _U64)
-            for shift in range(bits - 16, -1, -16):
-                value = (code[lanes] - coder.low[lanes]) // (coder.range[lanes] >> _U64(16))
-                got = got << _U64(16) | value
-                coder.plain(lanes, value)
-                if shift:
-                    coder.turn(refill)
-            x[lanes] = got
+        x = np.where(what == 0, model.g2, model.g1)
+        at = np.flatnonzero(what == 2)
+        if len(at):
+            value = (code[at] - coder.low[at]) // (coder.range[at] >> unit[at])
+            p = owner[owner_at[at] + np.minimum(value.astype(np.int64), (1 << unit[at].astype(np.int64)) - 1)]
+            coder.part(at, unit[at], first[p], size[p])
+            x[at] = distinct[p]
         coder.turn(refill)
         ids[t] = x
-        model.learn(x, what, t)
-    return ids.T
+        model.learn(x, what)
+    return [ids[:, e - k:e].T for k, e in zip(lanes, np.cumsum(lanes).tolist())]
+
+
+def _together(lanes: list[int]) -> Iterator[slice]:
+    """Runs of blocks with about `LANES` lanes."""
+    first, held = 0, 0
+    for i, n in enumerate(lanes):
+        if held and held + n > LANES:
+            yield slice(first, i)
+            first, held = i, 0
+        held += n
+    if held:
+        yield slice(first, len(lanes))
+
+
+_HEAD = "<6I"
 
 
 def write_blocks(blocks: list[np.ndarray], bits: int = 16) -> list[bytes]:
-    """Payloads of blocks of ids; shorter ones are padded with zeros while they are coded."""
-    out: list[bytes] = []
-    for i in range(0, len(blocks), LANES):
-        some = blocks[i:i + LANES]
-        ids = np.zeros((max(map(len, some)), len(some)), np.uint32).T
-        for lane, b in enumerate(some):
-            ids[lane, :len(b)] = b
-        words, used = encode(ids, bits)
-        for b, row, n in zip(some, words, used.tolist()):
-            out.append(struct.pack("<5I", MAGIC, len(b), ids.shape[1], bits, zlib.crc32(b.astype("<u4").tobytes()))
-                       + row[:n].astype("<u4").tobytes())
+    """Payloads of blocks of ids."""
+    out: list = [None] * len(blocks)
+    by_length: dict[int, list[int]] = {}
+    for i, b in enumerate(blocks):
+        by_length.setdefault(min(LANE, len(b)), []).append(i)
+    for length, members in by_length.items():
+        rows = [_rows(blocks[i]) for i in members]
+        for run in _together([len(r) for r in rows]):
+            for i, (zero, words) in zip(members[run], encode(rows[run], bits)):
+                table, b = zero.pack(), blocks[i]
+                out[i] = b"".join([struct.pack(_HEAD, MAGIC, len(b), length, bits, zlib.crc32(b.astype("<u4").tobytes()), len(table)), table,
+                                   np.array([len(w) for w in words], "<u4").tobytes(), *[w.astype("<u4").tobytes() for w in words]])
     return out
 
 
 def read_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     """Ids of payloads; a wrong magic or checksum is an error."""
-    heads = [struct.unpack_from("<5I", p) for p in payloads]
-    groups: dict[tuple[int, int], list[int]] = {}
-    for i, (magic, _, length, bits, _) in enumerate(heads):
-        if magic != MAGIC:
+    heads, parts = [], []
+    by_length: dict[tuple[int, int], list[int]] = {}
+    for i, p in enumerate(payloads):
+        head = struct.unpack_from(_HEAD, p)
+        if head[0] != MAGIC:
             raise ValueError("not a block of token ids")
-        groups.setdefault((length, bits), []).append(i)
+        _, n, length, bits, _, table = head
+        lanes, at = -(-n // length), struct.calcsize(_HEAD) + table
+        try:
+            zero = _OrderZero.unpack(p[at - table:at])
+        except zlib.error as e:
+            raise ValueError("the table of a block of token ids is damaged") from e
+        used = np.frombuffer(p, "<u4", lanes, at).tolist()
+        words = np.frombuffer(p, "<u4", sum(used), at + 4 * lanes)
+        parts.append((zero, np.split(words, np.cumsum(used)[:-1])))
+        heads.append(head)
+        by_length.setdefault((length, bits), []).append(i)
     out: list = [None] * len(payloads)
-    for (length, bits), members in groups.items():
-        for i in range(0, len(members), LANES):
-            some = members[i:i + LANES]
-            rows = [np.frombuffer(payloads[m], "<u4", offset=20) for m in some]
-            words = np.zeros((len(some), max(map(len, rows)) + 2), np.uint32)
-            for lane, r in enumerate(rows):
-                words[lane, :len(r)] = r
-            for m, row in zip(some, decode(words, length, bits)):
-                ids = row[:heads[m][1]]
-                if zlib.crc32(ids.astype("<u4").tobytes()) != heads[m][4]:
+    for (length, bits), members in by_length.items():
+        for run in _together([len(parts[i][1]) for i in members]):
+            some = members[run]
+            rows = decode([parts[i] for i in some], length, [len(parts[i][1]) * length for i in some], bits)
+            for i, r in zip(some, rows):
+                ids = np.ascontiguousarray(r).reshape(-1)[:heads[i][1]]
+                if zlib.crc32(ids.astype("<u4").tobytes()) != heads[i][4]:
                     raise ValueError("a block of token ids fails its checksum")
-                out[m] = ids
+                out[i] = ids
     return out
 
 
@@ -308,7 +390,7 @@ def _write(path: str):
                         if fill == BLOCK:
                             done.append((np.concatenate(now), pieces))
                             pieces, now, fill = [], [], 0
-                            if len(done) == LANES:
+                            if len(done) * BLOCK >= LANES * LANE:
                                 yield flush()
                     row += 1
         if fill:
@@ -329,8 +411,8 @@ def write_ids(spark: SparkSession, docs: DataFrame, tokenizer: str, path: str) -
 
 def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for i in range(0, len(pdf), LANES):
-            some = pdf.iloc[i:i + LANES]
+        for i in range(0, len(pdf), LANES * LANE // BLOCK):
+            some = pdf.iloc[i:i + LANES * LANE // BLOCK]
             rows, doc_ids, no_id, starts, sizes = (np.concatenate([np.asarray(x) for x in some[c]]) for c in _PIECE)
             of = np.repeat(np.arange(len(some)), some["sizes"].map(len))
             first = np.cumsum(sizes) - sizes
@@ -370,7 +452,7 @@ for _ in range(63):
     _SQUARES.append(_times(_SQUARES[-1], _SQUARES[-1]))
 
 
-@lru_cache(maxsize=2 * BLOCK)
+@lru_cache(maxsize=1 << 14)
 def _shift(n_bytes: int) -> int:
     """x ** (8 * n_bytes): pieces have few different lengths."""
     out, bits, k = 1 << 31, n_bytes * 8, 0

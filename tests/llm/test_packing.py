@@ -66,8 +66,8 @@ def test_hilbert_visits_neighbours():
 
 def test_alike_documents_are_near():
     enc = encoder(PATH)
-    a = [packing.point(enc.ids(prose(7, 300) + " " + prose(i, 20))) for i in range(5)]
-    b = [packing.point(enc.ids("Le " * 300 + prose(i, 20))) for i in range(5)]
+    a = packing.points([enc.ids(prose(7, 300) + " " + prose(i, 20)) for i in range(5)])
+    b = packing.points([enc.ids("Le " * 300 + prose(i, 20)) for i in range(5)])
     assert np.ptp(a, axis=0).max() < np.abs(np.mean(a, axis=0) - np.mean(b, axis=0)).max()
 
 

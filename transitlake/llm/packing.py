@@ -26,7 +26,7 @@ from .tokens import encoder
 
 LENGTH, END = 2048, 1
 HASHED, DIMS, BITS = 256, 3, 10
-_PROJECT = np.random.default_rng(5).standard_normal((HASHED, DIMS)).astype(np.float32)
+_PROJECT = np.random.default_rng(5).standard_normal((HASHED, DIMS))
 _SPREAD = 4.0
 _FLUSH = 1 << 20                 # ids in an output batch
 
@@ -59,10 +59,12 @@ def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def point(ids: np.ndarray) -> np.ndarray:
-    """Grid cell of a document: its hashed counts, as shares, projected and squashed."""
-    hashed = np.bincount((ids.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24), minlength=HASHED)
-    at = np.tanh(_SPREAD * (hashed @ _PROJECT) / max(len(ids), 1))
+def points(ids: list[np.ndarray]) -> np.ndarray:
+    """Grid cells of documents: their hashed counts, as shares, projected and squashed, for all documents at once."""
+    sizes = np.array([len(x) for x in ids])
+    hashed = (np.concatenate(ids).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
+    counts = np.bincount(np.repeat(np.arange(len(ids)) * HASHED, sizes) + hashed, minlength=len(ids) * HASHED)
+    at = np.tanh(_SPREAD * (counts.reshape(-1, HASHED) @ _PROJECT) / np.maximum(sizes, 1)[:, None])
     return np.minimum(((at + 1) * (1 << (BITS - 1))).astype(np.int64), (1 << BITS) - 1)
 
 
@@ -73,7 +75,7 @@ def _tokenise(path: str):
             for i in range(0, len(pdf), 1000):
                 part = pdf.iloc[i:i + 1000]
                 ids = [np.append(x, enc.dtype.type(END)) for x in enc.ids_of(part["text"])]
-                keys = hilbert(np.array([point(x) for x in ids]))
+                keys = hilbert(points(ids))
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "tie": part["tie"].to_numpy(), "curve": keys,
                                     "ids": [x.astype("<u4").tobytes() if x.dtype.itemsize == 4 else x.tobytes() for x in ids],
                                     "wide": [x.dtype.itemsize == 4 for x in ids]})

@@ -1,4 +1,5 @@
 import collections
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,50 @@ def test_tree_deals_every_block_once(spark):
     assert max(by_shard.values()) - min(by_shard.values()) <= 5
 
 
+@pytest.mark.parametrize("total,marked,taken", [
+    (100_000, 300, 300), (1000, 500, 500), (10_000, 9_000, 200), (5_000, 3_000, 4_500), (10_000_000, 4_000_000, 700), (400, 390, 350),
+    (50, 7, 20), (2_000_000, 1_500_000, 1_200_000)])
+def test_draws_follow_the_hypergeometric_law(spark, total, marked, taken):
+    """Chi-square of 20,000 draws against the law, for few and many, marked and drawn items."""
+    n = 20_000
+    df = spark.range(n).select(mixing._draw(F.lit(total).cast("long"), F.lit(marked).cast("long"), F.lit(taken).cast("long"),
+                                            F.col("id"), F.lit(5)).alias("x"))
+    seen = {r["x"]: r["count"] for r in df.groupBy("x").count().collect()}
+    ln = lambda a, b: math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
+    low, high = max(0, taken + marked - total), min(marked, taken)
+    assert low <= min(seen) and max(seen) <= high
+    mean = taken * marked / total
+    near = range(max(low, int(mean - 5000)), min(high, int(mean + 5000)) + 1)
+    law = {x: math.exp(ln(marked, x) + ln(total - marked, taken - x) - ln(total, taken)) for x in near}
+    # cells of at least 20 expected draws
+    cells, e, o = [], 0.0, 0
+    for x in near:
+        e, o = e + n * law[x], o + seen.get(x, 0)
+        if e >= 20:
+            cells.append((e, o))
+            e, o = 0.0, 0
+    cells[-1] = (cells[-1][0] + e, cells[-1][1] + o)
+    chi, free = sum((o - e) ** 2 / e for e, o in cells), len(cells) - 1
+    assert chi < free + 5 * math.sqrt(2 * free) + 10, (chi, free)
+
+
+def test_tree_grows_in_several_tasks(spark):
+    row = spark.createDataFrame([([1000, 70_000, 3],)], "quotas array<long>")
+    dealt = mixing.splitting_tree(row, 512)
+    tasks = dealt.select(F.spark_partition_id().alias("p"), "shard").distinct().groupBy("p").count().collect()
+    assert len(tasks) > 8 and sum(r["count"] for r in tasks) == 512
+    by_src = {r["src"]: r["n"] for r in dealt.groupBy("src").agg(F.sum("n_blocks").alias("n")).collect()}
+    assert by_src == {1: 1000, 2: 70_000, 3: 3}
+    per_shard = [r["n"] for r in dealt.groupBy("shard").agg(F.sum("n_blocks").alias("n")).collect()]
+    assert max(per_shard) - min(per_shard) <= 1
+
+
+def test_very_long_text_and_copies_in_the_mix(spark, make_docs):
+    rows = [(1, prose(1, 60_000), "a"), (2, prose(2, 10), "b")] + [(3, prose(3, 40), "b")] * 300
+    check(spark, make_docs(rows), shard_blocks=16)
+    assert mixing.mix(spark, make_docs(rows), shard_blocks=16).count() > 300
+
+
 def test_draws_follow_the_hypergeometric_mean(spark):
     for total, marked, taken in ((100, 30, 50), (10_000, 3_000, 5_000)):
         df = spark.range(2000).select(mixing._draw(F.lit(total), F.lit(marked), F.lit(taken), F.col("id")).alias("x"))

@@ -11,7 +11,8 @@ shards are disjoint and together they are the whole quota. Inside a shard pieces
 by hash.
 
 Positions in the stream come from two-level prefix sums (hash buckets inside a source), so no
-task holds a whole source. The tree works on a table of one row per shard.
+task holds a whole source. The tree works on a table of one row per shard; after its first levels the nodes are
+dealt to tasks, and subtrees grow side by side.
 
 Edge cases: a null text has size 0; null is the last source; sources of size 0 get target 0;
 repeated rows are separate documents; an empty table gives an empty result; ties in the
@@ -31,7 +32,10 @@ WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 BLOCK = 128
 SHARD_BLOCKS = 1 << 13          # blocks in an output shard, about a million words
 BUCKETS = 1 << 12               # hash buckets of a source's permutation
-EXACT = 256                     # up to so many marked items a draw is done item by item
+EXACT = 64                      # up to so many items a draw is done item by item
+ATTEMPTS = 128                  # of a draw by rejection, each accepted about three times in four
+_HAT = (2 * math.sqrt(2 / math.e), 3 - 2 * math.sqrt(3 / math.e))
+SPREAD_LEVEL, SPREAD = 6, 64    # level of the splitting tree at which its nodes go to tasks of their own
 SEED = 17
 
 
@@ -71,23 +75,67 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         F.least(F.col("top"), F.coalesce(F.col("at") * F.col("weight"), F.col("top"))).cast("double").alias("target"))
 
 
+# ln n! for n below 16; Stirling's series beyond
+_SMALL = [math.lgamma(n + 1) for n in range(16)]
+
+
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once (and stands in the expression once)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _log_factorials(numbers: Column) -> Column:
+    """Sum of ln n! over an array of doubles."""
+    def one(x: Column) -> Column:
+        series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + (1 / 12 - (1 / 360 - 1 / (1260 * x * x)) / (x * x)) / x
+        return F.when(x < len(_SMALL), F.get(F.lit(_SMALL), x.cast("int"))).otherwise(series)
+
+    return F.aggregate(numbers, F.lit(0.0), lambda s, x: s + one(x))
+
+
 def _draw(total: Column, marked: Column, taken: Column, *key: Column) -> Column:
     """Hypergeometric draw: how many of `marked` items are among `taken` drawn from `total`.
 
-    Item by item for few marked items; else the rounded normal law with the same mean and
-    variance, held within the possible range. Hash numbers of `key` make reruns agree."""
-    least = F.greatest(F.lit(0), taken + marked - total)
-    share = marked / F.greatest(total, F.lit(1))
-    mean = taken * share
-    spread = F.sqrt(F.greatest(F.lit(0.0), mean * (1 - share) * ((total - taken) / F.greatest(total - 1, F.lit(1)))))
-    normal = F.sqrt(-2 * F.log(uniform(*key, F.lit(1)))) * F.cos(2 * math.pi * uniform(*key, F.lit(2)))
-    approx = F.round(mean + spread * normal).cast("long")
-    one_by_one = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.greatest(F.least(marked, F.lit(EXACT)), F.lit(1))),
-        F.lit(0).cast("long"),
-        lambda got, i: got + F.when(
-            (i <= marked) & (uniform(*key, i + 2) * (total - i + 1) < taken - got), F.lit(1)).otherwise(F.lit(0)))
-    return F.greatest(least, F.least(F.least(marked, taken), F.when(marked <= EXACT, one_by_one).otherwise(approx)))
+    The law does not change if marked and unmarked, drawn and left, or marked and drawn items change places, so
+    the draw is made for the smallest of the counts: item by item up to `EXACT` items, by rejection (ratio of
+    uniforms under Stadlober's hat) beyond. Both give the law itself, whatever the counts. Hash numbers of
+    `key` make reruns agree."""
+    def item_by_item(g: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1).cast("long"), F.greatest(F.least(g["k"], F.lit(EXACT)), F.lit(1))), F.lit(0).cast("long"),
+            lambda got, i: got + F.when(
+                (i <= g["k"]) & (uniform(F.lit(0), g["key"], i) * (g["n"] - i + 1) < g["m"] - got), F.lit(1)).otherwise(F.lit(0)))
+
+    def by_rejection(g: Column) -> Column:
+        n, k, m = (g[c].cast("double") for c in "nkm")
+        weight = lambda h, x: _log_factorials(F.array(x, h["k"] - x, h["m"] - x, h["n"] - h["k"] - h["m"] + x))
+        spread = F.sqrt((n - m) * (m * (k / n) * (1 - k / n) / (n - 1)) + 0.5)
+        first = F.struct(n.alias("n"), k.alias("k"), m.alias("m"), (m * (k / n) + 0.5).alias("middle"), (_HAT[0] * spread + _HAT[1]).alias("wide"),
+                         F.floor((m + 1) * ((k + 1) / (n + 2))).cast("double").alias("mode"), g["key"].alias("key"))
+
+        def attempts(h: Column, top: Column) -> Column:
+            def attempt(i: Column) -> Column:
+                u = uniform(F.lit(1), h["key"], i)
+                x = F.floor(h["middle"] + h["wide"] * (uniform(F.lit(2), h["key"], i) - 0.5) / u).cast("double")
+                return _let(F.struct(u.alias("u"), x.alias("x")), lambda t: F.when(
+                    t["x"].between(F.lit(0.0), h["k"]), F.when(2 * F.log(t["u"]) <= top - weight(h, t["x"]), t["x"])))
+
+            found = F.aggregate(F.sequence(F.lit(1), F.lit(ATTEMPTS)), F.lit(None).cast("double"),
+                                lambda got, i: F.when(got.isNotNull(), got).otherwise(attempt(i)))
+            return F.coalesce(found, h["mode"]).cast("long")
+        return _let(first, lambda h: _let(weight(h, h["mode"]), lambda top: attempts(h, top)))
+
+    def draw(q: Column) -> Column:
+        flip_marked, flip_taken = q["marked"] * 2 > q["total"], q["taken"] * 2 > q["total"]
+        a = F.when(flip_marked, q["total"] - q["marked"]).otherwise(q["marked"])
+        b = F.when(flip_taken, q["total"] - q["taken"]).otherwise(q["taken"])
+        given = F.struct(q["total"].alias("n"), F.least(a, b).alias("k"), F.greatest(a, b).alias("m"), q["key"].alias("key"))
+        drawn = _let(given, lambda g: F.when(g["k"] <= EXACT, item_by_item(g)).otherwise(by_rejection(g)))
+        return _let(drawn, lambda x: F.when(flip_marked & flip_taken, q["marked"] - ((q["total"] - q["taken"]) - x)).when(
+            flip_marked, q["taken"] - x).when(flip_taken, q["marked"] - x).otherwise(x))
+
+    counts = [c.cast("long").alias(name) for name, c in (("total", total), ("marked", marked), ("taken", taken))]
+    return _let(F.struct(*counts, F.xxhash64(*key).alias("key")), draw).cast("long")
 
 
 def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
@@ -98,7 +146,9 @@ def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
     nodes = quotas.select(F.lit(0).cast("long").alias("shard"), F.lit(shards).cast("long").alias("width"),
                           F.lit(1).cast("long").alias("node"), "quotas")
     total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, x: a + x)
-    for _ in range(max(0, math.ceil(math.log2(max(shards, 1))))):
+    for level in range(max(0, math.ceil(math.log2(max(shards, 1))))):
+        if level == SPREAD_LEVEL:
+            nodes = nodes.repartition(SPREAD, "node")
         half = (F.col("width") / 2).cast("long")
         split = nodes.select("*", half.alias("half"), total.alias("total")).select(
             "*", F.ceil(F.col("total") * F.col("half") / F.col("width")).cast("long").alias("left_total"))
@@ -190,11 +240,10 @@ def mix(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     One row per span: a whole text stays as it is, a cut one is its words joined by spaces;
     `n_chars` follows the text."""
     _, spans, _ = plan_mix(spark, docs, **how)
-    per_row = spans.groupBy(*KEY).agg(F.collect_list(F.struct("copy", "first", "last", "shard", "place")).alias("spans"))
+    per_row = spans.select(*KEY, F.col("copy").alias("mx_copy"), F.struct("first", "last", "shard", "place").alias("s"))
     rows = _keyed(docs, F.struct(*docs.columns).alias("mx_row"))
     rows = rows.select("*", F.row_number().over(W.partitionBy(*KEY).orderBy("mx_k1")).alias("mx_copy"))
-    out = rows.join(per_row, KEY).select(
-        "mx_row", F.explode(F.filter("spans", lambda s: s["copy"] == F.col("mx_copy"))).alias("s"))
+    out = rows.join(per_row, [*KEY, "mx_copy"]).select("mx_row", "s")
     own = F.col("mx_row.text")
     whole = (F.col("s.first") == 0) & (F.col("s.last") == n_words(own))
     cut = F.array_join(F.slice(words(own), (F.col("s.first") + 1).cast("int"), (F.col("s.last") - F.col("s.first")).cast("int")), " ")

@@ -1,4 +1,10 @@
-"""Corpus pipeline: quality rules, near-dedup, substring dedup, mixing and packing of `documents`."""
+"""Corpus pipeline: quality rules, near-dedup, substring dedup, mixing and packing of `documents`.
+
+Every stage works on all rows that the one before kept. Edge cases, stage by stage: null, empty and very short texts are
+rejected by the quality rules; a null source or doc_id is a value like any other (the last source; the largest
+id); of repeated rows the near-dedup keeps one; very long texts pass whole and span several packed
+sequences; an empty table stays empty through all stages; extra columns, whatever their names, are carried up to the
+mix and left out by the packing, which returns pieces of token ids."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession

@@ -239,11 +239,15 @@ def mix(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
 
     One row per span: a whole text stays as it is, a cut one is its words joined by spaces;
     `n_chars` follows the text."""
-    _, spans, _ = plan_mix(spark, docs, **how)
+    placed, spans, _ = plan_mix(spark, docs, **how)
     per_row = spans.select(*KEY, F.col("copy").alias("mx_copy"), F.struct("first", "last", "shard", "place").alias("s"))
     rows = _keyed(docs, F.struct(*docs.columns).alias("mx_row"))
-    rows = rows.select("*", F.row_number().over(W.partitionBy(*KEY).orderBy("mx_k1")).alias("mx_copy"))
-    out = rows.join(per_row, [*KEY, "mx_copy"]).select("mx_row", "s")
+    # only rows that repeat are numbered, which takes a shuffle of its own; nearly all texts move once
+    many = stage(spark, placed.where("copy = 2").select(*KEY), "mix-repeated")
+    single = rows.join(many, KEY, "left_anti").join(per_row.drop("mx_copy"), KEY)
+    copy = F.row_number().over(W.partitionBy(*KEY).orderBy("mx_k1"))
+    repeated = rows.join(many, KEY, "left_semi").withColumn("mx_copy", copy).join(per_row, [*KEY, "mx_copy"])
+    out = single.select("mx_row", "s").unionByName(repeated.select("mx_row", "s"))
     own = F.col("mx_row.text")
     whole = (F.col("s.first") == 0) & (F.col("s.last") == n_words(own))
     cut = F.array_join(F.slice(words(own), (F.col("s.first") + 1).cast("int"), (F.col("s.last") - F.col("s.first")).cast("int")), " ")

@@ -46,7 +46,7 @@ def test_edge_texts(spark, make_docs):
     assert [r["n_tokens"] for r in odd] == [3, 3]
 
 
-def test_chunks_do_not_matter(spark, make_docs, monkeypatch):
+def test_a_chunk_holds_its_texts():
     chunk = lm._Chunk(0)
     for i in range(20):
         chunk.add(i, prose(i, 50).encode().split() + [lm.END])
@@ -55,6 +55,32 @@ def test_chunks_do_not_matter(spark, make_docs, monkeypatch):
     assert sum(row["sizes"]) == len(codes) and codes.max() + 1 == len(row["words"])
 
 
+def test_layout_does_not_matter(spark, make_docs, monkeypatch):
+    """The same scores from one file, from many, and in another order."""
+    monkeypatch.setattr(lm, "PASSES", 2)
+    docs = make_docs([(i, prose(i % 40, 60 + i), "s") for i in range(120)])
+    one = {r["doc_id"]: r["score"] for r in lm.score(spark, docs.repartition(1)).collect()}
+    many = {r["doc_id"]: r["score"] for r in lm.score(spark, docs.orderBy("n_chars").repartition(9)).collect()}
+    assert set(one) == set(many) and all(abs(one[i] - many[i]) <= 1e-6 * abs(one[i]) for i in one)
+
+
+def test_counts_of_cells(spark, make_docs):
+    """Every training token is counted once, under the symbols before it."""
+    docs = make_docs([(i, prose(i, 30), "s") for i in range(40)] + [(100, None, "s"), (101, "one", "s")])
+    chunks = docs.repartition(3).select("doc_id", "text").mapInPandas(lm._pack, lm._CHUNK)
+    singles = {lm.END_HASH: 0}
+    got = collections.Counter()
+    for r in chunks.select("held", "sizes", "codes", "words", "groups").mapInPandas(lm._counter(singles), "cell int, n long").collect():
+        got[r["cell"]] += r["n"]
+    want = collections.Counter()
+    for r in docs.collect():
+        if not lm.held_out(r["doc_id"]):
+            symbols = [0, 0] + [lm._group(w) for w in (r["text"] or "").lower().encode().split()] + [0]
+            for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+                want[(b * lm.SYMBOLS + a) * lm.SYMBOLS + c] += 1
+    assert got == want
+
+
 def test_probabilities_are_normalised():
     model = lm.start_model()
     table = lm.log_table(model, np.linspace(-3, 0, lm.SYMBOLS))
@@ -69,6 +95,7 @@ def test_training_learns_a_rule():
     mass = np.full(lm.SYMBOLS, 0.5)
     mass[:8] += 5000
     noise = mass / mass.sum()
-    got = lm.train_chunk(lm.start_model(), np.log(noise), noise, one, two, target, 1)
+    cell, count = np.unique(lm.cells_of(one, two, target), return_counts=True)
+    got = lm.train(lm.start_model(), np.log(noise), noise, cell, count.astype(np.float32), 1)
     table = lm.log_table(got, got["b"])
     assert np.mean(table[one * lm.SYMBOLS + two, target]) > np.log10(1 / 8) + 0.2

@@ -10,9 +10,13 @@ softmax over all symbols, is the symbol's probability. All contexts are scored i
 products, so every log-probability is normalised.
 
 Distribution: texts are packed into chunks (some `CHUNK` tokens: words as codes into the chunk's own
-vocabulary), written once. Word counts are sums over chunk vocabularies. Every chunk with training
-texts trains the model on its tokens from the common start; the parameters are averaged by tokens.
-Scoring joins each chunk's vocabulary with the corpus counts. No step holds a whole corpus vocabulary.
+vocabulary), written once. Word counts are sums over chunk vocabularies. Scoring joins each chunk's vocabulary
+with the corpus counts. No step holds a whole corpus vocabulary.
+
+Training: tasks count which symbol follows which two in the training texts; Spark adds the counts up. They are exact
+and at most SYMBOLS ** 3 whatever the corpus, so one task trains the model on them, and the scores are the same however
+the table is split. A step takes a batch of contexts with all that follows them; each of their tokens stands against
+`NOISE` noise words drawn from the unigram distribution.
 
 Edge cases: a null or empty text is a single end; a null doc_id hashes as an empty string; repeated rows are
 scored each; without training texts the counts are zero and the model is uniform; an empty table gives an
@@ -34,7 +38,8 @@ from .common import release, ship, stage
 FOLDS, HELD = 5, 1
 SYMBOLS, SINGLES, DIM = 256, 192, 24
 CHUNK = 2_000_000
-BATCH, NOISE, RATE, PASSES = 4096, 64, 0.1, 4
+BATCH, NOISE, RATE, PASSES = 1024, 64, 0.1, 20
+SEED, _SLICE = 11, 1 << 18
 END = b"\n"                       # no word holds white space
 END_HASH = int(np.uint64(xxhash.xxh64_intdigest(END)).astype(np.int64))
 
@@ -126,20 +131,17 @@ def start_model(seed: int = 11) -> dict[str, np.ndarray]:
     return {k: (0.1 * rng.standard_normal((SYMBOLS, DIM))).astype(np.float64) for k in ("near", "far", "out")}
 
 
-def train_chunk(model: dict, bias: np.ndarray, noise: np.ndarray, one: np.ndarray, two: np.ndarray, target: np.ndarray,
-                seed: int) -> dict[str, np.ndarray]:
-    """Noise-contrastive steps over the tokens of a chunk, gathered by context.
-
-    A batch is some contexts with the counts of what follows them. Each of its tokens stands against `NOISE`
-    draws from the noise distribution; as symbols are few, the draws enter by their expectation, all symbols
-    at once. The score of a symbol stands for its log-probability: the bias starts at the unigram's.
-    Gradients are scaled by Adagrad sums."""
-    cell = one.astype(np.int32)              # (symbol before, the one before that, what follows) in one number
-    cell *= SYMBOLS
-    cell += two
-    cell *= SYMBOLS
-    cell += target
-    cell, count = np.unique(cell, return_counts=True)
+def cells_of(one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """(symbol before, the one before that, what follows) in one number."""
+    return (one.astype(np.int32) * SYMBOLS + two) * SYMBOLS + target
+
+
+def train(model: dict, bias: np.ndarray, noise: np.ndarray, cell: np.ndarray, count: np.ndarray, seed: int) -> dict[str, np.ndarray]:
+    """Noise-contrastive steps over the counts of cells (distinct, ascending).
+
+    A batch is some contexts with the counts of what follows them. Against each of its tokens stand `NOISE` words
+    drawn from the noise distribution (their numbers by symbol are Poisson draws). The score of a symbol stands for
+    its log-probability: the bias starts at the unigram's. Gradients are scaled by Adagrad sums."""
     context, first = np.unique(cell // SYMBOLS, return_index=True)
     last = np.append(first[1:], len(cell))
     rng = np.random.default_rng(seed)
@@ -165,7 +167,7 @@ def train_chunk(model: dict, bias: np.ndarray, noise: np.ndarray, one: np.ndarra
             h1, h2 = hot[context[pick] // SYMBOLS], hot[context[pick] % SYMBOLS]
             q = h1 @ near + h2 @ far
             true = 1 / (1 + np.exp(np.clip(shift - b - q @ out.T, -30, 30)))
-            g = ((seen + n * draws) * true - seen) / n.sum()
+            g = ((seen + rng.poisson(n * draws).astype(np.float32)) * true - seen) / n.sum()
             g_q = g @ out
             step(out, "out", g.T @ q)
             step(near, "near", h1.T @ g_q)
@@ -186,25 +188,38 @@ def log_table(model: dict[str, np.ndarray], b: np.ndarray) -> np.ndarray:
     return table
 
 
-def _trainer(singles: dict[int, int], model: dict, bias: np.ndarray, noise: np.ndarray):
+def _counter(singles: dict[int, int]):
+    """Counts of the cells of the training texts, added up over a task's chunks."""
     end = singles[END_HASH]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, weight = None, 0
+        cells, counts = np.empty(0, np.int32), np.empty(0, np.int64)
         for pdf in batches:
-            for chunk, held, sizes, codes, words, groups in zip(*(pdf[c] for c in ("chunk", "held", "sizes", "codes", "words", "groups"))):
+            for held, sizes, codes, words, groups in zip(*(pdf[c] for c in ("held", "sizes", "codes", "words", "groups"))):
                 sizes = np.asarray(sizes, np.int64)
                 symbols = _symbols(np.asarray(words), np.asarray(groups), singles)[_codes(codes)]
                 one, two = _contexts(symbols, sizes, end)
                 mine = np.repeat(~np.asarray(held, bool), sizes)
-                n = int(mine.sum())
-                if not n:
-                    continue
-                got = train_chunk(model, bias, noise, one[mine], two[mine], symbols[mine], seed=int(chunk) % (1 << 31))
-                vector = np.concatenate([got[k].ravel() for k in ("near", "far", "out", "b")]) * n
-                total, weight = vector if total is None else total + vector, weight + n
-        if weight:
-            yield pd.DataFrame({"weight": [weight], "vector": [total]})
+                more, n = np.unique(cells_of(one[mine], two[mine], symbols[mine]), return_counts=True)
+                both, at = np.unique(np.concatenate([cells, more]), return_inverse=True)
+                summed = np.zeros(len(both), np.int64)
+                summed[at[:len(cells)]] += counts
+                summed[at[len(cells):]] += n
+                cells, counts = both.astype(np.int32), summed
+        for i in range(0, len(cells), _SLICE):
+            yield pd.DataFrame({"cell": cells[i:i + _SLICE], "n": counts[i:i + _SLICE]})
+    return run
+
+
+def _trainer(model: dict, bias: np.ndarray, noise: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [(np.asarray(c, np.int64) * SYMBOLS + np.asarray(t), np.asarray(n)) for pdf in batches
+                 for c, t, n in zip(pdf["context"], pdf["targets"], pdf["counts"])]
+        if parts:
+            cell, count = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(cell, kind="stable")
+            got = train(model, bias, noise, cell[order], count[order].astype(np.float32), SEED)
+            yield pd.DataFrame({"name": list(got), "vector": pd.Series([got[k].ravel().astype(np.float64) for k in got], dtype=object)})
     return run
 
 
@@ -266,22 +281,24 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     noise = mass / mass.sum()
     bias, model = np.log(noise), start_model()
 
-    parts = chunks.select("chunk", "held", "sizes", "codes", "words", "groups").mapInPandas(
-        _trainer(singles, model, bias, noise), "weight long, vector array<double>")
-    parts = stage(spark, parts, "lm-parameters")
-    weight = parts.agg(F.sum("weight")).first()[0]
-    if weight:
-        summed = parts.select(F.posexplode("vector").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
-        flat = np.array([r["x"] for r in summed]) / weight
-        size = SYMBOLS * DIM
-        model = {k: flat[j * size:(j + 1) * size].reshape(SYMBOLS, DIM) for j, k in enumerate(("near", "far", "out"))}
-        bias = flat[3 * size:]
+    cells = chunks.select("held", "sizes", "codes", "words", "groups").mapInPandas(_counter(singles), "cell int, n long")
+    cells = cells.groupBy("cell").agg(F.sum("n").alias("n"))
+    # at most SYMBOLS ** 2 rows with SYMBOLS counts each
+    contexts = cells.groupBy(F.floor(F.col("cell") / SYMBOLS).alias("context")).agg(
+        F.collect_list((F.col("cell") % SYMBOLS).cast("int")).alias("targets"), F.collect_list("n").alias("counts"))
+    contexts = stage(spark, contexts, "lm-contexts")
+    parts = contexts.repartition(1).mapInPandas(_trainer(model, bias, noise), "name string, vector array<double>").collect()
+    got = {r["name"]: np.array(r["vector"]) for r in parts}
+    if got:
+        model = {k: got[k].reshape(SYMBOLS, DIM) for k in ("near", "far", "out")}
+        bias = got["b"]
+    release(spark, contexts)
 
     known = words.select("chunk", "at", "word").join(corpus.select("word", "c"), "word").groupBy("chunk").agg(
         F.collect_list(F.struct("at", "c")).alias("k")).select(
         F.col("chunk").alias("of"), F.transform("k", lambda x: x["at"]).alias("at"), F.transform("k", lambda x: x["c"]).alias("corpus"))
     known = stage(spark, known, "lm-known")
-    release(spark, parts)
+    release(spark)
     ready = chunks.drop("counts").join(known, F.col("chunk") == F.col("of"), "left").drop("of")
     return ready.mapInPandas(
         _scorer(singles, model, bias, tokens, types, int(total), int(kinds)),

@@ -23,7 +23,7 @@ def test_entities_as_in_the_standard_library(spark):
 def test_elements_end_by_depth(spark):
     page = "<table><tr><td>a<table><tr><td>x</td></tr></table>b</td></tr><tr><td>c</table></tr>"
     df = spark.createDataFrame([(page,)], "h string").select(html.tokens(F.col("h")).alias("t"))
-    rows = df.select("t", F.explode(html.elements(F.col("t"), "tr")).alias("e")).select(
+    rows = df.select("t", F.explode(html.elements(html.marks(F.col("t")), F.size("t"), "tr")).alias("e")).select(
         html.text_between(F.col("t"), F.col("e.start"), F.col("e.stop"))).collect()
     assert [r[0] for r in rows] == ["axb", "x", "c"]
 

@@ -2,19 +2,20 @@
 
 A page becomes an array of tokens (opening tag, closing tag, text). The extent of an element follows from the running
 depth of its tag name, so nested tables, rows and blocks end where they really end; unclosed ones end with their page.
-Texts are decoded once (`&uuml;`, `&nbsp;`, `&#8364;`, `&#x20AC;`). Comments, declarations, scripts and styles are no
+Texts are decoded when they are read (`&uuml;`, `&nbsp;`, `&#8364;`, `&#x20AC;`). Comments, declarations, scripts and styles are no
 tokens. Only built-in array functions are used, page by page, without any shuffle.
 """
 from __future__ import annotations
 
 import html.entities
 import json
+import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _TOKEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[!?][^>]*>|</?[a-z][^>]*>|[^<]+|<"
-_SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 # Elements without content: they have no closing tag (fixed by the HTML standard).
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
@@ -26,6 +27,17 @@ def _entity_texts() -> dict[str, str]:
     return named | {f"#{n}": bytes([n]).decode("cp1252", "replace") for n in range(128, 160)}
 
 
+_DRAWERS = 512
+
+
+def _drawers() -> str:
+    """The entities dealt out by a checksum of their name: a look-up reads a handful of entries, not thousands."""
+    out: list[dict[str, str]] = [{} for _ in range(_DRAWERS)]
+    for name, text in _entity_texts().items():
+        out[zlib.crc32(name.encode()) % _DRAWERS][name] = text
+    return json.dumps(out)
+
+
 def _char(code: Column) -> Column:
     """The character of a code point; U+FFFD for numbers that are none."""
     sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
@@ -34,17 +46,16 @@ def _char(code: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Entities and character references decoded; what is none stays as it is."""
-    known = F.from_json(F.lit(json.dumps(_entity_texts())), "map<string,string>")       # a constant of the plan
+    drawers = F.from_json(F.lit(_drawers()), "array<map<string,string>>")               # a constant of the plan
 
     def piece(p: Column) -> Column:
         name = F.regexp_replace(p, "^&|;$", "")
-        decimal = F.regexp_extract(name, "^#([0-9]{1,9})$", 1)
-        hexadecimal = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,7})$", 1)
-        return (F.when(~F.startswith(p, F.lit("&")), p)
-                 .when(F.try_element_at(known, name).isNotNull(), F.try_element_at(known, name))
-                 .when(decimal != "", _char(decimal.cast("bigint")))
-                 .when(hexadecimal != "", _char(F.conv(hexadecimal, 16, 10).cast("bigint")))
-                 .otherwise(p))
+        drawer = F.get(drawers, (F.crc32(F.encode(name, "UTF-8")) % _DRAWERS).cast("int"))
+        number = F.when(F.startswith(name, F.lit("#")), F.coalesce(
+            F.nullif(F.regexp_extract(name, "^#([0-9]{1,9})$", 1), F.lit("")).cast("bigint"),
+            F.conv(F.nullif(F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,7})$", 1), F.lit("")), 16, 10).cast("bigint")))
+        return F.when(~F.startswith(p, F.lit("&")), p).otherwise(F.coalesce(
+            F.try_element_at(drawer, name), _let(number, lambda n: F.when(n.isNotNull(), _char(n))), p))
 
     pieces = F.regexp_extract_all(text, F.lit(r"&#?[A-Za-z0-9]+;?|[^&]+|&"), 0)
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
@@ -52,31 +63,43 @@ def unescape(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space at either end, non-breaking spaces included."""
-    return F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
+    return F.trim(text, F.lit(_SPACE))
+
+
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def tokens(page: Column) -> Column:
-    """Array of struct(kind, name, text): kind `open`, `close`, `void` or `text`; names in lower case; texts decoded."""
+    """Array of struct(kind, name, text): kind `open`, `close`, `void` or `text`; names in lower case; texts as they stand."""
     def token(t: Column) -> Column:
-        tag = F.lower(F.regexp_extract(t, "^</?([A-Za-z][A-Za-z0-9:-]*)", 1))
-        is_tag = F.startswith(t, F.lit("<")) & (t != "<")
-        kind = (F.when(~is_tag, "text").when(t.rlike("(?is)^<([!?]|script\\b|style\\b)"), "none")
-                 .when(tag.isin(*VOID) | F.endswith(t, F.lit("/>")), "void")
-                 .when(F.startswith(t, F.lit("</")), "close").otherwise("open"))
-        return F.struct(kind.alias("kind"), F.when(is_tag, tag).alias("name"), F.when(~is_tag, unescape(t)).alias("text"))
+        tag = F.when(F.startswith(t, F.lit("<")) & (t != "<"), F.lower(F.regexp_extract(t, "^</?([A-Za-z][A-Za-z0-9:-]*)", 1)))
+
+        def known(name: Column) -> Column:
+            kind = (F.when(name.isNull(), "text").when(name.isin("", "script", "style"), "none")
+                     .when(name.isin(*VOID) | F.endswith(t, F.lit("/>")), "void")
+                     .when(F.startswith(t, F.lit("</")), "close").otherwise("open"))
+            return F.struct(kind.alias("kind"), name.alias("name"), F.when(name.isNull(), t).alias("text"))
+        return _let(tag, known)
 
     all_of = F.transform(F.regexp_extract_all(page, F.lit(_TOKEN), 0), token)
     return F.filter(all_of, lambda t: t["kind"] != "none")
 
 
-def elements(of: Column, *names: str) -> Column:
+def marks(of: Column) -> Column:
+    """Array of struct(at, kind, name): the tags among the tokens, with their places."""
+    placed = F.transform(of, lambda t, i: F.struct(i.alias("at"), t["kind"].alias("kind"), t["name"].alias("name")))
+    return F.filter(placed, lambda m: m["kind"] != "text")
+
+
+def elements(tags: Column, end: Column, *names: str) -> Column:
     """Array of struct(start, stop, name): where the elements with one of these names open and where they end (the place of
-    their closing tag, or of the end), in the order in which they open. `of` is a column of tokens.
+    their closing tag, or `end`, the number of tokens), in the order in which they open. `tags` is a column of `marks`.
 
     The extent of an element is found by the depth of its own name."""
     def one(name: str) -> Column:
-        marks = F.transform(of, lambda t, i: F.struct(i.alias("at"), t["kind"].alias("kind"), t["name"].alias("name")))
-        marks = F.filter(marks, lambda m: (m["name"] == name) & m["kind"].isin("open", "close"))
+        mine = F.filter(tags, lambda m: (m["name"] == name) & (m["kind"] != "void"))
         start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<at:int,open:boolean,depth:int>>").alias("seen"))
 
         def step(state: Column, m: Column) -> Column:
@@ -86,17 +109,16 @@ def elements(of: Column, *names: str) -> Column:
             now = F.struct(m["at"].alias("at"), opens.alias("open"), depth.alias("depth"))
             return F.struct(depth.alias("depth"), F.concat(state["seen"], F.array(now)).alias("seen"))
 
-        seen = F.aggregate(marks, start, step, lambda s: s["seen"])
+        seen = F.aggregate(mine, start, step, lambda s: s["seen"])
 
         def extent(all_seen: Column) -> Column:
             opened = F.filter(all_seen, lambda m: m["open"])
             return F.transform(opened, lambda m: F.struct(
                 m["at"].alias("start"),
                 F.coalesce(F.array_min(F.transform(F.filter(all_seen, lambda x: (x["at"] > m["at"]) & (x["depth"] < m["depth"])),
-                                                   lambda x: x["at"])), F.size(of)).alias("stop"),
+                                                   lambda x: x["at"])), end).alias("stop"),
                 F.lit(name).alias("name")))
-        # bound once, read many times
-        return F.flatten(F.transform(F.array(seen), extent))
+        return _let(seen, extent)
 
     found = [one(n) for n in names]
     return found[0] if len(found) == 1 else F.array_sort(F.concat(*found))
@@ -105,10 +127,11 @@ def elements(of: Column, *names: str) -> Column:
 def text_between(of: Column, start: Column, stop: Column, stripped: bool = True) -> Column:
     """The text of the tokens between two places, piece by piece without outer white space if `stripped`."""
     inside = F.filter(F.slice(of, start + 2, F.greatest(stop - start - 1, F.lit(0))), lambda t: t["kind"] == "text")
-    return F.array_join(F.transform(inside, lambda t: strip(t["text"]) if stripped else t["text"]), "")
+    read = lambda t: unescape(t["text"])
+    return F.array_join(F.transform(inside, lambda t: strip(read(t)) if stripped else read(t)), "")
 
 
 def page_text(page: Column) -> Column:
     """All text of a page, tags left out and entities decoded."""
     texts = F.filter(tokens(page), lambda t: t["kind"] == "text")
-    return F.array_join(F.transform(texts, lambda t: t["text"]), "")
+    return F.array_join(F.transform(texts, lambda t: unescape(t["text"])), "")

@@ -33,9 +33,9 @@ def extract_headings(pages: DataFrame) -> DataFrame:
     heading; its text counts only if it is a `p`, `div` or `ul`, whole, whatever is nested in it."""
     keep = ["page_rank", "page_id", "line_type_code"]
     t = evaluate_once(pages, keep, {"t": html.tokens(F.col("html"))})
-    e = evaluate_once(t, [*keep, "t"], {"h2": html.elements(F.col("t"), "h2"), "blocks": html.elements(F.col("t"), *SIBLINGS),
-                                        "tags": F.filter(F.transform("t", lambda x, i: F.struct(i.alias("at"), x["kind"].alias("kind"))),
-                                                         lambda x: x["kind"] != "text")})
+    m = evaluate_once(t, [*keep, "t"], {"tags": html.marks(F.col("t"))})
+    e = evaluate_once(m, [*keep, "t", "tags"], {"h2": html.elements(F.col("tags"), F.size("t"), "h2"),
+                                                "blocks": html.elements(F.col("tags"), F.size("t"), *SIBLINGS)})
     text = lambda x: html.text_between(F.col("t"), x["start"], x["stop"])
 
     def sibling(h):

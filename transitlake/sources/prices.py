@@ -54,7 +54,8 @@ def price_rows(pages: DataFrame, html_col: str = "html", keep: list[str] | None
     cannot be pushed below the generator, so no page is taken apart twice."""
     keep = keep or []
     t = evaluate_once(pages, keep, {"t": html.tokens(F.col(html_col))})
-    e = evaluate_once(t, [*keep, "t"], {n: html.elements(F.col("t"), n) for n in ("table", "tr", "td")})
+    m = evaluate_once(t, [*keep, "t"], {"m": html.marks(F.col("t"))})
+    e = evaluate_once(m, [*keep, "t"], {n: html.elements(F.col("m"), F.size("t"), n) for n in ("table", "tr", "td")})
     inside = lambda x, of: (x["start"] > of["start"]) & (x["start"] < of["stop"])
     rows = F.filter("tr", lambda r: F.exists("table", lambda t: inside(r, t)))
     text = lambda c: html.text_between(F.col("t"), c["start"], c["stop"])

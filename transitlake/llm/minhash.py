@@ -39,7 +39,7 @@ SHINGLE, COORDS, MATCHES = 5, 64, 24
 PERCENT = 75
 SEED = 20240607
 _BLOCK = 1 << 13
-BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 20, 1 << 12
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 1 << 18, 1 << 11
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -34,7 +34,6 @@ from pyspark.sql.window import Window as W
 
 from .common import release, row_key, ship, stage
 from .components import components
-from .tokens import forget
 
 SHINGLE, COORDS, MATCHES = 5, 64, 24
 PERCENT = 75
@@ -83,7 +82,6 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    forget()                     # Python workers are used again: a packing before may have left its word cache
     for pdf in batches:
         sets = [shingle_set(t) for t in pdf["text"]]
         yield pd.DataFrame({

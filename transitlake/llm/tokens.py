@@ -106,8 +106,3 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
-
-
-def forget() -> None:
-    """Free the encoders and their words: a worker process that goes on to other work need not hold them."""
-    _ENCODERS.clear()

@@ -1,12 +1,21 @@
 """URL filters by association rules (operator 3).
 
-Labelled urls become sets of tokens (labels of the host, segments of the path, names of the query) plus a
-mark if the page is bad (toxic, or of quality 0). Spark's FP-growth mines the frequent sets over all
-labelled rows; rules `tokens -> bad` are kept if they reach the support and no shorter rule within them
-already holds. The same support, a share of the labelled rows, is asked at every size; what guards against chance
-is the confidence: its lower bound (Wilson's, `Z` standard deviations) must reach `MIN_CONFIDENCE`, so
-few rows need a clearer case than many. A url gives at most `MOST_TOKENS` tokens to the mining, its commonest
-frequent ones, so a page family with many tokens in common gives no more than 2 ** MOST_TOKENS sets.
+Labelled urls become sets of tokens (labels of the host, segments of the path, names of the query); a page is bad
+if it is toxic or of quality 0. Rules `tokens -> bad` over all labelled rows are kept if they reach the support
+and no shorter rule within them already holds. The same support, a share of the labelled rows, is asked at every size;
+what guards against chance is the confidence: its lower bound (Wilson's, `Z` standard deviations) must reach
+`MIN_CONFIDENCE`, so few rows need a clearer case than many.
+
+All tokens of a url take part. The sets grow level by level, one token at a time, by joins over distinct token sets, and
+only such sets go on as may still give a rule that holds no shorter one:
+
+* bad rows only become fewer, so sets below the support end;
+* a set that is a rule ends: what holds it says nothing new;
+* each token of a set must exclude a good row that the others let through. If it does not, then the set without
+  it has as many good rows and no fewer bad ones, so it is a rule whenever the set is, and the same
+  holds for every set around both. Tokens that always come together therefore never pair, however many they are.
+
+So the work follows the sets that tell good rows apart, not all subsets of a url.
 Each rule is posted under its rarest token; a url meets it there and is
 blocked if it holds all of the rule's tokens. A policy of host and path rules goes before the mined ones.
 
@@ -18,7 +27,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +34,8 @@ from .common import lower_ascii, row_key, stage
 
 # (host, path, verdict): a rule holds for the host and its subdomains if the path starts so; the longest wins.
 POLICY = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-MIN_SUPPORT, MIN_CONFIDENCE, Z, MOST_TOKENS = 0.002, 0.6, 2.0, 10
-BAD = "=bad"
+MIN_SUPPORT, MIN_CONFIDENCE, Z = 0.002, 0.6, 2.0
+MOST_TOKENS = 10                # no limit here: urls up to this size are what the tests mine by brute force
 
 
 def _rest(url: Column) -> Column:
@@ -60,35 +68,53 @@ def lower_bound(share: Column, n: Column, z: float = Z) -> Column:
     return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+def _bound(bad: Column, rows: Column) -> Column:
+    return lower_bound(bad / rows, rows)
+
+
 def mine(spark: SparkSession, pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE, most_tokens: int = MOST_TOKENS) -> DataFrame:
+         min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules: rule (id), key (rarest token), tokens, confidence, support."""
     bad = (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)
     known = labels.where(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | F.col("toxic").isNotNull()))
     rows = pages.join(known.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id")
-    rows = rows.select(tokens(F.col("url")).alias("t"), "bad").where(F.size("t") > 0)
-    rows = stage(spark, rows.select(F.monotonically_increasing_id().alias("row"), "t", "bad"), "url-rows")
-    n = rows.count()
-    often = rows.select(F.explode("t").alias("token")).groupBy("token").count()
-    often = stage(spark, often.where(F.col("count") >= min_support * n), "url-tokens")
-    commonest = F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("rare"), "token")))
-    items = rows.select("row", F.explode("t").alias("token")).join(often, "token").groupBy("row").agg(
-        F.transform(F.slice(commonest, 1, most_tokens), lambda x: x["token"]).alias("t"))
-    items = items.join(rows.select("row", "bad"), "row")
-    items = stage(spark, items.select(F.when(F.col("bad"), F.array_append("t", BAD)).otherwise(F.col("t")).alias("items")), "url-items")
-    m = items.count()                           # rows with a frequent token
-    if not m:
-        return spark.createDataFrame([], "rule long, key string, tokens array<string>, confidence double, support double")
-    fitted = FPGrowth(itemsCol="items", minSupport=min(1.0, min_support * n / m), minConfidence=min_confidence).fit(items)
-    found = fitted.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * m / n).alias("support"))
-    found = found.where(lower_bound(F.col("confidence"), F.round(F.col("support") * n / F.col("confidence"))) >= min_confidence)
-    found = stage(spark, found.select(F.xxhash64("tokens").alias("rule"), "*"), "url-rules")
-    # A rule that holds a shorter rule says nothing new: both are posted by token and counted.
-    shorter = found.select(F.col("rule").alias("inner"), F.size("tokens").alias("of"), F.explode("tokens").alias("token"))
-    longer = found.select("rule", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    implied = longer.join(shorter, "token").where("of < n").groupBy("rule", "inner", "of").count().where("count = of")
-    found = found.join(implied.select("rule").distinct(), "rule", "left_anti")
+    rows = rows.select(F.array_sort(tokens(F.col("url"))).alias("t"), "bad").where(F.size("t") > 0)
+    # urls with the same tokens are one row from here on
+    rows = stage(spark, rows.groupBy("t").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")), "url-rows")
+    n = rows.agg(F.sum(F.col("bad") + F.col("good"))).first()[0] or 0
+    # fewer bad rows than `least` can reach neither the support nor, all of them bad, the bound
+    least = max(min_support * n, min_confidence * Z * Z / (1 - min_confidence) - 1e-9 if min_confidence < 1 else 1, 1)
+    often = rows.select(F.explode("t").alias("token"), "bad", "good").groupBy("token").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    often = stage(spark, often.where(F.col("bad") >= least), "url-tokens")
+    # `held`: the sets of one size, as sorted tokens, in every row; `level`: their counts
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "t", "bad", "good")
+    held = rows.select("row", F.explode("t").alias("token"), F.col("bad").alias("b"), F.col("good").alias("g")).join(often.select("token"), "token")
+    held = stage(spark, held.select("row", "b", "g", F.array("token").alias("set")), "url-held")
+    level = often.select(F.array("token").alias("set"), "bad", "good")
+    ok = (F.col("bad") / (F.col("bad") + F.col("good")) >= min_confidence) & (_bound(F.col("bad"), F.col("bad") + F.col("good")) >= min_confidence)
+    found = []
+    while True:
+        level = stage(spark, level.withColumn("ok", ok), "url-sets")
+        found.append(level.where("ok").drop("ok"))
+        open_ = level.where("not ok and good > 0").drop("ok")        # what holds a rule is none; without good rows no token adds
+        if open_.isEmpty():
+            break
+        held = held.join(open_.select("set"), "set").select(
+            "row", "b", "g", F.slice("set", 1, F.size("set") - 1).alias("head"), F.element_at("set", -1).alias("last"))
+        other = held.select("row", "head", F.col("last").alias("next"))
+        wider = held.join(other, ["row", "head"]).where(F.col("last") < F.col("next"))
+        held = stage(spark, wider.select("row", "b", "g", F.concat("head", F.array("last", "next")).alias("set")), "url-held")
+        counted = held.groupBy("set").agg(F.sum("b").alias("bad"), F.sum("g").alias("good")).where(F.col("bad") >= least)
+        # every set with one token less must be open itself and hold more good rows
+        parts = counted.select("set", "bad", "good", F.explode(F.transform(
+            "set", lambda x, i: F.concat(F.slice("set", 1, i), F.slice("set", i + 2, F.size("set"))))).alias("part"))
+        less = open_.select(F.col("set").alias("part"), F.col("good").alias("of"))
+        level = parts.join(less, "part").where("of > good").groupBy("set", "bad", "good").agg(F.count("*").alias("n")).where(
+            F.col("n") == F.size("set")).drop("n")
+    found = reduce(DataFrame.unionByName, found).select(F.xxhash64("set").alias("rule"), F.col("set").alias("tokens"), (
+        F.col("bad") / (F.col("bad") + F.col("good"))).alias("confidence"), (F.col("bad") / F.lit(max(n, 1))).alias("support"))
+    often = often.select("token", (F.col("bad") + F.col("good")).alias("count"))
     posted = found.select("rule", F.explode("tokens").alias("token")).join(often, "token")
     key = posted.groupBy("rule").agg(F.min(F.struct("count", "token")).alias("k"))
     return stage(spark, found.join(key, "rule").select("rule", F.col("k.token").alias("key"), "tokens", "confidence", "support"), "url-posted")

@@ -126,3 +126,46 @@ def test_empty_files(spark, tmp_path):
     assert csv_records.read_csv(spark, land(tmp_path, b"a,b\n", "h.txt")).columns == ["a", "b"]
     assert csv_records.read_csv(spark, land(tmp_path, b"a,b\n", "h.txt")).count() == 0
     assert csv_records.read_csv(spark, land(tmp_path, b"", "e.txt")).count() == 0
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_lines_are_neither_shuffled_nor_sorted(spark, tmp_path, small_splits):
+    """Windows, groupings and sorts see the few rows that a split is summed up to, never its lines."""
+    data = b"id,name\n" + b"".join(b'%d,"n\n%d"\n' % (i, i) for i in range(500))
+    small_splits(1000)
+    df = csv_records.read_csv(spark, land(tmp_path, data), "o")
+    wide = [p for p in _nodes(df._jdf.queryExecution().optimizedPlan()) if p.nodeName() in ("Window", "Aggregate", "Sort")]
+    assert wide and all(any(x.nodeName() == "MapInArrow" for x in _nodes(p)) for p in wide)
+    fragments = csv_records._lines(spark, str(tmp_path / "m.txt"))
+    assert csv_records._splits(fragments).count() < 20
+
+
+def test_records_over_many_batches_and_splits(spark, tmp_path, small_splits):
+    """Arrow batches of three lines: records end in later batches and later splits than they start in."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        data = b"id,name\n" + b"".join(b'%d,"%s"\n%d,x\n' % (i, b"\n".join(b"line %d" % k for k in range(i % 11)), -i) for i in range(1, 60))
+        head, rows = reference(data)
+        for size in (30, 100, 5000):
+            small_splits(size)
+            got = [tuple(r)[1:] for r in csv_records.read_csv(spark, land(tmp_path, data, f"b{size}.txt"), "o").orderBy("o").collect()]
+            assert got == rows
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_tasks_need_no_module_of_ours(tmp_path):
+    """The tasks' functions unpickle and run where this package cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    (tmp_path / "f").write_bytes(cloudpickle.dumps([csv_records._sum_up, csv_records._gather(10)]))
+    code = "import pickle; a, b = pickle.load(open('f', 'rb')); assert list(a([])) == list(b([])) == []; import sys; assert 'transitlake' not in sys.modules"
+    subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, check=True)

@@ -84,3 +84,40 @@ def test_heading_and_its_next_sibling(spark, sibling, want):
     df = spark.createDataFrame([(1, 1, 2, page)], "page_rank int, page_id long, line_type_code int, html string")
     r = fleet.extract_headings(df).first()
     assert r.model == "SolarisUrbino12" and r.sibling_text == want
+
+
+def test_table_cells_agree_with_elements_and_texts(spark):
+    """The walk over a page against the array functions, on pages of random pieces."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from transitlake.functions import html
+    rng = random.Random(7)
+    bits = ["<table>", "</table>", "<TR>", "</tr>", "<td>", "</td>", "<tD a='b'>", "<td/>", "</td >", "<tdx>", "<th>", "<b>", "</b>", "x", " y ", "&nbsp;z", "&euro",
+            "&#8364;", "&#x20AC;", "&#128;", "&#xD800;", "&#99999999;", "&foo;", "&", "a & b", "<", "< td", "<!-- <td> -->", "<!-- ", "<script>x<td></Script >",
+            "<STYLE>a</style>", "<script>", "<!doctype x>", "</", ">", "\U0001f600", "<td:x>", "\u0085", "&Abreve;"]
+    pages = [(i, "<table>" * (i % 2) + "".join(rng.choice(bits[:9] if rng.random() < .5 else bits) for _ in range(rng.randint(0, 40)))) for i in range(600)]
+    df = spark.createDataFrame([*pages, (-1, None), (-2, "")], "id long, html string").repartition(4).localCheckpoint()
+    walked = df.select("id", F.inline(html.table_cells(F.col("html"), 2)))
+    t = df.select("id", html.tokens(F.col("html")).alias("t")).localCheckpoint()
+    e = t.select("id", "t", *[html.elements(html.marks(F.col("t")), F.size("t"), n).alias(n) for n in ("table", "tr", "td")]).localCheckpoint()
+    inside = lambda x, of: (x["start"] > of["start"]) & (x["start"] < of["stop"])
+    rows = F.filter("tr", lambda r: F.exists("table", lambda a: inside(r, a)))
+    cells = F.transform(rows, lambda r, i: F.struct(i.alias("row_pos"), F.transform(F.slice(F.filter("td", lambda c: inside(c, r)), 1, 2), lambda c: html.text_between(
+        F.col("t"), c["start"], c["stop"])).alias("texts")))
+    want = e.select("id", F.inline(F.filter(cells, lambda x: F.size(x["texts"]) == 2)))
+    got = sorted(map(str, walked.collect()))
+    assert len(got) > 50
+    assert got == sorted(map(str, want.collect()))
+
+
+def test_a_page_with_many_rows(spark):
+    """The work for a page grows with its length: 30,000 rows, nested ones among them."""
+    from pyspark.sql import functions as F
+
+    from transitlake.sources import prices
+    page = "<table>" + "".join(f"<tr><td>Diisel<td>1,{i:06}</td></td></tr>" for i in range(29_999)) + "<tr><td><table><tr><td>Diisel</td><td>x</td></tr></table></td></tr></table>"
+    df = spark.createDataFrame([(1, page)], "id long, html string")
+    row = prices.price_rows(df, keep=["id"]).agg(F.count("*"), F.sum("row_pos"), F.count("reason")).first()
+    assert tuple(row) == (30_001, sum(range(30_001)), 2)

@@ -43,10 +43,7 @@ class Encoder:
         known = self.words
         if len(known) > _MOST_CACHED:
             known.clear()
-        new: set[bytes] = set()
-        for words in split:
-            new.update(words)
-        new.difference_update(known)
+        new = set().union(*split).difference(known)         # looks each new word up; difference_update would run through all of `known`
         if new:
             self._learn(new)
         return [np.frombuffer(b"".join([known[w] for w in words]), self.dtype) for words in split]
@@ -62,37 +59,35 @@ class Encoder:
         known, parts, new = self.words, [], set()
         for word in words:
             core = word.rstrip(_PUNCTUATION)
-            if len(core) < len(word) and core and b"<|" not in word and (
-                    core[-1] < 128 and core[-1:].isalnum() or core[-1] > 127 and core.decode("utf-8", "replace")[-1].isalnum()):
+            if core != word and core and b"<|" not in word and (
+                    core[-1:].isalnum() or core[-1] > 127 and core.decode("utf-8", "replace")[-1].isalnum()):
                 tail = word[len(core):]
                 parts.append((word, core, tail))
                 new.add(core)
                 new.add(tail)
             else:
                 new.add(word)
-        new.difference_update(known)
-        self._encode(new)
+        self._encode(new.difference(known))
         for word, core, tail in parts:
             known[word] = known[core] + known[tail]
 
     def _encode(self, cores: set[bytes]) -> None:
-        letters, lowered, others = [], [], []
-        for core in cores:
+        letters = [core for core in cores if core.isalpha()]                 # of bytes: ASCII letters only
+        others, latin = [], []
+        for core in cores.difference(letters):
             text = core.decode("utf-8", "replace")
-            if text.isalpha() and (text.isascii() or max(text) < "Ā"):
-                letters.append(core)
-                lowered.append(text.lower())
-            else:
-                others.append(core)
+            (latin if text.isalpha() and max(text) < "Ā" else others).append(core)
+        letters += latin
         groups = range(0, len(letters), _AT_ONCE)
-        done = self.plain.encode_batch_fast([" ".join(lowered[i:i + _AT_ONCE]) for i in groups], add_special_tokens=False)
+        done = self.plain.encode_batch_fast([b" ".join(letters[i:i + _AT_ONCE]).decode("utf-8", "replace").lower() for i in groups], add_special_tokens=False)
         size, known = self.dtype.itemsize, self.words
         for i, found in zip(groups, done):
             ids = np.array(found.ids, self.dtype)
-            raw, last = ids.tobytes(), 0
-            for core, cut in zip(letters[i:i + _AT_ONCE], ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist(), strict=True):
-                known[core] = raw[last:cut]
-                last = cut
+            raw, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()
+            some = letters[i:i + _AT_ONCE]
+            if len(cuts) != len(some):
+                raise ValueError("a word's ids do not end with it")
+            known.update(zip(some, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
         for core, found in zip(others, self.tokenizer.encode_batch_fast(
                 [c.decode("utf-8", "replace") for c in others], add_special_tokens=False)):
             known[core] = np.array(found.ids, self.dtype).tobytes()

@@ -33,6 +33,26 @@ def test_a_full_cache_starts_anew(monkeypatch):
     assert all(enc.ids(prose(1, 300)).tolist() == want for _ in range(3)) and enc.ids("new Word, x").size
 
 
+def test_words_with_punctuation_share_what_is_learnt():
+    """A word is encoded and held once, whatever punctuation follows it."""
+    from transitlake.llm import tokens
+    enc, plain = tokens.Encoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["Alpha. beta, alpha, (beta). alpha", None, " ", "beta?! Alpha;\n\n beta.", "é. Alpha.<|endoftext|> BETA.", "..., . a.b. é."]
+    ids, sizes = enc.joined(texts[:4], 1)
+    assert set(enc.words) == {b"alpha", b"beta", b".", b",", b"(beta).", b"?!", b";"}
+    for some in (texts[:4], texts, [], [""], texts[::-1]):
+        ids, sizes = enc.joined(some, 1)
+        want = [plain.encode(t or "", add_special_tokens=False).ids + [1] for t in some]
+        assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+
+
+def test_runs_of_texts(monkeypatch):
+    from transitlake.llm import tokens
+    monkeypatch.setattr(tokens, "_MOST_CHARS", 5)
+    assert [(r.start, r.stop) for r in tokens.runs(["ab", "cde", None, "f", "a long one", "", "x"])] == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert not list(tokens.runs([]))
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 65535) | st.integers(0, 5), min_size=1, max_size=60), min_size=1, max_size=5))
 def test_blocks_round_trip(blocks):
@@ -81,6 +101,17 @@ def test_order_zero_frequencies():
         assert back.ids.tolist() == zero.ids.tolist() and back.frequencies.tolist() == zero.frequencies.tolist() and back.bits == zero.bits
 
 
+def test_cells_lead_to_the_owner():
+    """A number's cell names its id or the one before it."""
+    rng = np.random.default_rng(6)
+    for counts in ([1], [7] * 3, rng.zipf(1.2, 2000).clip(0, 10 ** 6)):
+        zero = coder._OrderZero.of(np.arange(len(counts)) * 2, np.array(counts))
+        owner = np.repeat(np.arange(len(counts)), zero.frequencies)
+        first = zero.owners()[np.arange(len(owner)) >> zero.cell]
+        assert ((owner == first) | (owner == first + 1)).all() and zero.cell <= int(zero.frequencies.min()).bit_length() - 1
+        assert zero.place(zero.ids).tolist() == list(range(len(counts)))
+
+
 def test_damage_is_found():
     payload = bytearray(coder.write_blocks([np.arange(500, dtype=np.uint32)])[0])
     payload[60] ^= 1

@@ -38,28 +38,29 @@ from pyspark.sql.window import Window as W
 
 from ..session import scratch_path
 from .common import row_key, ship, stage
-from .tokens import encoder
+from .tokens import encoder, runs
 
 END, BLOCK, LANE, LANES = 1, 1 << 20, 1024, 4096
 MAGIC = 0x32524D43
 _TOP, _BOTTOM = np.uint64(1 << 32), np.uint64(1 << 31)
-_U64, _32 = np.uint64, np.uint64(32)
+_U64, _U32, _32 = np.uint64, np.uint32, np.uint64(32)
+_TILE = 16                       # steps whose ids change between rows and columns together: a cache line of a lane
 
 # Probabilities of the three outcomes: cumulated up to the first and the second, as two fields of 16
-# bits above an empty one, out of 2 ** 15. An outcome pulls each field 1/32 of the way to its target; the
+# bits, out of 2 ** 15. An outcome pulls each field 1/32 of the way to its target; the
 # targets keep at least _LEAST / 2 ** 15 for every outcome.
-_ONE, _LEAST, _PULL = 1 << 15, 64, _U64(5)
-_FIELD = _U64(0xFFFF)
+_ONE, _LEAST, _PULL = 1 << 15, 64, _U32(5)
+_FIELD, _16 = _U64(0xFFFF), _U64(16)
 
 
-def _fields(up_to: list[int]) -> np.uint64:
-    return _U64(sum(x << 16 * (k + 1) for k, x in enumerate(up_to)))
+def _fields(up_to: list[int]) -> np.uint32:
+    return _U32(sum(x << 16 * k for k, x in enumerate(up_to)))
 
 
 _TARGETS = np.array([_fields([((_ONE - (3 - k) * _LEAST) if s < k else k * _LEAST) >> 5 for k in (1, 2)]) for s in range(3)])
 _START = _fields([_ONE * k // 8 for k in (1, 2)])
 _SHIFTED, _HALVED = _fields([0x07FF] * 2), _fields([0x7FFF] * 2)
-_ALL = _U64(_ONE << 32)
+_ALL = _U64(_ONE << 48)
 
 
 class _Model:
@@ -79,11 +80,11 @@ class _Model:
         self.two, self.one = (np.zeros(int((1 << wide).sum()), self.word) for _ in range(2))
         self.four, self.nine = np.arange(n) << 2, np.arange(n) * 9
         self.by_sure, self.by_past = np.full(n << 2, _START), np.full(n * 9, _START)
-        self.last = np.zeros(n, np.int64)
+        self.past, self.what = self.nine, np.zeros(n, np.uint8)
         self.p1, self.h1 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
 
     def predict(self) -> np.ndarray:
-        """Mixed probabilities: cumulated before each outcome, in three fields."""
+        """Mixed probabilities: cumulated before the second and the third outcome, in two fields."""
         h = self.p1 * np.uint32(2654435761)
         h2 = (h ^ self.h1) * np.uint32(3266489917)
         self.h1 = h
@@ -91,27 +92,26 @@ class _Model:
         self.at1 = self.base + (h >> self.shift)
         self.w2, self.w1 = self.two.take(self.at2), self.one.take(self.at1)
         self.g2, self.g1 = self.w2 & self.id_mask, self.w1 & self.id_mask
-        sure = ((self.w2 >> self.bits << self.word(1)) + (self.w1 >> self.bits)).astype(np.int64)
-        self.a = self.four + sure
-        self.b = self.nine + self.last
+        self.sure2, self.sure1 = self.w2 > self.id_mask, self.w1 > self.id_mask
+        self.a = self.four + (self.sure2.view(np.uint8) * np.uint8(2) + self.sure1.view(np.uint8))
+        self.b = self.past
         self.f_sure, self.f_past = self.by_sure.take(self.a), self.by_past.take(self.b)
-        return (self.f_sure >> _U64(1) & _HALVED) + (self.f_past >> _U64(1) & _HALVED)
+        return (self.f_sure >> _U32(1) & _HALVED) + (self.f_past >> _U32(1) & _HALVED)
 
     def outcome(self, ids: np.ndarray) -> np.ndarray:
-        what = np.where(ids == self.g1, 1, 2)
-        what[ids == self.g2] = 0
-        return what
+        return np.where(ids == self.g2, np.uint8(0), np.uint8(2) - (ids == self.g1).view(np.uint8))
 
     def learn(self, ids: np.ndarray, what: np.ndarray) -> None:
-        for table, at, w, guess in ((self.two, self.at2, self.w2, self.g2), (self.one, self.at1, self.w1, self.g1)):
+        for table, at, sure, guess in ((self.two, self.at2, self.sure2, self.g2), (self.one, self.at1, self.sure1, self.g1)):
             # held: sure from now on; failed: no longer sure or, if it was not, replaced; of lanes that meet in a slot
             # the last one sets it
-            new = np.where(w > guess, guess, ids)
-            table[at] = np.where(guess == ids, w | self.sure_one, new)
+            held = guess == ids
+            table[at] = np.where(sure, guess, ids) | held.astype(self.word) << self.bits
         pull = _TARGETS.take(what)
         self.by_sure[self.a] = self.f_sure - (self.f_sure >> _PULL & _SHIFTED) + pull
         self.by_past[self.b] = self.f_past - (self.f_past >> _PULL & _SHIFTED) + pull
-        self.last = (self.last % 3) * 3 + what
+        self.past = self.nine + (self.what * np.uint8(3) + what)
+        self.what = what
         self.p1 = ids if ids.dtype == np.uint32 else ids.astype(np.uint32)
 
 
@@ -121,7 +121,24 @@ class _OrderZero:
     def __init__(self, ids: np.ndarray, frequencies: np.ndarray):
         self.ids, self.frequencies = ids, frequencies.astype(np.int64)
         self.bits = int(self.frequencies.sum()).bit_length() - 1
+        self.places: np.ndarray | None = None
         self.first = np.cumsum(self.frequencies) - self.frequencies
+        # the distribution in cells no larger than the smallest frequency, so a cell meets at most two ids
+        self.cell = int(self.frequencies.min()).bit_length() - 1
+
+    def place(self, ids: np.ndarray) -> np.ndarray:
+        """Place of each id among the distinct ones."""
+        if self.ids[-1] >= 1 << 16:
+            return np.searchsorted(self.ids, ids)
+        if self.places is None:
+            self.places = np.zeros(int(self.ids[-1]) + 1, np.int64)
+            self.places[self.ids] = np.arange(len(self.ids))
+        return self.places[ids]
+
+    def owners(self) -> np.ndarray:
+        """Place of the id to which the first number of each cell belongs."""
+        begin = -(-np.append(self.first, 1 << self.bits) // (1 << self.cell))
+        return np.repeat(np.arange(len(self.ids)), np.diff(begin))
 
     @classmethod
     def of(cls, ids: np.ndarray, counts: np.ndarray) -> _OrderZero:
@@ -147,25 +164,6 @@ class _OrderZero:
         return cls(np.cumsum(both[:half]) - 1, both[half:])
 
 
-class _Words:
-    """Output (or input) words of each lane, two-dimensional with a position per lane."""
-
-    def __init__(self, n: int, words: np.ndarray | None = None):
-        self.words = np.zeros((n, 64), np.uint32) if words is None else words
-        self.at = np.zeros(n, np.int64)
-
-    def put(self, lanes, values):
-        if self.at[lanes].max(initial=-1) + 1 >= self.words.shape[1]:
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-        self.words[lanes, self.at[lanes]] = values
-        self.at[lanes] += 1
-
-    def get(self, lanes):
-        out = self.words[lanes, self.at[lanes]].astype(_U64)
-        self.at[lanes] += 1
-        return out
-
-
 class _Range:
     """The coder's interval per lane; `turn` moves settled words out of it."""
 
@@ -175,20 +173,14 @@ class _Range:
 
     def outcome(self, before, what):
         """Narrow all lanes to the part of their outcome."""
-        field = what.astype(_U64) << _U64(4)
-        first = before >> field & _FIELD
-        end = (before >> _U64(16) | _ALL) >> field & _FIELD
+        field = (before.astype(_U64) << _16 | _ALL) >> (what << np.uint8(4)).astype(_U64)
+        first = field & _FIELD
         part = self.range >> _U64(15)
         self.low += part * first
-        self.range = part * (end - first)
-
-    def part(self, lanes, bits, first, size):
-        """Narrow some lanes to a part of 2 ** bits."""
-        unit = self.range[lanes] >> bits
-        self.low[lanes] += unit * first
-        self.range[lanes] = unit * size
+        self.range = part * ((field >> _16 & _FIELD) - first)
 
     def turn(self, move):
+        """Lanes with a settled word, or with too small a range: `move` gets them and their lower ends."""
         low, size, lanes = self.low, self.range, None
         while True:
             settled = (low ^ (low + size)) < _TOP
@@ -196,11 +188,11 @@ class _Range:
             if not len(need):
                 return
             lanes = need if lanes is None else lanes[need]
-            cut = lanes[~settled[need]]
-            if len(cut):
-                self.range[cut] = (~self.low[cut] + _U64(1)) & (_BOTTOM - _U64(1))
-            move(lanes)
-            low, size = self.low[lanes] << _32, self.range[lanes] << _32
+            low, size, settled = low[need], size[need], settled[need]
+            if not settled.all():
+                size = np.where(settled, size, (~low + _U64(1)) & (_BOTTOM - _U64(1)))
+            move(lanes, low)
+            low, size = low << _32, size << _32
             self.low[lanes], self.range[lanes] = low, size
 
 
@@ -213,76 +205,107 @@ def _rows(ids: np.ndarray) -> np.ndarray:
     return out.reshape(lanes, length)
 
 
+def _counted(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order and how often each comes."""
+    if bits > 16:
+        return np.unique(ids, return_counts=True)
+    counts = np.bincount(ids.reshape(-1), minlength=1)
+    distinct = np.flatnonzero(counts)
+    return distinct, counts[distinct]
+
+
 def encode(blocks: list[np.ndarray], bits: int = 16) -> list[tuple[_OrderZero, list[np.ndarray]]]:
     """Code blocks of lanes (matrices with rows of the same length): each one's order-0 table and its lanes' words."""
     lanes, length = [len(b) for b in blocks], blocks[0].shape[1]
-    model, coder, out, every = _Model(lanes, [b.size for b in blocks], bits), _Range(sum(lanes)), _Words(sum(lanes)), np.arange(sum(lanes))
-    zero, places = [], []
-    for b in blocks:
-        distinct, place, counts = np.unique(b, return_inverse=True, return_counts=True)
-        zero.append(_OrderZero.of(distinct, counts))
-        places.append(place.reshape(b.shape).T + sum(len(z.ids) for z in zero[:-1]))
-    first, size = (np.concatenate([getattr(z, name) for z in zero]).astype(_U64) for name in ("first", "frequencies"))
+    n, ends = sum(lanes), np.cumsum(lanes).tolist()
+    model, coder = _Model(lanes, [b.size for b in blocks], bits), _Range(n)
+    zero = [_OrderZero.of(*_counted(b, bits)) for b in blocks]
     unit = np.repeat([z.bits for z in zero], lanes).astype(_U64)
-    ids = np.concatenate([b.T for b in blocks], axis=1).astype(model.word)
-    place = np.concatenate(places, axis=1)
-    settle = lambda at: out.put(at, (coder.low[at] >> _32).astype(np.uint32))
-    for t in range(length):
-        x = ids[t]
-        before = model.predict()
-        what = model.outcome(x)
-        coder.outcome(before, what)
-        at = np.flatnonzero(what == 2)
-        if len(at):
-            p = place[t, at]
-            coder.part(at, unit[at], first[p], size[p])
-        coder.turn(settle)
-        model.learn(x, what)
+    first, size = np.zeros((_TILE, n), _U64), np.zeros((_TILE, n), _U64)
+    moved: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settle(at, low):
+        moved.append((at, (low >> _32).astype(np.uint32)))
+
+    for t in range(0, length, _TILE):
+        tile = np.concatenate([b[:, t:t + _TILE] for b in blocks]).astype(model.word).T.copy()
+        for z, k, e in zip(zero, lanes, ends):
+            some = tile[:, e - k:e]
+            place = z.place(some)
+            first[:len(tile), e - k:e], size[:len(tile), e - k:e] = z.first[place], z.frequencies[place]
+        for x, f, s in zip(tile, first, size):
+            before = model.predict()
+            what = model.outcome(x)
+            coder.outcome(before, what)
+            new = what == 2
+            part = coder.range >> np.where(new, unit, _U64(0))
+            coder.low += part * np.where(new, f, _U64(0))
+            coder.range = part * np.where(new, s, _U64(1))
+            coder.turn(settle)
+            model.learn(x, what)
     for _ in range(2):
-        settle(every)
+        settle(np.arange(n), coder.low)
         coder.low <<= _32
-    ends = np.cumsum(lanes)
-    return [(z, [out.words[i, :out.at[i]] for i in range(e - n, e)]) for z, n, e in zip(zero, lanes, ends.tolist())]
+    # the words of each lane, in the order in which they settled
+    lane, words = (np.concatenate(x) for x in zip(*moved))
+    words = words[np.argsort(lane.astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")]
+    words = np.split(words, np.cumsum(np.bincount(lane, minlength=n))[:-1])
+    return [(z, words[e - k:e]) for z, k, e in zip(zero, lanes, ends)]
 
 
 def decode(blocks: list[tuple[_OrderZero, list[np.ndarray]]], length: int, sizes: list[int], bits: int = 16) -> list[np.ndarray]:
     """The lanes of `encode`; `sizes`: ids of each block, padding included."""
     lanes = [len(w) for _, w in blocks]
     n = sum(lanes)
-    words = np.zeros((n, max(len(w) for _, ws in blocks for w in ws) + 2), np.uint32)
-    for i, w in enumerate(w for _, ws in blocks for w in ws):
-        words[i, :len(w)] = w
-    model, coder, source, every = _Model(lanes, sizes, bits), _Range(n), _Words(n, words), np.arange(n)
+    words = np.concatenate([w for _, ws in blocks for w in ws])
+    used = np.array([len(w) for _, ws in blocks for w in ws])
+    next_word = np.cumsum(used) - used
+    model, coder, every = _Model(lanes, sizes, bits), _Range(n), np.arange(n)
     zero = [z for z, _ in blocks]
-    start = np.cumsum([0] + [len(z.ids) for z in zero])
     distinct, first, size = (np.concatenate([getattr(z, name) for z in zero]) for name in ("ids", "first", "frequencies"))
-    # which id a place in the distribution belongs to
-    owner = np.concatenate([np.repeat(np.arange(len(z.ids)) + s, z.frequencies) for z, s in zip(zero, start)]).astype(np.int32)
-    owner_at = np.repeat(np.cumsum([0] + [1 << z.bits for z in zero])[:-1], lanes)
-    distinct, first, size = distinct.astype(model.word), first.astype(_U64), size.astype(_U64)
+    distinct, first, end = distinct.astype(model.word), first.astype(_U64), (first + size).astype(_U64)
+    # which id the first place of a cell of the distribution belongs to
+    start = np.cumsum([0] + [len(z.ids) for z in zero])
+    owners = [z.owners() + s for z, s in zip(zero, start)]
+    owner, cell = np.concatenate(owners).astype(np.int32), np.repeat([z.cell for z in zero], lanes).astype(_U64)
+    owner_at = np.repeat(np.cumsum([0] + [len(o) for o in owners])[:-1], lanes)
     unit = np.repeat([z.bits for z in zero], lanes).astype(_U64)
-    code = source.get(every) << _32 | source.get(every)
-    ids = np.zeros((length, n), np.uint32)
+    most = (_U64(1) << unit) - _U64(1)
+
+    def get(at):
+        now = next_word[at]
+        next_word[at] = now + 1
+        return words.take(now, mode="clip").astype(_U64)
+
+    code = get(every) << _32 | get(every)
+    rows = np.zeros((n, length), np.uint32)
+    tile = np.zeros((_TILE, n), np.uint32)
 
-    def refill(at):
-        code[at] = code[at] << _32 | source.get(at)
+    def refill(at, _):
+        code[at] = code[at] << _32 | get(at)
 
     for t in range(length):
         before = model.predict()
-        value = (code - coder.low) // (coder.range >> _U64(15))
-        what = (value >= (before >> _U64(16) & _FIELD)).astype(np.int64) + (value >= (before >> _32 & _FIELD))
+        past, part = code - coder.low, coder.range >> _U64(15)
+        what = ((past >= part * (before & _U32(0xFFFF))).view(np.uint8) + (past >= part * (before >> _U32(16))).view(np.uint8))
         coder.outcome(before, what)
         x = np.where(what == 0, model.g2, model.g1)
         at = np.flatnonzero(what == 2)
         if len(at):
-            value = (code[at] - coder.low[at]) // (coder.range[at] >> unit[at])
-            p = owner[owner_at[at] + np.minimum(value.astype(np.int64), (1 << unit[at].astype(np.int64)) - 1)]
-            coder.part(at, unit[at], first[p], size[p])
+            past, part = code[at] - coder.low[at], coder.range[at] >> unit[at]
+            value = np.minimum(past // part, most[at])
+            p = owner[owner_at[at] + (value >> cell[at]).astype(np.int64)]
+            p += value >= end[p]                        # a cell meets at most two ids
+            f = first[p]
+            coder.low[at] += part * f
+            coder.range[at] = part * (end[p] - f)
             x[at] = distinct[p]
         coder.turn(refill)
-        ids[t] = x
+        tile[t % _TILE] = x
+        if t % _TILE == _TILE - 1 or t == length - 1:
+            rows[:, t - t % _TILE:t + 1] = tile[:t % _TILE + 1].T
         model.learn(x, what)
-    return [ids[:, e - k:e].T for k, e in zip(lanes, np.cumsum(lanes).tolist())]
+    return [rows[e - k:e] for k, e in zip(lanes, np.cumsum(lanes).tolist())]
 
 
 def _together(lanes: list[int]) -> Iterator[slice]:
@@ -376,23 +399,25 @@ def _write(path: str):
             return out
 
         for pdf in batches:
-            for i in range(0, len(pdf), 1000):
-                some = pdf.iloc[i:i + 1000]
-                for doc_id, ids in zip(some["doc_id"].astype(object), enc.ids_of(some["text"])):
-                    ids = np.append(ids, enc.dtype.type(END))
+            for some in runs(pdf["text"]):
+                ids, sizes = enc.joined(pdf["text"].iloc[some], END)
+                at = 0                                      # ids of the run laid into blocks
+                for doc_id, size in zip(pdf["doc_id"].iloc[some].astype(object), sizes.tolist()):
                     none = pd.isna(doc_id)
-                    at, known = 0, 0 if none else int(doc_id)
-                    while at < len(ids):
-                        take = min(BLOCK - fill, len(ids) - at)
-                        now.append(ids[at:at + take])
-                        pieces.append((row, known, none, at, take))
-                        at, fill = at + take, fill + take
+                    start, known = 0, 0 if none else int(doc_id)
+                    while start < size:
+                        take = min(BLOCK - fill, size - start)
+                        pieces.append((row, known, none, start, take))
+                        start, fill = start + take, fill + take
                         if fill == BLOCK:
-                            done.append((np.concatenate(now), pieces))
+                            rest = BLOCK - sum(map(len, now))
+                            done.append((np.concatenate([*now, ids[at:at + rest]]), pieces))
+                            at += rest
                             pieces, now, fill = [], [], 0
                             if len(done) * BLOCK >= LANES * LANE:
                                 yield flush()
                     row += 1
+                now.append(ids[at:].copy())
         if fill:
             done.append((np.concatenate(now), pieces))
         if done:

@@ -1,19 +1,21 @@
 """Token ids of whole texts with a public tokenizer file, in Python workers.
 
 White space separates words for this kind of tokenizer (a word-level pattern drops it), so the ids of a
-text are those of its words joined, and each distinct word is encoded once per worker. A batch of texts is
-cut into words as one array of bytes; Arrow numbers the distinct ones, only these are looked up, and the ids of all words are
-gathered at once. Most words are letters with trailing punctuation; the pattern parts the two, so their ids are looked up apart. Words of
-Latin-1 letters, lower-cased, need no normaliser and go through the same model in large batches."""
+text are those of its words joined, and each distinct word is encoded once per worker. A batch of texts is cut into
+words as one array of bytes; Arrow numbers the distinct ones, only these are looked up, and the ids of all words
+are gathered at once. Most words are letters, some with trailing ASCII punctuation; the pattern parts the two, so
+their ids are looked up apart. Words of Latin-1 letters, lower-cased, need no normaliser and go through the same
+model in large batches."""
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-_PUNCTUATION = b".,;:!?"
+_PUNCTUATION = string.punctuation.encode()
 _IS_PUNCTUATION = np.isin(np.arange(256), list(_PUNCTUATION))
 _IS_PLAIN = np.array([bytes([b]).isalnum() for b in range(256)])         # ASCII letters and digits
 _AT_ONCE = 512

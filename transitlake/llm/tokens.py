@@ -19,9 +19,9 @@ _PUNCTUATION = string.punctuation.encode()
 _IS_PUNCTUATION = np.isin(np.arange(256), list(_PUNCTUATION))
 _IS_PLAIN = np.array([bytes([b]).isalnum() for b in range(256)])         # ASCII letters and digits
 _AT_ONCE = 512
-_MOST_CACHED = 1_500_000        # words held per worker; beyond it the cache starts anew
+_MOST_CACHED = 1_000_000        # words, without their punctuation, held per worker; beyond it the cache starts anew
 _END_OF_WORD = "</w>"
-_MOST_CHARS = 1 << 23           # of the texts in a run; a longer text is a run of its own
+_MOST_CHARS = 1 << 22           # of the texts in a run; a longer text is a run of its own
 
 
 def runs(texts) -> Iterator[slice]:
@@ -77,7 +77,7 @@ class Encoder:
         """No words: number of each word, and where the ids of each number lie in the pool."""
         self.words: dict[bytes, int] = {}
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
 
     def ids(self, text: str | None) -> np.ndarray:
         return self.ids_of([text])[0]
@@ -103,7 +103,7 @@ class Encoder:
         starts, sizes = self.starts[at], self.sizes[at]
         of = coded.indices.to_numpy()
         starts, sizes = starts[of], sizes[of]
-        before = np.concatenate([[0], np.cumsum(sizes)])[cuts]
+        before = np.cumsum(np.append(0, sizes))[cuts]
         ids = _gather(self.pool, starts, sizes)
         if end is not None:
             ids = np.insert(ids, before[1:], end)
